@@ -69,8 +69,9 @@ def sale_detail(orders: DataFrame, lines: DataFrame, strict: bool = True) -> Dat
     )
     price = F.col("order_price")
     price = price.cast("double") if strict else price.try_cast("double")
+    name = F.col("sku_name") if "sku_name" in lines.columns else F.lit(None).cast("string")
     li = lines.select(
-        F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name",
+        F.col("id").alias("order_detail_id"), "order_id", "sku_id", name.alias("sku_name"),
         price.alias("sku_price"),
     )
     return li.join(o, "order_id", "inner").select(

@@ -562,7 +562,7 @@ def upsert_table(t: Tables) -> DataFrame:
 def upsert_documents(t: Tables) -> DataFrame:
     """Sale documents by id; the second bulk re-sends open orders' lines as fulfilled."""
     path = work_dir(t.spark, "upsert_documents", fresh=True)
-    docs = join.sale_detail(A.order_info(t), A.order_detail(t)).select(
+    docs = join.sale_detail(A.order_info(t), A.order_detail(t, with_sku_name=False)).select(
         F.col("order_detail_id").alias("doc_id"), "order_id", "order_status", "sku_price"
     )
     sinks.upsert_documents(docs, path, batch_id=1)
