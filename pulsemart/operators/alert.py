@@ -4,11 +4,11 @@ Rule, per device and time window: at least ``min_accounts`` distinct accounts
 took a coupon and nobody clicked an item.  The reference collects every event
 of a device into one in-memory group; here each piece is a partial aggregate:
 
-* clicks      -> ``bool_or`` per (device, window)
-* accounts    -> distinct (device, window, account) first, then a count, so a
-                 device holding a third of all rows is spread over tasks by
-                 account before anything is counted
-* the lists   -> built only for the windows that alert, from those distinct rows
+* one scan turns events into distinct (device, window, kind, value) facts,
+  kind = click / account / item; the distinct is keyed by the value, so a
+  device holding a third of all rows is spread over tasks before counting
+* clicks and accounts -> ``bool_or`` / ``count_if`` per (device, window)
+* the lists -> built only for the windows that alert, from the same facts
 
 Sliding windows use panes ("No pane, no gain", Li et al., SIGMOD Record 2005):
 events are first reduced to one row per (device, pane, account) with
@@ -42,32 +42,41 @@ def _fmt(ms_col):
     return F.date_format(F.timestamp_millis(ms_col), "yyyy-MM-dd HH:mm:ss")
 
 
-def _window_rows(events: DataFrame, window: str, slide: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pane-level partial aggregates, expanded to (mid, window start in ms)."""
+def _window_facts(events: DataFrame, window: str, slide: str | None) -> DataFrame:
+    """Distinct (mid, window start, kind, value) facts, kind c = click, u = account, i = item.
+
+    One scan of the events.  Each event yields at most one fact per kind and
+    facts are made distinct per pane first (partial aggregation keyed by the
+    value, so a hot device spreads over tasks), then copied to the windows
+    that contain the pane.
+    """
     w_ms = _ms(window)
     s_ms = _ms(slide) if slide else w_ms
     if w_ms % s_ms:
         raise ValueError("window length must be a multiple of the slide")
     copies = w_ms // s_ms
-    pane = F.col("ts") - F.col("ts") % F.lit(s_ms)   # windows start at the epoch, as Spark's window()
-    base = events.select("mid", "uid", "evid", "itemid", pane.alias("_pane"))
-
-    def expand(df: DataFrame) -> DataFrame:
-        if copies == 1:
-            return df.withColumnRenamed("_pane", "_wstart")
-        k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_k")
-        keep = [c for c in df.columns if c != "_pane"]
-        return df.select(*keep, "_pane", k).select(
-            *keep, (F.col("_pane") - F.col("_k") * F.lit(s_ms)).alias("_wstart")
+    evid, uid, item = F.col("evid"), F.col("uid"), F.col("itemid")
+    facts = F.array_compact(
+        F.array(
+            F.when(evid == CLICK, F.struct(F.lit("c").alias("k"), F.lit("").alias("v"))),
+            F.when((evid == COUPON) & uid.isNotNull(), F.struct(F.lit("u").alias("k"), uid.alias("v"))),
+            F.when((evid == COUPON) & item.isNotNull(), F.struct(F.lit("i").alias("k"), item.alias("v"))),
         )
-
-    clicks = expand(
-        base.groupBy("mid", "_pane").agg(F.bool_or(F.col("evid") == CLICK).alias("_click"))
-    ).groupBy("mid", "_wstart").agg(F.bool_or("_click").alias("_click"))
-    coupons = base.where((F.col("evid") == COUPON))
-    accounts = expand(coupons.where(F.col("uid").isNotNull()).select("mid", "_pane", "uid").distinct()).distinct()
-    items = expand(coupons.where(F.col("itemid").isNotNull()).select("mid", "_pane", "itemid").distinct()).distinct()
-    return clicks, accounts, items
+    )
+    pane = F.col("ts") - F.col("ts") % F.lit(s_ms)   # windows start at the epoch, as Spark's window()
+    per_pane = (
+        events.select("mid", pane.alias("_pane"), F.explode(facts).alias("_f"))
+        .select("mid", "_pane", F.col("_f.k").alias("kind"), F.col("_f.v").alias("val"))
+        .distinct()
+    )
+    if copies == 1:
+        return per_pane.withColumnRenamed("_pane", "_wstart")
+    k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_k")
+    return (
+        per_pane.select("mid", "kind", "val", "_pane", k)
+        .select("mid", "kind", "val", (F.col("_pane") - F.col("_k") * F.lit(s_ms)).alias("_wstart"))
+        .distinct()
+    )
 
 
 def coupon_alerts(
@@ -84,26 +93,27 @@ def coupon_alerts(
     are not accounts (SURVEY D8).
     """
     w_ms = _ms(window)
-    clicks, accounts, items = _window_rows(events, window, slide)
-    counts = accounts.groupBy("mid", "_wstart").agg(F.count(F.lit(1)).alias("n_accounts"))
-    hits = (
-        counts.where(F.col("n_accounts") >= min_accounts)
-        .join(clicks, ["mid", "_wstart"], "left")
-        .where(~F.coalesce(F.col("_click"), F.lit(False)))
-        .select("mid", "_wstart", "n_accounts")
+    facts = _window_facts(events, window, slide)
+    summary = facts.groupBy("mid", "_wstart").agg(
+        F.count_if(F.col("kind") == "u").alias("n_accounts"),
+        F.bool_or(F.col("kind") == "c").alias("_click"),
     )
-
-    def joined(rows: DataFrame, col: str, name: str) -> DataFrame:
-        only_hits = rows.join(hits.select("mid", "_wstart"), ["mid", "_wstart"], "left_semi")
-        return only_hits.groupBy("mid", "_wstart").agg(
-            F.array_join(F.sort_array(F.collect_list(col)), ",").alias(name)
+    hits = summary.where((F.col("n_accounts") >= min_accounts) & ~F.col("_click")).select(
+        "mid", "_wstart", "n_accounts"
+    )
+    # Lists only for the windows that alert; the semi join keeps the rest out.
+    # No filter on ``facts`` here (alerting windows hold no click facts), so the
+    # plan reuses the facts shuffle instead of scanning the events again.
+    lists = (
+        facts.join(hits.select("mid", "_wstart"), ["mid", "_wstart"], "left_semi")
+        .groupBy("mid", "_wstart")
+        .agg(
+            F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == "u", F.col("val")))), ",").alias("uids"),
+            F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == "i", F.col("val")))), ",").alias("item_ids"),
         )
-
-    out = hits.join(joined(accounts, "uid", "uids"), ["mid", "_wstart"], "left").join(
-        joined(items, "itemid", "item_ids"), ["mid", "_wstart"], "left"
     )
     end = F.col("_wstart") + F.lit(w_ms)
-    return out.select(
+    return hits.join(lists, ["mid", "_wstart"], "left").select(
         "mid",
         _fmt(F.col("_wstart")).alias("window_start"),
         _fmt(end).alias("window_end"),
