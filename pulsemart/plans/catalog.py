@@ -556,11 +556,19 @@ def upsert_table(t: Tables) -> DataFrame:
 @register(
     "upsert_documents",
     O.with_ctes(O.ORDER_INFO, O.ORDER_DETAIL, O.SALE_DETAIL)
-    + """SELECT order_detail_id AS doc_id, order_id,
-  CASE WHEN order_status = 'O' THEN 'F' ELSE order_status END AS order_status, sku_price FROM sale_detail""",
+    + """SELECT doc_id, order_id, order_status, sku_price FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY b DESC, sku_price DESC) AS rn FROM (
+    SELECT order_detail_id AS doc_id, order_id, order_status, sku_price, 1 AS b FROM sale_detail
+    UNION ALL
+    SELECT order_detail_id, order_id, 'F', sku_price, 2 FROM sale_detail WHERE order_status = 'O'))
+WHERE rn = 1""",
 )
 def upsert_documents(t: Tables) -> DataFrame:
-    """Sale documents by id; the second bulk re-sends open orders' lines as fulfilled."""
+    """Sale documents by id; the second bulk re-sends open orders' lines as fulfilled.
+
+    Two lines can share a document id (T8: one case at sf0.001); the keyed
+    sink keeps one of them, the higher price, exactly as the oracle does.
+    """
     path = work_dir(t.spark, "upsert_documents", fresh=True)
     docs = join.sale_detail(A.order_info(t), A.order_detail(t, with_sku_name=False)).select(
         F.col("order_detail_id").alias("doc_id"), "order_id", "order_status", "sku_price"
@@ -569,4 +577,4 @@ def upsert_documents(t: Tables) -> DataFrame:
     sinks.upsert_documents(
         docs.where(F.col("order_status") == "O").withColumn("order_status", F.lit("F")), path, batch_id=2
     )
-    return sinks.read_upserted(t.spark, path, "doc_id")
+    return sinks.read_upserted(t.spark, path, "doc_id", tiebreak="sku_price")

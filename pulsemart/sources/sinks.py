@@ -46,10 +46,21 @@ def upsert_documents(df: DataFrame, path: str, batch_id: int, id_col: str = "doc
     upsert(df.withColumn(id_col, F.coalesce(F.col(id_col), F.expr("uuid()"))), path, batch_id)
 
 
-def read_upserted(spark: SparkSession, path: str, key: str, order: str | None = None) -> DataFrame:
-    """The table as the upserts left it: the last writer per key."""
+def read_upserted(
+    spark: SparkSession, path: str, key: str, order: str | None = None, tiebreak: str | None = None
+) -> DataFrame:
+    """The table as the upserts left it: the last writer per key.
+
+    ``order`` (e.g. a change sequence) outranks the batch id, so a replayed
+    old record in a later batch does not win; ``tiebreak`` settles two rows of
+    one key inside one batch deterministically.
+    """
     df = spark.read.parquet(path)
-    order_col = F.struct(*([F.col(order)] if order else []), F.col(BATCH_COL))
+    parts = [F.col(order)] if order else []
+    parts.append(F.col(BATCH_COL))
+    if tiebreak:
+        parts.append(F.col(tiebreak))
+    order_col = F.struct(*parts)
     return latest_by_key(df.withColumn("_order", order_col), key, order="_order").drop("_order", BATCH_COL)
 
 
