@@ -72,3 +72,28 @@ def upper_case_columns(df: DataFrame) -> DataFrame:
 def console(df: DataFrame, n: int = 20) -> None:
     """Debug print."""
     df.show(n, truncate=False)
+
+
+# --- the DAU table: one row per (device, log day), partitioned by day ----------
+
+DAU_PARTITION = "LOGDATE"
+
+
+def write_dau_rows(rows: DataFrame, path: str) -> None:
+    """S4 + P12 for the DAU table: append new device-days, upper-case columns,
+    partitioned by log day so readers prune by date (S9)."""
+    upper_case_columns(rows).write.mode("append").partitionBy(DAU_PARTITION).parquet(path)
+
+
+def read_dau_table(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The stored DAU table with lower-case columns; ``days`` prunes
+    partitions.  A table that does not exist yet reads as empty."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception as e:  # noqa: BLE001 - only "path does not exist" is expected
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return None
+    if days is not None:
+        df = df.where(F.col(DAU_PARTITION).isin(days))
+    return df.toDF(*[c.lower() for c in df.columns])

@@ -14,6 +14,7 @@ slice late.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,11 +72,18 @@ def replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: l
         return 0
     cols = value_cols or [c for c in df.columns]
     payload = F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")
-    start = lo - lo % slice_ms
-    n = 0
-    while start <= hi:
-        part = framed.where((F.col("_t_ms") >= start) & (F.col("_t_ms") < start + slice_ms))
-        part.select(payload).write.mode("append").text(path)
-        start += slice_ms
-        n += 1
+    # The table is serialised once and kept on executor disks while the
+    # slices are cut from it; a lost executor's blocks are recomputed from
+    # lineage.
+    encoded = framed.select(payload, "_t_ms").persist(StorageLevel.DISK_ONLY)
+    try:
+        start = lo - lo % slice_ms
+        n = 0
+        while start <= hi:
+            part = encoded.where((F.col("_t_ms") >= start) & (F.col("_t_ms") < start + slice_ms))
+            part.select("value").write.mode("append").text(path)
+            start += slice_ms
+            n += 1
+    finally:
+        encoded.unpersist()
     return n

@@ -29,7 +29,7 @@ from pulsemart.sources.tables import Tables
 
 DAY_MS = 86_400_000
 BATCH_INTERVAL = "5 seconds"      # the reference's micro-batch (W4)
-FILES_PER_TRIGGER = 8             # replay rate: files per micro-batch
+FILES_PER_TRIGGER = 16            # replay rate: files per micro-batch
 RUN_TIMEOUT_S = 900
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,43 @@ def upsert_each_batch(path: str):
     return write
 
 
+def dau_batch_writer(table_path: str):
+    """O3 + O5 + J1 + A2 + S4/S7/S8: the per-micro-batch DAU hook.
+
+    For each batch: keep the first startup per (device, log day), drop the
+    device-days the stored table already holds (read for the batch's days
+    only: partition pruning), append the rest.  A replayed batch finds its
+    rows already stored and appends nothing, so the hook is idempotent.  The
+    seen side is not broadcast by hand: it is the stored table of those days,
+    and AQE broadcasts it only when it measures small.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        firsts = dedup.dau_table(batch).persist()       # O5: used for the day list and the write
+        try:
+            days = [r.logdate for r in firsts.select("logdate").distinct().collect()]  # days of one batch
+            if not days:
+                return
+            seen = sinks.read_dau_table(batch.sparkSession, table_path, days)
+            new = firsts if seen is None else dedup.dau_incremental(firsts, seen)
+            sinks.write_dau_rows(new.select(*firsts.columns), table_path)
+        finally:
+            firsts.unpersist()
+
+    return write
+
+
+def start_processing_time(
+    stream: DataFrame, checkpoint: str, foreach_batch=None, sink_path: str | None = None,
+    output_mode: str = "append", interval: str = BATCH_INTERVAL,
+):
+    """W4 for production: the same query on a ``processingTime`` trigger (the
+    reference's 5 s batches).  Returns the running ``StreamingQuery``."""
+    w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
+    w = w.foreachBatch(foreach_batch) if foreach_batch is not None else w.format("parquet").option("path", sink_path)
+    return w.trigger(processingTime=interval).start()
+
+
 # --- builders (shared by the registered twins and production jobs) -----------
 
 
@@ -238,3 +275,17 @@ def coupon_alert_stream(t: Tables) -> DataFrame:
     run_available_now(stream, ckpt, foreach_batch=upsert_each_batch(table), output_mode="update")
     latest = sinks.read_upserted(t.spark, table, "_key")
     return latest.where("alert").select("mid", "window_start", "window_end", "n_accounts", "uids", "item_ids", "ts")
+
+
+@_register("dau_stream_upsert", O.with_ctes(O.STARTUP) + "SELECT DISTINCT mid, logdate FROM startup")
+def dau_stream_upsert(t: Tables) -> DataFrame:
+    """O3 + S4 + S7-S9 + P12: the reference's DAU job -- per batch, dedup, anti-join
+    to the stored table, append -- as a ``foreachBatch`` stream.  Arrival order
+    does not matter (no watermark), so the topic is written in one job; the
+    first arriving startup of a device-day wins (H1), so only keys compare."""
+    topic, _, ckpt, table = _dirs(t, "dau_upsert")
+    st = A.startup(t).withColumn("event_id", F.col("event_id").cast("string"))
+    st.select(F.to_json(F.struct("mid", "uid", "area", "os", "vs", "ts", "event_id")).alias("value")).write.text(topic)
+    stream = build_startup_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=FILES_PER_TRIGGER))
+    run_available_now(stream.drop("event_time"), ckpt, foreach_batch=dau_batch_writer(table))
+    return sinks.read_dau_table(t.spark, table).select("mid", "logdate")
