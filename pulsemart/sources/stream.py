@@ -64,6 +64,20 @@ def replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: l
     ``time_col`` is epoch ms (long) or a timestamp.  Only the slice bounds
     (two numbers) come to the driver.  Returns the number of slices written.
     """
+    return _replay(df, path, time_col, slice_ms, value_cols)
+
+
+def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
+    """A file-source rate limit that drains ``path`` in about ``batches``
+    micro-batches (file listing only; no data read)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    n = sum(1 for st in fs.listStatus(p) if not st.getPath().getName().startswith(("_", ".")))
+    return max(1, -(-n // max(1, batches)))
+
+
+def _replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: list[str] | None) -> int:
     t = F.col(time_col)
     ms = t if dict(df.dtypes)[time_col] in ("bigint", "int") else F.unix_millis(t)
     framed = df.withColumn("_t_ms", ms)

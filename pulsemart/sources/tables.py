@@ -18,8 +18,32 @@ TABLE_NAMES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# A scan is spread over the cluster only when it is worth it: fewer input
+# splits than task slots and at least this much data (Spark's size estimate).
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than task slots.
+
+    A parquet split cannot cut a row group, so a table stored as one big row
+    group is read by a single task and every projection above it (JSON,
+    casts, string keys) runs single-threaded.  On real data -- many files,
+    many row groups -- the scan already has at least as many splits as slots
+    and this returns the scan untouched, adding no shuffle.
+    """
+    slots = spark.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if splits < slots and int(str(size)) >= SPREAD_MIN_BYTES:
+        return df.repartition(slots)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        df = _spread(spark, df)
     ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     if ntz:
         df = df.withColumns({c: F.col(c).cast("timestamp") for c in ntz})

@@ -24,12 +24,13 @@ from pulsemart.schemas import EVENT_WIRE, STARTUP_WIRE, wire_schema
 from pulsemart.session import configure, work_dir
 from pulsemart.sources import adapters as A
 from pulsemart.sources import sinks
-from pulsemart.sources.stream import replay, topic_stream
+from pulsemart.sources.stream import files_per_trigger, replay, topic_stream
 from pulsemart.sources.tables import Tables
 
 DAY_MS = 86_400_000
 BATCH_INTERVAL = "5 seconds"      # the reference's micro-batch (W4)
-FILES_PER_TRIGGER = 16            # replay rate: files per micro-batch
+FILES_PER_TRIGGER = 16            # default file-source rate: files per micro-batch
+REPLAY_BATCHES = 4                # a replayed topic is drained in about this many micro-batches
 RUN_TIMEOUT_S = 900
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,7 +201,7 @@ def stream_source_rows(t: Tables) -> DataFrame:
     topic, _, ckpt, sink = _dirs(t, "source_rows")
     ev = A.event(t).withColumn("event_id", F.col("event_id").cast("string"))
     replay(ev, topic, "ts", DAY_MS, ["mid", "uid", "evid", "itemid", "ts", "event_id"])
-    stream = build_event_stream(topic_stream(t.spark, "GMALL_EVENT", topic, max_per_trigger=FILES_PER_TRIGGER))
+    stream = build_event_stream(topic_stream(t.spark, "GMALL_EVENT", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
     run_available_now(stream.select("event_id", "mid", "evid", F.col("ts").alias("ts_ms")), ckpt, sink)
     return t.spark.read.parquet(sink)
 
@@ -214,7 +215,7 @@ def dau_stream_dedup(t: Tables) -> DataFrame:
     topic, _, ckpt, sink = _dirs(t, "dau")
     st = A.startup(t).withColumn("event_id", F.col("event_id").cast("string"))
     replay(st, topic, "ts", DAY_MS, ["mid", "uid", "area", "os", "vs", "ts", "event_id"])
-    stream = build_dau_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=FILES_PER_TRIGGER))
+    stream = build_dau_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
     run_available_now(stream.select("mid", "logdate", "loghour", "ts", "event_id"), ckpt, sink)
     return t.spark.read.parquet(sink).select("mid", "logdate")
 
@@ -234,8 +235,8 @@ def order_line_stream_join(t: Tables) -> DataFrame:
     replay(orders, topic_o, "event_ts", _JOIN_DELAY_MS, [*_ORDER_FIELDS, "event_ts"])
     replay(lines, topic_l, "event_ts", _JOIN_DELAY_MS, [*_LINE_FIELDS, "event_ts"])
     stream = build_order_line_join(
-        topic_stream(t.spark, "GMALL_ORDER", topic_o, max_per_trigger=FILES_PER_TRIGGER),
-        topic_stream(t.spark, "TOPIC_ORDER_DETAIL", topic_l, max_per_trigger=FILES_PER_TRIGGER),
+        topic_stream(t.spark, "GMALL_ORDER", topic_o, max_per_trigger=files_per_trigger(t.spark, topic_o, REPLAY_BATCHES)),
+        topic_stream(t.spark, "TOPIC_ORDER_DETAIL", topic_l, max_per_trigger=files_per_trigger(t.spark, topic_l, REPLAY_BATCHES)),
     )
     run_available_now(stream, ckpt, sink)
     return t.spark.read.parquet(sink)
@@ -253,7 +254,7 @@ def latest_user_stream(t: Tables) -> DataFrame:
     # change sequence travels inside the record.
     value = F.to_json(F.map_concat("after", F.create_map(F.lit("seq"), F.col("seq").cast("string"))))
     rows.select(value.alias("value")).write.mode("append").text(topic)
-    stream = build_latest_user_stream(topic_stream(t.spark, cdc.TOPIC_USER, topic, max_per_trigger=FILES_PER_TRIGGER))
+    stream = build_latest_user_stream(topic_stream(t.spark, cdc.TOPIC_USER, topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
     run_available_now(stream, ckpt, foreach_batch=upsert_each_batch(table), output_mode="update")
     return sinks.read_upserted(t.spark, table, "id", order="seq")
 
@@ -269,7 +270,7 @@ def coupon_alert_stream(t: Tables) -> DataFrame:
     ev = A.event(t).withColumn("event_id", F.col("event_id").cast("string"))
     replay(ev, topic, "ts", _ALERT_SLICE_MS, ["mid", "uid", "evid", "itemid", "ts", "event_id"])
     stream = build_alert_stream(
-        topic_stream(t.spark, "GMALL_EVENT", topic, max_per_trigger=FILES_PER_TRIGGER),
+        topic_stream(t.spark, "GMALL_EVENT", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)),
         catalog.ALERT_WINDOW, "3 days",
     ).withColumn("_key", F.concat_ws("|", "mid", "window_start"))
     run_available_now(stream, ckpt, foreach_batch=upsert_each_batch(table), output_mode="update")
@@ -286,6 +287,6 @@ def dau_stream_upsert(t: Tables) -> DataFrame:
     topic, _, ckpt, table = _dirs(t, "dau_upsert")
     st = A.startup(t).withColumn("event_id", F.col("event_id").cast("string"))
     st.select(F.to_json(F.struct("mid", "uid", "area", "os", "vs", "ts", "event_id")).alias("value")).write.text(topic)
-    stream = build_startup_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=FILES_PER_TRIGGER))
+    stream = build_startup_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
     run_available_now(stream.drop("event_time"), ckpt, foreach_batch=dau_batch_writer(table))
     return sinks.read_dau_table(t.spark, table).select("mid", "logdate")
