@@ -69,7 +69,7 @@ def run_available_now(
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format("parquet").option("path", sink_path)
-    q = w.trigger(availableNow=True).start()
+    q = _start(stream.sparkSession, w.trigger(availableNow=True))
     try:
         finished = q.awaitTermination(timeout_s)
     finally:
@@ -81,6 +81,23 @@ def run_available_now(
         raise RuntimeError(str(q.exception()))
 
 
+def _start(spark: SparkSession, writer):
+    """Start with one state partition per task slot.
+
+    A stateful query fixes its state partitioning in the checkpoint at first
+    start (from ``spark.sql.shuffle.partitions``; AQE does not resize state).
+    Task slots of the cluster is the natural width: every slot serves one
+    partition per micro-batch.  The session setting is restored afterwards.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def upsert_each_batch(path: str):
     """The ``foreachBatch`` writer -- each micro-batch is one upsert batch."""
 
@@ -124,7 +141,7 @@ def start_processing_time(
     reference's 5 s batches).  Returns the running ``StreamingQuery``."""
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
     w = w.foreachBatch(foreach_batch) if foreach_batch is not None else w.format("parquet").option("path", sink_path)
-    return w.trigger(processingTime=interval).start()
+    return _start(stream.sparkSession, w.trigger(processingTime=interval))
 
 
 # --- builders (shared by the registered twins and production jobs) -----------
