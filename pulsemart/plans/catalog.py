@@ -260,10 +260,16 @@ def hourly_zero_fill(t: Tables) -> DataFrame:
     return reports.hourly_zero_fill(agg.dau_hourly(dedup.dau_table(A.startup(t))))
 
 
-@register("hour_map")
+@register(
+    "hour_map",
+    O.with_ctes(O.STARTUP, _DAU_FIRST_SQL, "hourly AS (SELECT logdate, loghour AS lh, count(*) AS ct FROM dau GROUP BY ALL)")
+    + """SELECT logdate, '{' || string_agg('"' || lh || '":' || CAST(ct AS VARCHAR), ',' ORDER BY lh) || '}' AS hours
+FROM hourly GROUP BY logdate""",
+)
 def hour_map(t: Tables) -> DataFrame:
-    """Per day, a map hour -> devices (rows-only check: maps do not hash alike)."""
-    return reports.hour_map(agg.dau_hourly(dedup.dau_table(A.startup(t))))
+    """Per day, the map hour -> devices as the JSON a client receives."""
+    m = reports.hour_map(agg.dau_hourly(dedup.dau_table(A.startup(t))))
+    return m.select("logdate", F.to_json("hours").alias("hours"))
 
 
 # --- joins (J2-J5, P5-P8, S6) ---------------------------------------------------

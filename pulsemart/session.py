@@ -15,8 +15,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime SQL options every query depends on.  They are safe to set on a
-# session someone else built: they change planning, not results, except the
-# zone, which H9 fixes to UTC so results match the SQL oracle.
+# session someone else built: they change planning and state storage, not
+# results, except the zone, which H9 fixes to UTC so results match the SQL
+# oracle.
 _RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -28,6 +29,15 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streaming state off the JVM heap (RocksDB), committed as a per-batch
+    # changelog instead of a snapshot upload: commit cost follows the rows a
+    # batch changed, not the size of the state.  Both settings are stored in
+    # a query's checkpoint at first start, so restarts keep what they began
+    # with.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -51,9 +61,6 @@ def get_session(
     conf = {
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
         **_RUNTIME_CONF,
     }
     if shuffle_partitions:

@@ -61,12 +61,23 @@ def topic_stream(
 def replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: list[str] | None = None) -> int:
     """Write ``df`` as JSON lines under ``path``, in event-time slices of ``slice_ms``.
 
-    ``time_col`` is epoch ms (long) or a timestamp.  Only the slice bounds
-    (two numbers) come to the driver.  Returns the number of slices written.
+    ``time_col`` is epoch ms (long) or a timestamp.  Only the slice numbers
+    (span / ``slice_ms`` of them) come to the driver.  Returns the number of
+    slices written.
     """
     return _replay(df, path, time_col, slice_ms, value_cols)
 
 
+def publish(df: DataFrame, path: str, value_cols: list[str] | None = None) -> None:
+    """Write ``df`` as one topic of JSON lines in a single job.
+
+    For consumers that do not depend on arrival order (no watermark, or
+    order carried inside the record), so no time slicing is needed.
+    """
+    cols = value_cols or list(df.columns)
+    df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")).write.mode("append").text(path)
+
+
 def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
     """A file-source rate limit that drains ``path`` in about ``batches``
     micro-batches (file listing only; no data read)."""
@@ -80,24 +91,18 @@ def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
 def _replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: list[str] | None) -> int:
     t = F.col(time_col)
     ms = t if dict(df.dtypes)[time_col] in ("bigint", "int") else F.unix_millis(t)
-    framed = df.withColumn("_t_ms", ms)
-    lo, hi = framed.agg(F.min("_t_ms"), F.max("_t_ms")).first()
-    if lo is None:
-        return 0
-    cols = value_cols or [c for c in df.columns]
+    cols = value_cols or list(df.columns)
     payload = F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")
-    # The table is serialised once and kept on executor disks while the
-    # slices are cut from it; a lost executor's blocks are recomputed from
-    # lineage.
-    encoded = framed.select(payload, "_t_ms").persist(StorageLevel.DISK_ONLY)
+    # One scan of the source: the table is serialised once and kept on
+    # executor disks while the slices are cut from it (a lost executor's
+    # blocks are recomputed from lineage).  The slice list is read from that
+    # cache, which also fills it.  Rows without a time belong to no slice.
+    slice_col = (ms - F.pmod(ms, F.lit(slice_ms))).alias("_slice")
+    encoded = df.select(payload, slice_col).persist(StorageLevel.DISK_ONLY)
     try:
-        start = lo - lo % slice_ms
-        n = 0
-        while start <= hi:
-            part = encoded.where((F.col("_t_ms") >= start) & (F.col("_t_ms") < start + slice_ms))
-            part.select("value").write.mode("append").text(path)
-            start += slice_ms
-            n += 1
+        slices = sorted(r[0] for r in encoded.select("_slice").distinct().collect() if r[0] is not None)
+        for start in slices:
+            encoded.where(F.col("_slice") == start).select("value").write.mode("append").text(path)
     finally:
         encoded.unpersist()
-    return n
+    return len(slices)

@@ -24,7 +24,7 @@ from pulsemart.schemas import EVENT_WIRE, STARTUP_WIRE, wire_schema
 from pulsemart.session import configure, work_dir
 from pulsemart.sources import adapters as A
 from pulsemart.sources import sinks
-from pulsemart.sources.stream import files_per_trigger, replay, topic_stream
+from pulsemart.sources.stream import files_per_trigger, publish, replay, topic_stream
 from pulsemart.sources.tables import Tables
 
 DAY_MS = 86_400_000
@@ -214,10 +214,13 @@ def _dirs(t: Tables, name: str) -> tuple[str, str, str, str]:
     O.with_ctes(O.EVENT) + "SELECT event_id, mid, evid, ts AS ts_ms FROM event",
 )
 def stream_source_rows(t: Tables) -> DataFrame:
-    """S1 + P1: events through a topic and a file-sink stream, read back."""
+    """S1 + P1: events through a topic and a file-sink stream, read back.
+
+    The query is stateless, so arrival order does not matter and the topic is
+    written in one job."""
     topic, _, ckpt, sink = _dirs(t, "source_rows")
     ev = A.event(t).withColumn("event_id", F.col("event_id").cast("string"))
-    replay(ev, topic, "ts", DAY_MS, ["mid", "uid", "evid", "itemid", "ts", "event_id"])
+    publish(ev, topic, ["mid", "uid", "evid", "itemid", "ts", "event_id"])
     stream = build_event_stream(topic_stream(t.spark, "GMALL_EVENT", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
     run_available_now(stream.select("event_id", "mid", "evid", F.col("ts").alias("ts_ms")), ckpt, sink)
     return t.spark.read.parquet(sink)
@@ -303,7 +306,7 @@ def dau_stream_upsert(t: Tables) -> DataFrame:
     first arriving startup of a device-day wins (H1), so only keys compare."""
     topic, _, ckpt, table = _dirs(t, "dau_upsert")
     st = A.startup(t).withColumn("event_id", F.col("event_id").cast("string"))
-    st.select(F.to_json(F.struct("mid", "uid", "area", "os", "vs", "ts", "event_id")).alias("value")).write.text(topic)
+    publish(st, topic, ["mid", "uid", "area", "os", "vs", "ts", "event_id"])
     stream = build_startup_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
     run_available_now(stream.drop("event_time"), ckpt, foreach_batch=dau_batch_writer(table))
     return sinks.read_dau_table(t.spark, table).select("mid", "logdate")

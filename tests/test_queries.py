@@ -26,9 +26,8 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only == {"hour_map"}
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
