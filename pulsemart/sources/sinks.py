@@ -85,15 +85,27 @@ def write_dau_rows(rows: DataFrame, path: str) -> None:
     upper_case_columns(rows).write.mode("append").partitionBy(DAU_PARTITION).parquet(path)
 
 
-def read_dau_table(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists and holds anything besides hidden/marker files
+    (file listing only)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+
+
+def read_dau_table(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame | None:
     """The stored DAU table with lower-case columns; ``days`` prunes
-    partitions.  A table that does not exist yet reads as empty."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001 - only "path does not exist" is expected
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
+    partitions.  A table that holds no rows yet reads as None."""
+    if not _has_data(spark, path):
         return None
+    df = spark.read.parquet(path)
+    # Partition discovery types the day folders as dates; the column is the
+    # reference's yyyy-MM-dd string.  The filter reads only partition values,
+    # so it still prunes folders.
+    df = df.withColumn(DAU_PARTITION, F.col(DAU_PARTITION).cast("string"))
     if days is not None:
         df = df.where(F.col(DAU_PARTITION).isin(days))
     return df.toDF(*[c.lower() for c in df.columns])

@@ -14,7 +14,6 @@ slice late.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,28 +80,47 @@ def publish(df: DataFrame, path: str, value_cols: list[str] | None = None) -> No
 def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
     """A file-source rate limit that drains ``path`` in about ``batches``
     micro-batches (file listing only; no data read)."""
+    n = sum(1 for name in _list_names(spark, path) if not name.startswith(("_", ".")))
+    return max(1, -(-n // max(1, batches)))
+
+
+def _list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (file listing only)."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    n = sum(1 for st in fs.listStatus(p) if not st.getPath().getName().startswith(("_", ".")))
-    return max(1, -(-n // max(1, batches)))
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: list[str] | None) -> int:
+    """Stage once, then publish slice by slice.
+
+    One job reads the source and writes every row to a staging folder
+    partitioned by slice start; the slice list is the folder listing (no
+    data to the driver).  Each slice is then copied to the topic by its own
+    job that reads only that slice's files, so the data is read once from the
+    source and once from staging -- never once per slice.
+    """
+    spark = df.sparkSession
     t = F.col(time_col)
     ms = t if dict(df.dtypes)[time_col] in ("bigint", "int") else F.unix_millis(t)
     cols = value_cols or list(df.columns)
     payload = F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")
-    # One scan of the source: the table is serialised once and kept on
-    # executor disks while the slices are cut from it (a lost executor's
-    # blocks are recomputed from lineage).  The slice list is read from that
-    # cache, which also fills it.  Rows without a time belong to no slice.
-    slice_col = (ms - F.pmod(ms, F.lit(slice_ms))).alias("_slice")
-    encoded = df.select(payload, slice_col).persist(StorageLevel.DISK_ONLY)
-    try:
-        slices = sorted(r[0] for r in encoded.select("_slice").distinct().collect() if r[0] is not None)
-        for start in slices:
-            encoded.where(F.col("_slice") == start).select("value").write.mode("append").text(path)
-    finally:
-        encoded.unpersist()
+    staging = f"{path.rstrip('/')}_staging"
+    (
+        df.where(t.isNotNull())            # a row without a time belongs to no slice
+        .select(payload, (ms - F.pmod(ms, F.lit(slice_ms))).alias("_slice"))
+        .write.mode("overwrite").partitionBy("_slice").text(staging)
+    )
+    names = _list_names(spark, staging)
+    slices = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("_slice="))
+    for start in slices:
+        spark.read.text(f"{staging}/_slice={start}").write.mode("append").text(path)
+    _delete(spark, staging)
     return len(slices)
