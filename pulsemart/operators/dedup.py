@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from pulsemart.functions.dates import log_hour
+from pulsemart.functions.ids import pair_key, pair_major, pair_minor
+
 KEY = ("mid", "logdate")
 
 
@@ -26,25 +29,42 @@ def dau_table(startup: DataFrame, key=KEY, order=("ts", "event_id")) -> DataFram
     return startup.groupBy(*key).agg(first).select(*key, *[F.col(f"_first.{c}").alias(c) for c in value_cols])
 
 
+def first_seen(startup: DataFrame, key=KEY) -> DataFrame:
+    """A2 + L1 for the reports: time, event id and hour of the first startup
+    of every (device, day) -- what the DAU counts need, not the whole row.
+
+    ``(ts, event_id)`` is packed into one ordered decimal, so ``min`` runs as
+    a hash aggregate (partial map-side, codegen) instead of the sort-based
+    aggregate a struct needs.  Same row as ``dau_table``: earliest ``ts``,
+    ties to the lower event id.
+    """
+    firsts = startup.groupBy(*key).agg(F.min(pair_key("ts", "event_id")).alias("_k"))
+    ts = pair_major(F.col("_k"))
+    return firsts.select(
+        *key, ts.alias("ts"), pair_minor(F.col("_k")).alias("event_id"), log_hour(ts).alias("loghour")
+    )
+
+
 def dau_first_event(startup: DataFrame) -> DataFrame:
     """A2 as a report: device, day, id, time and hour of the first startup."""
-    return dau_table(startup).select(
+    return first_seen(startup).select(
         "mid", "logdate", "loghour",
         F.col("event_id").alias("first_event_id"),
         F.col("ts").alias("first_ts"),
     )
 
 
-def dau_incremental(batch: DataFrame, seen: DataFrame, key=KEY) -> DataFrame:
+def dau_incremental(firsts: DataFrame, seen: DataFrame, key=KEY) -> DataFrame:
     """Device-days of a new batch that the stored DAU table does not hold yet.
 
-    The batch is reduced to one row per key first (partial aggregation), then
-    anti-joined to the seen keys on the full key (device and *log* day; SURVEY
-    D5).  No broadcast is forced: the seen table grows with the data, so AQE
-    picks a broadcast only when the shuffled side measures under the
-    configured threshold.
+    ``firsts`` is the batch already reduced to one row per key (``dau_table``
+    for the stored rows, ``first_seen`` for keys), so both join sides come out
+    of aggregations hash-partitioned on the key and the anti-join adds no
+    exchange.  It is on the full key (device and *log* day; SURVEY D5).  No
+    broadcast is forced: the seen table grows with the data, so AQE picks a
+    broadcast only when the shuffled side measures under the configured
+    threshold.
     """
-    firsts = dau_table(batch, key)
     return firsts.join(seen.select(*key), list(key), "left_anti")
 
 

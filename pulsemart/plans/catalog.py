@@ -142,8 +142,8 @@ def dau_first_event(t: Tables) -> DataFrame:
 def dau_incremental(t: Tables) -> DataFrame:
     """Device-days of the batch after SPLIT that the DAU table before SPLIT lacks."""
     s = A.startup(t)
-    seen = dedup.dau_table(s.where(F.col("ts") < SPLIT_MS))
-    return dedup.dau_incremental(s.where(F.col("ts") >= SPLIT_MS), seen).select("mid", "logdate")
+    seen = dedup.first_seen(s.where(F.col("ts") < SPLIT_MS))
+    return dedup.dau_incremental(dedup.first_seen(s.where(F.col("ts") >= SPLIT_MS)), seen).select("mid", "logdate")
 
 
 _B = FUNNEL_BATCH_SECONDS * 1000
@@ -168,7 +168,7 @@ def dau_funnel(t: Tables) -> DataFrame:
 @register("dau_total", O.with_ctes(O.STARTUP) + "SELECT logdate, count(DISTINCT mid) AS ct FROM startup GROUP BY logdate")
 def dau_total(t: Tables) -> DataFrame:
     """Devices per day."""
-    return agg.dau_total(dedup.dau_table(A.startup(t)))
+    return agg.dau_total(dedup.first_seen(A.startup(t)))
 
 
 @register(
@@ -177,7 +177,7 @@ def dau_total(t: Tables) -> DataFrame:
 )
 def dau_hourly(t: Tables) -> DataFrame:
     """Devices per day and hour of their first startup."""
-    return agg.dau_hourly(dedup.dau_table(A.startup(t)))
+    return agg.dau_hourly(dedup.first_seen(A.startup(t)))
 
 
 # --- GMV (A9, A10) --------------------------------------------------------------
@@ -214,7 +214,7 @@ SELECT create_date, 'order_amount', round(sum(total_amount), 2) FROM purchases G
 )
 def kpi_total(t: Tables) -> DataFrame:
     """Dau, new_mid (first-ever day of a device) and order_amount for every day."""
-    return reports.kpi_total(dedup.dau_table(A.startup(t)), A.purchases(t))
+    return reports.kpi_total(dedup.first_seen(A.startup(t)), A.purchases(t))
 
 
 def _compare_sql(hourly_cte: str, value_type: str) -> str:
@@ -233,7 +233,7 @@ FROM hourly t FULL JOIN hourly y ON t.d = strftime(CAST(y.d AS DATE) + 1, '%Y-%m
 )
 def hourly_compare_dau(t: Tables) -> DataFrame:
     """R2 + P11: devices per hour, today against the previous day, every day."""
-    return reports.hourly_compare("dau", dedup.dau_table(A.startup(t)), A.purchases(t))
+    return reports.hourly_compare("dau", dedup.first_seen(A.startup(t)), A.purchases(t))
 
 
 @register(
@@ -245,7 +245,7 @@ def hourly_compare_dau(t: Tables) -> DataFrame:
 )
 def hourly_compare_gmv(t: Tables) -> DataFrame:
     """R2: amount per hour, today against the previous day, every day."""
-    return reports.hourly_compare("order_amount", dedup.dau_table(A.startup(t)), A.purchases(t))
+    return reports.hourly_compare("order_amount", dedup.first_seen(A.startup(t)), A.purchases(t))
 
 
 @register(
@@ -257,7 +257,7 @@ LEFT JOIN hourly x ON x.logdate = d.logdate AND x.lh = lpad(CAST(h.h AS VARCHAR)
 )
 def hourly_zero_fill(t: Tables) -> DataFrame:
     """24 hours per day, missing hours as 0."""
-    return reports.hourly_zero_fill(agg.dau_hourly(dedup.dau_table(A.startup(t))))
+    return reports.hourly_zero_fill(agg.dau_hourly(dedup.first_seen(A.startup(t))))
 
 
 @register(
@@ -268,7 +268,7 @@ FROM hourly GROUP BY logdate""",
 )
 def hour_map(t: Tables) -> DataFrame:
     """Per day, the map hour -> devices as the JSON a client receives."""
-    m = reports.hour_map(agg.dau_hourly(dedup.dau_table(A.startup(t))))
+    m = reports.hour_map(agg.dau_hourly(dedup.first_seen(A.startup(t))))
     return m.select("logdate", F.to_json("hours").alias("hours"))
 
 

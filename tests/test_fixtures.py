@@ -49,10 +49,36 @@ def test_late_startup_counted_once_for_its_own_day(spark):
     # mid seen today; a late row of yesterday arrives in the next batch
     seen = dedup.dau_table(startup_df(spark, [("d1", ms(2024, 1, 2, 8), 1)]))
     batch = startup_df(spark, [("d1", ms(2024, 1, 1, 23), 2), ("d1", ms(2024, 1, 1, 23, 30), 3)])
-    out = dedup.dau_incremental(batch, seen).select("mid", "logdate").collect()
+    out = dedup.dau_incremental(dedup.dau_table(batch), seen).select("mid", "logdate").collect()
     assert [(r.mid, r.logdate) for r in out] == [("d1", "2024-01-01")]
 
 
+def test_first_seen_is_the_first_row_of_dau_table(spark):
+    rows = [("d1", T0, 7), ("d1", T0, 3), ("d1", T0 - 1, 9), ("d2", T0, -5), ("d2", T0, 2),
+            ("d3", ms(2024, 1, 10, 23, 59, 59, 999), 1), ("d3", ms(2024, 1, 11), 0)]
+    df = startup_df(spark, rows)
+    want = {(r.mid, r.logdate, r.ts, r.event_id, r.loghour) for r in dedup.dau_table(df).collect()}
+    got = {(r.mid, r.logdate, r.ts, r.event_id, r.loghour) for r in dedup.first_seen(df).collect()}
+    assert got == want
+
+
+def test_pair_key_orders_like_the_pair_and_round_trips(spark):
+    import random
+
+    from pulsemart.functions.ids import pair_key, pair_major, pair_minor
+
+    rnd = random.Random(7)
+    big = 2**63 - 1
+    pairs = [(rnd.randint(-4 * 10**18, 4 * 10**18), rnd.randint(-big - 1, big)) for _ in range(200)]
+    pairs += [(0, -big - 1), (0, big), (-1, big), (1, -big - 1), (T0, 0), (T0, -1)]
+    df = spark.createDataFrame(pairs, "a long, b long").select(
+        "a", "b", pair_key("a", "b").alias("k")
+    ).select("a", "b", "k", pair_major("k").alias("a2"), pair_minor("k").alias("b2"))
+    got = df.orderBy("k").collect()
+    assert [(r.a, r.b) for r in got] == sorted(pairs)
+    assert all((r.a2, r.b2) == (r.a, r.b) for r in got)
+
+
 def test_funnel_counts_per_batch(spark):
     rows = [("a", ms(2024, 1, 1, 1), 1), ("a", ms(2024, 1, 1, 2), 2), ("b", ms(2024, 1, 1, 3), 3),
             ("a", ms(2024, 1, 1, 13), 4), ("c", ms(2024, 1, 1, 14), 5)]
