@@ -20,16 +20,30 @@ LINE_AFTER = "10 days"
 
 
 def order_line_full_outer(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Every order and every line; ``side`` tells which sides matched."""
+    """Every order and every line; ``side`` tells which sides matched.
+
+    Written as ``lines LEFT JOIN orders`` plus the orders no line names, which
+    is the full outer join row for row (duplicates included).  AQE can split a
+    skewed key of the left side of a left join, never of a full outer join, so
+    an order holding a third of all lines does not land in one task.  The
+    line side of the anti join is reduced to distinct order ids first
+    (partial aggregation map-side), so a hot order id is one row per task.
+    """
     o = orders.select(F.col("id").alias("order_id"), F.lit(True).alias("_o"))
-    li = lines.select("order_id", F.col("id").alias("order_detail_id"), F.lit(True).alias("_l"))
-    j = o.join(li, "order_id", "full")
-    side = (
-        F.when(F.col("_o") & F.col("_l"), F.lit("both"))
-        .when(F.col("_o"), F.lit("order_only"))
-        .otherwise(F.lit("line_only"))
+    li = lines.select("order_id", F.col("id").alias("order_detail_id"))
+    matched_or_line = li.join(o, "order_id", "left").select(
+        "order_id", "order_detail_id",
+        F.when(F.col("_o"), F.lit("both")).otherwise(F.lit("line_only")).alias("side"),
+    )
+    order_only = _orders_without_lines(o, lines).select(
+        "order_id", F.lit(None).cast("string").alias("order_detail_id"), F.lit("order_only").alias("side")
     )
-    return j.select("order_id", "order_detail_id", side.alias("side"))
+    return matched_or_line.unionByName(order_only)
+
+
+def _orders_without_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders (with an ``order_id`` column) that no line names."""
+    return orders.join(lines.select("order_id").distinct(), "order_id", "left_anti")
 
 
 def interval_condition(order_ts, line_ts, before: str = LINE_BEFORE, after: str = LINE_AFTER):
@@ -53,8 +67,7 @@ def order_line_interval_join(
 
 def unmatched_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Orders that no line ever joins (audit of what J3 drops)."""
-    o = orders.select(F.col("id").alias("order_id"))
-    return o.join(lines.select("order_id"), "order_id", "left_anti")
+    return _orders_without_lines(orders.select(F.col("id").alias("order_id")), lines)
 
 
 def sale_detail(orders: DataFrame, lines: DataFrame, strict: bool = True) -> DataFrame:

@@ -261,3 +261,22 @@ def test_unknown_metric_gives_no_rows(spark):
     assert reports.hourly_compare("x", dau, orders, "2024-01-01").collect() == []
     today = reports.hourly_compare("dau", dau, orders, "2024-01-02").collect()
     assert [(r.hour, r.yesterday, r.today) for r in today] == [("05", 1, None)]
+
+
+def test_full_outer_rewrite_equals_full_outer_join(spark):
+    orders = spark.createDataFrame([("1",), ("2",), ("2",), ("4",)], "id string")
+    lines = spark.createDataFrame(
+        [("a", "1"), ("b", "1"), ("c", "3"), ("d", "2"), ("e", None)], "id string, order_id string"
+    )
+    got = [tuple(r) for r in join.order_line_full_outer(orders, lines).collect()]
+    o = orders.select(F.col("id").alias("o_id"))
+    li = lines.select(F.col("order_id").alias("l_order"), F.col("id").alias("order_detail_id"))
+    full = o.join(li, o.o_id == li.l_order, "full").select(
+        F.coalesce("o_id", "l_order").alias("order_id"), "order_detail_id",
+        F.when(F.col("o_id").isNotNull() & F.col("order_detail_id").isNotNull(), "both")
+        .when(F.col("o_id").isNotNull(), "order_only").otherwise("line_only").alias("side"),
+    )
+    want = [tuple(r) for r in full.collect()]
+    key = lambda r: tuple("" if v is None else v for v in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert ("4", None, "order_only") in got and ("3", "c", "line_only") in got
