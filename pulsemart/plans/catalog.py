@@ -551,11 +551,13 @@ def cdc_order_amounts(t: Tables) -> DataFrame:
   total_amount, create_date FROM order_info""",
 )
 def upsert_table(t: Tables) -> DataFrame:
-    """Batch 1 writes every order; batch 2 re-writes the open ones as fulfilled."""
+    """Batch 1 writes every order; batch 2 re-writes the open ones as
+    fulfilled; compaction folds both batches into one before the read."""
     path = work_dir(t.spark, "upsert_table", fresh=True)
     orders = A.order_info(t).select("id", "order_status", "total_amount", "create_date")
     sinks.upsert(orders, path, batch_id=1)
     sinks.upsert(orders.where(F.col("order_status") == "O").withColumn("order_status", F.lit("F")), path, batch_id=2)
+    sinks.compact(t.spark, path, "id")
     return sinks.read_upserted(t.spark, path, "id")
 
 

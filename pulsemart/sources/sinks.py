@@ -55,7 +55,77 @@ def read_upserted(
     old record in a later batch does not win; ``tiebreak`` settles two rows of
     one key inside one batch deterministically.
     """
-    df = spark.read.parquet(path)
+    return _resolve(spark.read.parquet(path), key, order, tiebreak)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Batch partitions of a keyed sink (file listing only)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    prefix = f"{BATCH_COL}="
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
+def compact(
+    spark: SparkSession, path: str, key: str, order: str | None = None, tiebreak: str | None = None
+) -> int | None:
+    """Fold every batch partition of a keyed sink into the newest one.
+
+    Readers resolve the last writer per key over all batch partitions, so
+    without compaction a read pays for the whole history.  With ``B`` the
+    newest batch at the start:
+
+    1. the resolution of batches <= B is written to a staging table next to
+       the sink (a written table, so later steps do not recompute it);
+    2. partition ``B`` is overwritten from the staging table (dynamic
+       partition overwrite: only that partition is replaced);
+    3. the partitions older than ``B`` are deleted, then the staging table.
+
+    After every step the sink resolves to the same rows: ``B`` then holds
+    the winner of each key with its own ``order`` value, so it outranks the
+    older copies it duplicates.  A finished staging table (``_SUCCESS``)
+    found at start is applied first, so a run that died in step 2 or 3 is
+    completed by the next one.  Run it between batches of the writer.
+    Returns ``B``, or None when there was nothing to fold.
+    """
+    staging_root = f"{path.rstrip('/')}.compacting"
+    fs, root = _fs(spark, staging_root)
+    if fs.exists(root):
+        for st in fs.listStatus(root):
+            done = st.getPath().toString()
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{done}/_SUCCESS")):
+                _apply_compaction(spark, path, done, int(st.getPath().getName()))
+        fs.delete(root, True)
+    batches = _batch_ids(spark, path)
+    if len(batches) < 2:
+        return None
+    newest = batches[-1]
+    staging = f"{staging_root}/{newest}"
+    table = spark.read.parquet(path).where(F.col(BATCH_COL) <= newest)
+    resolved = _resolve(table, key, order, tiebreak)
+    resolved.write.mode("overwrite").parquet(staging)
+    _apply_compaction(spark, path, staging, newest)
+    fs.delete(root, True)
+    return newest
+
+
+def _apply_compaction(spark: SparkSession, path: str, staging: str, newest: int) -> None:
+    upsert(spark.read.parquet(staging), path, newest)
+    for b in _batch_ids(spark, path):
+        if b < newest:
+            fs, p = _fs(spark, f"{path.rstrip('/')}/{BATCH_COL}={b}")
+            fs.delete(p, True)
+
+
+def _resolve(df: DataFrame, key: str, order: str | None, tiebreak: str | None) -> DataFrame:
     parts = [F.col(order)] if order else []
     parts.append(F.col(BATCH_COL))
     if tiebreak:

@@ -40,3 +40,39 @@ def test_dau_batch_writer_replay_appends_nothing(spark):
     assert [c for c in spark.read.parquet(path).columns if c != "LOGDATE"] == ["MID", "TS", "EVENT_ID", "LOGHOUR"]
     pruned = sinks.read_dau_table(spark, path, ["2024-01-02"]).collect()
     assert [r.mid for r in pruned] == ["m2"]
+
+
+def _keyed_batches(spark, path):
+    b1 = spark.createDataFrame([("1", 5, "a"), ("2", 1, "b"), ("3", 1, "c")], "id string, seq long, v string")
+    b2 = spark.createDataFrame([("2", 2, "b2"), ("1", 4, "stale")], "id string, seq long, v string")
+    b3 = spark.createDataFrame([("3", 9, "c3")], "id string, seq long, v string")
+    for i, b in enumerate((b1, b2, b3), start=1):
+        sinks.upsert(b, path, i)
+
+
+def test_compaction_keeps_the_resolution_and_one_partition(spark):
+    path = work_dir(spark, "test_compact", fresh=True)
+    _keyed_batches(spark, path)
+    before = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
+    assert sinks.compact(spark, path, "id", order="seq") == 3
+    after = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
+    assert after == before == [("1", 5, "a"), ("2", 2, "b2"), ("3", 9, "c3")]
+    assert sinks._batch_ids(spark, path) == [3]
+    assert spark.read.parquet(path).count() == 3
+    assert sinks.compact(spark, path, "id", order="seq") is None   # nothing left to fold
+    sinks.upsert(spark.createDataFrame([("1", 6, "a4")], "id string, seq long, v string"), path, 4)
+    got = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
+    assert got == [("1", 6, "a4"), ("2", 2, "b2"), ("3", 9, "c3")]
+
+
+def test_compaction_resumes_from_a_finished_staging_table(spark):
+    path = work_dir(spark, "test_compact_resume", fresh=True)
+    _keyed_batches(spark, path)
+    want = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
+    # a run that died after step 1: the staging table is written, the sink untouched
+    staged = sinks._resolve(spark.read.parquet(path), "id", "seq", None)
+    staged.write.parquet(f"{path}.compacting/3")
+    assert sinks.compact(spark, path, "id", order="seq") is None   # finished the old run; one partition left
+    assert sinks._batch_ids(spark, path) == [3]
+    got = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
+    assert got == want
