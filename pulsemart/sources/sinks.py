@@ -75,13 +75,14 @@ def _batch_ids(spark: SparkSession, path: str) -> list[int]:
 
 
 def compact(
-    spark: SparkSession, path: str, key: str, order: str | None = None, tiebreak: str | None = None
+    spark: SparkSession, path: str, key: str, order: str | None = None, tiebreak: str | None = None,
+    upto: int | None = None,
 ) -> int | None:
-    """Fold every batch partition of a keyed sink into the newest one.
+    """Fold the batch partitions of a keyed sink, up to ``upto``, into the newest of them.
 
     Readers resolve the last writer per key over all batch partitions, so
     without compaction a read pays for the whole history.  With ``B`` the
-    newest batch at the start:
+    newest batch at the start (no later than ``upto``):
 
     1. the resolution of batches <= B is written to a staging table next to
        the sink (a written table, so later steps do not recompute it);
@@ -93,8 +94,13 @@ def compact(
     the winner of each key with its own ``order`` value, so it outranks the
     older copies it duplicates.  A finished staging table (``_SUCCESS``)
     found at start is applied first, so a run that died in step 2 or 3 is
-    completed by the next one.  Run it between batches of the writer.
-    Returns ``B``, or None when there was nothing to fold.
+    completed by the next one.
+
+    Never fold a batch its writer may still replay: a replay overwrites its
+    partition, which after folding holds the older batches too.  From the
+    ``foreachBatch`` writer of batch N pass ``upto=N-1`` -- the engine commits
+    a batch before it starts the next.  Returns ``B``, or None when there was
+    nothing to fold.
     """
     staging_root = f"{path.rstrip('/')}.compacting"
     fs, root = _fs(spark, staging_root)
@@ -104,7 +110,7 @@ def compact(
             if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{done}/_SUCCESS")):
                 _apply_compaction(spark, path, done, int(st.getPath().getName()))
         fs.delete(root, True)
-    batches = _batch_ids(spark, path)
+    batches = [b for b in _batch_ids(spark, path) if upto is None or b <= upto]
     if len(batches) < 2:
         return None
     newest = batches[-1]
@@ -119,6 +125,7 @@ def compact(
 
 def _apply_compaction(spark: SparkSession, path: str, staging: str, newest: int) -> None:
     upsert(spark.read.parquet(staging), path, newest)
+    # only the folded batches go; later ones may have landed meanwhile
     for b in _batch_ids(spark, path):
         if b < newest:
             fs, p = _fs(spark, f"{path.rstrip('/')}/{BATCH_COL}={b}")

@@ -67,14 +67,26 @@ def replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: l
     return _replay(df, path, time_col, slice_ms, value_cols)
 
 
-def publish(df: DataFrame, path: str, value_cols: list[str] | None = None) -> None:
+def publish(
+    df: DataFrame, path: str, value_cols: list[str] | None = None, value=None, min_files: int = 1
+) -> None:
     """Write ``df`` as one topic of JSON lines in a single job.
 
     For consumers that do not depend on arrival order (no watermark, or
-    order carried inside the record), so no time slicing is needed.
+    order carried inside the record), so no time slicing is needed.  The
+    record is the JSON of ``value_cols`` (all columns by default) or the
+    given ``value`` column.  ``min_files`` gives a small table at least that
+    many files -- topic partitions -- so a rate-limited stream reads it in
+    several micro-batches; a table that already has as many splits is
+    written as it is, without a shuffle.
     """
-    cols = value_cols or list(df.columns)
-    df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")).write.mode("append").text(path)
+    if value is None:
+        cols = value_cols or list(df.columns)
+        value = F.to_json(F.struct(*[F.col(c) for c in cols]))
+    out = df.select(value.alias("value"))
+    if out.rdd.getNumPartitions() < min_files:
+        out = out.repartition(min_files)
+    out.write.mode("append").text(path)
 
 
 def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:

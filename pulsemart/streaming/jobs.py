@@ -32,6 +32,7 @@ BATCH_INTERVAL = "5 seconds"      # the reference's micro-batch (W4)
 FILES_PER_TRIGGER = 16            # default file-source rate: files per micro-batch
 REPLAY_BATCHES = 4                # a replayed topic is drained in about this many micro-batches
 RUN_TIMEOUT_S = 900
+COMPACT_EVERY = 2                 # keyed stream sinks fold their committed batches this often
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STREAM_ORACLE: dict[str, str] = {}
@@ -98,10 +99,19 @@ def _start(spark: SparkSession, writer):
         spark.conf.set(key, before)
 
 
-def upsert_each_batch(path: str):
-    """The ``foreachBatch`` writer -- each micro-batch is one upsert batch."""
+def upsert_each_batch(
+    path: str, key: str | None = None, order: str | None = None, compact_every: int | None = None
+):
+    """The ``foreachBatch`` writer -- each micro-batch is one upsert batch.
+
+    With ``key`` and ``compact_every``, every ``compact_every``-th batch first
+    folds the committed batches (all before this one) so reads stay bounded
+    by the key count, not by the number of batches written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if key and compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            sinks.compact(batch.sparkSession, path, key, order=order, upto=batch_id - 1)
         sinks.upsert(batch, path, batch_id)
 
     return write
@@ -273,9 +283,10 @@ def latest_user_stream(t: Tables) -> DataFrame:
     # The arrival order of one replayed file set is not the change order, so the
     # change sequence travels inside the record.
     value = F.to_json(F.map_concat("after", F.create_map(F.lit("seq"), F.col("seq").cast("string"))))
-    rows.select(value.alias("value")).write.mode("append").text(topic)
+    publish(rows, topic, value=value, min_files=2 * REPLAY_BATCHES)
     stream = build_latest_user_stream(topic_stream(t.spark, cdc.TOPIC_USER, topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
-    run_available_now(stream, ckpt, foreach_batch=upsert_each_batch(table), output_mode="update")
+    writer = upsert_each_batch(table, key="id", order="seq", compact_every=COMPACT_EVERY)
+    run_available_now(stream, ckpt, foreach_batch=writer, output_mode="update")
     return sinks.read_upserted(t.spark, table, "id", order="seq")
 
 

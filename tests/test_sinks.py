@@ -76,3 +76,14 @@ def test_compaction_resumes_from_a_finished_staging_table(spark):
     assert sinks._batch_ids(spark, path) == [3]
     got = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
     assert got == want
+
+
+def test_compaction_up_to_a_batch_leaves_later_ones(spark):
+    path = work_dir(spark, "test_compact_upto", fresh=True)
+    _keyed_batches(spark, path)
+    assert sinks.compact(spark, path, "id", order="seq", upto=2) == 2
+    assert sinks._batch_ids(spark, path) == [2, 3]
+    # batch 3 replayed after a failure: only its own partition is rewritten
+    sinks.upsert(spark.createDataFrame([("3", 9, "c3")], "id string, seq long, v string"), path, 3)
+    got = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
+    assert got == [("1", 5, "a"), ("2", 2, "b2"), ("3", 9, "c3")]
