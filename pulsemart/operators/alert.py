@@ -42,6 +42,12 @@ def _fmt(ms_col):
     return F.date_format(F.timestamp_millis(ms_col), "yyyy-MM-dd HH:mm:ss")
 
 
+def _start_of(ts_ms, length_ms: int):
+    """Start of the ``length_ms`` bucket holding ``ts_ms``; buckets start at the
+    epoch, as Spark's ``window()`` (``pmod``: right for times before 1970 too)."""
+    return ts_ms - F.pmod(ts_ms, F.lit(length_ms))
+
+
 def _window_facts(events: DataFrame, window: str, slide: str | None) -> DataFrame:
     """Distinct (mid, window start, kind, value) facts, kind c = click, u = account, i = item.
 
@@ -63,7 +69,7 @@ def _window_facts(events: DataFrame, window: str, slide: str | None) -> DataFram
             F.when((evid == COUPON) & item.isNotNull(), F.struct(F.lit("i").alias("k"), item.alias("v"))),
         )
     )
-    pane = F.col("ts") - F.col("ts") % F.lit(s_ms)   # windows start at the epoch, as Spark's window()
+    pane = _start_of(F.col("ts"), s_ms)
     per_pane = (
         events.select("mid", pane.alias("_pane"), F.explode(facts).alias("_f"))
         .select("mid", "_pane", F.col("_f.k").alias("kind"), F.col("_f.v").alias("val"))
@@ -134,12 +140,11 @@ def alert_events(events: DataFrame, alerts: DataFrame, window: str) -> DataFrame
     """
     w_ms = _ms(window)
     e = events.select(
-        "mid", "event_id", "evid", F.col("ts").alias("event_ts"),
-        _fmt(F.col("ts") - F.col("ts") % F.lit(w_ms)).alias("window_start"),
-    )
-    return e.join(alerts.select("mid", "window_start"), ["mid", "window_start"], "inner").select(
-        "mid", "window_start", "event_ts", "event_id", "evid"
+        "mid", "event_id", "evid", F.col("ts").alias("event_ts"), _start_of(F.col("ts"), w_ms).alias("_ws")
     )
+    # Joined on the numeric window start: no per-event date formatting.
+    a = alerts.select("mid", (F.col("ts") - F.lit(w_ms)).alias("_ws"), "window_start")
+    return e.join(a, ["mid", "_ws"], "inner").select("mid", "window_start", "event_ts", "event_id", "evid")
 
 
 def with_doc_id(alerts: DataFrame) -> DataFrame:
