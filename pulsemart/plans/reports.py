@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.functions.dates import next_day, previous_day
+from pulsemart.functions.dates import DAY_FORMAT, next_day, previous_day
 from pulsemart.operators.aggregates import dau_hourly, dau_total, facet_age, facet_gender, gmv_hourly, gmv_total
 
 KPI_IDS = ("dau", "new_mid", "order_amount")
@@ -19,8 +19,10 @@ HOURS = [f"{h:02d}" for h in range(24)]
 
 def new_devices(dau: DataFrame) -> DataFrame:
     """Devices per day whose first-ever day it is (the reference shows a constant)."""
-    first = dau.groupBy("mid").agg(F.min("logdate").alias("logdate"))
-    return first.groupBy("logdate").agg(F.count(F.lit(1)).alias("ct"))
+    # min over a date, not the day string: a date is a fixed-width buffer, so
+    # this is a hash aggregate rather than a sort-based one.
+    first = dau.groupBy("mid").agg(F.min(F.to_date("logdate", DAY_FORMAT)).alias("_d"))
+    return first.groupBy(F.date_format("_d", DAY_FORMAT).alias("logdate")).agg(F.count(F.lit(1)).alias("ct"))
 
 
 def kpi_total(dau: DataFrame, orders: DataFrame, day: str | None = None) -> DataFrame:
@@ -55,19 +57,16 @@ def _compare(hourly: DataFrame, day_col: str, hour_col: str, value_col: str, day
     """Today against yesterday per hour, by one aggregation (no self-join).
 
     Every hourly row is emitted twice -- as *today* of its own day and as
-    *yesterday* of the next day -- and one ``groupBy(day, hour)`` lines them up.
+    *yesterday* of the next day -- by one ``explode`` over the single hourly
+    aggregate, and one ``groupBy(day, hour)`` lines them up.
     """
     if day is not None:
         hourly = hourly.where(F.col(day_col).isin(day, _prev_literal(day)))
-    today = hourly.select(
-        F.col(day_col).alias("logdate"), F.col(hour_col).alias("hour"),
-        F.col(value_col).alias("today"), F.lit(None).cast(hourly.schema[value_col].dataType).alias("yesterday"),
-    )
-    yesterday = hourly.select(
-        next_day(F.col(day_col)).alias("logdate"), F.col(hour_col).alias("hour"),
-        F.lit(None).cast(hourly.schema[value_col].dataType).alias("today"), F.col(value_col).alias("yesterday"),
-    )
-    both = today.unionByName(yesterday)
+    none = F.lit(None).cast(hourly.schema[value_col].dataType)
+    value, hour = F.col(value_col), F.col(hour_col)
+    as_today = F.struct(F.col(day_col).alias("logdate"), hour.alias("hour"), value.alias("today"), none.alias("yesterday"))
+    as_yesterday = F.struct(next_day(F.col(day_col)).alias("logdate"), hour.alias("hour"), none.alias("today"), value.alias("yesterday"))
+    both = hourly.select(F.explode(F.array(as_today, as_yesterday)).alias("_r")).select("_r.*")
     if day is not None:
         both = both.where(F.col("logdate") == day)
     return both.groupBy("logdate", "hour").agg(
