@@ -94,22 +94,23 @@ def hourly_compare(metric_id: str, dau: DataFrame, orders: DataFrame, day: str |
 def hourly_zero_fill(hourly: DataFrame, day: str | None = None, spark=None) -> DataFrame:
     """24 rows per day, missing hours as 0.
 
-    Hours come from ``explode(sequence(0, 23))`` over the day list -- a
-    generator, not a cross join -- then a left join on (day, hour).  For a
-    requested day the day list is that one day, so an empty day still gives
-    24 zero rows.
+    One pass over the hourly counts: each day's counts become a map of at
+    most 24 entries, then ``explode(sequence(0, 23))`` -- a generator, not a
+    cross join -- walks the hours and looks each one up.  For a requested day
+    the day list is that one day, so an empty day still gives 24 zero rows.
     """
     if day is not None:
         hourly = hourly.where(F.col("logdate") == day)
+    per_day = hourly.groupBy("logdate").agg(F.map_from_entries(F.collect_list(F.struct("lh", "ct"))).alias("_m"))
+    if day is not None:
         session = spark or hourly.sparkSession
-        days = session.range(1).select(F.lit(day).alias("logdate"))
-    else:
-        days = hourly.select("logdate").distinct()
-    grid = days.select("logdate", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h")).select(
-        "logdate", F.lpad(F.col("_h").cast("string"), 2, "0").alias("lh")
+        one = session.range(1).select(F.lit(day).alias("logdate"))
+        per_day = one.join(per_day, "logdate", "left")   # one row on each side at most
+    hours = per_day.select("logdate", "_m", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h")).select(
+        "logdate", "_m", F.lpad(F.col("_h").cast("string"), 2, "0").alias("lh")
     )
-    return grid.join(hourly, ["logdate", "lh"], "left").select(
-        "logdate", "lh", F.coalesce(F.col("ct"), F.lit(0)).cast("long").alias("ct")
+    return hours.select(
+        "logdate", "lh", F.coalesce(F.element_at(F.col("_m"), F.col("lh")), F.lit(0)).cast("long").alias("ct")
     )
 
 
