@@ -163,21 +163,32 @@ def changes(t: Tables) -> DataFrame:
     Orders and lines are INSERTs; customers are INSERTed, some UPDATEd to a new
     level and some DELETEd afterwards.  ``seq`` orders the changes of one key
     (insert < update < delete).  Transaction markers and a foreign schema give
-    the entry-kind and subscription filters something to drop.
+    the entry-kind and subscription filters something to drop.  Each source
+    table is scanned once: its row yields all of its changes through one
+    ``explode``.
     """
     o, li, c = t.orders, t.lineitem, t.customer
     s = lambda col: F.col(col).cast("string")
 
-    def rows(df, table, op, after, seq, schema="gmall", kind="ROWDATA"):
-        return df.select(
+    def entry(op, after, seq, schema="gmall", kind="ROWDATA"):
+        return F.struct(
             F.lit(schema).alias("schema_name"),
-            F.lit(table).alias("table_name"),
             F.lit(kind).alias("kind"),
             (F.lit(op) if op else _null_str()).alias("op"),
-            after.alias("after"),
+            after.cast("map<string,string>").alias("after"),
             seq.cast("long").alias("seq"),
         )
 
+    def rows(df, table, *entries):
+        """``entries``: (condition or None, change struct).  The table name
+        stays a literal outside the explode, so a filter on it drops the
+        other tables' branches of the union before any scan."""
+        arr = F.array(*[e if cond is None else F.when(cond, e) for cond, e in entries])
+        exploded = df.select(F.explode(F.array_compact(arr)).alias("_c"))
+        return exploded.select(
+            "_c.schema_name", F.lit(table).alias("table_name"), "_c.kind", "_c.op", "_c.after", "_c.seq"
+        )
+
     order_after = F.create_map(
         F.lit("id"), s("o_orderkey"),
         F.lit("user_id"), s("o_custkey"),
@@ -202,30 +213,19 @@ def changes(t: Tables) -> DataFrame:
             F.lit("gender"), _gender(F.col("c_custkey")),
         )
 
-    key = F.col("c_custkey")
-    parts = [
-        rows(o, "order_info", "INSERT", order_after, F.col("o_orderkey") * 10),
-        rows(li, "order_detail", "INSERT", line_after, F.col("l_orderkey") * 10 + 1),
-        rows(c, "user_info", "INSERT", user_after(F.col("c_mktsegment")), key * 10),
-        rows(
-            c.where(key % UPDATE_MODULUS == 0), "user_info", "UPDATE",
-            user_after(F.lit(UPDATED_LEVEL)), key * 10 + 1,
-        ),
-        rows(
-            c.where(key % DELETE_MODULUS == 0), "user_info", "DELETE",
-            F.create_map(F.lit("id"), s("c_custkey")), key * 10 + 2,
-        ),
-        rows(
-            o.where(F.col("o_orderkey") % TXN_MARKER_MODULUS == 0), "order_info", None,
-            F.lit(None).cast("map<string,string>"), F.col("o_orderkey") * 10 + 9,
-            kind="TRANSACTIONEND",
-        ),
-        rows(
-            c.where(key % FOREIGN_SCHEMA_MODULUS == 0), "user_info", "INSERT",
-            user_after(F.col("c_mktsegment")), key * 10, schema="ops",
-        ),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    key, okey = F.col("c_custkey"), F.col("o_orderkey")
+    orders = rows(
+        o, "order_info",
+        (None, entry("INSERT", order_after, okey * 10)),
+        (okey % TXN_MARKER_MODULUS == 0, entry(None, F.lit(None), okey * 10 + 9, kind="TRANSACTIONEND")),
+    )
+    lines = rows(li, "order_detail", (None, entry("INSERT", line_after, F.col("l_orderkey") * 10 + 1)))
+    users = rows(
+        c, "user_info",
+        (None, entry("INSERT", user_after(F.col("c_mktsegment")), key * 10)),
+        (key % UPDATE_MODULUS == 0, entry("UPDATE", user_after(F.lit(UPDATED_LEVEL)), key * 10 + 1)),
+        (key % DELETE_MODULUS == 0, entry("DELETE", F.create_map(F.lit("id"), s("c_custkey")), key * 10 + 2)),
+        (key % FOREIGN_SCHEMA_MODULUS == 0,
+         entry("INSERT", user_after(F.col("c_mktsegment")), key * 10, schema="ops")),
+    )
+    return orders.unionByName(lines).unionByName(users)
