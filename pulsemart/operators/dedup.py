@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from pulsemart.functions.dates import log_hour
 from pulsemart.functions.ids import pair_key, pair_major, pair_minor
@@ -73,22 +72,28 @@ def dau_funnel(startup: DataFrame, batch_seconds: int = 12 * 3600, key=KEY) -> D
 
     Batch ``b`` holds startups with ``ts`` in ``[b, b + batch_seconds)``.  A
     row is *not seen* when no earlier batch produced its (device, day); the
-    distinct step counts those keys once.  Rows are first reduced to one row
-    per (key, batch) with a count, so the window that finds each key's first
-    batch sees at most a few rows per key -- never a device's raw rows.
+    distinct step counts those keys once.  All hash aggregates, no window:
+    rows -> one count per (key, batch); per key, its first batch and that
+    batch's count (``min_by`` over two longs); per batch, the keys first seen
+    there.  A device's raw rows never meet in one group.
     """
     ms = batch_seconds * 1000
     per_batch = (
-        startup.withColumn("_batch", F.col("ts") - F.col("ts") % F.lit(ms))
+        startup.withColumn("_batch", F.col("ts") - F.pmod(F.col("ts"), F.lit(ms)))
         .groupBy(*key, "_batch")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    first_batch = F.min("_batch").over(Window.partitionBy(*key))
-    flagged = per_batch.withColumn("_new", F.col("_batch") == first_batch)
-    agg = flagged.groupBy("_batch").agg(
-        F.sum("_rows").alias("raw"),
-        F.sum(F.when(F.col("_new"), F.col("_rows")).otherwise(F.lit(0))).alias("not_seen"),
-        F.count_if(F.col("_new")).alias("distinct"),
+    raw = per_batch.groupBy("_batch").agg(F.sum("_rows").alias("raw"))
+    first = per_batch.groupBy(*key).agg(
+        F.min("_batch").alias("_batch"), F.min_by("_rows", "_batch").alias("_first_rows")
+    )
+    new = first.groupBy("_batch").agg(
+        F.sum("_first_rows").alias("not_seen"), F.count(F.lit(1)).alias("distinct")
+    )
+    agg = raw.join(new, "_batch", "left").select(
+        "_batch", "raw",
+        F.coalesce(F.col("not_seen"), F.lit(0)).alias("not_seen"),
+        F.coalesce(F.col("distinct"), F.lit(0)).alias("distinct"),
     )
     return agg.select(
         F.date_format(F.timestamp_millis(F.col("_batch")), "yyyy-MM-dd HH:mm:ss").alias("batch_start"),
