@@ -87,3 +87,24 @@ def test_compaction_up_to_a_batch_leaves_later_ones(spark):
     sinks.upsert(spark.createDataFrame([("3", 9, "c3")], "id string, seq long, v string"), path, 3)
     got = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
     assert got == [("1", 5, "a"), ("2", 2, "b2"), ("3", 9, "c3")]
+
+
+def test_stream_writer_compaction_survives_a_replayed_batch(spark):
+    from pulsemart.streaming.jobs import upsert_each_batch
+
+    path = work_dir(spark, "test_writer_compact", fresh=True)
+    write = upsert_each_batch(path, key="id", order="seq", compact_every=2)
+    schema = "id string, seq long, v string"
+    batches = [
+        [("1", 1, "a"), ("2", 1, "b")],
+        [("1", 2, "a2")],
+        [("3", 1, "c")],
+        [("2", 3, "b3")],
+    ]
+    for i, rows in enumerate(batches):
+        write(spark.createDataFrame(rows, schema), i)
+    write(spark.createDataFrame(batches[2], schema), 2)   # batch 2 replayed after a failure
+    write(spark.createDataFrame(batches[3], schema), 3)   # and batch 3
+    got = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
+    assert got == [("1", 2, "a2"), ("2", 3, "b3"), ("3", 1, "c")]
+    assert sinks._batch_ids(spark, path) == [1, 2, 3]    # batches 0 and 1 were folded at batch 2
