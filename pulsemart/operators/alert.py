@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from pulsemart.functions.ids import alert_doc_id
 from pulsemart.operators.cdc import latest_by_key
+from pulsemart.operators.join import join_checked_small
 
 # Fixed values of the rule.
 COUPON = "coupon"
@@ -136,15 +137,20 @@ def alert_events(events: DataFrame, alerts: DataFrame, window: str) -> DataFrame
     The reference keeps them as a list in the alert; a list per group would
     put a hot device's whole window into one value, so they stay rows keyed by
     (mid, window_start) and ordered by (event_ts, event_id).  The join is on
-    (mid, window start); AQE splits a skewed device partition.
+    (mid, window start): a broadcast when the alerts measure small, else a
+    shuffled join where AQE splits a skewed device partition.
     """
     w_ms = _ms(window)
     e = events.select(
         "mid", "event_id", "evid", F.col("ts").alias("event_ts"), _start_of(F.col("ts"), w_ms).alias("_ws")
     )
-    # Joined on the numeric window start: no per-event date formatting.
+    # Joined on the numeric window start: no per-event date formatting.  The
+    # alerts are measured and broadcast only when small, so the events are
+    # usually not shuffled at all.
     a = alerts.select("mid", (F.col("ts") - F.lit(w_ms)).alias("_ws"), "window_start")
-    return e.join(a, ["mid", "_ws"], "inner").select("mid", "window_start", "event_ts", "event_id", "evid")
+    return join_checked_small(e, a, ["mid", "_ws"], "inner").select(
+        "mid", "window_start", "event_ts", "event_id", "evid"
+    )
 
 
 def with_doc_id(alerts: DataFrame) -> DataFrame:

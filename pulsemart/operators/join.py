@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.functions.dates import whole_year_age
+from pulsemart.session import work_dir
 
 # Buffer lengths of the reference (10 s order buffer, 20 s line buffer) scaled
 # to days for the tables, where ship date - order date spans years.
 LINE_BEFORE = "20 days"
 LINE_AFTER = "10 days"
 
+# Largest side broadcast after measuring it (the session's broadcast bound).
+BROADCAST_MAX_BYTES = 32 << 20
+
 
 def order_line_full_outer(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Every order and every line; ``side`` tells which sides matched.
@@ -110,3 +114,34 @@ def with_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
         "user_gender", F.coalesce(F.col("_age"), F.lit(0)).alias("user_age"), "user_level",
         "sku_price", "sku_name", "dt",
     )
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """In-memory size of ``df`` measured, not estimated: rows times the fixed
+    width of its non-string columns plus the actual bytes of its strings.
+    One aggregate job; a single row comes back."""
+    strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    fixed = sum(f.dataType().defaultSize() for f in df._jdf.schema().fields() if f.name() not in strings)
+    text = sum((F.coalesce(F.length(c), F.lit(0)) for c in strings), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("s")).first()
+    per_row = fixed + 8 * len(strings)          # offset and length of each string
+    return int(row["n"]) * per_row + int(row["s"] or 0)
+
+
+def join_checked_small(
+    big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Join ``big`` with a side that is usually small, broadcasting it only
+    when measured under ``max_bytes``; otherwise a shuffled join.
+
+    The side is first checkpointed (reliable, in the shared checkpoint
+    folder): it is computed once, its lineage is cut, and the measurement
+    reads the written data.  Broadcasting avoids a full shuffle of ``big``,
+    which AQE cannot avoid on its own: it decides after both shuffle stages
+    have run.
+    """
+    work_dir(small.sparkSession)                 # a checkpoint folder exists (set only where unset)
+    small = small.checkpoint(eager=True)
+    if measured_bytes(small) <= max_bytes:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

@@ -280,3 +280,21 @@ def test_full_outer_rewrite_equals_full_outer_join(spark):
     key = lambda r: tuple("" if v is None else v for v in r)
     assert sorted(got, key=key) == sorted(want, key=key)
     assert ("4", None, "order_only") in got and ("3", "c", "line_only") in got
+
+
+def test_checked_small_join_broadcasts_only_under_the_bound(spark):
+    big = spark.createDataFrame([(i % 5, i) for i in range(50)], "k long, v long")
+    small = spark.createDataFrame([(1, "one"), (3, "three")], "k long, name string")
+    assert join.measured_bytes(small) == 2 * (8 + 8) + len("one") + len("three")
+    results = []
+    for bound, strategy in ((1 << 20, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            out = join.join_checked_small(big, small, "k", max_bytes=bound)
+            assert strategy in out._jdf.queryExecution().executedPlan().toString()
+            results.append(sorted(tuple(r) for r in out.collect()))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert results[0] == results[1] and len(results[0]) == 20
