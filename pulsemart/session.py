@@ -82,7 +82,10 @@ def work_dir(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
     run never reuses another run's files.
     """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named and not sc.getCheckpointDir():
+        sc.setCheckpointDir(named)          # the cluster's folder, for DataFrame.checkpoint()
+    base = named or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="pulsemart-")
         sc.setCheckpointDir(base)
