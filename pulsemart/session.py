@@ -61,6 +61,11 @@ def get_session(
     conf = {
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # No Python call-site capture around every column function: four
+        # driver round trips per expression when building plans, used only
+        # to decorate error messages.  Read once per process, so it is a
+        # build-time option.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **_RUNTIME_CONF,
     }
     if shuffle_partitions:

@@ -28,14 +28,17 @@ def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     A parquet split cannot cut a row group, so a table stored as one big row
     group is read by a single task and every projection above it (JSON,
-    casts, string keys) runs single-threaded.  On real data -- many files,
-    many row groups -- the scan already has at least as many splits as slots
-    and this returns the scan untouched, adding no shuffle.
+    casts, string keys) runs single-threaded.  The split count is estimated
+    from the scan's size and ``spark.sql.files.maxPartitionBytes`` (no
+    planning pass).  On real data -- many files, many row groups -- the scan
+    already has at least as many splits as slots and this returns the scan
+    untouched, adding no shuffle.
     """
     slots = spark.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if splits < slots and int(str(size)) >= SPREAD_MIN_BYTES:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    splits = -(-size // max(1, split_bytes))
+    if splits < slots and size >= SPREAD_MIN_BYTES:
         return df.repartition(slots)
     return df
 
