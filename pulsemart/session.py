@@ -66,6 +66,9 @@ def get_session(
         # to decorate error messages.  Read once per process, so it is a
         # build-time option.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Checkpointed sides (join.join_checked_small) are removed from the
+        # shared folder once no DataFrame refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **_RUNTIME_CONF,
     }
     if shuffle_partitions:
