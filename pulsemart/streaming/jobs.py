@@ -304,7 +304,8 @@ def coupon_alert_stream(t: Tables) -> DataFrame:
         topic_stream(t.spark, "GMALL_EVENT", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)),
         catalog.ALERT_WINDOW, "3 days",
     ).withColumn("_key", F.concat_ws("|", "mid", "window_start"))
-    run_available_now(stream, ckpt, foreach_batch=upsert_each_batch(table), output_mode="update")
+    writer = upsert_each_batch(table, key="_key", compact_every=COMPACT_EVERY)
+    run_available_now(stream, ckpt, foreach_batch=writer, output_mode="update")
     latest = sinks.read_upserted(t.spark, table, "_key")
     return latest.where("alert").select("mid", "window_start", "window_end", "n_accounts", "uids", "item_ids", "ts")
 
