@@ -414,7 +414,7 @@ FROM order_info o LEFT JOIN customer c ON c.c_custkey = CAST(o.user_id AS BIGINT
 )
 def sales_by_province(t: Tables) -> DataFrame:
     """Orders and amount per province with a colour bin."""
-    return agg.sales_by_province(A.order_info(t, with_province=True))
+    return agg.sales_by_province(A.order_info(t), A.user_provinces(t))
 
 
 # --- alert (A3-A6, W1-W3, P9) ----------------------------------------------------

@@ -101,6 +101,12 @@ def order_info(t: Tables, with_province: bool = False) -> DataFrame:
     return with_order_date_hour(df.drop("_custkey"))
 
 
+def user_provinces(t: Tables) -> DataFrame:
+    """(user_id, province_id): each user's province (the customer's nation)."""
+    c = t.customer
+    return c.select(c.c_custkey.cast("string").alias("user_id"), c.c_nationkey.cast("string").alias("province_id"))
+
+
 def purchases(t: Tables) -> DataFrame:
     """Order-shaped rows from purchase events: the only source with real hours."""
     e = t.events.where(F.col("event_type") == "purchase")
