@@ -59,9 +59,15 @@ def _with_share(counts: DataFrame) -> DataFrame:
     return counts.withColumn("share", F.round(F.col("ct") / total, 4))
 
 
-def facet_gender(sales: DataFrame) -> DataFrame:
+def _rows(weight: str | None):
+    """Row count, or the sum of a per-row count column when rows were
+    pre-aggregated (e.g. one row per user with its number of sales)."""
+    return F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
+
+
+def facet_gender(sales: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows per gender and their share of all rows."""
-    counts = sales.groupBy(F.col("user_gender").alias("bucket")).agg(F.count(F.lit(1)).alias("ct"))
+    counts = sales.groupBy(F.col("user_gender").alias("bucket")).agg(_rows(weight).alias("ct"))
     return _with_share(counts)
 
 
@@ -77,9 +83,9 @@ def age_bucket(age_col: str = "user_age"):
     return expr
 
 
-def facet_age(sales: DataFrame) -> DataFrame:
+def facet_age(sales: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows per age bucket (<20, 20-29, >=30) and their share."""
-    counts = sales.groupBy(age_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("ct"))
+    counts = sales.groupBy(age_bucket().alias("bucket")).agg(_rows(weight).alias("ct"))
     return _with_share(counts)
 
 

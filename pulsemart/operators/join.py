@@ -97,22 +97,26 @@ def sale_detail(orders: DataFrame, lines: DataFrame, strict: bool = True) -> Dat
     )
 
 
-def with_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
-    """J4 + P6 + P7: add gender, level and whole-year age of the latest user row.
-
-    A sale whose user is unknown keeps its user id, gets age 0 and NULL gender
-    and level (the defaults of the reference's record).
-    """
+def add_user_attributes(df: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
+    """J4 + P6 + P7 on any frame with a ``user_id``: gender, level and
+    whole-year age of the latest user row; an unknown user gets age 0 and
+    NULL gender and level (the defaults of the reference's record)."""
     u = users.select(
         F.col("id").alias("user_id"),
         F.col("gender").alias("user_gender"),
         F.col("user_level"),
         whole_year_age(F.col("birthday"), as_of).alias("_age"),
     )
-    return sales.join(u, "user_id", "left").select(
+    joined = df.join(u, "user_id", "left")
+    return joined.withColumn("user_age", F.coalesce(F.col("_age"), F.lit(0))).drop("_age")
+
+
+def with_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
+    """J4 + P6 + P7: the wide sale row with the attributes of its user; a sale
+    whose user is unknown keeps its user id."""
+    return add_user_attributes(sales, users, as_of).select(
         "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id",
-        "user_gender", F.coalesce(F.col("_age"), F.lit(0)).alias("user_age"), "user_level",
-        "sku_price", "sku_name", "dt",
+        "user_gender", "user_age", "user_level", "sku_price", "sku_name", "dt",
     )
 
 

@@ -363,6 +363,16 @@ def _found(t: Tables) -> DataFrame:
     return reports.sale_search(_sales_with_users(t), None, SEARCH_KEYWORD)
 
 
+def _found_per_user(t: Tables) -> DataFrame:
+    """The search's matches reduced to one row per user with their count
+    (``_n``) before the user attributes are joined: the facets need only
+    user attributes, so the join meets users, not sale rows."""
+    sales = join.sale_detail(A.order_info(t), A.order_detail(t))
+    found = reports.sale_search(sales, None, SEARCH_KEYWORD)
+    per_user = found.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    return join.add_user_attributes(per_user, cdc.current_users(A.changes(t)), AS_OF)
+
+
 @register("sale_search", O.with_ctes(*_SALE_USER_CTES, _FOUND) + "SELECT * FROM found")
 def sale_search(t: Tables) -> DataFrame:
     """keyword search over all days."""
@@ -391,7 +401,7 @@ def sale_search_page(t: Tables) -> DataFrame:
 )
 def facet_gender(t: Tables) -> DataFrame:
     """Search rows per gender with share."""
-    return agg.facet_gender(_found(t))
+    return agg.facet_gender(_found_per_user(t), weight="_n")
 
 
 @register(
@@ -402,7 +412,7 @@ def facet_gender(t: Tables) -> DataFrame:
 )
 def facet_age(t: Tables) -> DataFrame:
     """Search rows per age bucket with share."""
-    return agg.facet_age(_found(t))
+    return agg.facet_age(_found_per_user(t), weight="_n")
 
 
 @register(
