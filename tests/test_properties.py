@@ -56,3 +56,32 @@ def test_coupon_alerts_match_brute_force(spark, rows, sliding):
     assert got == want
     if rows and rows[0] == ("m1", "u1", "coupon", "i1", 0) and len(rows) == 4:
         assert len(want) == 4   # windows starting 6, 4, 2 and 0 minutes before hold all three accounts
+
+
+startup = st.tuples(
+    st.sampled_from(["d1", "d2", "d3"]),
+    st.integers(min_value=0, max_value=3 * 86_400_000 - 1),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(startup, min_size=1, max_size=40))
+def test_dau_funnel_matches_batch_replay(spark, rows):
+    from pulsemart.functions.dates import with_log_date_hour
+    from pulsemart.operators import dedup
+
+    batch_ms = 12 * 3600 * 1000
+    data = [(m, T0 + t, n) for n, (m, t) in enumerate(rows)]
+    df = with_log_date_hour(spark.createDataFrame(data, "mid string, ts long, event_id long"))
+    got = {(r.batch_start, r.step): r.n for r in dedup.dau_funnel(df, 12 * 3600).collect()}
+    want, seen = {}, set()
+    for b in sorted({ts - ts % batch_ms for _, ts, _ in data}):
+        rows_b = [(m, ts) for m, ts, _ in data if b <= ts < b + batch_ms]
+        keys = {(m, _fmt(ts)[:10]) for m, ts in rows_b}
+        fresh = keys - seen
+        start = _fmt(b)
+        want[(start, "raw")] = len(rows_b)
+        want[(start, "not_seen")] = sum(1 for m, ts in rows_b if (m, _fmt(ts)[:10]) in fresh)
+        want[(start, "distinct")] = len(fresh)
+        seen |= keys
+    assert got == want
