@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.functions.dates import with_log_date_hour
+from pulsemart.functions.dates import with_log_date_hour, with_order_date_hour
 from pulsemart.functions.json import parse_json
 from pulsemart.operators import alert, cdc, dedup, join
 from pulsemart.plans import catalog
@@ -210,6 +210,14 @@ def build_latest_user_stream(values: DataFrame) -> DataFrame:
     return cdc.latest_by_key(u, "id")
 
 
+def build_order_stream(order_values: DataFrame) -> DataFrame:
+    """S1 + P1 + P4: routed order records (every value quoted) -> typed orders
+    with create_date and create_hour split from create_time."""
+    orders = parse_json(order_values, "value", wire_schema(_ORDER_FIELDS + ("total_amount",), extra=()),
+                        casts={"total_amount": "double"})
+    return with_order_date_hour(orders)
+
+
 CHANGE_WIRE = "schema_name string, table_name string, kind string, op string, after map<string,string>, seq long"
 
 
@@ -355,3 +363,22 @@ def cdc_route_stream(t: Tables) -> DataFrame:
     )
     run_available_now(stream, ckpt, sink, partition_by=["topic"], fmt="text")
     return t.spark.read.text(sink).groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@_register("gmv_stream_upsert", catalog.ORACLE["cdc_order_amounts"])
+def gmv_stream_upsert(t: Tables) -> DataFrame:
+    """E4 as a stream (the reference's order job): the routed order topic ->
+    parse with quoted numbers -> date and hour -> keyed upsert of the order
+    table by id (folding committed batches) -> amount and orders per day."""
+    topic, _, ckpt, table = _dirs(t, "gmv")
+    routed = cdc.route(A.changes(t)).where(F.col("topic") == cdc.TOPIC_ORDER)
+    publish(routed, topic, value=F.col("value"), min_files=2 * REPLAY_BATCHES)
+    stream = build_order_stream(
+        topic_stream(t.spark, cdc.TOPIC_ORDER, topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES))
+    )
+    writer = upsert_each_batch(table, key="id", compact_every=COMPACT_EVERY)
+    run_available_now(stream, ckpt, foreach_batch=writer)
+    orders = sinks.read_upserted(t.spark, table, "id")
+    return orders.groupBy("create_date").agg(
+        F.round(F.sum("total_amount"), 2).alias("sum_amount"), F.count(F.lit(1)).alias("n")
+    )
