@@ -186,3 +186,67 @@ def read_dau_table(spark: SparkSession, path: str, days: list[str] | None = None
     if days is not None:
         df = df.where(F.col(DAU_PARTITION).isin(days))
     return df.toDF(*[c.lower() for c in df.columns])
+
+
+# --- small files of the DAU table -------------------------------------------------
+
+TARGET_FILE_BYTES = 128 << 20     # about one file per 128 MB after compaction
+
+
+def dau_day_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Data files per day partition of the DAU table (file listing only)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    out = {}
+    prefix = f"{DAU_PARTITION}="
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            files = [f for f in fs.listStatus(st.getPath()) if not f.getPath().getName().startswith(("_", "."))]
+            out[name[len(prefix):]] = len(files)
+    return out
+
+
+def compact_dau_days(spark: SparkSession, path: str, days: list[str] | None = None) -> list[str]:
+    """Rewrite day partitions of the DAU table into files of about
+    ``TARGET_FILE_BYTES`` (each micro-batch appends its own small files).
+
+    The days' rows are first written to a staging table next to the table;
+    then exactly those day partitions are replaced from it (dynamic partition
+    overwrite) and the staging table is deleted.  A finished staging table
+    found at start is applied first, so a run that died while replacing is
+    completed by the next call -- the writer calls this before it reads the
+    table.  The rows do not change, only their files.  Returns the days
+    rewritten.
+    """
+    staging = f"{path.rstrip('/')}.compacting"
+    fs, st_path = _fs(spark, staging)
+    if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{staging}/_SUCCESS")):
+        _replace_days(spark, path, staging)
+    if fs.exists(st_path):
+        fs.delete(st_path, True)
+    if not days:
+        return []
+    table = read_dau_table(spark, path, days)
+    if table is None:
+        return []
+    tfs, tp = _fs(spark, path)
+    size = sum(tfs.getContentSummary(tfs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAU_PARTITION}={d}"))).getLength()
+               for d in days if tfs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAU_PARTITION}={d}")))
+    files = max(1, -(-size // TARGET_FILE_BYTES))
+    upper_case_columns(table).repartition(files, DAU_PARTITION).write.partitionBy(DAU_PARTITION).parquet(staging)
+    _replace_days(spark, path, staging)
+    fs.delete(st_path, True)
+    return list(days)
+
+
+def _replace_days(spark: SparkSession, path: str, staging: str) -> None:
+    staged = spark.read.parquet(staging)
+    staged = staged.withColumn(DAU_PARTITION, F.col(DAU_PARTITION).cast("string"))
+    (
+        staged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAU_PARTITION)
+        .parquet(path)
+    )

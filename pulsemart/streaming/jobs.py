@@ -121,7 +121,7 @@ def upsert_each_batch(
     return write
 
 
-def dau_batch_writer(table_path: str):
+def dau_batch_writer(table_path: str, compact_every: int | None = None, max_day_files: int = 64):
     """O3 + O5 + J1 + A2 + S4/S7/S8: the per-micro-batch DAU hook.
 
     For each batch: keep the first startup per (device, log day), drop the
@@ -133,6 +133,15 @@ def dau_batch_writer(table_path: str):
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # Small files: finish a compaction that died half-way before reading
+        # the table; every ``compact_every`` batches rewrite the days that
+        # have more than ``max_day_files`` files (this writer is the table's
+        # only writer, so no append races the rewrite).
+        due = []
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            due = [d for d, n in sinks.dau_day_files(spark, table_path).items() if n > max_day_files]
+        sinks.compact_dau_days(spark, table_path, due)
         firsts = dedup.dau_table(batch).persist()       # O5: used for the day list and the write
         try:
             days = [r.logdate for r in firsts.select("logdate").distinct().collect()]  # days of one batch
@@ -343,9 +352,11 @@ def dau_stream_upsert(t: Tables) -> DataFrame:
     first arriving startup of a device-day wins (H1), so only keys compare."""
     topic, _, ckpt, table = _dirs(t, "dau_upsert")
     st = A.startup(t).withColumn("event_id", F.col("event_id").cast("string"))
-    publish(st, topic, ["mid", "uid", "area", "os", "vs", "ts", "event_id"])
+    publish(st, topic, ["mid", "uid", "area", "os", "vs", "ts", "event_id"], min_files=2 * REPLAY_BATCHES)
     stream = build_startup_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
-    run_available_now(stream.drop("event_time"), ckpt, foreach_batch=dau_batch_writer(table))
+    # A low file bound, so the replay (a few micro-batches) exercises compaction.
+    writer = dau_batch_writer(table, compact_every=COMPACT_EVERY, max_day_files=2)
+    run_available_now(stream.drop("event_time"), ckpt, foreach_batch=writer)
     return sinks.read_dau_table(t.spark, table).select("mid", "logdate")
 
 

@@ -108,3 +108,52 @@ def test_stream_writer_compaction_survives_a_replayed_batch(spark):
     got = sorted(tuple(r) for r in sinks.read_upserted(spark, path, "id", order="seq").collect())
     assert got == [("1", 2, "a2"), ("2", 3, "b3"), ("3", 1, "c")]
     assert sinks._batch_ids(spark, path) == [1, 2, 3]    # batches 0 and 1 were folded at batch 2
+
+
+def _dau_rows(spark, rows):
+    return with_log_date_hour(spark.createDataFrame(rows, "mid string, ts long, event_id long"))
+
+
+def test_dau_day_compaction_keeps_rows_and_merges_files(spark):
+    path = work_dir(spark, "test_dau_compact", fresh=True)
+    day1, day2 = 1_704_067_200_000, 1_704_153_600_000
+    for b in range(3):
+        rows = [(f"m{b}-{i}", day1 + i * 1000, b * 100 + i) for i in range(5)]
+        sinks.write_dau_rows(_dau_rows(spark, rows).repartition(3), path)
+    sinks.write_dau_rows(_dau_rows(spark, [("x", day2, 999)]), path)
+    before = sorted(tuple(r) for r in sinks.read_dau_table(spark, path).collect())
+    files = sinks.dau_day_files(spark, path)
+    assert files["2024-01-01"] >= 3 and files["2024-01-02"] == 1
+    assert sinks.compact_dau_days(spark, path, ["2024-01-01"]) == ["2024-01-01"]
+    after = sorted(tuple(r) for r in sinks.read_dau_table(spark, path).collect())
+    assert after == before
+    assert sinks.dau_day_files(spark, path) == {"2024-01-01": 1, "2024-01-02": 1}
+
+
+def test_dau_day_compaction_finishes_a_staged_run(spark):
+    path = work_dir(spark, "test_dau_compact_resume", fresh=True)
+    day1 = 1_704_067_200_000
+    rows = [(f"m{i}", day1 + i * 1000, i) for i in range(6)]
+    sinks.write_dau_rows(_dau_rows(spark, rows).repartition(3), path)
+    before = sorted(tuple(r) for r in sinks.read_dau_table(spark, path).collect())
+    # a run that died after staging: the day partition was already dropped
+    sinks.upper_case_columns(sinks.read_dau_table(spark, path)).write.partitionBy("LOGDATE").parquet(f"{path}.compacting")
+    fs, p = sinks._fs(spark, f"{path}/LOGDATE=2024-01-01")
+    fs.delete(p, True)
+    assert sinks.compact_dau_days(spark, path) == []
+    assert sorted(tuple(r) for r in sinks.read_dau_table(spark, path).collect()) == before
+
+
+def test_dau_writer_compacts_days_with_many_files(spark):
+    path = work_dir(spark, "test_dau_writer_compact", fresh=True)
+    write = dau_batch_writer(path, compact_every=2, max_day_files=2)
+    day1 = 1_704_067_200_000
+    counts = []
+    for b in range(3):
+        rows = [(f"m{b}-{i}", day1 + i * 1000, b * 100 + i) for i in range(6)]
+        write(_dau_rows(spark, rows).repartition(3), b)
+        counts.append(sinks.dau_day_files(spark, path)["2024-01-01"])
+    one_batch = counts[0]
+    assert counts[1] > 2                      # two batches left more than the bound
+    assert counts[2] <= 1 + one_batch         # batch 2 folded them into one file first
+    assert sinks.read_dau_table(spark, path).count() == 18
