@@ -85,3 +85,36 @@ def test_dau_funnel_matches_batch_replay(spark, rows):
         want[(start, "distinct")] = len(fresh)
         seen |= keys
     assert got == want
+
+
+change = st.tuples(
+    st.sampled_from(["1", "2", "3"]),
+    st.sampled_from(["INSERT", "UPDATE", "DELETE"]),
+    st.sampled_from(["gold", "silver", "VIP"]),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(changes=st.lists(change, min_size=1, max_size=25), order=st.randoms(use_true_random=False))
+def test_latest_and_current_users_match_a_fold_of_the_feed(spark, changes, order):
+    from pulsemart.operators import cdc
+
+    rows = []
+    for seq, (uid, op, level) in enumerate(changes):
+        after = {"id": uid} if op == "DELETE" else {"id": uid, "login_name": f"n{uid}", "user_level": level,
+                                                      "birthday": "2000-01-01", "gender": "F"}
+        rows.append(("gmall", "user_info", "ROWDATA", op, after, seq))
+    order.shuffle(rows)      # arrival order is not the change order; seq is
+    df = spark.createDataFrame(rows, "schema_name string, table_name string, kind string, op string, "
+                                     "after map<string,string>, seq long")
+    latest, current = {}, {}
+    for seq, (uid, op, level) in enumerate(changes):
+        if op != "DELETE":
+            latest[uid] = (level, seq)
+            current[uid] = (level, seq)
+        else:
+            current.pop(uid, None)
+    got_latest = {r.id: (r.user_level, r.seq) for r in cdc.latest_user(df).collect()}
+    got_current = {r.id: (r.user_level, r.seq) for r in cdc.current_users(df).collect()}
+    assert got_latest == latest
+    assert got_current == current
