@@ -118,3 +118,27 @@ def test_latest_and_current_users_match_a_fold_of_the_feed(spark, changes, order
     got_current = {r.id: (r.user_level, r.seq) for r in cdc.current_users(df).collect()}
     assert got_latest == latest
     assert got_current == current
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    orders=st.lists(st.tuples(st.sampled_from(["o1", "o2", "o3"]), st.integers(0, 60)), min_size=1, max_size=6),
+    lines=st.lists(st.tuples(st.sampled_from(["o1", "o2", "o3", "o4"]), st.integers(0, 60)), min_size=1, max_size=12),
+)
+def test_interval_join_matches_brute_force(spark, orders, lines):
+    from pulsemart.operators import join
+
+    base = dt.datetime(2024, 1, 1)
+    o = spark.createDataFrame([(oid, base + dt.timedelta(days=d)) for oid, d in orders], "id string, event_ts timestamp")
+    li = spark.createDataFrame(
+        [(f"l{n}", oid, base + dt.timedelta(days=d)) for n, (oid, d) in enumerate(lines)],
+        "id string, order_id string, event_ts timestamp",
+    )
+    got = sorted(tuple(r) for r in join.order_line_interval_join(o, li).collect())
+    want = sorted(
+        (oid, f"l{n}")
+        for oid, od in orders
+        for n, (lid, ld) in enumerate(lines)
+        if lid == oid and od - 20 <= ld <= od + 10
+    )
+    assert got == want
