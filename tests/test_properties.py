@@ -142,3 +142,29 @@ def test_interval_join_matches_brute_force(spark, orders, lines):
         if lid == oid and od - 20 <= ld <= od + 10
     )
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(cells=st.dictionaries(st.tuples(st.sampled_from(["2024-01-01", "2024-01-02", "2024-01-04"]),
+                                       st.sampled_from(["00", "05", "23"])),
+                             st.integers(1, 9), min_size=1, max_size=9))
+def test_hour_reports_match_brute_force(spark, cells):
+    from pulsemart.plans import reports
+
+    hourly = spark.createDataFrame([(d, h, n) for (d, h), n in cells.items()], "logdate string, lh string, ct long")
+    days = sorted({d for d, _ in cells})
+    zero = {(r.logdate, r.lh): r.ct for r in reports.hourly_zero_fill(hourly).collect()}
+    assert zero == {(d, f"{h:02d}"): cells.get((d, f"{h:02d}"), 0) for d in days for h in range(24)}
+
+    def next_day(d):
+        return (dt.date.fromisoformat(d) + dt.timedelta(days=1)).isoformat()
+
+    cmp = {(r.logdate, r.hour): (r.yesterday, r.today)
+           for r in reports._compare(hourly, "logdate", "lh", "ct", None).collect()}
+    want = {}
+    for (d, h), n in cells.items():
+        y, t = want.get((d, h), (None, None))
+        want[(d, h)] = (y, n)
+        y2, t2 = want.get((next_day(d), h), (None, None))
+        want[(next_day(d), h)] = (n, t2)
+    assert cmp == want
