@@ -168,3 +168,32 @@ def test_hour_reports_match_brute_force(spark, cells):
         y2, t2 = want.get((next_day(d), h), (None, None))
         want[(next_day(d), h)] = (n, t2)
     assert cmp == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(startup, min_size=1, max_size=30),
+       buys=st.lists(st.tuples(st.integers(0, 3 * 86_400_000 - 1), st.integers(1, 500)), max_size=10))
+def test_kpi_tiles_match_brute_force(spark, rows, buys):
+    from pulsemart.functions.dates import with_log_date_hour, with_order_date_hour
+    from pulsemart.operators import dedup
+    from pulsemart.plans import reports
+
+    data = [(m, T0 + t, n) for n, (m, t) in enumerate(rows)]
+    dau = dedup.first_seen(with_log_date_hour(spark.createDataFrame(data, "mid string, ts long, event_id long")))
+    orders = with_order_date_hour(spark.createDataFrame(
+        [(_fmt(T0 + t), float(v)) for t, v in buys], "create_time string, total_amount double"))
+    got = {(r.day, r.id): r.value for r in reports.kpi_total(dau, orders).collect()}
+    want = {}
+    days_of = {}
+    for m, ts, _ in data:
+        days_of.setdefault(m, set()).add(_fmt(ts)[:10])
+    for m, days in days_of.items():
+        for d in days:
+            want[(d, "dau")] = want.get((d, "dau"), 0.0) + 1
+        first = min(days)
+        want[(first, "new_mid")] = want.get((first, "new_mid"), 0.0) + 1
+    amounts = {}
+    for t, v in buys:
+        amounts[_fmt(T0 + t)[:10]] = amounts.get(_fmt(T0 + t)[:10], 0.0) + v
+    want.update({(d, "order_amount"): round(a, 2) for d, a in amounts.items()})
+    assert got == want
