@@ -197,3 +197,19 @@ def test_kpi_tiles_match_brute_force(spark, rows, buys):
         amounts[_fmt(T0 + t)[:10]] = amounts.get(_fmt(T0 + t)[:10], 0.0) + v
     want.update({(d, "order_amount"): round(a, 2) for d, a in amounts.items()})
     assert got == want
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.sets(st.tuples(st.sampled_from(["2024-01-01", "2024-01-02"]), st.integers(1, 30), st.integers(1, 5)),
+                    min_size=1, max_size=40),
+       size=st.integers(1, 7))
+def test_pages_tile_the_sorted_result(spark, keys, size):
+    from pulsemart.plans import reports
+
+    df = spark.createDataFrame([(d, str(o), f"{o}-{line}") for d, o, line in keys],
+                               "dt string, order_id string, order_detail_id string")
+    ordered = sorted((d, str(o), f"{o}-{line}") for d, o, line in keys)
+    pages = []
+    for page in range(1, -(-len(ordered) // size) + 2):
+        pages.extend(tuple(r) for r in reports.sale_search_page(df, page, size).collect())
+    assert pages == ordered
