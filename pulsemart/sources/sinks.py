@@ -231,11 +231,26 @@ def compact_dau_days(spark: SparkSession, path: str, days: list[str] | None = No
     table = read_dau_table(spark, path, days)
     if table is None:
         return []
-    tfs, tp = _fs(spark, path)
-    size = sum(tfs.getContentSummary(tfs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAU_PARTITION}={d}"))).getLength()
-               for d in days if tfs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAU_PARTITION}={d}")))
-    files = max(1, -(-size // TARGET_FILE_BYTES))
-    upper_case_columns(table).repartition(files, DAU_PARTITION).write.partitionBy(DAU_PARTITION).parquet(staging)
+    # Files per day from the day's size (listing only).  Each day is spread
+    # over that many tasks by a hash of the device, so no task ever holds a
+    # whole day; a small day stays one file.
+    per_day = {}
+    for d in days:
+        dfs, dp = _fs(spark, f"{path.rstrip('/')}/{DAU_PARTITION}={d}")
+        size = dfs.getContentSummary(dp).getLength() if dfs.exists(dp) else 0
+        per_day[d] = max(1, -(-size // TARGET_FILE_BYTES))
+    day_col, mid = F.col(DAU_PARTITION), F.col("MID")
+    salt = F.lit(0)
+    for d, n in per_day.items():
+        if n > 1:
+            salt = F.when(day_col == d, F.pmod(F.xxhash64(mid), F.lit(n))).otherwise(salt)
+    rows = upper_case_columns(table).withColumn("_salt", salt)
+    (
+        rows.repartition(sum(per_day.values()), DAU_PARTITION, "_salt")
+        .drop("_salt")
+        .write.partitionBy(DAU_PARTITION)
+        .parquet(staging)
+    )
     _replace_days(spark, path, staging)
     fs.delete(st_path, True)
     return list(days)

@@ -157,3 +157,17 @@ def test_dau_writer_compacts_days_with_many_files(spark):
     assert counts[1] > 2                      # two batches left more than the bound
     assert counts[2] <= 1 + one_batch         # batch 2 folded them into one file first
     assert sinks.read_dau_table(spark, path).count() == 18
+
+
+def test_dau_day_compaction_spreads_a_large_day_over_files(spark, monkeypatch):
+    path = work_dir(spark, "test_dau_compact_spread", fresh=True)
+    day1 = 1_704_067_200_000
+    rows = [(f"m{i}", day1 + i * 1000, i) for i in range(400)]
+    sinks.write_dau_rows(_dau_rows(spark, rows).repartition(4), path)
+    before = sorted(tuple(r) for r in sinks.read_dau_table(spark, path).collect())
+    fs, p = sinks._fs(spark, f"{path}/LOGDATE=2024-01-01")
+    size = fs.getContentSummary(p).getLength()
+    monkeypatch.setattr(sinks, "TARGET_FILE_BYTES", max(1, size // 3))
+    sinks.compact_dau_days(spark, path, ["2024-01-01"])
+    assert sorted(tuple(r) for r in sinks.read_dau_table(spark, path).collect()) == before
+    assert sinks.dau_day_files(spark, path)["2024-01-01"] > 1     # not one task for the whole day
