@@ -5,10 +5,13 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import ORACLE, QUERIES, STREAM_ORACLE, STREAM_QUERIES, entry
 from pulsemart.sources.tables import TABLE_NAMES
 from tools.check_oracle import _rows
 
+# The training-data operators have their own tests (tests/llm).
+ALL = {**QUERIES, **STREAM_QUERIES}
+SQL = {**ORACLE, **STREAM_ORACLE}
 SF = "/root/testdata/sf0.001"
 
 
@@ -27,14 +30,14 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(ALL) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = ALL[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
-    sql = oracle_sql().get(name)
+    sql = SQL.get(name)
     if sql is None:
         assert len(got) > 0
         return
