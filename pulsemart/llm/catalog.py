@@ -11,10 +11,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import lines
+from pulsemart.llm import lines, quality
 from pulsemart.llm.common import documents
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(documents(spark, sf_dir)).drop("text")
+
+
+OP2_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS (
+  SELECT doc_id, t, string_split(t, chr(10)) AS ls,
+         list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM d
+), i AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM f
+), g AS (
+  SELECT doc_id, p, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS tri
+  FROM i WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), h AS (
+  SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, tri) AS k FROM g WHERE tri IS NOT NULL
+), r AS (
+  SELECT doc_id, count(DISTINCT q) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM h WHERE k >= 2) GROUP BY doc_id
+), b AS (
+  SELECT f.doc_id, t, ls, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         len(list_filter(ls, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
+           - len(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS n_dup_lines,
+         coalesce(r.n_repeat_words, 0) AS n_repeat_words
+  FROM f LEFT JOIN r USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND word_chars BETWEEN 2 * n_words AND 14 * n_words
+       AND 10 * n_symbols <= n_words
+       AND 10 * n_dup_lines <= 3 * len(ls)
+       AND 10 * len(list_filter(ls, lambda x: regexp_matches(ltrim(x, ' '), '^[-*•]'))) <= 9 * len(ls)
+       AND 10 * len(list_filter(ls, lambda x: regexp_matches(rtrim(x, ' '), '([.][.][.]|…)$'))) <= 3 * len(ls)
+       AND 4 * length(regexp_replace(t, '[^0-9]+', '', 'g')) <= word_chars
+       AND 10 * len(list_filter(w, lambda x: regexp_matches(x, '\\p{L}'))) >= 7 * len(w) AS kept
+FROM b
+"""
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.line_dedup(documents(spark, sf_dir))
     return out.select(
@@ -45,9 +87,11 @@ FROM marked GROUP BY doc_id
 """
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op9_line_dedup": op9_line_dedup,
 }
 
 LLM_ORACLE: dict[str, str] = {
+    "op2_quality_rules": OP2_SQL,
     "op9_line_dedup": OP9_SQL,
 }
