@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import lines, quality
+from pulsemart.llm import lines, mixing, quality, sharding
 from pulsemart.llm.common import documents
 
 
@@ -57,6 +57,63 @@ FROM b
 """
 
 
+N_SHARDS = 24
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_by_bytes(documents(spark, sf_dir), N_SHARDS)
+    return out.select(
+        "doc_id", "size", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+OP7_SQL = """
+WITH d AS (
+  SELECT doc_id, source,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS size
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, 2 * source_size AS bound, [3, 1, 2][((rank - 1) % 3 + 1)::INT] AS weight FROM s
+), l AS (
+  SELECT *, ((SELECT sum(source_size) FROM s) * 150 / 100.0::DOUBLE
+             - coalesce(sum(bound) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+         row_number() OVER o AS turn
+  FROM w WINDOW o AS (ORDER BY bound / weight, rank)
+), t AS (
+  SELECT source, source_size, least(bound::DOUBLE, coalesce(weight * (
+    SELECT first(level ORDER BY turn) FROM l WHERE bound > weight * level), bound::DOUBLE)) AS target
+  FROM l
+), r AS (
+  SELECT d.doc_id, d.size, t.source, t.source_size, t.target,
+         CASE WHEN t.source_size = 0 THEN 0.0 ELSE t.target / t.source_size END AS rate,
+         (('0x' || substr(md5(d.doc_id::VARCHAR), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), q AS (
+  SELECT *, floor(rate)::INT AS whole, rate - floor(rate) AS p,
+         target - floor(rate) * source_size AS wanted,
+         (u / (1 - u)) / ((rate - floor(rate)) / (1 - (rate - floor(rate)))) AS q
+  FROM r
+), c AS (
+  SELECT *, p > 0 AND coalesce(sum(size) OVER (
+      PARTITION BY source ORDER BY q, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    + size / 2 <= wanted AS picked
+  FROM q
+)
+SELECT doc_id, size, source_size, target, ((whole + picked::INT) * size)::BIGINT AS taken FROM c
+"""
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.line_dedup(documents(spark, sf_dir))
     return out.select(
@@ -88,10 +145,13 @@ FROM marked GROUP BY doc_id
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op5_sharding": op5_sharding,
+    "op7_mixing": op7_mixing,
     "op9_line_dedup": op9_line_dedup,
 }
 
 LLM_ORACLE: dict[str, str] = {
     "op2_quality_rules": OP2_SQL,
+    "op7_mixing": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
 }
