@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import lines, mixing, quality, sharding
+from pulsemart.llm import lines, mixing, neardup, quality, sharding
 from pulsemart.llm.common import documents
 
 
@@ -57,6 +57,10 @@ FROM b
 """
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
 N_SHARDS = 24
 
 
@@ -145,6 +149,7 @@ FROM marked GROUP BY doc_id
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_sharding": op5_sharding,
     "op7_mixing": op7_mixing,
     "op9_line_dedup": op9_line_dedup,
