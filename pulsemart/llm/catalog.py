@@ -11,8 +11,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import lines, mixing, neardup, quality, sharding
-from pulsemart.llm.common import documents
+from pulsemart.llm import decontaminate, lines, mixing, neardup, quality, sharding
+from pulsemart.llm.common import documents, table
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP1_SQL = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2),
+                lambda i: array_to_string(w[i : i + least(len(w), 10) - 1], ' '))) AS win
+  FROM b WHERE len(w) > 0
+), dw AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p,
+         unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i : i + n - 1], ' '))) AS win
+  FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n
+), h AS (
+  SELECT doc_id, p, n, win FROM dw SEMI JOIN bw USING (n, win)
+), words AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM h) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM h JOIN bw USING (n, win) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +192,7 @@ FROM marked GROUP BY doc_id
 """
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_sharding": op5_sharding,
@@ -156,6 +201,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 LLM_ORACLE: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
     "op2_quality_rules": OP2_SQL,
     "op7_mixing": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
