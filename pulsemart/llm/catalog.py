@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import decontaminate, lines, mixing, neardup, quality, sharding
+from pulsemart.llm import decontaminate, lines, mixing, neardup, quality, sharding, toxicity
 from pulsemart.llm.common import documents, table
 
 
@@ -191,6 +191,11 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return out.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -198,6 +203,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op7_mixing": op7_mixing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 LLM_ORACLE: dict[str, str] = {
