@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import decontaminate, lines, mixing, neardup, quality, sharding, toxicity
+from pulsemart.llm import decontaminate, lines, lm, mixing, neardup, quality, sharding, toxicity
 from pulsemart.llm.common import documents, table
 
 
@@ -101,6 +101,10 @@ FROM b
 """
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(documents(spark, sf_dir))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
@@ -199,6 +203,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_sharding": op5_sharding,
     "op7_mixing": op7_mixing,
