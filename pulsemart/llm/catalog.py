@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import decontaminate, lines, lm, mixing, neardup, quality, sharding, toxicity
+from pulsemart.llm import chat, decontaminate, lines, lm, mixing, neardup, paragraphs, quality, sharding, toxicity
 from pulsemart.llm.common import documents, table
 
 
@@ -120,6 +120,40 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"], m["length"]))
+    return out.withColumn("mask", F.array_join(spans, ","))
+
+
+OP6_SQL = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE role END AS role,
+         coalesce(text, '') AS text
+  FROM conversations
+), n AS (
+  SELECT *, floor(turn / 256)::BIGINT AS block,
+         row_number() OVER (PARTITION BY conv_id, floor(turn / 256) ORDER BY turn, role, text) AS n
+  FROM t
+), s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+p AS (
+  SELECT n.conv_id, s.speaker, block, floor((n - 1) / 256)::BIGINT AS part, n, role = s.speaker AS own,
+         '<|im_start|>' || CASE WHEN role = s.speaker THEN 'assistant' WHEN role = 'system' THEN role
+           ELSE 'user name=' || replace(role, '<|', '<' || chr(8203) || '|') END || chr(10) AS head,
+         replace(text, '<|', '<' || chr(8203) || '|') || '<|im_end|>' AS body
+  FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id
+), m AS (
+  SELECT *, (sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, block, part ORDER BY n)
+             - length(body) - 1)::BIGINT AS start
+  FROM p
+)
+SELECT conv_id, speaker, block, part, count(*) AS n_turns,
+       string_agg(head || body || chr(10), '' ORDER BY n) AS rendered,
+       coalesce(string_agg(start || ':' || length(body), ',' ORDER BY n) FILTER (own), '') AS mask
+FROM m GROUP BY conv_id, speaker, block, part
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -166,6 +200,10 @@ SELECT doc_id, size, source_size, target, ((whole + picked::INT) * size)::BIGINT
 """
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(documents(spark, sf_dir)).drop("text_hash")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.line_dedup(documents(spark, sf_dir))
     return out.select(
@@ -206,7 +244,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_sharding": op5_sharding,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_mixing": op7_mixing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
@@ -214,6 +254,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 LLM_ORACLE: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op2_quality_rules": OP2_SQL,
+    "op6_chat_formatting": OP6_SQL,
     "op7_mixing": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
 }

@@ -4,12 +4,14 @@ Each permutation of the shingle hashes gives two signature values, its
 minimum and its maximum, so half the hash evaluations fill a signature
 (Ji et al., "Min-max hash for Jaccard similarity", 2013).  Signatures are cut
 into bands; documents of one shingle set are one class, and only classes
-are banded.  A bucket's classes are compared with the bucket's smallest class
-(a star, not all pairs); the links found are joined into components, and then
-every class outside a bucket's largest component is compared with the bucket's
-classes in other components.  So every colliding pair is either linked through a
-component or compared on the full sets, without listing the pairs of a large
-group of copies.
+are banded.  A bucket's classes are compared with the bucket's most often
+colliding class (a star, not all pairs) and the links found are joined into
+components.  A bucket whose classes then lie in several components is
+unsettled; its classes meet once more in an exact prefix-filtered set join,
+which compares classes of different components only if they share one of the
+shingles that, rarest first, a pair of their sizes can't do without.  So every
+colliding pair is linked through a component, compared on the full sets, or
+shown by counting to be too different, and no group's pairs are all listed.
 
 Defined cases: a null text, or one without words, has no shingles and is
 linked with nothing; fewer words than a shingle form one shingle; rows with
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.llm import sketch
@@ -88,12 +90,42 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(similar(F.col("of_a"), F.col("of_b"), percent)).select("a", "b")
 
 
-def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def _needed_overlap(n: Column, m: Column, percent: int) -> Column:
+    """Least intersection of sets of n and m members that are similar enough."""
+    return F.ceil((percent * (n + m)) / (100 + percent))
 
 
-def _ordered(x: Column, y: Column) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def prefix_pairs(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of ``classes`` (``cls``, ``n``, ``root``) in different components that
+    pass the prefix, length and positional filters of the similarity join.
+
+    Members are ordered by how many of the classes hold them.  Those that one
+    class alone holds come first and match nothing, so they are only counted.
+    """
+    members = stored(classes.join(sets, "cls").select("cls", "n", "root", F.explode("members").alias("t")), "near_members")
+    shared = stored(members.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "near_shared")
+    held = members.join(shared, "t")
+    rank = Window.partitionBy("cls").orderBy("df", "t")
+    whole = Window.partitionBy("cls")
+    placed = held.withColumn(
+        "pos", F.col("n") - F.count(F.lit(1)).over(whole) + F.row_number().over(rank) - 1
+    ).filter(F.col("pos") <= F.col("n") - F.ceil(percent * F.col("n") / 100))
+    prefix = stored(placed.select("t", "cls", "n", "root", "pos"), "near_prefixes")
+    other = prefix.select("t", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"), F.col("pos").alias("at"))
+    within = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) >= _needed_overlap(F.col("n"), F.col("m"), percent)
+    return prefix.withColumnRenamed("cls", "a").join(other, "t").filter(
+        (F.col("root") < F.col("root_b")) & within).select("a", "b").distinct()
+
+
+def star_centers(banded: DataFrame) -> DataFrame:
+    """Buckets (``k``, ``cls``, ``n``, ``center``) of two or more classes; the center is
+    the class that shares the most buckets' places, then the largest."""
+    sizes = stored(banded.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "near_sizes")
+    hits = stored(banded.join(sizes, "k"), "near_hits")
+    often = stored(hits.groupBy("cls").agg(F.sum("c").alias("often")), "near_often")
+    ranked = stored(hits.select("k", "cls", "n").join(often, "cls"), "near_ranked")
+    centers = stored(ranked.groupBy("k").agg(F.max_by("cls", F.struct("often", "cls")).alias("center")), "near_centers")
+    return stored(ranked.select("k", "cls", "n").join(centers, "k"), "near_buckets")
 
 
 def linked_classes(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -104,25 +136,15 @@ def linked_classes(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFra
     """
     stars = buckets.filter(F.col("cls") != F.col("center")).select(
         F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
-    stars = stored(stars, "near_stars")
     links = stored(verified(stars, sets, percent), "near_links")
     roots = components(links)
 
-    placed = buckets.join(roots, F.col("cls") == F.col("node"), "left").select(
-        "k", "cls", "n", F.coalesce("root", "cls").alias("root"))
-    placed = stored(placed, "near_placed")
-    sizes = placed.groupBy("k", "root").agg(F.count(F.lit(1)).alias("members"))
-    mixed = sizes.groupBy("k").agg(
-        F.max_by("root", F.struct("members", "root")).alias("main"), F.count(F.lit(1)).alias("parts")
-    ).filter("parts > 1").select("k", "main")
-    mixed = stored(placed.join(stored(mixed, "near_mixed"), "k"), "near_unsettled")
-    others = mixed.filter(F.col("root") != F.col("main")).select(
-        "k", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    crossing = others.join(mixed.select("k", "cls", "n", "root"), "k").filter(
-        (F.col("rx") != F.col("root")) & _sizes_fit(F.col("nx"), F.col("n"), percent)
-    ).select(*_ordered(F.col("x"), F.col("cls"))).distinct()
-    untested = crossing.join(stars, ["a", "b"], "left_anti")
-    more = stored(verified(untested, sets, percent), "near_more")
+    placed = stored(buckets.join(roots, F.col("cls") == F.col("node"), "left").select(
+        "k", "cls", "n", F.coalesce("root", "cls").alias("root")), "near_placed")
+    parts = placed.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    unsettled = placed.join(stored(parts.filter("low < high").select("k"), "near_unsettled"), "k")
+    crossing = prefix_pairs(unsettled.select("cls", "n", "root").distinct(), sets, percent)
+    more = stored(verified(crossing, sets, percent), "near_more")
     return components(links.unionByName(more)) if more.limit(1).count() else roots
 
 
@@ -143,9 +165,7 @@ def near_duplicates(
     classes = stored(sig.filter("n > 0").groupBy("cls").agg(
         F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "near_classes")
     banded = stored(classes.select("cls", "n", F.explode("bands").alias("k")), "near_bands")
-    centers = stored(banded.groupBy("k").agg(F.min("cls").alias("center"), F.count(F.lit(1)).alias("c"))
-                     .filter("c > 1").select("k", "center"), "near_centers")
-    buckets = stored(banded.join(centers, "k"), "near_buckets")
+    buckets = star_centers(banded)
     needed = stored(classes.join(buckets.select("cls").distinct(), "cls").select("cls", "rep"), "near_needed")
     texts = src.join(needed.select("rep").distinct(), F.col("doc").eqNullSafe(F.col("rep")), "left_semi").select("text")
     full = texts.mapInArrow(_full_sets(width), "cls binary, members array<long>")
