@@ -106,7 +106,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+    return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85).drop("text_hash")
 
 
 N_SHARDS = 24
@@ -235,7 +235,7 @@ FROM marked GROUP BY doc_id
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
-    return out.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+    return out.drop("text_hash").withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

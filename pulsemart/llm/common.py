@@ -32,6 +32,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_hash(c: Column) -> Column:
+    """Tells rows of one id apart by their texts (null as empty)."""
+    return F.xxhash64(F.coalesce(c, F.lit(""))).alias("text_hash")
+
+
 def lower_az(c: Column) -> Column:
     """A-Z lower-cased, every other character kept.  ``lower`` does just that
     on pure ASCII and is far faster than ``translate``."""

@@ -172,7 +172,7 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """One row per document: its id, ``n_words``, ``n_hit`` (words inside an
+    """One row per document: its id, ``text_hash``, ``n_words``, ``n_hit`` (words inside an
     occurrence of a window), ``items`` (ids whose windows occur, sorted as
     strings), ``spans`` (first word and length of each occurrence)."""
     spark = docs.sparkSession
@@ -205,6 +205,6 @@ def decontaminate(
         F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
     joined = found.join(of_doc, F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
     return joined.select(
-        F.col("doc").alias(id_col), "n_words", "n_hit",
+        F.col("doc").alias(id_col), "text_hash", "n_words", "n_hit",
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans",
     )

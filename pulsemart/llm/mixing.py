@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import stored, words
+from pulsemart.llm.common import stored, text_hash, words
 
 WEIGHTS = (3, 1, 2)                # of the sources in order, repeating
 PERCENT = 150                      # of all words: the size of the mix
@@ -100,11 +100,11 @@ def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: Sequence[int] = WEIGHTS, percent: int = PERCENT, most: int = MOST,
 ) -> DataFrame:
-    """One row per document: its id, ``source``, ``size`` (words), ``source_size``,
+    """One row per document: its id, ``text_hash``, ``source``, ``size`` (words), ``source_size``,
     ``target`` (its source's), ``copies`` and ``taken`` (words)."""
     src = docs.select(
         F.col(id_col).alias("doc"), F.col(source_col).alias("source"),
-        F.size(words(F.col(text_col))).cast("long").alias("size"),
+        F.size(words(F.col(text_col))).cast("long").alias("size"), text_hash(F.col(text_col)),
     )
     sizes = stored(src, "mix_sizes")                    # the texts are read once
     targets = stored(source_targets(sizes, weights, percent, most), "mix_targets").withColumnRenamed("source", "s")
@@ -120,6 +120,6 @@ def mix_sources(
     every = drawn.select(*rest.columns).unionByName(rest)
     copies = F.col("whole") + F.col("picked").cast("int")
     return every.select(
-        F.col("doc").alias(id_col), "source", "size", "source_size", "target",
+        F.col("doc").alias(id_col), "text_hash", "source", "size", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"),
     )

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.llm import sketch
-from pulsemart.llm.common import stored
+from pulsemart.llm.common import stored, text_hash
 from pulsemart.llm.components import components
 
 WIDTH = 5
@@ -59,10 +59,10 @@ def _sketched(width: int, permutations: int, rows: int):
                 for i, k in zip(full, keys):
                     bands[i] = k
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc"),
+                batch.column("doc"), batch.column("text_hash"),
                 pa.array([sketch.set_key(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64())),
-            ], ["doc", "cls", "n", "bands"])
+            ], ["doc", "text_hash", "cls", "n", "bands"])
     return run
 
 
@@ -152,16 +152,16 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
     permutations: int = PERMUTATIONS, rows: int = BAND_ROWS,
 ) -> DataFrame:
-    """One row per document: its id, ``n_shingles``, ``component_id`` (the
+    """One row per document: its id, ``text_hash``, ``n_shingles``, ``component_id`` (the
     smallest id reachable over links) and ``kept`` (the id is that one).
 
     Documents are linked when their sets of ``width``-word shingles have a
     Jaccard similarity of at least ``percent`` / 100.
     """
-    src = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), text_hash(F.col(text_col)))
     id_type = src.schema["doc"].dataType.simpleString()
     sig = stored(src.mapInArrow(
-        _sketched(width, permutations, rows), f"doc {id_type}, cls binary, n long, bands array<long>"), "near_sketches")
+        _sketched(width, permutations, rows), f"doc {id_type}, text_hash long, cls binary, n long, bands array<long>"), "near_sketches")
     classes = stored(sig.filter("n > 0").groupBy("cls").agg(
         F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "near_classes")
     banded = stored(classes.select("cls", "n", F.explode("bands").alias("k")), "near_bands")
@@ -177,9 +177,9 @@ def near_duplicates(
     named = stored(named, "near_named")
     least = stored(named.groupBy("root").agg(F.min("rep").alias("component_id")), "near_roots")
     by_class = stored(named.join(least, "root").select("cls", "component_id"), "near_components")
-    out = sig.select("doc", "cls", "n").join(by_class, "cls", "left")
+    out = sig.select("doc", "text_hash", "cls", "n").join(by_class, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc")).otherwise(F.col("component_id"))
     return out.select(
-        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.col("doc").alias(id_col), "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.col("doc").eqNullSafe(component).alias("kept"),
     )

@@ -6,7 +6,8 @@ copied into another text falls into the same paragraphs there, but for its
 edges.  A paragraph is its set of 5-word shingles.  Equal paragraphs are one class;
 classes are banded, colliding ones verified by exact Jaccard similarity and
 joined into components (``neardup.linked_classes``); a component that several
-documents share keeps its first paragraph and loses the others.
+documents share keeps its first paragraph and loses the others.  Runs of
+repeated paragraphs under ``MIN_RUN`` words (a common line, a formula) are left alone.
 
 The bands are tuned: of all (bands, rows) that find a pair at the threshold with
 probability ``RECALL``, the one with the fewest hashes.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.llm import sketch
@@ -31,7 +32,8 @@ from pulsemart.llm.common import stored
 from pulsemart.llm.neardup import linked_classes, star_centers
 
 RADIUS = 7
-MIN_WORDS = 10
+MIN_WORDS = RADIUS + 1
+MIN_RUN = 20                       # words in a run of repeated paragraphs at least
 WIDTH = 5
 PERCENT = 80
 RECALL = 0.99
@@ -60,8 +62,8 @@ def _boundaries(pairs: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
 
 
 def _cut(data: np.ndarray, offsets: np.ndarray):
-    """(document, first byte, end byte, words, first and end shingle) of each
-    paragraph of MIN_WORDS words, and the shingles."""
+    """(document, first byte, end byte, first word, words, first and end shingle)
+    of each paragraph of MIN_WORDS words, and the shingles."""
     starts, ends = sketch.word_bounds(data, offsets)
     hashes = sketch.word_hashes(data, starts, ends)
     if len(hashes) < MIN_WORDS:
@@ -78,7 +80,7 @@ def _cut(data: np.ndarray, offsets: np.ndarray):
     long = b - a >= MIN_WORDS
     a, b = a[long], b[long]
     base = offsets[doc[a]] if len(a) else np.zeros(0, np.int64)
-    return doc[a], starts[a] - base, ends[b - 1] - base, b - a, a, b - WIDTH + 1, sketch.shingles(hashes, WIDTH)
+    return doc[a], starts[a] - base, ends[b - 1] - base, a - first_of_doc[doc[a]], b - a, a, b - WIDTH + 1, sketch.shingles(hashes, WIDTH)
 
 
 def _reduced(how, values: np.ndarray, a: np.ndarray, e: np.ndarray) -> np.ndarray:
@@ -96,7 +98,7 @@ def _paragraphs(bands: int, rows: int):
                 cut = _cut(data, offsets)
                 if cut is None or not len(cut[0]):
                     continue
-                doc, begin, end, n_words, a, e, shingles = cut
+                doc, begin, end, word, n_words, a, e, shingles = cut
                 mins = np.empty((len(a), bands * rows), dtype=np.uint64)
                 for j in range(bands * rows):
                     y = shingles * a_hash[j]
@@ -108,9 +110,9 @@ def _paragraphs(bands: int, rows: int):
                 at = pa.array(row + doc)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc").take(at), batch.column("text_hash").take(at), pa.array(begin.astype(np.int32)),
-                    pa.array(end.astype(np.int32)), pa.array(n_words.astype(np.int32)), pa.array(cls),
+                    pa.array(end.astype(np.int32)), pa.array(word.astype(np.int32)), pa.array(n_words.astype(np.int32)), pa.array(cls),
                     pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), bands).cast(pa.list_(pa.int64())),
-                ], ["doc", "text_hash", "begin", "end", "n_words", "cls", "keys"])
+                ], ["doc", "text_hash", "begin", "end", "word", "n_words", "cls", "keys"])
     return run
 
 
@@ -155,7 +157,7 @@ def repeated_paragraphs(
     src = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     id_type = src.schema["doc"].dataType.simpleString()
     found = stored(src.mapInArrow(
-        _paragraphs(bands, rows), f"doc {id_type}, text_hash long, begin int, end int, n_words int, cls long, keys array<long>"),
+        _paragraphs(bands, rows), f"doc {id_type}, text_hash long, begin int, end int, word int, n_words int, cls long, keys array<long>"),
         "paragraphs")
     place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_hash", "begin")
     classes = found.groupBy("cls", *[F.col("keys")[j].alias(f"k{j}") for j in range(bands)]).agg(
@@ -184,8 +186,12 @@ def repeated_paragraphs(
         F.min("first").alias("first"), F.min("low").alias("component"), F.max("high").alias("most")
     ).filter("component < most").select("root", "first", "component"), "paragraph_components")
     repeated = stored(rooted.select("cls", "root").join(several, "root").select("cls", "first", "component"), "paragraph_repeated")
-    out = found.drop("keys").join(repeated, "cls")
-    return out.select(
+    own = Window.partitionBy("doc", "text_hash").orderBy("word")
+    starts = F.coalesce(F.lag(F.col("word") + F.col("n_words")).over(own) < F.col("word"), F.lit(True))
+    out = found.drop("keys").distinct().join(repeated, "cls").withColumn("starts", starts.cast("int"))
+    run = F.sum("n_words").over(Window.partitionBy("doc", "text_hash", "run"))
+    out = out.withColumn("run", F.sum("starts").over(own)).withColumn("run_words", run)
+    return out.filter(F.col("run_words") >= MIN_RUN).select(
         F.col("doc").alias(id_col), "text_hash", "begin", "end", "n_words", "component",
         (place != F.col("first")).alias("removed"))
 

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm import gru, sketch
+from pulsemart.llm.common import text_hash
 from pulsemart.llm.decontaminate import SEPARATOR
 from pulsemart.llm.gru import F32
 
@@ -291,7 +292,8 @@ def _scored(shared):
                 top = np.full(len(offsets) - 1, -np.inf)
                 np.maximum.at(top, owner, logits)
                 scores[row:row + len(top)] = 1 / (1 + np.exp(-np.clip(top, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(scores)], ["doc", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), batch.column("text_hash"), pa.array(scores)], ["doc", "text_hash", "score"])
     return run
 
 
@@ -324,10 +326,11 @@ def toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     per_class: int = SAMPLE_PER_CLASS, chars: int = SAMPLE_CHARS, steps: int = STEPS,
 ) -> DataFrame:
-    """One row per document: its id, ``held_out`` and ``score`` (0 to 1)."""
+    """One row per document: its id, ``text_hash``, ``held_out`` and ``score`` (0 to 1)."""
     texts, ys, prior = sample_labelled(docs, labels, id_col, text_col, label_col, per_class, chars)
     model = docs.sparkSession.sparkContext.broadcast(train(texts, ys, prior, steps))
-    src = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), text_hash(F.col(text_col)))
     id_type = src.schema["doc"].dataType.simpleString()
-    out = src.mapInArrow(_scored(model), f"doc {id_type}, score double")
-    return out.select(F.col("doc").alias(id_col), (fold(F.col("doc"), FOLDS) == HELD_OUT).alias("held_out"), "score")
+    out = src.mapInArrow(_scored(model), f"doc {id_type}, text_hash long, score double")
+    return out.select(
+        F.col("doc").alias(id_col), "text_hash", (fold(F.col("doc"), FOLDS) == HELD_OUT).alias("held_out"), "score")
