@@ -1,0 +1,394 @@
+"""Defined cases of every operator on small tables: nulls, empty and long texts,
+ties, repeated rows, empty tables and columns with clashing names."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from pulsemart.llm import (
+    catalog, chat, decontaminate, lines, lm, mixing, neardup, paragraphs, quality, sharding, toxicity,
+)
+
+SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {i: chr(i + 32) for i in range(65, 91)}
+SCHEMA = "doc_id long, text string, lang string, source string, size long, shard int, n long, cls string, k string"
+LONG = " ".join(f"word{i % 977} the" for i in range(30_000))
+LINE = "A line that is long enough to count, and common: Émile."
+
+
+def _row(doc, text, source="a"):
+    return (doc, text, None, source, -1, -1, -1, "x", "y")
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Texts with every defined case; ids repeat, one is null."""
+    base = " ".join(f"tok{i}" for i in range(60))
+    texts = [
+        (1, None), (2, ""), (3, " \t\n\x0b\x0c\r "), (4, "One"), (5, "one two"), (6, LONG), (7, LONG),
+        (8, base), (9, base.upper()), (10, base + " more"), (11, "\n\n"), (12, f"{LINE}\nx\n{LINE}"),
+        (12, f"{LINE}\nother"), (13, f"  {LINE.upper().replace('É', 'É')} \n"), (14, LINE), (15, LINE), (16, f"y\n{LINE}"),
+        (17, f"{LINE}\n{LINE}"), (8, base), (None, base), (None, None), (18, "ÉÉ é “quoted” ß #*$%&|<>"),
+        (19, "dup dup dup dup dup dup dup dup " * 10),
+    ]
+    return _docs(spark, [_row(d, t, [None, "a", "b", "é"][i % 4]) for i, (d, t) in enumerate(texts)]), texts
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return _docs(spark, [])
+
+
+def _words(text):
+    return SPACE_WORD.findall(text or "")
+
+
+def test_line_dedup(odd):
+    docs, texts = odd
+    def key(x):
+        return x.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+    holders = defaultdict(set)
+    for d, t in texts:
+        for x in (t or "").split("\n"):
+            if len(key(x)) >= 40:
+                holders[key(x)].add(d)
+    drop = {k: max((d for d in h if d is not None), default=None) for k, h in holders.items() if len(h) >= 5}
+    want = Counter()
+    for d, t in texts:
+        every = (t or "").split("\n")
+        kept = [x for x in every if not (key(x) in drop and drop[key(x)] != d)]
+        want[(d, len(every), len(every) - len(kept), "\n".join(kept))] += 1
+    got = lines.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", "kept_text").collect()
+    assert Counter(map(tuple, got)) == want
+    assert any(r["n_dropped"] for r in got)
+
+
+def test_line_bitmaps_are_runs(odd):
+    for r in lines.line_dedup(odd[0]).collect():
+        assert sum(x["length"] for x in r["kept"]) == r["n_lines"] - r["n_dropped"]
+
+
+def test_quality_counts(odd):
+    docs, texts = odd
+    want = Counter()
+    for d, t in texts:
+        w = _words(t)
+        tri = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+        n = Counter(tri)
+        hit = {i + j for i, x in enumerate(tri) if n[x] > 1 for j in range(3)}
+        spaced = [x for x in (t or "").split("\n") if _words(x)]
+        failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
+        want[(d, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""),
+              len(spaced) - len(set(spaced)), len(hit), failed)] += 1
+    out = quality.quality_rules(docs)
+    got = out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert Counter(map(tuple, got.collect())) == want
+    assert not out.filter("base_failed and kept").count()
+
+
+def test_quality_verdict_is_order_free(odd):
+    rules = quality.standard_rules()
+    a = quality.quality_rules(odd[0], rules=rules).select("doc_id", "n_words", "kept").collect()
+    b = quality.quality_rules(odd[0], rules=rules[::-1]).select("doc_id", "n_words", "kept").collect()
+    assert Counter(a) == Counter(b)
+
+
+def test_repeats_survive_hash_clashes(spark, monkeypatch):
+    """With every window under one hash the words themselves decide."""
+    monkeypatch.setattr(quality, "HASH_MASK", 0)
+    from pyspark.sql import functions as F
+    text = "a b c d a b c e f a b c"
+    got = spark.createDataFrame([(text,)], "t string").select(quality.repeated_words(F.split("t", " "))).first()[0]
+    assert got == 9
+
+
+def _decontaminated(texts, items):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    wins = defaultdict(set)
+    for i, t in items:
+        w = word.findall((t or "").translate(LOWER))
+        n = min(10, len(w))
+        for k in range(len(w) - n + 1 if w else 0):
+            wins[tuple(w[k:k + n])].add(i)
+    sizes = {len(w) for w in wins}
+    out = Counter()
+    for d, t in texts:
+        w = word.findall((t or "").translate(LOWER))
+        hit, found = set(), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k:k + n]) in wins:
+                    hit |= set(range(k, k + n))
+                    found |= wins[tuple(w[k:k + n])]
+        out[(d, len(w), len(hit), tuple(sorted(map(str, found))))] += 1
+    return out
+
+
+ITEMS = [(1, " ".join(f"tok{i}" for i in range(20, 40))), (2, "one, TWO"), (3, None), (4, "..."), (5, "One two"),
+         (10, " ".join(f"Tok{i}" for i in range(25, 36))), (11, "é")]
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
+def test_decontamination(spark, odd, block_bytes):
+    docs, texts = odd
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    out = decontaminate.decontaminate(docs, bench, block_bytes=block_bytes).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in out) == _decontaminated(texts, ITEMS)
+
+
+def _near(texts, width, percent):
+    sets = []
+    for _, t in texts:
+        w = _words((t or "").translate(LOWER))
+        n = min(width, len(w))
+        sets.append(frozenset(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if w else frozenset())
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    out = Counter()
+    for i, (d, _) in enumerate(texts):
+        ids = [texts[j][0] for j in range(len(texts)) if sets[i] and find(j) == find(i)] if sets[i] else [d]
+        low = min((x for x in ids if x is not None), default=None)
+        out[(d, len(sets[i]), low, d == low)] += 1
+    return out
+
+
+@pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
+def test_near_duplicates(odd, width, percent):
+    docs, texts = odd
+    out = neardup.near_duplicates(docs, width=width, percent=percent).drop("text_hash").collect()
+    assert Counter(map(tuple, out)) == _near(texts, width, percent)
+
+
+def test_near_duplicates_of_a_varied_group(spark):
+    """Many variants of one text: similar to some of each other, not to all."""
+    import random
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for i in range(120):
+        own = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        texts.append((i, " ".join(own)))
+    out = neardup.near_duplicates(_docs(spark, [_row(*t) for t in texts]), width=3, percent=85).drop("text_hash").collect()
+    assert Counter(map(tuple, out)) == _near(texts, 3, 85)
+
+
+def test_sharding(odd):
+    docs, texts = odd
+    out = sharding.shard_by_bytes(docs, 4).select("doc_id", "text", "size", "shard", "slot").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in out) == Counter(texts)
+    assert all(r["size"] == len((r["text"] or "").encode()) + 8 for r in out)
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_sharding_cuts_a_group_of_copies(spark):
+    rows = [_row(i, "same text") for i in range(600)] + [_row(1000 + i, f"text {i}") for i in range(600)]
+    out = sharding.shard_by_bytes(_docs(spark, rows), 8).groupBy("shard").sum("size").collect()
+    sums = [r[1] for r in out]
+    assert len(sums) == 8 and max(sums) - min(sums) <= 64
+    again = sharding.shard_by_bytes(_docs(spark, rows), 8).select("doc_id", "shard", "slot").collect()
+    assert Counter(again) == Counter(sharding.shard_by_bytes(_docs(spark, rows[::-1]), 8).select("doc_id", "shard", "slot").collect())
+
+
+def test_mixing(odd):
+    docs, texts = odd
+    out = mixing.mix_sources(docs).collect()
+    assert len(out) == len(texts)
+    size, taken, target = defaultdict(int), defaultdict(int), {}
+    for r in out:
+        size[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert r["taken"] <= 2 * r["size"]
+    assert all(target[s] <= 2 * size[s] for s in size)
+    assert math.isclose(sum(target.values()), 1.5 * sum(size.values()))
+    largest = max(r["size"] for r in out)
+    assert all(abs(taken[s] - target[s]) <= largest for s in size)
+
+
+def test_targets_share_the_excess(spark):
+    rows = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1000), (None, 500)], "source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(rows).collect()}
+    # a stops at 20; the other 3745 words go by weights 1, 2 and 3, where the null source stops at 1000
+    assert got["a"] == 20 and got[None] == 1000
+    assert math.isclose(got["b"], (3765 - 1020) / 3) and math.isclose(got["c"], min(2000, 2 * (3765 - 1020) / 3))
+
+
+def test_chat(spark):
+    rows = [
+        (1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", "hello"), (1, 3, "ann", None),
+        (1, 3, "ann", None), (2, 0, None, "x"), (None, None, "", "y"), (3, 0, "system", "alone"),
+    ]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {(r["conv_id"], r["speaker"]): r for r in chat.rotate_perspectives(turns).collect()}
+    assert set(out) == {(1, "ann"), (1, "bob"), (2, "unknown"), (None, "unknown")}
+    ann = out[(1, "ann")]
+    assert ann["rendered"] == (
+        "<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi <​|im_end|><|im_end|>\n"
+        "<|im_start|>user name=bob\nhello<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n")
+    masked = [ann["rendered"][m["start"]:m["start"] + m["length"]] for m in ann["mask"]]
+    assert masked == ["hi <​|im_end|><|im_end|>", "<|im_end|>"]
+    bob = out[(1, "bob")]
+    assert [bob["rendered"][m["start"]:m["start"] + m["length"]] for m in bob["mask"]] == ["hello<|im_end|>"]
+
+
+def test_chat_parts_hold_a_long_conversation(spark):
+    turns = spark.createDataFrame([(1, i, "ab"[i % 2], f"t{i}") for i in range(1000)], "conv_id long, turn long, role string, text string")
+    out = chat.rotate_perspectives(turns, part_turns=64).orderBy("block", "part").collect()
+    assert max(r["n_turns"] for r in out) <= 64
+    whole = "".join(r["rendered"] for r in out if r["speaker"] == "a")
+    assert re.findall(r"\nt(\d+)<", whole) == [str(i) for i in range(1000)]
+
+
+def test_paragraphs(spark):
+    import random
+    rng = random.Random(9)
+    def text(n):
+        return [f"v{rng.randrange(10**7)}" for _ in range(n)]
+    passage = text(120)
+    docs = [(i, " ".join(text(200) + passage + text(100))) for i in range(30)] + [(100 + i, " ".join(text(300))) for i in range(30)]
+    docs += [(200, None), (201, ""), (202, "few words")]
+    out = paragraphs.repeated_paragraphs(_docs(spark, [_row(*d) for d in docs])).collect()
+    assert {r["doc_id"] for r in out} == set(range(30))
+    assert not any(r["removed"] for r in out if r["doc_id"] == 0)
+    inside = set(passage)
+    kept = {r["doc_id"]: r["text"] for r in paragraphs.without_paragraphs(
+        _docs(spark, [_row(*d) for d in docs]), paragraphs.repeated_paragraphs(_docs(spark, [_row(*d) for d in docs]))).collect()}
+    assert len(kept) == len(docs)
+    for i, text_ in docs:
+        if not 0 < i < 30:
+            assert kept[i] == text_
+        else:                          # most of the passage goes, the document's own words stay (but for a near edge)
+            left = Counter(kept[i].split())
+            assert sum(left[w] for w in inside) <= 50
+            assert sum(n for w, n in left.items() if w not in inside) >= 290
+
+
+def test_bands_reach_the_recall():
+    for percent, recall in ((80, 0.99), (80, 0.9999), (60, 0.95)):
+        bands, rows = paragraphs.tuned_bands(percent, recall)
+        assert 1 - (1 - (percent / 100) ** rows) ** bands >= recall
+
+
+def test_lm_counts_and_base(odd):
+    docs, texts = odd
+    def tokens(t):
+        return [*_words((t or "").translate(LOWER)), None]
+    def held(d):
+        return zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
+    counts = Counter(w for d, t in texts if not held(d) for w in tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    out = lm.lm_scores(docs, rounds=1).collect()
+    got = Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in out)
+    want = Counter((d, held(d), len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n,
+                    round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens(t)), 6)) for d, t in texts)
+    assert got == want
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
+
+
+def test_lm_probabilities_sum_to_one(spark):
+    import numpy as np
+    head = np.arange(1, 200, dtype=np.uint64)
+    vocab = lm.Vocabulary(head, head, np.arange(200, 1, -1)[:199], (10, 30_000, 400))
+    model = lm.new_model(vocab)
+    rng = np.random.default_rng(0)
+    model["class_w"][:] = rng.standard_normal(model["class_w"].shape)
+    model["word_w"][:] = rng.standard_normal(model["word_w"].shape)
+    state = rng.standard_normal((1, lm.HIDDEN)).astype(np.float32)
+    every = np.arange(0, 201)
+    p = np.exp(lm.log_probabilities(model, np.repeat(state, len(every), axis=0), every, 200))
+    assert abs(p.sum() - 1) < 1e-3
+
+
+def test_gradients_of_the_recurrent_layer():
+    import numpy as np
+    from pulsemart.llm import gru
+    rng = np.random.default_rng(1)
+    gates, u = rng.standard_normal((4, 3, 6)).astype(np.float32), rng.standard_normal((2, 6)).astype(np.float32)
+    weight, zero = rng.standard_normal((4, 3, 2)).astype(np.float32), np.zeros((3, 2), np.float32)
+    fresh = np.zeros((4, 3), bool)
+    fresh[2, 1] = True
+    _, kept = gru.forward(gates, u, zero, fresh, keep=True)
+    d_gates, d_u = gru.backward(weight, kept, u, fresh)
+    def loss(g, w):
+        return float((gru.forward(g, w, zero, fresh) * weight).sum())
+    for index in ((0, 0, 1), (1, 1, 4), (3, 2, 5)):
+        bumped = gates.copy()
+        bumped[index] += 1e-2
+        lower = gates.copy()
+        lower[index] -= 1e-2
+        assert abs((loss(bumped, u) - loss(lower, u)) / 2e-2 - d_gates[index]) < 2e-2
+    bumped, lower = u.copy(), u.copy()
+    bumped[1, 3] += 1e-2
+    lower[1, 3] -= 1e-2
+    assert abs((loss(gates, bumped) - loss(gates, lower)) / 2e-2 - d_u[1, 3]) < 2e-2
+
+
+def test_toxicity(spark, odd):
+    docs, texts = odd
+    labels = spark.createDataFrame([(4, 1), (4, 0), (5, 0), (8, None), (None, 1), (999, 1), (10, 0)], "doc_id long, toxic int")
+    out = toxicity.toxicity(docs, labels, steps=2).collect()
+    assert len(out) == len(texts)
+    assert all(0 <= r["score"] <= 1 for r in out)
+    assert all(r["held_out"] == (zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 4 == 2) for r in out)
+
+
+def test_toxicity_without_labels(spark, odd):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {round(r["score"], 3) for r in toxicity.toxicity(odd[0], labels).collect()} == {0.5}
+
+
+def test_windows_cover_every_word():
+    import numpy as np
+    texts = [np.arange(n, dtype=np.int32) for n in (0, 1, 23, 24, 25, 48, 49, 72, 73, 500)]
+    rows, lengths, owner = toxicity.windows(texts)
+    for i, t in enumerate(texts):
+        seen = {int(w) for r, n in zip(rows[owner == i], lengths[owner == i]) for w in r[:n]}
+        assert seen == set(t.tolist()) and (owner == i).any()
+
+
+def test_empty_tables(spark, empty):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    for df in (
+        lines.line_dedup(empty), quality.quality_rules(empty), decontaminate.decontaminate(empty, bench),
+        lm.lm_scores(empty), neardup.near_duplicates(empty), sharding.shard_by_bytes(empty, 24),
+        chat.rotate_perspectives(turns), mixing.mix_sources(empty), paragraphs.repeated_paragraphs(empty),
+        toxicity.toxicity(empty, labels),
+    ):
+        assert df.count() == 0
+
+
+def test_contract_columns(spark):
+    got = {name: set(fn(spark, "/root/testdata/sf0.001").columns) for name, fn in catalog.LLM_QUERIES.items()
+           if name not in ("op3_lm_scoring", "op10_toxicity")}
+    assert got["op1_decontamination"] >= {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"}
+    assert got["op4_minhash_near_dedup"] >= {"doc_id", "n_shingles", "component_id", "kept"}
+    assert got["op5_sharding"] >= {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}
+    assert got["op9_line_dedup"] >= {"doc_id", "n_lines", "n_dropped", "kept_sha256"}
+    assert hashlib.sha256(b"").hexdigest() in {
+        r["items_sha256"] for r in catalog.op1_decontamination(spark, "/root/testdata/sf0.001").collect()}
