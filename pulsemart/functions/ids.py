@@ -17,11 +17,6 @@ def alert_doc_id(mid, ts_ms) -> Column:
     return F.concat(mid_col, idiv(idiv(ts_col, 1000), 60).cast("string"))
 
 
-def epoch_minute(ts_ms) -> Column:
-    ts_col = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms
-    return idiv(idiv(ts_col, 1000), 60)
-
-
 def joined_key(*cols: str, sep: str = "-") -> Column:
     """A string key from several columns, ``sep``-separated."""
     return F.concat_ws(sep, *[F.col(c).cast("string") for c in cols])

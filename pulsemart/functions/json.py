@@ -31,13 +31,3 @@ def parse_json(
             c = c.cast(target) if strict else c.try_cast(target)
         cols.append(c.alias(field.name))
     return df.select(*cols)
-
-
-def to_json_column(*cols: str) -> Column:
-    """The named columns as one JSON object string (nulls omitted)."""
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))
-
-
-def map_to_json(map_col: str) -> Column:
-    """P2 for a change record's after-image: map<string,string> -> JSON text."""
-    return F.to_json(F.col(map_col))

@@ -16,7 +16,9 @@ PROVINCE_BIN_WIDTH = 100
 
 
 def _on_day(df: DataFrame, col: str, day: str | None) -> DataFrame:
-    """optional equality on a day column; pushed to the parquet scan."""
+    """optional equality on a day column.  On a stored table partitioned by
+    that day it prunes folders (``sinks.read_dau_table``, ``read_order_table``);
+    on a day derived from a timestamp it is tested after the scan."""
     return df if day is None else df.where(F.col(col) == F.lit(day))
 
 

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Topic names and the routing rule of the change client.
-TOPIC_ORDER = "GMALL_ORDER"
+TOPIC_ORDER = "TOPIC_ORDER_INFO"
 TOPIC_ORDER_DETAIL = "TOPIC_ORDER_DETAIL"
 TOPIC_USER = "TOPIC_USER_INFO"
-SUBSCRIPTION = "gmall.*"      # regex on "schema.table"
+SUBSCRIPTION = "shop.*"      # regex on "schema.table"
 ROW_KIND = "ROWDATA"
 
 

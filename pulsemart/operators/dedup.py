@@ -16,6 +16,7 @@ from pulsemart.functions.dates import log_hour
 from pulsemart.functions.ids import pair_key, pair_major, pair_minor
 
 KEY = ("mid", "logdate")
+NO_EVENT_ID = -(1 << 63)          # packed in place of a null event id: the lowest long, so it sorts first
 
 
 def dau_table(startup: DataFrame, key=KEY, order=("ts", "event_id")) -> DataFrame:
@@ -35,12 +36,13 @@ def first_seen(startup: DataFrame, key=KEY) -> DataFrame:
     ``(ts, event_id)`` is packed into one ordered decimal, so ``min`` runs as
     a hash aggregate (partial map-side, codegen) instead of the sort-based
     aggregate a struct needs.  Same row as ``dau_table``: earliest ``ts``,
-    ties to the lower event id.
+    ties to the lower event id, a row without one first.
     """
-    firsts = startup.groupBy(*key).agg(F.min(pair_key("ts", "event_id")).alias("_k"))
-    ts = pair_major(F.col("_k"))
+    tie = F.coalesce(F.col("event_id").cast("long"), F.lit(NO_EVENT_ID))
+    firsts = startup.groupBy(*key).agg(F.min(pair_key("ts", tie)).alias("_k"))
+    ts, event_id = pair_major(F.col("_k")), pair_minor(F.col("_k"))
     return firsts.select(
-        *key, ts.alias("ts"), pair_minor(F.col("_k")).alias("event_id"), log_hour(ts).alias("loghour")
+        *key, ts.alias("ts"), F.nullif(event_id, F.lit(NO_EVENT_ID)).alias("event_id"), log_hour(ts).alias("loghour")
     )
 
 

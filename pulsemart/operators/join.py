@@ -126,7 +126,7 @@ def measured_bytes(df: DataFrame) -> int:
     One aggregate job; a single row comes back."""
     strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     fixed = sum(f.dataType().defaultSize() for f in df._jdf.schema().fields() if f.name() not in strings)
-    text = sum((F.coalesce(F.length(c), F.lit(0)) for c in strings), F.lit(0))
+    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in strings), F.lit(0))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("s")).first()
     per_row = fixed + 8 * len(strings)          # offset and length of each string
     return int(row["n"]) * per_row + int(row["s"] or 0)

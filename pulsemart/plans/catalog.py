@@ -32,6 +32,8 @@ ALERT_WINDOW = "12 hours"                # T11: 5 minutes never fires on the tab
 SLIDING_WINDOW, SLIDING_SLIDE = "12 hours", "3 hours"
 SEARCH_KEYWORD = "Gear"                  # case-insensitive on sku_name
 SEARCH_PAGE, SEARCH_SIZE = 2, 20
+SEARCH_DAY = "1995-06-17"
+REPORT_DAY = "2024-01-10"                # the day of the reports over stored tables (F6, S9)
 
 
 def _ms(ts: str) -> int:
@@ -427,6 +429,78 @@ def sales_by_province(t: Tables) -> DataFrame:
     return agg.sales_by_province(A.order_info(t), A.user_provinces(t))
 
 
+@register("sale_search_day", O.with_ctes(*_SALE_USER_CTES) + f"SELECT * FROM sale_user WHERE dt = '{SEARCH_DAY}'")
+def sale_search_day(t: Tables) -> DataFrame:
+    """the search's date filter without a keyword."""
+    return reports.sale_search(_sales_with_users(t), SEARCH_DAY)
+
+
+@register(
+    "sale_search_report",
+    O.with_ctes(*_SALE_USER_CTES, _FOUND)
+    + f"""SELECT 'total' AS section, '' AS key, count(*) AS n, CAST(NULL AS DOUBLE) AS share FROM found
+UNION ALL SELECT 'gender', user_gender, count(*), round(count(*) / sum(count(*)) OVER (), 4) FROM found GROUP BY user_gender
+UNION ALL SELECT 'age', CASE WHEN user_age < 20 THEN '<20' WHEN user_age < 30 THEN '20-29' ELSE '>=30' END,
+  count(*), round(count(*) / sum(count(*)) OVER (), 4) FROM found GROUP BY 2
+UNION ALL (SELECT 'page', order_detail_id, row_number() OVER (ORDER BY dt, order_id, order_detail_id), NULL FROM found
+  ORDER BY dt, order_id, order_detail_id LIMIT {SEARCH_SIZE} OFFSET {(SEARCH_PAGE - 1) * SEARCH_SIZE})""",
+)
+def sale_search_report(t: Tables) -> DataFrame:
+    """Total, facets and a page of one search, its matches computed once."""
+    path = work_dir(t.spark, "sale_search", fresh=True) + "/found"
+    return reports.sale_search_report(_sales_with_users(t), path, None, SEARCH_KEYWORD, SEARCH_PAGE, SEARCH_SIZE)
+
+
+# --- reports of one day over the stored tables (S9, F6, A7-A10) ------------------
+
+def _stored_dau(t: Tables, days: list[str]) -> DataFrame:
+    path = work_dir(t.spark, "dau_table", fresh=True) + "/t"
+    sinks.write_dau_rows(dedup.dau_table(A.startup(t)), path)
+    return sinks.read_dau_table(t.spark, path, days)
+
+
+def _stored_orders(t: Tables, days: list[str]) -> DataFrame:
+    path = work_dir(t.spark, "order_table", fresh=True) + "/t"
+    sinks.write_order_rows(A.purchases(t), path)
+    return sinks.read_order_table(t.spark, path, days)
+
+
+@register(
+    "dau_total_day",
+    O.with_ctes(O.STARTUP) + f"SELECT logdate, count(DISTINCT mid) AS ct FROM startup WHERE logdate = '{REPORT_DAY}' GROUP BY logdate",
+)
+def dau_total_day(t: Tables) -> DataFrame:
+    """A7 + S9: devices of one day from the stored table."""
+    return agg.dau_total(_stored_dau(t, [REPORT_DAY]), REPORT_DAY)
+
+
+@register(
+    "dau_hourly_day",
+    O.with_ctes(O.STARTUP, _DAU_FIRST_SQL) + f"SELECT logdate, loghour AS lh, count(*) AS ct FROM dau WHERE logdate = '{REPORT_DAY}' GROUP BY ALL",
+)
+def dau_hourly_day(t: Tables) -> DataFrame:
+    """A8 + S9: devices of one day by the hour of their first startup."""
+    return agg.dau_hourly(_stored_dau(t, [REPORT_DAY]), REPORT_DAY)
+
+
+@register(
+    "gmv_total_day",
+    O.with_ctes(O.PURCHASES) + f"SELECT create_date, round(sum(total_amount), 2) AS sum_amount FROM purchases WHERE create_date = '{REPORT_DAY}' GROUP BY create_date",
+)
+def gmv_total_day(t: Tables) -> DataFrame:
+    """A9 + S9: order amount of one day from the stored table."""
+    return agg.gmv_total(_stored_orders(t, [REPORT_DAY]), REPORT_DAY)
+
+
+@register(
+    "gmv_hourly_day",
+    O.with_ctes(O.PURCHASES) + f"SELECT create_date, create_hour, round(sum(total_amount), 2) AS sum_amount FROM purchases WHERE create_date = '{REPORT_DAY}' GROUP BY ALL",
+)
+def gmv_hourly_day(t: Tables) -> DataFrame:
+    """A10 + S9: order amount of one day by hour from the stored table."""
+    return agg.gmv_hourly(_stored_orders(t, [REPORT_DAY]), REPORT_DAY)
+
+
 # --- alert (A3-A6, W1-W3, P9) ----------------------------------------------------
 
 
@@ -521,7 +595,7 @@ def cdc_rows(t: Tables) -> DataFrame:
 @register(
     "cdc_route",
     O.with_ctes(_CHANGE_COUNTS)
-    + """SELECT CASE table_name WHEN 'order_info' THEN 'GMALL_ORDER' WHEN 'order_detail' THEN 'TOPIC_ORDER_DETAIL'
+    + """SELECT CASE table_name WHEN 'order_info' THEN 'TOPIC_ORDER_INFO' WHEN 'order_detail' THEN 'TOPIC_ORDER_DETAIL'
   ELSE 'TOPIC_USER_INFO' END AS topic, sum(n) AS n_rows
 FROM counts WHERE op <> 'DELETE' GROUP BY ALL""",
 )

@@ -7,14 +7,12 @@ answers for every day at once, which is the same plan minus the filter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsemart.functions.dates import DAY_FORMAT, next_day, previous_day
+from pulsemart.functions.dates import DAY_FORMAT, next_day
 from pulsemart.operators.aggregates import dau_hourly, dau_total, facet_age, facet_gender, gmv_hourly, gmv_total
 
-KPI_IDS = ("dau", "new_mid", "order_amount")
-HOURS = [f"{h:02d}" for h in range(24)]
 
 
 def new_devices(dau: DataFrame) -> DataFrame:
@@ -152,12 +150,22 @@ def sale_search_page(found: DataFrame, page: int = 1, size: int = 20) -> DataFra
     return found.orderBy(*SEARCH_ORDER).offset((page - 1) * size).limit(size)
 
 
-def sale_search_result(sales: DataFrame, day=None, keyword="", page=1, size=20) -> dict[str, DataFrame]:
-    """Total, one page and the two facets of one search, over one filtered frame."""
-    found = sale_search(sales, day, keyword)
-    return {
-        "total": sale_search_total(found),
-        "rows": sale_search_page(found, page, size),
-        "gender": facet_gender(found),
-        "age": facet_age(found),
-    }
+def sale_search_report(sales: DataFrame, path: str, day=None, keyword="", page=1, size=20) -> DataFrame:
+    """Total, facets and one page of one search as rows (section, key, n, share).
+
+    The matches are written once to ``path`` and every section reads them from
+    there, so the joins behind ``sales`` run once.  A page row's ``n`` is its
+    place in the whole result.
+    """
+    sale_search(sales, day, keyword).write.mode("overwrite").parquet(path)
+    found = sales.sparkSession.read.parquet(path)
+    no_share = F.lit(None).cast("double").alias("share")
+    total = sale_search_total(found).select(F.lit("total").alias("section"), F.lit("").alias("key"), F.col("total").alias("n"), no_share)
+    facets = [
+        facet.select(F.lit(name).alias("section"), F.col("bucket").alias("key"), F.col("ct").alias("n"), "share")
+        for name, facet in (("gender", facet_gender(found)), ("age", facet_age(found)))
+    ]
+    place = F.row_number().over(Window.orderBy(*SEARCH_ORDER)) + F.lit((page - 1) * size)    # of one page's rows
+    rows = sale_search_page(found, page, size).select(
+        F.lit("page").alias("section"), F.col("order_detail_id").alias("key"), place.cast("long").alias("n"), no_share)
+    return total.unionByName(facets[0]).unionByName(facets[1]).unionByName(rows)

@@ -13,6 +13,7 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType(), True) for n in names]
 
 
+# Field names of the records.
 STARTUP_FIELDS = ("mid", "uid", "appid", "area", "os", "ch", "type", "vs")
 EVENT_FIELDS = ("mid", "uid", "appid", "area", "os", "type", "evid", "pgid", "npgid", "itemid")
 ORDER_INFO_FIELDS = (
@@ -23,15 +24,6 @@ ORDER_INFO_FIELDS = (
 ORDER_DETAIL_FIELDS = ("id", "order_id", "sku_name", "sku_id", "order_price", "img_url", "sku_num")
 USER_INFO_FIELDS = ("id", "login_name", "user_level", "birthday", "gender")
 
-# Typed form after parsing: everything string except these.
-TYPED = {
-    "ts": T.LongType(),
-    "event_id": T.LongType(),
-    "total_amount": T.DoubleType(),
-    "seq": T.LongType(),
-}
-
-
 def wire_schema(fields, extra=("ts", "event_id")) -> T.StructType:
     """All-string JSON schema of a stream record (ids, amounts and ts included)."""
     return T.StructType(_strings(*fields, *extra))
@@ -41,7 +33,6 @@ STARTUP_WIRE = wire_schema(STARTUP_FIELDS)
 EVENT_WIRE = wire_schema(EVENT_FIELDS)
 ORDER_INFO_WIRE = wire_schema(ORDER_INFO_FIELDS, extra=("event_ts",))
 ORDER_DETAIL_WIRE = wire_schema(ORDER_DETAIL_FIELDS, extra=("event_ts",))
-USER_INFO_WIRE = wire_schema(USER_INFO_FIELDS, extra=("seq",))
 
 CHANGES = T.StructType(
     [
@@ -53,8 +44,3 @@ CHANGES = T.StructType(
         T.StructField("seq", T.LongType(), True),
     ]
 )
-
-SALE_DETAIL_COLUMNS = (
-    "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id",
-    "user_gender", "user_age", "user_level", "sku_price", "sku_name", "dt",
-)

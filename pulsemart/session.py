@@ -3,7 +3,7 @@
 Nothing here hard-codes a cluster.  ``configure`` only sets SQL options that
 every query relies on (UTC session zone, AQE); ``work_dir`` returns the shared
 folder named by ``spark.checkpoint.dir`` and creates a private one only when
-the setting is absent (local tests).
+the setting is absent and the master is local (tests).
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ _RUNTIME_CONF = {
     # no side is broadcast on a guess.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Streaming state off the JVM heap (RocksDB), committed as a per-batch
     # changelog instead of a snapshot upload: commit cost follows the rows a
     # batch changed, not the size of the state.  Both settings are stored in
@@ -87,7 +86,8 @@ def work_dir(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
     The dir comes from ``spark.checkpoint.dir`` (or the context's checkpoint
     dir).  Only when neither is set -- local tests -- a private folder is made
     and registered as the checkpoint dir.  ``fresh`` appends a unique leaf so a
-    run never reuses another run's files.
+    run never reuses another run's files.  On a cluster a missing setting is an
+    error: a private folder would be a different one on every machine.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
@@ -95,6 +95,8 @@ def work_dir(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
         sc.setCheckpointDir(named)          # the cluster's folder, for DataFrame.checkpoint()
     base = named or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="pulsemart-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

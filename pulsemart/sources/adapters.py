@@ -176,7 +176,7 @@ def changes(t: Tables) -> DataFrame:
     o, li, c = t.orders, t.lineitem, t.customer
     s = lambda col: F.col(col).cast("string")
 
-    def entry(op, after, seq, schema="gmall", kind="ROWDATA"):
+    def entry(op, after, seq, schema="shop", kind="ROWDATA"):
         return F.struct(
             F.lit(schema).alias("schema_name"),
             F.lit(kind).alias("kind"),

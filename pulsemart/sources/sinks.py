@@ -23,13 +23,6 @@ def write_topics(routed: DataFrame, path: str, mode: str = "append") -> None:
     routed.select("topic", "value").write.mode(mode).partitionBy("topic").text(path)
 
 
-def read_topic(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
-    """Read topic files back; ``topic`` column included when reading all topics."""
-    if topic is None:
-        return spark.read.text(path)
-    return spark.read.text(f"{path.rstrip('/')}/topic={topic}")
-
-
 def upsert(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch of keyed rows; replays of the same batch overwrite it."""
     (
@@ -188,6 +181,22 @@ def read_dau_table(spark: SparkSession, path: str, days: list[str] | None = None
     return df.toDF(*[c.lower() for c in df.columns])
 
 
+ORDER_PARTITION = "CREATE_DATE"
+
+
+def write_order_rows(rows: DataFrame, path: str) -> None:
+    """S4 + P12 for the order table: upper-case columns, partitioned by day."""
+    upper_case_columns(rows).write.mode("append").partitionBy(ORDER_PARTITION).parquet(path)
+
+
+def read_order_table(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The stored order table with lower-case columns; ``days`` prunes partitions."""
+    df = spark.read.parquet(path).withColumn(ORDER_PARTITION, F.col(ORDER_PARTITION).cast("string"))
+    if days is not None:
+        df = df.where(F.col(ORDER_PARTITION).isin(days))
+    return df.toDF(*[c.lower() for c in df.columns])
+
+
 # --- small files of the DAU table -------------------------------------------------
 
 TARGET_FILE_BYTES = 128 << 20     # about one file per 128 MB after compaction

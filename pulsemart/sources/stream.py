@@ -1,8 +1,8 @@
 """Topic source (S1) and a time-ordered replay of tables into topic files.
 
 ``topic_stream`` yields a streaming DataFrame with one ``value`` string per
-record -- what a Kafka topic carries.  It reads Kafka when the connector is on
-the classpath and a directory of text files (one JSON per line) otherwise.
+record -- what a Kafka topic carries -- from the named Kafka cluster or from the
+named directory of text files (one JSON per line).
 
 ``replay`` turns a table into such a topic directory for the stream twins.
 Files are written slice by slice in event-time order, one write job per
@@ -17,13 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def kafka_available(spark: SparkSession) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
-        return True
-    except Exception:  # noqa: BLE001 - the class is simply absent
-        return False
+NO_TIME = "__HIVE_DEFAULT_PARTITION__"     # Spark's folder name for a null partition value
 
 
 def topic_stream(
@@ -32,14 +26,20 @@ def topic_stream(
     path: str | None = None,
     bootstrap: str | None = None,
     max_per_trigger: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """A streaming DataFrame of (value) strings from ``topic``.
 
-    With ``bootstrap`` and the Kafka connector present it subscribes to the
-    topic (offsets tracked by the query checkpoint, not auto-committed --
-    SURVEY D6/D7); otherwise it reads text files under ``path``.
+    ``bootstrap`` names a Kafka cluster: the topic is subscribed through Spark's
+    connector (offsets tracked by the query checkpoint, not auto-committed --
+    SURVEY D6/D7), and Spark's error is raised where the connector is missing.
+    ``path`` names a directory of text files instead.  Exactly one is given.
+    ``max_per_trigger`` bounds a micro-batch in offsets or files, ``max_bytes``
+    (files only) in bytes.
     """
-    if bootstrap and kafka_available(spark):
+    if (bootstrap is None) == (path is None):
+        raise ValueError("name either a Kafka cluster or a topic directory")
+    if bootstrap is not None:
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap)
@@ -49,11 +49,11 @@ def topic_stream(
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return reader.load().select(F.col("value").cast("string").alias("value"))
-    if path is None:
-        raise ValueError("a topic directory is needed when Kafka is not used")
     reader = spark.readStream.format("text")
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return reader.load(path)
 
 
@@ -61,39 +61,29 @@ def replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: l
     """Write ``df`` as JSON lines under ``path``, in event-time slices of ``slice_ms``.
 
     ``time_col`` is epoch ms (long) or a timestamp.  Only the slice numbers
-    (span / ``slice_ms`` of them) come to the driver.  Returns the number of
-    slices written.
+    (span / ``slice_ms`` of them) come to the driver.  Rows without a time are
+    a slice of their own, written first.  Returns the number of slices written.
     """
     return _replay(df, path, time_col, slice_ms, value_cols)
 
 
 def publish(
-    df: DataFrame, path: str, value_cols: list[str] | None = None, value=None, min_files: int = 1
+    df: DataFrame, path: str, value_cols: list[str] | None = None, value=None, records_per_file: int = 0
 ) -> None:
     """Write ``df`` as one topic of JSON lines in a single job.
 
     For consumers that do not depend on arrival order (no watermark, or
     order carried inside the record), so no time slicing is needed.  The
     record is the JSON of ``value_cols`` (all columns by default) or the
-    given ``value`` column.  ``min_files`` gives a small table at least that
-    many files -- topic partitions -- so a rate-limited stream reads it in
-    several micro-batches; a table that already has as many splits is
-    written as it is, without a shuffle.
+    given ``value`` column.  ``records_per_file`` cuts a task's output into
+    files of so many records, so that a byte-limited stream reads a topic in
+    several micro-batches; nothing is shuffled for it.
     """
     if value is None:
         cols = value_cols or list(df.columns)
         value = F.to_json(F.struct(*[F.col(c) for c in cols]))
     out = df.select(value.alias("value"))
-    if out.rdd.getNumPartitions() < min_files:
-        out = out.repartition(min_files)
-    out.write.mode("append").text(path)
-
-
-def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
-    """A file-source rate limit that drains ``path`` in about ``batches``
-    micro-batches (file listing only; no data read)."""
-    n = sum(1 for name in _list_names(spark, path) if not name.startswith(("_", ".")))
-    return max(1, -(-n // max(1, batches)))
+    out.write.mode("append").option("maxRecordsPerFile", str(records_per_file)).text(path)
 
 
 def _list_names(spark: SparkSession, path: str) -> list[str]:
@@ -126,12 +116,12 @@ def _replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols:
     payload = F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")
     staging = f"{path.rstrip('/')}_staging"
     (
-        df.where(t.isNotNull())            # a row without a time belongs to no slice
-        .select(payload, (ms - F.pmod(ms, F.lit(slice_ms))).alias("_slice"))
+        df.select(payload, (ms - F.pmod(ms, F.lit(slice_ms))).alias("_slice"))
         .write.mode("overwrite").partitionBy("_slice").text(staging)
     )
     names = _list_names(spark, staging)
-    slices = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("_slice="))
+    found = [n.split("=", 1)[1] for n in names if n.startswith("_slice=")]
+    slices = [s for s in found if s == NO_TIME] + sorted((s for s in found if s != NO_TIME), key=int)
     for start in slices:
         spark.read.text(f"{staging}/_slice={start}").write.mode("append").text(path)
     _delete(spark, staging)

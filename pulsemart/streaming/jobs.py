@@ -20,18 +20,17 @@ from pulsemart.functions.json import parse_json
 from pulsemart.operators import alert, cdc, dedup, join
 from pulsemart.plans import catalog
 from pulsemart.plans import oracle as O
-from pulsemart.schemas import EVENT_WIRE, STARTUP_WIRE, wire_schema
+from pulsemart.schemas import EVENT_WIRE, ORDER_DETAIL_WIRE, ORDER_INFO_WIRE, STARTUP_WIRE, wire_schema
 from pulsemart.session import configure, work_dir
 from pulsemart.sources import adapters as A
 from pulsemart.sources import sinks
-from pulsemart.sources.stream import files_per_trigger, publish, replay, topic_stream
+from pulsemart.sources.stream import publish, replay, topic_stream
 from pulsemart.sources.tables import Tables
 
 DAY_MS = 86_400_000
 BATCH_INTERVAL = "5 seconds"      # the reference's micro-batch (W4)
-FILES_PER_TRIGGER = 16            # default file-source rate: files per micro-batch
-REPLAY_BATCHES = 4                # a replayed topic is drained in about this many micro-batches
-RUN_TIMEOUT_S = 900
+BATCH_BYTES = 8 << 20             # most of a replayed topic that one micro-batch reads
+TOPIC_FILE_RECORDS = 20_000       # records in a file of a replayed topic
 COMPACT_EVERY = 2                 # keyed stream sinks fold their committed batches this often
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,13 +59,15 @@ def run_available_now(
     sink_path: str | None = None,
     foreach_batch=None,
     output_mode: str = "append",
-    timeout_s: int = RUN_TIMEOUT_S,
+    timeout_s: float | None = None,
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
 ) -> None:
     """Drain everything available, then stop.  Restarting with the same
     checkpoint resumes where it stopped (exactly-once file sink, or an
-    idempotent ``foreachBatch`` keyed by batch id)."""
+    idempotent ``foreachBatch`` keyed by batch id).  It runs for as long as the
+    input takes; a caller may set a limit, beyond which the stream is stopped
+    and a TimeoutError raised."""
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
@@ -76,12 +77,13 @@ def run_available_now(
             w = w.partitionBy(*partition_by)
     q = _start(stream.sparkSession, w.trigger(availableNow=True))
     try:
-        finished = q.awaitTermination(timeout_s)
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            raise TimeoutError(f"stream did not finish within {timeout_s}s")
     finally:
         if q.isActive:
             q.stop()
-    if not finished:
-        raise TimeoutError(f"stream did not finish within {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
@@ -187,29 +189,49 @@ def build_dau_stream(values: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 _ORDER_FIELDS = ("id", "user_id", "order_status", "create_time")
-_LINE_FIELDS = ("id", "order_id", "sku_id", "order_price")
 
 
-def build_order_line_join(
-    order_values: DataFrame, line_values: DataFrame, delay: str = "730 days",
-    before: str = join.LINE_BEFORE, after: str = join.LINE_AFTER,
+def build_sale_detail_stream(
+    order_values: DataFrame, line_values: DataFrame, delay: str,
+    before: str = join.LINE_BEFORE, after: str = join.LINE_AFTER, salts: int = 1,
 ) -> DataFrame:
-    """J3 + O2: stream-stream interval join; expiring buffers become join state.
+    """J3 + O2 + P5 + P8: the wide sale row of every (order, line) pair within the
+    interval, as a stream-stream join; expiring buffers become join state.
 
     Spark drops each side's state once the other side's watermark rules out a
     match (an order after ``after``, a line after ``before``): the
-    reference's 10 s / 20 s buffers, here scaled to days (T9).
+    reference's 10 s / 20 s buffers, here scaled to days (T9).  ``salts``
+    spreads a hot order: its lines over so many state partitions, a copy of
+    the order in each.
     """
-    o = parse_json(order_values, "value", wire_schema(_ORDER_FIELDS, extra=("event_ts",)),
-                   casts={"event_ts": "timestamp"})
-    li = parse_json(line_values, "value", wire_schema(_LINE_FIELDS, extra=("event_ts",)),
-                    casts={"event_ts": "timestamp"})
-    o = o.select(F.col("id").alias("o_id"), F.col("event_ts").alias("order_ts")).withWatermark("order_ts", delay)
-    li = li.select(F.col("order_id").alias("l_order_id"), F.col("id").alias("order_detail_id"),
-                   F.col("event_ts").alias("line_ts")).withWatermark("line_ts", delay)
-    cond = (F.col("o_id") == F.col("l_order_id")) & join.interval_condition(
+    o = with_order_date_hour(parse_json(order_values, "value", ORDER_INFO_WIRE, casts={"event_ts": "timestamp"}))
+    o = o.select(
+        F.col("id").alias("order_id"), "order_status", "create_time", "user_id", F.col("create_date").alias("dt"),
+        F.col("event_ts").alias("order_ts"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("o_salt"),
+    ).withWatermark("order_ts", delay)
+    li = parse_json(line_values, "value", ORDER_DETAIL_WIRE, casts={"event_ts": "timestamp"})
+    li = li.select(
+        F.col("id").alias("order_detail_id"), F.col("order_id").alias("l_order_id"), "sku_id", "sku_name",
+        F.col("order_price").cast("double").alias("sku_price"), F.col("event_ts").alias("line_ts"),
+        F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("l_salt"),
+    ).withWatermark("line_ts", delay)
+    cond = (F.col("order_id") == F.col("l_order_id")) & (F.col("o_salt") == F.col("l_salt")) & join.interval_condition(
         F.col("order_ts"), F.col("line_ts"), before, after)
-    return o.join(li, cond, "inner").select(F.col("o_id").alias("order_id"), "order_detail_id")
+    return o.join(li, cond, "inner").select(
+        "order_detail_id", "order_id", "order_status", "create_time", "user_id",
+        "sku_id", "sku_price", "sku_name", "dt",
+    )
+
+
+def sale_document_writer(users_path: str, path: str, as_of: str):
+    """J4 + P6 + S5: each micro-batch of sale rows is joined with the latest
+    user table as it is then, and upserted as documents by ``order_detail_id``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        users = sinks.read_upserted(batch.sparkSession, users_path, "id", order="seq")
+        sinks.upsert_documents(join.with_user(batch, users, as_of), path, batch_id, id_col="order_detail_id")
+
+    return write
 
 
 def build_latest_user_stream(values: DataFrame) -> DataFrame:
@@ -265,7 +287,7 @@ def stream_source_rows(t: Tables) -> DataFrame:
     topic, _, ckpt, sink = _dirs(t, "source_rows")
     ev = A.event(t).withColumn("event_id", F.col("event_id").cast("string"))
     publish(ev, topic, ["mid", "uid", "evid", "itemid", "ts", "event_id"])
-    stream = build_event_stream(topic_stream(t.spark, "GMALL_EVENT", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
+    stream = build_event_stream(topic_stream(t.spark, "TOPIC_EVENT", topic, max_bytes=BATCH_BYTES))
     run_available_now(stream.select("event_id", "mid", "evid", F.col("ts").alias("ts_ms")), ckpt, sink)
     return t.spark.read.parquet(sink)
 
@@ -279,12 +301,24 @@ def dau_stream_dedup(t: Tables) -> DataFrame:
     topic, _, ckpt, sink = _dirs(t, "dau")
     st = A.startup(t).withColumn("event_id", F.col("event_id").cast("string"))
     replay(st, topic, "ts", DAY_MS, ["mid", "uid", "area", "os", "vs", "ts", "event_id"])
-    stream = build_dau_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
+    stream = build_dau_stream(topic_stream(t.spark, "TOPIC_STARTUP", topic, max_bytes=BATCH_BYTES))
     run_available_now(stream.select("mid", "logdate", "loghour", "ts", "event_id"), ckpt, sink)
     return t.spark.read.parquet(sink).select("mid", "logdate")
 
 
-_JOIN_DELAY_MS = 730 * DAY_MS
+_JOIN_SLICE_DAYS = 365            # both topics are replayed in slices of this length
+
+
+def _sale_streams(t: Tables, topic_o: str, topic_l: str, salts: int = 1) -> DataFrame:
+    """Orders and lines as two topics in the same slices; the watermark delay is
+    a slice, so no row of a half-read slice is late."""
+    replay(A.order_info(t).drop("create_date", "create_hour"), topic_o, "event_ts", _JOIN_SLICE_DAYS * DAY_MS)
+    replay(A.order_detail(t), topic_l, "event_ts", _JOIN_SLICE_DAYS * DAY_MS)
+    return build_sale_detail_stream(
+        topic_stream(t.spark, cdc.TOPIC_ORDER, topic_o, max_bytes=BATCH_BYTES),
+        topic_stream(t.spark, cdc.TOPIC_ORDER_DETAIL, topic_l, max_bytes=BATCH_BYTES),
+        f"{_JOIN_SLICE_DAYS} days", salts=salts,
+    )
 
 
 @_register(
@@ -294,16 +328,27 @@ _JOIN_DELAY_MS = 730 * DAY_MS
 def order_line_stream_join(t: Tables) -> DataFrame:
     """J3 + O2: orders and lines as two topics, joined by a stream-stream interval join."""
     topic_o, topic_l, ckpt, sink = _dirs(t, "order_line")
-    orders = A.order_info(t)
-    lines = A.order_detail(t, with_sku_name=False)
-    replay(orders, topic_o, "event_ts", _JOIN_DELAY_MS, [*_ORDER_FIELDS, "event_ts"])
-    replay(lines, topic_l, "event_ts", _JOIN_DELAY_MS, [*_LINE_FIELDS, "event_ts"])
-    stream = build_order_line_join(
-        topic_stream(t.spark, "GMALL_ORDER", topic_o, max_per_trigger=files_per_trigger(t.spark, topic_o, REPLAY_BATCHES)),
-        topic_stream(t.spark, "TOPIC_ORDER_DETAIL", topic_l, max_per_trigger=files_per_trigger(t.spark, topic_l, REPLAY_BATCHES)),
-    )
-    run_available_now(stream, ckpt, sink)
-    return t.spark.read.parquet(sink)
+    run_available_now(_sale_streams(t, topic_o, topic_l), ckpt, sink)
+    return t.spark.read.parquet(sink).select("order_id", "order_detail_id")
+
+
+_SALE_STREAM_CTES = (
+    O.ORDER_INFO, O.ORDER_DETAIL,
+    O.SALE_DETAIL[:-1] + " AND d.event_ts BETWEEN o.event_ts - INTERVAL 20 DAY AND o.event_ts + INTERVAL 10 DAY)",
+    O.USERS, O.LATEST_USERS, catalog._SALE_USER_SQL.replace("current_users", "latest_users"),
+)
+
+
+@_register("sale_detail_stream", O.with_ctes(*_SALE_STREAM_CTES) + "SELECT * FROM sale_user")
+def sale_detail_stream(t: Tables) -> DataFrame:
+    """J3 + P5-P8 + J4 + S5: the reference's sale job -- orders and lines joined,
+    the latest user looked up per micro-batch, documents upserted by line id."""
+    topic_o, topic_l, ckpt, table = _dirs(t, "sale_detail")
+    users = work_dir(t.spark, "streams", "sale_users", fresh=True)
+    sinks.upsert(cdc.latest_user(A.changes(t)), users, 0)
+    stream = _sale_streams(t, topic_o, topic_l, salts=4)
+    run_available_now(stream, ckpt, foreach_batch=sale_document_writer(users, table, catalog.AS_OF))
+    return sinks.read_upserted(t.spark, table, "order_detail_id")
 
 
 @_register(
@@ -317,8 +362,8 @@ def latest_user_stream(t: Tables) -> DataFrame:
     # The arrival order of one replayed file set is not the change order, so the
     # change sequence travels inside the record.
     value = F.to_json(F.map_concat("after", F.create_map(F.lit("seq"), F.col("seq").cast("string"))))
-    publish(rows, topic, value=value, min_files=2 * REPLAY_BATCHES)
-    stream = build_latest_user_stream(topic_stream(t.spark, cdc.TOPIC_USER, topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
+    publish(rows, topic, value=value, records_per_file=TOPIC_FILE_RECORDS)
+    stream = build_latest_user_stream(topic_stream(t.spark, cdc.TOPIC_USER, topic, max_bytes=BATCH_BYTES))
     writer = upsert_each_batch(table, key="id", order="seq", compact_every=COMPACT_EVERY)
     run_available_now(stream, ckpt, foreach_batch=writer, output_mode="update")
     return sinks.read_upserted(t.spark, table, "id", order="seq")
@@ -335,7 +380,7 @@ def coupon_alert_stream(t: Tables) -> DataFrame:
     ev = A.event(t).withColumn("event_id", F.col("event_id").cast("string"))
     replay(ev, topic, "ts", _ALERT_SLICE_MS, ["mid", "uid", "evid", "itemid", "ts", "event_id"])
     stream = build_alert_stream(
-        topic_stream(t.spark, "GMALL_EVENT", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)),
+        topic_stream(t.spark, "TOPIC_EVENT", topic, max_bytes=BATCH_BYTES),
         catalog.ALERT_WINDOW, "3 days",
     ).withColumn("_key", F.concat_ws("|", "mid", "window_start"))
     writer = upsert_each_batch(table, key="_key", compact_every=COMPACT_EVERY)
@@ -352,8 +397,8 @@ def dau_stream_upsert(t: Tables) -> DataFrame:
     first arriving startup of a device-day wins (H1), so only keys compare."""
     topic, _, ckpt, table = _dirs(t, "dau_upsert")
     st = A.startup(t).withColumn("event_id", F.col("event_id").cast("string"))
-    publish(st, topic, ["mid", "uid", "area", "os", "vs", "ts", "event_id"], min_files=2 * REPLAY_BATCHES)
-    stream = build_startup_stream(topic_stream(t.spark, "GMALL_STARTUP", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES)))
+    publish(st, topic, ["mid", "uid", "area", "os", "vs", "ts", "event_id"], records_per_file=TOPIC_FILE_RECORDS)
+    stream = build_startup_stream(topic_stream(t.spark, "TOPIC_STARTUP", topic, max_bytes=BATCH_BYTES))
     # Production file bound: a few micro-batches stay under it (compaction
     # itself is covered by the sink tests).
     writer = dau_batch_writer(table, compact_every=COMPACT_EVERY)
@@ -369,9 +414,9 @@ def cdc_route_stream(t: Tables) -> DataFrame:
     written in one job."""
     topic, _, ckpt, sink = _dirs(t, "cdc_route")
     changes = A.changes(t)
-    publish(changes, topic, value=F.to_json(F.struct(*changes.columns)), min_files=2 * REPLAY_BATCHES)
+    publish(changes, topic, value=F.to_json(F.struct(*changes.columns)), records_per_file=TOPIC_FILE_RECORDS)
     stream = build_route_stream(
-        topic_stream(t.spark, "CHANGES", topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES))
+        topic_stream(t.spark, "CHANGES", topic, max_bytes=BATCH_BYTES)
     )
     run_available_now(stream, ckpt, sink, partition_by=["topic"], fmt="text")
     return t.spark.read.text(sink).groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -384,9 +429,9 @@ def gmv_stream_upsert(t: Tables) -> DataFrame:
     table by id (folding committed batches) -> amount and orders per day."""
     topic, _, ckpt, table = _dirs(t, "gmv")
     routed = cdc.route(A.changes(t)).where(F.col("topic") == cdc.TOPIC_ORDER)
-    publish(routed, topic, value=F.col("value"), min_files=2 * REPLAY_BATCHES)
+    publish(routed, topic, value=F.col("value"), records_per_file=TOPIC_FILE_RECORDS)
     stream = build_order_stream(
-        topic_stream(t.spark, cdc.TOPIC_ORDER, topic, max_per_trigger=files_per_trigger(t.spark, topic, REPLAY_BATCHES))
+        topic_stream(t.spark, cdc.TOPIC_ORDER, topic, max_bytes=BATCH_BYTES)
     )
     writer = upsert_each_batch(table, key="id", compact_every=COMPACT_EVERY)
     run_available_now(stream, ckpt, foreach_batch=writer)

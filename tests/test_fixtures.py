@@ -217,9 +217,9 @@ def _changes(spark, rows):
 
 def test_user_update_wins_over_replayed_insert(spark):
     ch = _changes(spark, [
-        ("gmall", "user_info", "ROWDATA", "INSERT", {"id": "1", "user_level": "a"}, 10),
-        ("gmall", "user_info", "ROWDATA", "UPDATE", {"id": "1", "user_level": "b"}, 11),
-        ("gmall", "user_info", "ROWDATA", "INSERT", {"id": "1", "user_level": "a"}, 10),
+        ("shop", "user_info", "ROWDATA", "INSERT", {"id": "1", "user_level": "a"}, 10),
+        ("shop", "user_info", "ROWDATA", "UPDATE", {"id": "1", "user_level": "b"}, 11),
+        ("shop", "user_info", "ROWDATA", "INSERT", {"id": "1", "user_level": "a"}, 10),
     ])
     out = cdc.latest_user(ch).collect()
     assert [(r.id, r.user_level) for r in out] == [("1", "b")]
@@ -227,14 +227,14 @@ def test_user_update_wins_over_replayed_insert(spark):
 
 def test_order_delete_and_update_not_routed(spark):
     ch = _changes(spark, [
-        ("gmall", "order_info", "ROWDATA", "DELETE", {"id": "1"}, 1),
-        ("gmall", "order_info", "ROWDATA", "UPDATE", {"id": "1"}, 2),
-        ("gmall", "order_info", "ROWDATA", "INSERT", {"id": "2"}, 3),
-        ("gmall", "order_info", "TRANSACTIONEND", None, None, 4),
+        ("shop", "order_info", "ROWDATA", "DELETE", {"id": "1"}, 1),
+        ("shop", "order_info", "ROWDATA", "UPDATE", {"id": "1"}, 2),
+        ("shop", "order_info", "ROWDATA", "INSERT", {"id": "2"}, 3),
+        ("shop", "order_info", "TRANSACTIONEND", None, None, 4),
         ("other", "order_info", "ROWDATA", "INSERT", {"id": "3"}, 5),
     ])
     out = cdc.route(ch).collect()
-    assert [(r.topic, r.key) for r in out] == [("GMALL_ORDER", "2")]
+    assert [(r.topic, r.key) for r in out] == [("TOPIC_ORDER_INFO", "2")]
 
 
 def test_quoted_numbers_parse(spark):

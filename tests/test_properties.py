@@ -103,7 +103,7 @@ def test_latest_and_current_users_match_a_fold_of_the_feed(spark, changes, order
     for seq, (uid, op, level) in enumerate(changes):
         after = {"id": uid} if op == "DELETE" else {"id": uid, "login_name": f"n{uid}", "user_level": level,
                                                       "birthday": "2000-01-01", "gender": "F"}
-        rows.append(("gmall", "user_info", "ROWDATA", op, after, seq))
+        rows.append(("shop", "user_info", "ROWDATA", op, after, seq))
     order.shuffle(rows)      # arrival order is not the change order; seq is
     df = spark.createDataFrame(rows, "schema_name string, table_name string, kind string, op string, "
                                      "after map<string,string>, seq long")

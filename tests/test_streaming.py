@@ -25,7 +25,7 @@ def test_dau_stream_restart_equals_batch(spark):
     replay(st.where(F.col("ts") < split), topic, "ts", DAY_MS, cols)
 
     def run():
-        stream = build_dau_stream(topic_stream(spark, "GMALL_STARTUP", topic, max_per_trigger=2))
+        stream = build_dau_stream(topic_stream(spark, "TOPIC_STARTUP", topic, max_per_trigger=2))
         run_available_now(stream.select("mid", "logdate"), ckpt, sink)
 
     run()
@@ -53,7 +53,7 @@ def test_processing_time_dau_job_over_arriving_files(spark):
     cols = ["mid", "uid", "area", "os", "vs", "ts", "event_id"]
     split = st.agg(F.min("ts")).first()[0] + 15 * DAY_MS
     publish(st.where(F.col("ts") < split), topic, cols)
-    stream = build_startup_stream(topic_stream(spark, "GMALL_STARTUP", topic, max_per_trigger=2)).drop("event_time")
+    stream = build_startup_stream(topic_stream(spark, "TOPIC_STARTUP", topic, max_per_trigger=2)).drop("event_time")
     q = start_processing_time(stream, ckpt, foreach_batch=dau_batch_writer(table), interval="1 second")
     try:
         q.processAllAvailable()

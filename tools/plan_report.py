@@ -4,8 +4,7 @@
 
 Plans are taken in their at-scale shape: the static broadcast bound is off
 (at 100 TB no table side is estimated small; AQE may still broadcast at run
-time from measured sizes) and scans are not spread (a cluster's scans have
-more splits than task slots).  Queries that write as part of their plan
+time from measured sizes).  Queries that write as part of their plan
 (topic and upsert sinks) and the stream twins are left out.
 """
 
@@ -17,7 +16,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import pulsemart.sources.tables as tables  # noqa: E402
 from pulsemart.plans.catalog import QUERIES  # noqa: E402
 from pulsemart.session import get_session  # noqa: E402
 
@@ -41,7 +39,6 @@ COUNTED = [
 def main(argv: list[str]) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
-    tables.SPREAD_MIN_BYTES = 1 << 62
     print("| query | " + " | ".join(name for name, _ in COUNTED) + " |")
     print("| --- |" + " --- |" * len(COUNTED))
     for name, fn in QUERIES.items():
