@@ -188,7 +188,7 @@ def repeated_paragraphs(
     repeated = stored(rooted.select("cls", "root").join(several, "root").select("cls", "first", "component"), "paragraph_repeated")
     own = Window.partitionBy("doc", "text_hash").orderBy("word")
     starts = F.coalesce(F.lag(F.col("word") + F.col("n_words")).over(own) < F.col("word"), F.lit(True))
-    out = found.drop("keys").distinct().join(repeated, "cls").withColumn("starts", starts.cast("int"))
+    out = found.drop("keys").join(repeated, "cls").distinct().withColumn("starts", starts.cast("int"))
     run = F.sum("n_words").over(Window.partitionBy("doc", "text_hash", "run"))
     out = out.withColumn("run", F.sum("starts").over(own)).withColumn("run_words", run)
     return out.filter(F.col("run_words") >= MIN_RUN).select(
