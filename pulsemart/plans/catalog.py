@@ -666,7 +666,8 @@ def upsert_documents(t: Tables) -> DataFrame:
         F.col("order_detail_id").alias("doc_id"), "order_id", "order_status", "sku_price"
     )
     sinks.upsert_documents(docs, path, batch_id=1)
+    first = t.spark.read.parquet(f"{path}/{sinks.BATCH_COL}=1")        # the joins run once
     sinks.upsert_documents(
-        docs.where(F.col("order_status") == "O").withColumn("order_status", F.lit("F")), path, batch_id=2
+        first.where(F.col("order_status") == "O").withColumn("order_status", F.lit("F")), path, batch_id=2
     )
     return sinks.read_upserted(t.spark, path, "doc_id", tiebreak="sku_price")

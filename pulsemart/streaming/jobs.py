@@ -339,16 +339,22 @@ _SALE_STREAM_CTES = (
 )
 
 
-@_register("sale_detail_stream", O.with_ctes(*_SALE_STREAM_CTES) + "SELECT * FROM sale_user")
+@_register(
+    "sale_detail_stream",
+    O.with_ctes(*_SALE_STREAM_CTES)
+    + """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_detail_id ORDER BY sku_price DESC) AS rn FROM sale_user) WHERE rn = 1""",
+)
 def sale_detail_stream(t: Tables) -> DataFrame:
     """J3 + P5-P8 + J4 + S5: the reference's sale job -- orders and lines joined,
-    the latest user looked up per micro-batch, documents upserted by line id."""
+    the latest user looked up per micro-batch, documents upserted by line id (of
+    two lines that share an id, T8, the dearer one stays)."""
     topic_o, topic_l, ckpt, table = _dirs(t, "sale_detail")
     users = work_dir(t.spark, "streams", "sale_users", fresh=True)
     sinks.upsert(cdc.latest_user(A.changes(t)), users, 0)
     stream = _sale_streams(t, topic_o, topic_l, salts=4)
     run_available_now(stream, ckpt, foreach_batch=sale_document_writer(users, table, catalog.AS_OF))
-    return sinks.read_upserted(t.spark, table, "order_detail_id")
+    return sinks.read_upserted(t.spark, table, "order_detail_id", order="sku_price")
 
 
 @_register(
