@@ -38,7 +38,7 @@ WIDTH = 5
 PERCENT = 80
 RECALL = 0.99
 SEED = 88
-SMALL_KEYS = 2 << 20               # 64-bit keys sent to the tasks at most (16 MB); more go through a shuffled join
+LISTED_CLASSES = 2 << 20           # 64-bit numbers sent to the tasks as an array at most (16 MB); more are joined
 
 
 def tuned_bands(percent: int = PERCENT, recall: float = RECALL, most_rows: int = 8) -> tuple[int, int]:
@@ -131,7 +131,7 @@ def _sets(shared):
                 cls = sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)).view(np.int64)
                 for i in np.flatnonzero(np.isin(cls, wanted)) if wanted is not None else range(len(cls)):
                     if int(cls[i]) not in done:
-                        if len(done) < SMALL_KEYS:
+                        if len(done) < LISTED_CLASSES:
                             done.add(int(cls[i]))
                         classes.append(cls[i])
                         members.append(np.unique(shingles[a[i]:e[i]]).view(np.int64))
@@ -140,11 +140,6 @@ def _sets(shared):
     return run
 
 
-def _hinted(keys: DataFrame, n: int) -> DataFrame:
-    """``keys`` (a long column), broadcast if its counted rows are few enough."""
-    return F.broadcast(keys) if n <= SMALL_KEYS else keys
-
-
 def repeated_paragraphs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, recall: float = RECALL,
 ) -> DataFrame:
@@ -161,17 +156,17 @@ def repeated_paragraphs(
         "paragraphs")
     place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_hash", "begin")
     classes = found.groupBy("cls", *[F.col("keys")[j].alias(f"k{j}") for j in range(bands)]).agg(
-        F.min(place).alias("first"), F.min("doc").alias("low"), F.max("doc").alias("high"))
+        F.min("doc").alias("low"), F.max("doc").alias("high"))
     classes = stored(classes, "paragraph_classes")
 
     keys = F.explode(F.array(*[F.col(f"k{j}") for j in range(bands)])).alias("k")
     banded = classes.select("cls", keys)
     shared = stored(banded.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k"), "paragraph_keys")
-    hits = stored(banded.join(_hinted(shared, shared.count()), "k"), "paragraph_hits")
+    hits = stored(banded.join(shared, "k"), "paragraph_hits")
     wanted = stored(hits.select("cls").distinct(), "paragraph_wanted")
     n_wanted = wanted.count()
     listed = None
-    if n_wanted <= SMALL_KEYS:
+    if n_wanted <= LISTED_CLASSES:
         listed = spark.sparkContext.broadcast(np.sort(wanted.toPandas()["cls"].to_numpy(np.int64)))
     sets = src.select("text").mapInArrow(_sets(listed), "cls long, members array<long>")
     if listed is None:
@@ -180,15 +175,16 @@ def repeated_paragraphs(
     sized = hits.join(sets.select("cls", F.size("members").cast("long").alias("n")), "cls")
     roots = linked_classes(star_centers(sized.select("k", "cls", "n")), sets, percent)
 
-    rooted = stored(classes.select("cls", "first", "low", "high").join(roots, F.col("cls") == F.col("node"), "left").select(
-        "cls", F.coalesce("root", "cls").alias("root"), "first", "low", "high"), "paragraph_roots")
-    several = stored(rooted.groupBy("root").agg(
-        F.min("first").alias("first"), F.min("low").alias("component"), F.max("high").alias("most")
-    ).filter("component < most").select("root", "first", "component"), "paragraph_components")
-    repeated = stored(rooted.select("cls", "root").join(several, "root").select("cls", "first", "component"), "paragraph_repeated")
+    rooted = stored(classes.select("cls", "low", "high").join(roots, F.col("cls") == F.col("node"), "left").select(
+        "cls", F.coalesce("root", "cls").alias("root"), "low", "high"), "paragraph_roots")
+    several = stored(rooted.groupBy("root").agg(F.min("low").alias("component"), F.max("high").alias("most"))
+                     .filter("component < most").select("root", "component"), "paragraph_components")
+    repeated = stored(rooted.select("cls", "root").join(several, "root"), "paragraph_repeated")
+    located = stored(found.drop("keys").join(repeated, "cls").drop("cls").distinct(), "paragraph_rows")
+    firsts = stored(located.groupBy("root").agg(F.min(place).alias("first")), "paragraph_firsts")
     own = Window.partitionBy("doc", "text_hash").orderBy("word")
     starts = F.coalesce(F.lag(F.col("word") + F.col("n_words")).over(own) < F.col("word"), F.lit(True))
-    out = found.drop("keys").join(repeated, "cls").distinct().withColumn("starts", starts.cast("int"))
+    out = located.join(firsts, "root").withColumn("starts", starts.cast("int"))
     run = F.sum("n_words").over(Window.partitionBy("doc", "text_hash", "run"))
     out = out.withColumn("run", F.sum("starts").over(own)).withColumn("run_words", run)
     return out.filter(F.col("run_words") >= MIN_RUN).select(
