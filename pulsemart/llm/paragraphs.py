@@ -38,7 +38,8 @@ WIDTH = 5
 PERCENT = 80
 RECALL = 0.99
 SEED = 88
-LISTED_CLASSES = 2 << 20           # 64-bit numbers sent to the tasks as an array at most (16 MB); more are joined
+FILTER_BITS = 24                   # a bit table of the wanted classes (2 MB at any size); a join settles the rest
+REMEMBERED = 1 << 18               # classes a task remembers not to send their set twice
 
 
 def tuned_bands(percent: int = PERCENT, recall: float = RECALL, most_rows: int = 8) -> tuple[int, int]:
@@ -116,10 +117,28 @@ def _paragraphs(bands: int, rows: int):
     return run
 
 
+def _bit_table(classes: DataFrame) -> np.ndarray:
+    """A bit for every value of the low FILTER_BITS bits that some class has, as
+    64-bit words: at most 2**(FILTER_BITS - 6) rows, whatever the number of classes."""
+    low = F.col("cls").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = classes.groupBy(F.shiftright(low, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(cls & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _maybe(classes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Positions of the classes whose bit is set."""
+    own = classes.view(np.uint64)
+    word = words[((own & np.uint64((1 << FILTER_BITS) - 1)) >> np.uint64(6)).astype(np.int64)]
+    return np.flatnonzero((word >> (own & np.uint64(63))) & np.uint64(1))
+
+
 def _sets(shared):
-    """Shingle sets of the paragraphs whose class is wanted (of all, without a list)."""
+    """Shingle sets of the paragraphs whose class may be wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = None if shared is None else shared.value
+        words = shared.value
         done: set[int] = set()
         for batch in batches:
             classes, members = [], []
@@ -129,9 +148,9 @@ def _sets(shared):
                     continue
                 *_, a, e, shingles = cut
                 cls = sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)).view(np.int64)
-                for i in np.flatnonzero(np.isin(cls, wanted)) if wanted is not None else range(len(cls)):
+                for i in _maybe(cls, words).tolist():
                     if int(cls[i]) not in done:
-                        if len(done) < LISTED_CLASSES:
+                        if len(done) < REMEMBERED:
                             done.add(int(cls[i]))
                         classes.append(cls[i])
                         members.append(np.unique(shingles[a[i]:e[i]]).view(np.int64))
@@ -164,13 +183,9 @@ def repeated_paragraphs(
     shared = stored(banded.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k"), "paragraph_keys")
     hits = stored(banded.join(shared, "k"), "paragraph_hits")
     wanted = stored(hits.select("cls").distinct(), "paragraph_wanted")
-    n_wanted = wanted.count()
-    listed = None
-    if n_wanted <= LISTED_CLASSES:
-        listed = spark.sparkContext.broadcast(np.sort(wanted.toPandas()["cls"].to_numpy(np.int64)))
-    sets = src.select("text").mapInArrow(_sets(listed), "cls long, members array<long>")
-    if listed is None:
-        sets = sets.join(wanted, "cls", "left_semi")
+    sets = src.select("text").mapInArrow(
+        _sets(spark.sparkContext.broadcast(_bit_table(wanted))), "cls long, members array<long>")
+    sets = sets.join(wanted, "cls", "left_semi")
     sets = stored(sets.dropDuplicates(["cls"]), "paragraph_sets")
     sized = hits.join(sets.select("cls", F.size("members").cast("long").alias("n")), "cls")
     roots = linked_classes(star_centers(sized.select("k", "cls", "n")), sets, percent)
