@@ -8,7 +8,7 @@ F32 = np.float32
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return F32(1) / (F32(1) + np.exp(-np.clip(x, -30, 30)))
+    return F32(0.5) * np.tanh(F32(0.5) * x) + F32(0.5)
 
 
 def forward(gates: np.ndarray, u: np.ndarray, h: np.ndarray, fresh: np.ndarray | None = None, keep: bool = False):
@@ -35,24 +35,33 @@ def forward(gates: np.ndarray, u: np.ndarray, h: np.ndarray, fresh: np.ndarray |
 
 
 def backward(d_states: np.ndarray, kept: list, u: np.ndarray, fresh: np.ndarray | None = None):
-    """Gradients of the gates' inputs and of ``u``; truncated at the first step."""
+    """Gradients of the gates' inputs and of ``u``; truncated at the first step.
+
+    All factors of a step's own state are taken for the whole window at once;
+    the loop only carries the state's gradient back.
+    """
     steps, lanes, width = d_states.shape
-    d_gates = np.empty((steps, lanes, 3 * width), F32)
-    d_u = np.zeros_like(u)
+    h, z, r, n, a_n = (np.stack(part) for part in zip(*kept))
+    of_n = z * (1 - n * n)
+    factors = np.empty((steps, lanes, 3, width), F32)      # of d_a: update, reset, candidate
+    factors[:, :, 0], factors[:, :, 2] = (n - h) * z * (1 - z), of_n * r
+    factors[:, :, 1] = factors[:, :, 2] * a_n * (1 - r)
+    stay = 1 - z
+    if fresh is not None:
+        begins = fresh.any(axis=1)
+        same = (~fresh).astype(F32)[:, :, None]
+    d_a, d_h, back = np.empty((steps, lanes, 3, width), F32), np.empty((steps, lanes, width), F32), np.ascontiguousarray(u.T)
     dh = np.zeros((lanes, width), F32)
     for t in range(steps - 1, -1, -1):
-        h, z, r, n, a_n = kept[t]
-        dh = dh + d_states[t]
-        d_n = dh * z * (1 - n * n)
-        d_z = dh * (n - h) * z * (1 - z)
-        d_r = d_n * a_n * r * (1 - r)
-        d_a = np.concatenate([d_z, d_r, d_n * r], axis=1)
-        d_gates[t, :, :width], d_gates[t, :, width:2 * width], d_gates[t, :, 2 * width:] = d_z, d_r, d_n
-        d_u += h.T @ d_a
-        dh = dh * (1 - z) + d_a @ u.T
-        if fresh is not None and fresh[t].any():
-            dh = np.where(fresh[t][:, None], F32(0), dh)
-    return d_gates, d_u
+        dh = np.add(dh, d_states[t], out=d_h[t])
+        np.multiply(dh[:, None], factors[t], out=d_a[t])
+        dh = dh * stay[t]
+        dh += d_a[t].reshape(lanes, 3 * width) @ back
+        if fresh is not None and begins[t]:
+            dh *= same[t]
+    d_u = h.reshape(-1, width).T @ d_a.reshape(-1, 3 * width)
+    np.multiply(d_h, of_n, out=d_a[:, :, 2])
+    return d_a.reshape(steps, lanes, 3 * width), d_u
 
 
 def scatter_sum(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -77,10 +86,19 @@ class Adam:
     def step(self, grads: dict[str, np.ndarray]) -> None:
         self.t += 1
         scale = self.rate * np.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         clip = F32(min(1.0, 5.0 / (norm + 1e-9)))
         for k, g in grads.items():
-            g = g * clip
-            self.m[k] += F32(0.1) * (g - self.m[k])
-            self.v[k] += F32(0.001) * (g * g - self.v[k])
-            self.params[k] -= F32(scale) * self.m[k] / (np.sqrt(self.v[k]) + F32(1e-8))
+            g, m, v = g * clip, self.m[k], self.v[k]
+            step = g - m
+            step *= F32(0.1)
+            m += step
+            np.multiply(g, g, out=step)
+            step -= v
+            step *= F32(0.001)
+            v += step
+            np.sqrt(v, out=step)
+            step += F32(1e-8)
+            np.divide(m, step, out=step)
+            step *= F32(scale)
+            self.params[k] -= step

@@ -309,6 +309,18 @@ def test_lm_counts_and_base(odd):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
 
 
+def test_lm_learns_from_every_training_document(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    seen, mean = [], lm.averaged
+    def averaged(models, tasks):
+        seen.append(models.agg(F.sum("seen")).first()[0] or 0)
+        return mean(models, tasks)
+    monkeypatch.setattr(lm, "averaged", averaged)
+    docs = [_row(i, " ".join(f"w{(i * k) % 50}" for k in range(i % 9 + 1))) for i in range(80)]
+    out = lm.lm_scores(_docs(spark, docs)).collect()
+    assert sum(seen) == out[0]["train_tokens"] == sum(r["n_tokens"] for r in out if not r["held_out"])
+
+
 def test_lm_probabilities_sum_to_one(spark):
     import numpy as np
     head = np.arange(1, 200, dtype=np.uint64)
