@@ -1,9 +1,9 @@
 """Removal of repeated paragraphs by MinHash banding.
 
-Paragraphs are cut by content: one ends after a word pair whose hash is the
+Paragraphs are taken as written, line by line, and are cut by content too: such a one ends after a word pair whose hash is the
 least within ``RADIUS`` words on either side, wherever the lines break.  So a passage
 copied into another text falls into the same paragraphs there, but for its
-edges.  A paragraph is its set of 5-word shingles.  Equal paragraphs are one class;
+edges, and an edited line is still near its source.  A paragraph is its set of 5-word shingles.  Equal paragraphs are one class;
 classes are banded, colliding ones verified by exact Jaccard similarity and
 joined into components (``neardup.linked_classes``); a component that several
 documents share keeps its first paragraph and loses the others.  Runs of
@@ -74,12 +74,18 @@ def _cut(data: np.ndarray, offsets: np.ndarray):
     pairs[0] = hashes[0]
     pairs[1:] = sketch.shingles(hashes, 2)
     first_of_doc = np.searchsorted(starts, offsets)
-    last = np.union1d(_boundaries(pairs, doc, len(offsets) - 1), first_of_doc[1:] - 1)
-    last = last[last >= 0]
-    a = np.concatenate(([0], last[:-1] + 1))
-    b = last + 1
-    long = b - a >= MIN_WORDS
-    a, b = a[long], b[long]
+    ends_of_docs = first_of_doc[1:] - 1
+    lines = np.searchsorted(np.flatnonzero(data == 10), starts)      # newlines before each word
+    by_line = np.flatnonzero(lines[1:] != lines[:-1])
+    found = []
+    for marks in (_boundaries(pairs, doc, len(offsets) - 1), by_line):
+        last = np.union1d(marks, ends_of_docs)
+        last = last[last >= 0]
+        a, b = np.concatenate(([0], last[:-1] + 1)), last + 1
+        long = b - a >= MIN_WORDS
+        found.append((a[long] << 32) + b[long])
+    spans = np.union1d(*found)
+    a, b = spans >> 32, spans & 0xFFFFFFFF
     base = offsets[doc[a]] if len(a) else np.zeros(0, np.int64)
     return doc[a], starts[a] - base, ends[b - 1] - base, a - first_of_doc[doc[a]], b - a, a, b - WIDTH + 1, sketch.shingles(hashes, WIDTH)
 
@@ -197,11 +203,13 @@ def repeated_paragraphs(
     repeated = stored(rooted.select("cls", "root").join(several, "root"), "paragraph_repeated")
     located = stored(found.drop("keys").join(repeated, "cls").drop("cls").distinct(), "paragraph_rows")
     firsts = stored(located.groupBy("root").agg(F.min(place).alias("first")), "paragraph_firsts")
-    own = Window.partitionBy("doc", "text_hash").orderBy("word")
-    starts = F.coalesce(F.lag(F.col("word") + F.col("n_words")).over(own) < F.col("word"), F.lit(True))
+    own = Window.partitionBy("doc", "text_hash").orderBy("word", "n_words")
+    stop = F.col("word") + F.col("n_words")
+    starts = F.coalesce(F.max(stop).over(own.rowsBetween(Window.unboundedPreceding, -1)) < F.col("word"), F.lit(True))
     out = located.join(firsts, "root").withColumn("starts", starts.cast("int"))
-    run = F.sum("n_words").over(Window.partitionBy("doc", "text_hash", "run"))
-    out = out.withColumn("run", F.sum("starts").over(own)).withColumn("run_words", run)
+    out = out.withColumn("run", F.sum("starts").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    of_run = Window.partitionBy("doc", "text_hash", "run")
+    out = out.withColumn("run_words", F.max(stop).over(of_run) - F.min("word").over(of_run))
     return out.filter(F.col("run_words") >= MIN_RUN).select(
         F.col("doc").alias(id_col), "text_hash", "begin", "end", "n_words", "component",
         (place != F.col("first")).alias("removed"))
