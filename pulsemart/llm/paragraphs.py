@@ -9,6 +9,13 @@ joined into components (``neardup.linked_classes``); a component that several
 documents share keeps its first paragraph and loses the others.  Runs of
 repeated paragraphs under ``MIN_RUN`` words (a common line, a formula) are left alone.
 
+Equal passages of ``PASSAGE`` words are found wherever they begin: of each
+``PASSAGE - SPAN + 1`` consecutive runs of ``SPAN`` words the one with the least hash is
+a seed (Schleimer et al., "Winnowing", 2003), so two texts with such a passage
+share a seed in it.  Neighbouring seeds leave no word between them; from the outer
+ones the passage is followed word by word to its ends.  Every such run of words
+that several documents share is kept at its first place and removed at the others.
+
 The bands are tuned: of all (bands, rows) that find a pair at the threshold with
 probability ``RECALL``, the one with the fewest hashes.
 
@@ -36,6 +43,8 @@ MIN_WORDS = RADIUS + 1
 MIN_RUN = 20                       # words in a run of repeated paragraphs at least
 WIDTH = 5
 PERCENT = 80
+PASSAGE = 50                       # words of an equal passage that is found for certain
+SPAN = 26                          # words of a seed: more than the distance of two seeds (PASSAGE - SPAN + 1)
 RECALL = 0.99
 SEED = 88
 FILTER_BITS = 24                   # a bit table of the wanted classes (2 MB at any size); a join settles the rest
@@ -165,10 +174,105 @@ def _sets(shared):
     return run
 
 
+def _sliding(how, values: np.ndarray, width: int) -> np.ndarray:
+    """``how`` over values[i:i + width] of each i, by doubling."""
+    out, have = values, 1
+    while have < width:
+        step = min(have, width - have)
+        out = how(out[:-step], out[step:])
+        have += step
+    return out
+
+
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least of each PASSAGE - SPAN + 1 consecutive runs of SPAN words within a text."""
+    width = PASSAGE - SPAN + 1
+    for batch in batches:
+        for row, data, offsets in sketch.slices(batch.column("text")):
+            starts, ends = sketch.word_bounds(data, offsets)
+            if len(starts) < PASSAGE:
+                continue
+            doc = np.searchsorted(offsets, starts, "right") - 1
+            runs = sketch.shingles(sketch.word_hashes(data, starts, ends), SPAN)
+            least = _sliding(np.minimum, runs, width)
+            least[doc[:len(least)] != doc[PASSAGE - 1:]] = 0           # a window of two texts names no seed
+            around = np.zeros(len(runs) + width - 1, dtype=np.uint64)
+            around[width - 1:width - 1 + len(least)] = least
+            at = np.flatnonzero((_sliding(np.maximum, around, width) == runs) & (doc[:len(runs)] == doc[SPAN - 1:]))
+            own, base = pa.array(row + doc[at]), offsets[doc[at]]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc").take(own), batch.column("text_hash").take(own),
+                pa.array((starts[at] - base).astype(np.int32)), pa.array((ends[at + SPAN - 1] - base).astype(np.int32)),
+                pa.array((at - np.searchsorted(starts, offsets)[doc[at]]).astype(np.int32)),
+                pa.array(runs[at].view(np.int64)),
+            ], ["doc", "text_hash", "begin", "end", "word", "h"])
+
+
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of SPAN words before (even) and after (odd numbers) a text's outer
+    seeds, ``at`` = 2 * word + side, as far as the next seed of a passage may be."""
+    reach = np.arange(1, PASSAGE - SPAN + 1)
+    for batch in batches:
+        parts = []
+        sides = batch.column("at").to_pylist()
+        for row, data, offsets in sketch.slices(batch.column("text")):
+            starts, ends = sketch.word_bounds(data, offsets)
+            runs = sketch.shingles(sketch.word_hashes(data, starts, ends), SPAN)
+            first = np.searchsorted(starts, offsets)
+            for i in range(len(offsets) - 1):
+                at = np.array(sides[row + i], dtype=np.int64)
+                word = np.unique((at >> 1)[:, None] + np.where(at & 1, 1, -1)[:, None] * reach)
+                word = word[(word >= 0) & (word <= first[i + 1] - first[i] - SPAN)]
+                k = first[i] + word
+                parts.append((np.full(len(k), row + i), starts[k] - offsets[i], ends[k + SPAN - 1] - offsets[i], word, runs[k]))
+        if parts:
+            own, begin, end, word, h = (np.concatenate(x) for x in zip(*parts))
+            own = pa.array(own)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc").take(own), batch.column("text_hash").take(own), pa.array(begin.astype(np.int32)),
+                pa.array(end.astype(np.int32)), pa.array(word.astype(np.int32)), pa.array(h.view(np.int64)),
+            ], ["doc", "text_hash", "begin", "end", "word", "h"])
+
+
+def _of_several(runs: DataFrame, name: str) -> DataFrame:
+    """The runs of words that documents of several ids hold, with the smallest
+    id (``component``) and whether they stand at another place than the first."""
+    place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_hash", "begin")
+    ids = runs.groupBy("h").agg(F.min("doc").alias("component"), F.max("doc").alias("most"))
+    held = stored(runs.join(ids.filter("component < most").select("h", "component"), "h"), f"{name}_held")
+    firsts = stored(held.groupBy("h").agg(F.min(place).alias("first")), f"{name}_firsts")
+    return stored(held.join(firsts, "h").withColumn("removed", place != F.col("first")).drop("first"), name)
+
+
+def _passages(src: DataFrame) -> DataFrame:
+    """A row per equal passage of PASSAGE words or more that several documents share."""
+    id_type = src.schema["doc"].dataType.simpleString()
+    schema = f"doc {id_type}, text_hash long, begin int, end int, word int, h long"
+    seeds = _of_several(stored(src.mapInArrow(_seeds, schema).distinct(), "passage_seeds"), "passage_shared")
+    own = Window.partitionBy("doc", "text_hash").orderBy("word")
+    far = PASSAGE - SPAN + 1
+    ends = seeds.select("h", (F.col("word") - F.lag("word").over(own)).alias("back"), (F.lead("word").over(own) - F.col("word")).alias("on"))
+    outer = ends.filter(F.coalesce(F.col("back") > far, F.lit(True))).select("h", F.lit(0).alias("side")).unionByName(
+        ends.filter(F.coalesce(F.col("on") > far, F.lit(True))).select("h", F.lit(1).alias("side")))
+    outer = stored(outer.distinct(), "passage_outer")      # an outer seed of one text is followed in all
+    sides = stored(seeds.join(outer, "h").groupBy(F.col("doc").alias("d"), F.col("text_hash").alias("t")).agg(
+        F.collect_set((2 * F.col("word") + F.col("side")).cast("int")).alias("at")), "passage_sides")
+    texts = src.join(sides, F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
+    more = _of_several(stored(texts.select("doc", "text_hash", "text", "at").mapInArrow(_followed, schema).distinct(), "passage_ends"), "passage_more")
+
+    runs = seeds.unionByName(more)
+    group = ("doc", "text_hash", "component", "removed")
+    before = Window.partitionBy(*group).orderBy("word").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("starts", F.coalesce(F.max("word").over(before) + SPAN < F.col("word"), F.lit(True)).cast("int"))
+    runs = runs.withColumn("run", F.sum("starts").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*group, "run").agg(
+        F.min("begin").alias("begin"), F.max("end").alias("end"), (F.max("word") + SPAN - F.min("word")).alias("n_words"))
+
+
 def repeated_paragraphs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, recall: float = RECALL,
 ) -> DataFrame:
-    """A row per paragraph that several documents share: the document's id and
+    """A row per paragraph or equal passage that several documents share: the document's id and
     ``text_hash``, ``begin`` and ``end`` (bytes of the UTF-8 text), ``n_words``,
     ``component`` (the smallest id that holds the passage) and ``removed``."""
     spark = docs.sparkSession
@@ -210,9 +314,9 @@ def repeated_paragraphs(
     out = out.withColumn("run", F.sum("starts").over(own.rowsBetween(Window.unboundedPreceding, 0)))
     of_run = Window.partitionBy("doc", "text_hash", "run")
     out = out.withColumn("run_words", F.max(stop).over(of_run) - F.min("word").over(of_run))
-    return out.filter(F.col("run_words") >= MIN_RUN).select(
-        F.col("doc").alias(id_col), "text_hash", "begin", "end", "n_words", "component",
-        (place != F.col("first")).alias("removed"))
+    columns = (F.col("doc").alias(id_col), "text_hash", "begin", "end", "n_words", "component", "removed")
+    out = out.filter(F.col("run_words") >= MIN_RUN).withColumn("removed", place != F.col("first")).select(*columns)
+    return out.unionByName(_passages(src).select(*columns))
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

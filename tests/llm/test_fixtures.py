@@ -313,6 +313,28 @@ def test_edited_paragraphs(spark):
     assert not whole & far
 
 
+def test_short_passages_go_whole(spark):
+    import random
+    rng = random.Random(12)
+    def text(n):
+        return [f"s{rng.randrange(10**7)}" for _ in range(n)]
+    docs, own = [], {}
+    for i in range(100):
+        passage = text(50 + i % 11)
+        for d in (i, 1000 + i):
+            head, tail = text(rng.randrange(0, 90)), text(rng.randrange(0, 90))
+            own[d] = (head, passage, tail)
+            docs.append((d, " ".join(head + passage + tail)))
+    table = _docs(spark, [_row(*d) for d in docs])
+    kept = {r["doc_id"]: r["text"] for r in paragraphs.without_paragraphs(table, paragraphs.repeated_paragraphs(table)).collect()}
+    for i in range(100):
+        assert kept[i].split() == sum(own[i], [])
+        head, passage, tail = own[1000 + i]
+        left = kept[1000 + i].split()
+        assert not set(passage) & set(left)
+        assert len(left) >= len(head) + len(tail) - 8      # a near piece may take some words beside the passage along
+
+
 def test_bands_reach_the_recall():
     for percent, recall in ((80, 0.99), (80, 0.9999), (60, 0.95)):
         bands, rows = paragraphs.tuned_bands(percent, recall)
