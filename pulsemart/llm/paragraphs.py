@@ -47,6 +47,7 @@ PASSAGE = 50                       # words of an equal passage that is found for
 SPAN = 26                          # words of a seed: more than the distance of two seeds (PASSAGE - SPAN + 1)
 RECALL = 0.99
 SEED = 88
+LINE_SALT = 0x5851F42D4C957F2D
 FILTER_BITS = 24                   # a bit table of the wanted classes (2 MB at any size); a join settles the rest
 REMEMBERED = 1 << 18               # classes a task remembers not to send their set twice
 
@@ -73,7 +74,8 @@ def _boundaries(pairs: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
 
 def _cut(data: np.ndarray, offsets: np.ndarray):
     """(document, first byte, end byte, first word, words, first and end shingle)
-    of each paragraph of MIN_WORDS words, and the shingles."""
+    of each paragraph of MIN_WORDS words, the shingles, and what tells a line's
+    class and keys from those of a piece: a line would collide with its own pieces."""
     starts, ends = sketch.word_bounds(data, offsets)
     hashes = sketch.word_hashes(data, starts, ends)
     if len(hashes) < MIN_WORDS:
@@ -86,17 +88,17 @@ def _cut(data: np.ndarray, offsets: np.ndarray):
     ends_of_docs = first_of_doc[1:] - 1
     lines = np.searchsorted(np.flatnonzero(data == 10), starts)      # newlines before each word
     by_line = np.flatnonzero(lines[1:] != lines[:-1])
-    found = []
-    for marks in (_boundaries(pairs, doc, len(offsets) - 1), by_line):
+    spans, salts = [], []
+    for marks, salt in ((_boundaries(pairs, doc, len(offsets) - 1), 0), (by_line, LINE_SALT)):
         last = np.union1d(marks, ends_of_docs)
         last = last[last >= 0]
         a, b = np.concatenate(([0], last[:-1] + 1)), last + 1
         long = b - a >= MIN_WORDS
-        found.append((a[long] << 32) + b[long])
-    spans = np.union1d(*found)
-    a, b = spans >> 32, spans & 0xFFFFFFFF
+        spans.append((a[long], b[long]))
+        salts.append(np.full(int(long.sum()), salt, dtype=np.uint64))
+    (a, b), salt = (np.concatenate(x) for x in zip(*spans)), np.concatenate(salts)
     base = offsets[doc[a]] if len(a) else np.zeros(0, np.int64)
-    return doc[a], starts[a] - base, ends[b - 1] - base, a - first_of_doc[doc[a]], b - a, a, b - WIDTH + 1, sketch.shingles(hashes, WIDTH)
+    return doc[a], starts[a] - base, ends[b - 1] - base, a - first_of_doc[doc[a]], b - a, a, b - WIDTH + 1, sketch.shingles(hashes, WIDTH), salt
 
 
 def _reduced(how, values: np.ndarray, a: np.ndarray, e: np.ndarray) -> np.ndarray:
@@ -114,15 +116,15 @@ def _paragraphs(bands: int, rows: int):
                 cut = _cut(data, offsets)
                 if cut is None or not len(cut[0]):
                     continue
-                doc, begin, end, word, n_words, a, e, shingles = cut
+                doc, begin, end, word, n_words, a, e, shingles, salt = cut
                 mins = np.empty((len(a), bands * rows), dtype=np.uint64)
                 for j in range(bands * rows):
                     y = shingles * a_hash[j]
                     y ^= y >> np.uint64(32)
                     y *= b_hash[j]
                     mins[:, j] = _reduced(np.minimum, y, a, e)
-                keys = sketch.band_keys(mins, rows).view(np.int64)
-                cls = sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)).view(np.int64)
+                keys = (sketch.band_keys(mins, rows) ^ salt[:, None]).view(np.int64)
+                cls = (sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)) ^ salt).view(np.int64)
                 at = pa.array(row + doc)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc").take(at), batch.column("text_hash").take(at), pa.array(begin.astype(np.int32)),
@@ -161,8 +163,8 @@ def _sets(shared):
                 cut = _cut(data, offsets)
                 if cut is None or not len(cut[0]):
                     continue
-                *_, a, e, shingles = cut
-                cls = sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)).view(np.int64)
+                *_, a, e, shingles, salt = cut
+                cls = (sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)) ^ salt).view(np.int64)
                 for i in _maybe(cls, words).tolist():
                     if int(cls[i]) not in done:
                         if len(done) < REMEMBERED:
@@ -239,7 +241,7 @@ def _of_several(runs: DataFrame, name: str) -> DataFrame:
     id (``component``) and whether they stand at another place than the first."""
     place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_hash", "begin")
     ids = runs.groupBy("h").agg(F.min("doc").alias("component"), F.max("doc").alias("most"))
-    held = stored(runs.join(ids.filter("component < most").select("h", "component"), "h"), f"{name}_held")
+    held = stored(runs.join(ids.filter("component < most").select("h", "component"), "h").distinct(), f"{name}_held")
     firsts = stored(held.groupBy("h").agg(F.min(place).alias("first")), f"{name}_firsts")
     return stored(held.join(firsts, "h").withColumn("removed", place != F.col("first")).drop("first"), name)
 
@@ -248,7 +250,7 @@ def _passages(src: DataFrame) -> DataFrame:
     """A row per equal passage of PASSAGE words or more that several documents share."""
     id_type = src.schema["doc"].dataType.simpleString()
     schema = f"doc {id_type}, text_hash long, begin int, end int, word int, h long"
-    seeds = _of_several(stored(src.mapInArrow(_seeds, schema).distinct(), "passage_seeds"), "passage_shared")
+    seeds = _of_several(stored(src.mapInArrow(_seeds, schema), "passage_seeds"), "passage_shared")
     own = Window.partitionBy("doc", "text_hash").orderBy("word")
     far = PASSAGE - SPAN + 1
     ends = seeds.select("h", (F.col("word") - F.lag("word").over(own)).alias("back"), (F.lead("word").over(own) - F.col("word")).alias("on"))
@@ -258,7 +260,7 @@ def _passages(src: DataFrame) -> DataFrame:
     sides = stored(seeds.join(outer, "h").groupBy(F.col("doc").alias("d"), F.col("text_hash").alias("t")).agg(
         F.collect_set((2 * F.col("word") + F.col("side")).cast("int")).alias("at")), "passage_sides")
     texts = src.join(sides, F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
-    more = _of_several(stored(texts.select("doc", "text_hash", "text", "at").mapInArrow(_followed, schema).distinct(), "passage_ends"), "passage_more")
+    more = _of_several(stored(texts.select("doc", "text_hash", "text", "at").mapInArrow(_followed, schema), "passage_ends"), "passage_more")
 
     runs = seeds.unionByName(more)
     group = ("doc", "text_hash", "component", "removed")
