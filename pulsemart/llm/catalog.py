@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import chat, decontaminate, lines, lm, mixing, neardup, paragraphs, quality, sharding, toxicity
+from pulsemart.llm import (
+    chat, decontaminate, lines, lm, merkle, mixing, neardup, paragraphs, phrases, quality, sharding, suffixes, toxicity,
+)
 from pulsemart.llm.common import documents, table
 
 
@@ -238,6 +240,147 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text_hash").withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.suffix_dedup(documents(spark, sf_dir))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, ''))::BIGINT AS n_bytes FROM documents
+), w AS (
+  SELECT doc_id, unnest(range(0, n_bytes - 49)) AS p,
+         unnest(list_transform(range(0, n_bytes - 49), lambda i: substr(h, 2 * i + 1, 100))) AS win
+  FROM d WHERE n_bytes >= 50
+), m AS (
+  SELECT win, min(doc_id) AS least FROM w GROUP BY win HAVING min(doc_id) < max(doc_id)
+), f AS (
+  SELECT doc_id, p FROM w JOIN m USING (win) WHERE least < doc_id
+), i AS (
+  SELECT *, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, -1) AS head FROM f
+), g AS (
+  SELECT *, sum(head::INT) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM i
+), s AS (
+  SELECT doc_id, span, min(p) AS a, max(p) + 50 AS z FROM g GROUP BY doc_id, span
+), k AS (
+  SELECT d.doc_id, h, s.a, coalesce(lag(s.z) OVER (PARTITION BY d.doc_id ORDER BY s.a), 0) AS from_, s.z, n_bytes
+  FROM d JOIN s USING (doc_id)
+), r AS (
+  SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a)
+           || substr(any_value(h), 2 * max(z) + 1) AS kept
+  FROM k GROUP BY doc_id
+)
+SELECT d.doc_id, d.n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, d.h))) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)
+"""
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(documents(spark, sf_dir)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+OP12_SQL = """
+WITH RECURSIVE e AS (
+  SELECT doc_id, source,
+         coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-')
+           || coalesce(strlen(source)::VARCHAR || ':' || source, '-')
+           || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-')
+           || coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') AS head,
+         coalesce(strlen(text)::VARCHAR || ':' || text, '-') AS body,
+         coalesce(strlen(text)::VARCHAR || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS low,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+             lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) AS crc
+  FROM documents
+), leaf AS (
+  SELECT doc_id, source, sha256(head || body) AS node, CASE WHEN crc % 5 = 0 THEN sha256(head || low) ELSE sha256(head || body) END AS seen,
+         (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1)::BIGINT AS pos, count(*) OVER (PARTITION BY source)::BIGINT AS n
+  FROM e
+), up AS (
+  SELECT source, 0 AS lvl, pos, n, node FROM leaf
+  UNION ALL
+  SELECT source, lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+  FROM up WHERE n > 1 GROUP BY source, lvl, pos // 16, n
+), sub AS (
+  SELECT source, node, (row_number() OVER (ORDER BY source NULLS FIRST) - 1)::BIGINT AS pos, count(*) OVER ()::BIGINT AS n
+  FROM up WHERE n = 1
+), top AS (
+  SELECT 0 AS lvl, pos, n, node FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 16, n
+), a AS (
+  SELECT source, lvl, pos,
+         coalesce(string_agg(node, '') OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(node, '') OVER (o ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM up WHERE n > 1 WINDOW o AS (PARTITION BY source, lvl, pos // 16 ORDER BY pos)
+), b AS (
+  SELECT lvl, pos,
+         coalesce(string_agg(node, '') OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(node, '') OVER (o ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM top WHERE n > 1 WINDOW o AS (PARTITION BY lvl, pos // 16 ORDER BY pos)
+), p AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY tree, lvl) AS step, l, r FROM (
+    SELECT leaf.doc_id, 1 AS tree, a.lvl, a.l, a.r
+    FROM leaf JOIN a ON leaf.source IS NOT DISTINCT FROM a.source AND a.pos = leaf.pos // (1::BIGINT << (4 * a.lvl))
+    UNION ALL
+    SELECT leaf.doc_id, 2, b.lvl, b.l, b.r
+    FROM leaf JOIN sub ON leaf.source IS NOT DISTINCT FROM sub.source JOIN b ON b.pos = sub.pos // (1::BIGINT << (4 * b.lvl)))
+), fold AS (
+  SELECT doc_id, 0::BIGINT AS step, seen AS node FROM leaf
+  UNION ALL
+  SELECT fold.doc_id, p.step, sha256(l || node || r) FROM fold JOIN p ON p.doc_id = fold.doc_id AND p.step = fold.step + 1
+), proof AS (
+  SELECT doc_id, max(step) AS steps, string_agg(l || r, '' ORDER BY step) AS s FROM p GROUP BY doc_id
+)
+SELECT leaf.doc_id, leaf.node AS leaf, sub.node AS subroot, root.node AS root, sha256(coalesce(s, '')) AS proof_sha256,
+       fold.node AS folded_root, fold.node = root.node AS verified
+FROM leaf JOIN sub ON leaf.source IS NOT DISTINCT FROM sub.source CROSS JOIN (SELECT node FROM top WHERE n = 1) root
+LEFT JOIN proof USING (doc_id) JOIN fold ON fold.doc_id = leaf.doc_id AND fold.step = coalesce(steps, 0)
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+OP13_SQL = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\\x0A-\\x0D]')), '[\\x20\\x09]+'), lambda x: x <> '') AS w
+  FROM documents
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+  FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100
+), t AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k >= 2
+), s AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r, n, (1000 * c.a * n) // (x.f * y.f) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : cut], ' ')
+         JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1 :], ' ') JOIN t ON t.lang = c.lang
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), i AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, f, unnest(list_transform(range(1, k - z + 2), lambda j: array_to_string(string_split(phrase, ' ')[j : j + z - 1], ' '))) AS phrase
+    FROM f, (SELECT unnest(range(2, 5)) AS z) WHERE k > z) GROUP BY lang, phrase
+), r AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM r WHERE rank <= 2000
+"""
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -249,6 +392,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_collocations": op13_collocations,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -257,4 +403,7 @@ LLM_ORACLE: dict[str, str] = {
     "op6_chat_formatting": OP6_SQL,
     "op7_mixing": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op11_suffix_dedup": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
