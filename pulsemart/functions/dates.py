@@ -75,10 +75,6 @@ def whole_year_age(birthday, as_of) -> Column:
     return out.cast("int")
 
 
-def previous_day(day) -> Column:
-    """``yyyy-MM-dd`` string -> the calendar day before, same format."""
-    return F.date_format(F.date_sub(F.to_date(_col(day), DAY_FORMAT), 1), DAY_FORMAT)
-
-
 def next_day(day) -> Column:
+    """``yyyy-MM-dd`` string -> the calendar day after, same format."""
     return F.date_format(F.date_add(F.to_date(_col(day), DAY_FORMAT), 1), DAY_FORMAT)

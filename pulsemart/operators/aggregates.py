@@ -54,6 +54,11 @@ def gmv_hourly(orders: DataFrame, day: str | None = None) -> DataFrame:
     )
 
 
+def rolled_up(rollup: DataFrame, *by: str) -> DataFrame:
+    """A7-A10 from a rollup: its partial sums ``n`` and ``amount`` added up by ``by``."""
+    return rollup.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("n", "amount") if c in rollup.columns])
+
+
 def _with_share(counts: DataFrame) -> DataFrame:
     # The window has no partition key on purpose: it runs over the handful of
     # bucket rows left after the aggregation, never over raw rows.

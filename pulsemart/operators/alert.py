@@ -31,7 +31,7 @@ CLICK = "clickItem"
 MIN_ACCOUNTS = 3
 
 
-def _ms(duration: str) -> int:
+def duration_ms(duration: str) -> int:
     """'12 hours' / '5 minutes' / '5 seconds' -> milliseconds."""
     n, unit = duration.split()
     unit = unit.rstrip("s")
@@ -49,6 +49,21 @@ def _start_of(ts_ms, length_ms: int):
     return ts_ms - F.pmod(ts_ms, F.lit(length_ms))
 
 
+def _facts(events: DataFrame, *kept) -> DataFrame:
+    """Every event as the facts it holds, (kept columns, mid, kind, val): at most one
+    of a kind."""
+    evid, uid, item = F.col("evid"), F.col("uid"), F.col("itemid")
+    facts = F.array_compact(
+        F.array(
+            F.when(evid == CLICK, F.struct(F.lit("c").alias("k"), F.lit("").alias("v"))),
+            F.when((evid == COUPON) & uid.isNotNull(), F.struct(F.lit("u").alias("k"), uid.alias("v"))),
+            F.when((evid == COUPON) & item.isNotNull(), F.struct(F.lit("i").alias("k"), item.alias("v"))),
+        )
+    )
+    rows = events.select("mid", *kept, F.explode(facts).alias("_f"))
+    return rows.select(*[c for c in rows.columns if c != "_f"], F.col("_f.k").alias("kind"), F.col("_f.v").alias("val"))
+
+
 def _window_facts(events: DataFrame, window: str, slide: str | None) -> DataFrame:
     """Distinct (mid, window start, kind, value) facts, kind c = click, u = account, i = item.
 
@@ -57,25 +72,13 @@ def _window_facts(events: DataFrame, window: str, slide: str | None) -> DataFram
     value, so a hot device spreads over tasks), then copied to the windows
     that contain the pane.
     """
-    w_ms = _ms(window)
-    s_ms = _ms(slide) if slide else w_ms
+    w_ms = duration_ms(window)
+    s_ms = duration_ms(slide) if slide else w_ms
     if w_ms % s_ms:
         raise ValueError("window length must be a multiple of the slide")
     copies = w_ms // s_ms
-    evid, uid, item = F.col("evid"), F.col("uid"), F.col("itemid")
-    facts = F.array_compact(
-        F.array(
-            F.when(evid == CLICK, F.struct(F.lit("c").alias("k"), F.lit("").alias("v"))),
-            F.when((evid == COUPON) & uid.isNotNull(), F.struct(F.lit("u").alias("k"), uid.alias("v"))),
-            F.when((evid == COUPON) & item.isNotNull(), F.struct(F.lit("i").alias("k"), item.alias("v"))),
-        )
-    )
-    pane = _start_of(F.col("ts"), s_ms)
-    per_pane = (
-        events.select("mid", pane.alias("_pane"), F.explode(facts).alias("_f"))
-        .select("mid", "_pane", F.col("_f.k").alias("kind"), F.col("_f.v").alias("val"))
-        .distinct()
-    )
+    pane = _start_of(F.col("ts"), s_ms).alias("_pane")
+    per_pane = _facts(events, pane).distinct()
     if copies == 1:
         return per_pane.withColumnRenamed("_pane", "_wstart")
     k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_k")
@@ -99,7 +102,7 @@ def coupon_alerts(
     in epoch ms (the reference stamps the wall clock instead).  Null accounts
     are not accounts (SURVEY D8).
     """
-    w_ms = _ms(window)
+    w_ms = duration_ms(window)
     facts = _window_facts(events, window, slide)
     summary = facts.groupBy("mid", "_wstart").agg(
         F.count_if(F.col("kind") == "u").alias("n_accounts"),
@@ -140,7 +143,7 @@ def alert_events(events: DataFrame, alerts: DataFrame, window: str) -> DataFrame
     (mid, window start): a broadcast when the alerts measure small, else a
     shuffled join where AQE splits a skewed device partition.
     """
-    w_ms = _ms(window)
+    w_ms = duration_ms(window)
     e = events.select(
         "mid", "event_id", "evid", F.col("ts").alias("event_ts"), _start_of(F.col("ts"), w_ms).alias("_ws")
     )
@@ -164,26 +167,52 @@ def alert_per_minute(alerts: DataFrame) -> DataFrame:
     return latest_by_key(with_doc_id(alerts), "doc_id", order="ts")
 
 
-def coupon_alert_state(events: DataFrame, window: str, watermark: str) -> DataFrame:
-    """Streaming form: per-(device, window) running aggregates in one stateful
-    operator (Spark allows one aggregation per streaming query in update mode).
-    State per group is the set of distinct coupon accounts and items, never
-    the events.  ``alert`` tells whether the rule holds for the current state.
-    """
-    ev = events.withColumn("_t", F.timestamp_millis("ts")).withWatermark("_t", watermark)
-    is_coupon = F.col("evid") == COUPON
-    g = ev.groupBy("mid", F.window("_t", window).alias("_w")).agg(
-        F.bool_or(F.col("evid") == CLICK).alias("_click"),
-        F.collect_set(F.when(is_coupon, F.col("uid"))).alias("_uids"),
-        F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("_items"),
+# --- streams: chained stateful steps, append mode ----------------------------------
+#
+# No state value holds a list or a set.  The first step keeps one row per distinct
+# (device, pane, kind, value), the second one per (device, window, kind, value), so
+# a device with a third of all accounts is spread over the state partitions by
+# account; on top of them lies one count per (device, window).
+
+
+def pane_facts(events: DataFrame, slide: str, delay: str) -> DataFrame:
+    """The first step: distinct (mid, pane, kind, val) of a stream, a pane being
+    ``slide`` long.  State is dropped when the watermark, ``delay`` behind, passes it."""
+    pane = F.timestamp_millis(_start_of(F.col("ts"), duration_ms(slide))).alias("pane")
+    facts = _facts(events, pane).withWatermark("pane", delay)
+    return facts.dropDuplicates(["mid", "pane", "kind", "val"])
+
+
+def alerts_of_facts(
+    facts: DataFrame, window: str, slide: str | None, delay: str, min_accounts: int = MIN_ACCOUNTS
+) -> DataFrame:
+    """The second step: the alerting (device, window)s of a stream of pane facts, each
+    emitted once, when the watermark passes the window's end (W1, W2, A6, F4, F5)."""
+    span = F.window("pane", window, slide) if slide else F.window("pane", window)
+    merged = (
+        facts.withWatermark("pane", delay).where(F.col("kind") != "i").select("mid", span.alias("_w"), "kind", "val")
     )
-    return g.select(
-        "mid",
-        F.date_format("_w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-        F.date_format("_w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-        F.size("_uids").cast("long").alias("n_accounts"),
-        F.array_join(F.sort_array("_uids"), ",").alias("uids"),
-        F.array_join(F.sort_array("_items"), ",").alias("item_ids"),
-        F.unix_millis(F.col("_w.end")).alias("ts"),
-        ((F.size("_uids") >= MIN_ACCOUNTS) & ~F.col("_click")).alias("alert"),
+    if slide and slide != window:              # an account seen in several panes of a window counts once
+        merged = merged.dropDuplicates(["mid", "_w", "kind", "val"])
+    counts = merged.groupBy("mid", "_w").agg(
+        F.count_if(F.col("kind") == "u").alias("n_accounts"), F.bool_or(F.col("kind") == "c").alias("_click"))
+    end = F.unix_millis(F.col("_w.end"))
+    return counts.where((F.col("n_accounts") >= min_accounts) & ~F.col("_click")).select(
+        "mid", F.date_format("_w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        F.date_format("_w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "n_accounts", end.alias("ts"),
     )
+
+
+def with_lists(alerts: DataFrame, facts: DataFrame, window: str, slide: str | None) -> DataFrame:
+    """A3 + A5: the accounts and items of each alert, from the stored pane facts.  Only
+    the panes of alerting windows are joined, by (device, pane)."""
+    w_ms, s_ms = duration_ms(window), duration_ms(slide or window)
+    panes = F.explode(F.sequence(F.col("ts") - F.lit(w_ms), F.col("ts") - F.lit(s_ms), F.lit(s_ms).cast("long")))
+    wanted = alerts.withColumn("_pane", panes)
+    held = facts.where(F.col("kind") != "c").select("mid", F.unix_millis("pane").alias("_pane"), "kind", "val")
+
+    def listed(kind: str):
+        return F.array_join(F.sort_array(F.collect_set(F.when(F.col("kind") == kind, F.col("val")))), ",")
+
+    return wanted.join(held, ["mid", "_pane"]).groupBy(*alerts.columns).agg(
+        listed("u").alias("uids"), listed("i").alias("item_ids"))

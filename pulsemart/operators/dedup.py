@@ -19,14 +19,17 @@ KEY = ("mid", "logdate")
 NO_EVENT_ID = -(1 << 63)          # packed in place of a null event id: the lowest long, so it sorts first
 
 
-def dau_table(startup: DataFrame, key=KEY, order=("ts", "event_id")) -> DataFrame:
-    """A2 + L1: the earliest startup of every (device, day), all columns kept.
+def dau_table(startup: DataFrame, key=KEY, order=("ts", "event_id"), with_rows: bool = False) -> DataFrame:
+    """A2 + L1: the earliest startup of every (device, day), all columns kept, with
+    ``with_rows`` also ``_rows``, the number of its startups.
 
     Ties on ``ts`` break on ``event_id`` (the reference keeps arrival order).
     """
     value_cols = [c for c in startup.columns if c not in key]
     first = F.min_by(F.struct(*value_cols), F.struct(*order)).alias("_first")
-    return startup.groupBy(*key).agg(first).select(*key, *[F.col(f"_first.{c}").alias(c) for c in value_cols])
+    rows = [F.count(F.lit(1)).alias("_rows")] if with_rows else []
+    return startup.groupBy(*key).agg(first, *rows).select(
+        *key, *[F.col(f"_first.{c}").alias(c) for c in value_cols], *(["_rows"] if with_rows else []))
 
 
 def first_seen(startup: DataFrame, key=KEY) -> DataFrame:
@@ -103,11 +106,38 @@ def dau_funnel(startup: DataFrame, batch_seconds: int = 12 * 3600, key=KEY) -> D
     )
 
 
-def dedup_stream(stream: DataFrame, event_time: str = "event_time", delay: str = "1 day", key=KEY) -> DataFrame:
+SALTS = 16                         # state partitions that a hot device-day is spread over
+
+
+def dedup_stream(
+    stream: DataFrame, event_time: str = "event_time", delay: str = "1 day", key=KEY, salts: int = SALTS
+) -> DataFrame:
     """O1: stateful cross-batch dedup of (device, day) on a streaming DataFrame.
 
     State per key lives until the watermark passes it by ``delay``; two rows
     of one device-day are less than a day apart, so one day bounds the state
     without losing duplicates (SURVEY H1a).  The first arrival wins.
+
+    Spark's streaming dedup has no map-side step, so it runs twice: on (key, salt),
+    which spreads a device-day with a third of the rows over ``salts`` partitions,
+    then on the key, which gets at most one row a salt.
     """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
+    rows = stream.withWatermark(event_time, delay)
+    if salts > 1:
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)).cast("int"))
+        rows = rows.dropDuplicatesWithinWatermark([*key, "_salt"]).drop("_salt")
+    return rows.dropDuplicatesWithinWatermark(list(key))
+
+
+def first_seen_stream(stream: DataFrame, event_time: str = "event_time", delay: str = "1 day") -> DataFrame:
+    """O1 + A2: time, event id and hour of the earliest startup of every (device, day),
+    emitted when the watermark closes the day.  ``min`` of one packed decimal is
+    partial map-side, so a hot device-day is one row a task, and one row of state."""
+    tie = F.coalesce(F.col("event_id").cast("long"), F.lit(NO_EVENT_ID))
+    day = F.window(event_time, "1 day").alias("_day")
+    firsts = stream.withWatermark(event_time, delay).groupBy("mid", day).agg(F.min(pair_key("ts", tie)).alias("_k"))
+    ts, event_id = pair_major(F.col("_k")), pair_minor(F.col("_k"))
+    return firsts.select(
+        "mid", F.date_format("_day.start", "yyyy-MM-dd").alias("logdate"), log_hour(ts).alias("loghour"),
+        ts.alias("ts"), F.nullif(event_id, F.lit(NO_EVENT_ID)).alias("event_id"),
+    )

@@ -30,6 +30,11 @@ SPLIT = "2024-01-15 12:00:00"            # history | new batch for the increment
 FUNNEL_BATCH_SECONDS = 12 * 3600         # micro-batch length of the replayed funnel (A11)
 ALERT_WINDOW = "12 hours"                # T11: 5 minutes never fires on the tables
 SLIDING_WINDOW, SLIDING_SLIDE = "12 hours", "3 hours"
+# Half-minute slides, so that several windows end in one minute (W3); ten devices, as
+# 100 never have three accounts with coupons in so short a window.
+MINUTE_WINDOW, MINUTE_SLIDE = "10 minutes", "30 seconds"
+MINUTE_DEVICES = 10
+TWIN_BUCKETS = 8                         # buckets of the keyed tables written here
 SEARCH_KEYWORD = "Gear"                  # case-insensitive on sku_name
 SEARCH_PAGE, SEARCH_SIZE = 2, 20
 SEARCH_DAY = "1995-06-17"
@@ -396,6 +401,20 @@ def sale_search_page(t: Tables) -> DataFrame:
     return reports.sale_search_page(_found(t), SEARCH_PAGE, SEARCH_SIZE)
 
 
+@register(
+    "sale_search_seek",
+    O.with_ctes(*_SALE_USER_CTES, _FOUND)
+    + f"SELECT * FROM found ORDER BY dt, order_id, order_detail_id LIMIT {SEARCH_SIZE} OFFSET {SEARCH_SIZE}",
+)
+def sale_search_seek(t: Tables) -> DataFrame:
+    """L2 by key: the page that follows the first page's last row."""
+    path = work_dir(t.spark, "sale_seek", fresh=True) + "/found"
+    _found(t).write.parquet(path)                        # the joins run once for both pages
+    found = t.spark.read.parquet(path)
+    first = reports.sale_search_after(found, None, SEARCH_SIZE).select(*reports.SEARCH_ORDER).tail(1)    # one page
+    return reports.sale_search_after(found, tuple(first[0]) if first else None, SEARCH_SIZE)
+
+
 @register(
     "facet_gender",
     O.with_ctes(*_SALE_USER_CTES, _FOUND)
@@ -453,7 +472,7 @@ def sale_search_report(t: Tables) -> DataFrame:
 
 # --- reports of one day over the stored tables (S9, F6, A7-A10) ------------------
 
-def _stored_dau(t: Tables, days: list[str]) -> DataFrame:
+def _stored_dau(t: Tables, days: list[str] | None) -> DataFrame:
     path = work_dir(t.spark, "dau_table", fresh=True) + "/t"
     sinks.write_dau_rows(dedup.dau_table(A.startup(t)), path)
     return sinks.read_dau_table(t.spark, path, days)
@@ -501,6 +520,49 @@ def gmv_hourly_day(t: Tables) -> DataFrame:
     return agg.gmv_hourly(_stored_orders(t, [REPORT_DAY]), REPORT_DAY)
 
 
+@register(
+    "kpi_day",
+    O.with_ctes(O.STARTUP, O.PURCHASES, "dau AS (SELECT DISTINCT mid, logdate FROM startup)")
+    + f"""SELECT '{REPORT_DAY}' AS day, 'dau' AS id, CAST(count(*) AS DOUBLE) AS value FROM dau WHERE logdate = '{REPORT_DAY}'
+UNION ALL
+SELECT '{REPORT_DAY}', 'new_mid', CAST(count(*) AS DOUBLE) FROM (
+  SELECT mid FROM dau GROUP BY mid HAVING min(logdate) = '{REPORT_DAY}')
+UNION ALL
+SELECT '{REPORT_DAY}', 'order_amount', round(sum(total_amount), 2) FROM purchases WHERE create_date = '{REPORT_DAY}'""",
+)
+def kpi_day(t: Tables) -> DataFrame:
+    """R1 of one day over the stored tables."""
+    return reports.kpi_total(_stored_dau(t, None), _stored_orders(t, [REPORT_DAY]), REPORT_DAY)
+
+
+def _compare_day_sql(hourly: str, day: str, value: str) -> str:
+    return f"""SELECT coalesce(a.h, b.h) AS hour, '{REPORT_DAY}' AS logdate, b.v AS yesterday, a.v AS today
+FROM (SELECT * FROM ({hourly}) WHERE {day} = '{REPORT_DAY}') a(d, h, v)
+FULL JOIN (SELECT * FROM ({hourly}) WHERE {day} = strftime(DATE '{REPORT_DAY}' - 1, '%Y-%m-%d')) b(d, h, v) ON a.h = b.h"""
+
+
+@register(
+    "hourly_compare_dau_day",
+    O.with_ctes(O.STARTUP, _DAU_FIRST_SQL)
+    + _compare_day_sql("SELECT logdate, loghour, count(*) FROM dau GROUP BY ALL", "logdate", "ct"),
+)
+def hourly_compare_dau_day(t: Tables) -> DataFrame:
+    """R2 of one day over the stored table: only the folders of two days are read."""
+    dau = _stored_dau(t, [REPORT_DAY, reports.previous_day(REPORT_DAY)])
+    return reports.hourly_compare("dau", dau, None, REPORT_DAY)
+
+
+@register(
+    "hourly_compare_gmv_day",
+    O.with_ctes(O.PURCHASES)
+    + _compare_day_sql("SELECT create_date, create_hour, round(sum(total_amount), 2) FROM purchases GROUP BY ALL", "create_date", "s"),
+)
+def hourly_compare_gmv_day(t: Tables) -> DataFrame:
+    """R2 of one day's order amounts over the stored table."""
+    orders = _stored_orders(t, [REPORT_DAY, reports.previous_day(REPORT_DAY)])
+    return reports.hourly_compare("order_amount", None, orders, REPORT_DAY)
+
+
 # --- alert (A3-A6, W1-W3, P9) ----------------------------------------------------
 
 
@@ -524,6 +586,16 @@ alerts AS (
 
 _W12 = 12 * 3600 * 1000
 _S3 = 3 * 3600 * 1000
+_M10 = 10 * 60 * 1000
+_S30 = 30 * 1000
+_MINUTE = O.with_ctes(
+    O.EVENT.replace("json_extract_string(props, '$.k')", f"CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % {MINUTE_DEVICES} AS VARCHAR)"),
+    _alert_sql(_M10, _S30),
+)
+_MINUTE_ALERTS = _MINUTE + """SELECT doc_id, mid, window_start, window_end, n_accounts, uids, item_ids, ts FROM (
+  SELECT *, mid || CAST(ts // 1000 // 60 AS VARCHAR) AS doc_id,
+         row_number() OVER (PARTITION BY mid || CAST(ts // 1000 // 60 AS VARCHAR) ORDER BY ts DESC) AS rn
+  FROM alerts) WHERE rn = 1"""
 _TUMBLING = O.with_ctes(O.EVENT, _alert_sql(_W12, _W12))
 _SLIDING = O.with_ctes(O.EVENT, _alert_sql(_W12, _S3))
 
@@ -561,18 +633,18 @@ def alert_doc_id(t: Tables) -> DataFrame:
     return alert.with_doc_id(alert.coupon_alerts(A.event(t), ALERT_WINDOW)).select("mid", "window_start", "doc_id")
 
 
-@register(
-    "alert_per_minute",
-    _SLIDING
-    + """SELECT doc_id, mid, window_start, n_accounts FROM (
-  SELECT *, mid || CAST(ts // 1000 // 60 AS VARCHAR) AS doc_id,
-         row_number() OVER (PARTITION BY mid || CAST(ts // 1000 // 60 AS VARCHAR) ORDER BY ts DESC) AS rn
-  FROM alerts) WHERE rn = 1""",
-)
+def minute_device():
+    """The device of the half-minute alerts."""
+    return (F.col("mid").cast("int") % MINUTE_DEVICES).cast("string")
+
+
+@register("alert_per_minute", _MINUTE_ALERTS)
 def alert_per_minute(t: Tables) -> DataFrame:
-    """One alert per device and minute (the last window wins)."""
-    alerts = alert.coupon_alerts(A.event(t), SLIDING_WINDOW, SLIDING_SLIDE)
-    return alert.alert_per_minute(alerts).select("doc_id", "mid", "window_start", "n_accounts")
+    """W1 + W3: windows sliding by half a minute, one alert per device and minute (the
+    last window wins)."""
+    events = A.event(t).withColumn("mid", minute_device())
+    return alert.alert_per_minute(alert.coupon_alerts(events, MINUTE_WINDOW, MINUTE_SLIDE)).select(
+        "doc_id", "mid", "window_start", "window_end", "n_accounts", "uids", "item_ids", "ts")
 
 
 # --- change feed (S2, S3, F1-F3) ------------------------------------------------
@@ -592,19 +664,34 @@ def cdc_rows(t: Tables) -> DataFrame:
     return rows.groupBy("table_name", "op").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register(
-    "cdc_route",
-    O.with_ctes(_CHANGE_COUNTS)
-    + """SELECT CASE table_name WHEN 'order_info' THEN 'TOPIC_ORDER_INFO' WHEN 'order_detail' THEN 'TOPIC_ORDER_DETAIL'
-  ELSE 'TOPIC_USER_INFO' END AS topic, sum(n) AS n_rows
-FROM counts WHERE op <> 'DELETE' GROUP BY ALL""",
-)
+_ROUTED_SQL = """SELECT 'TOPIC_ORDER_INFO' AS topic, id AS key, user_id AS ref, order_status AS label,
+  total_amount AS amount, create_time AS at FROM order_info
+UNION ALL SELECT 'TOPIC_ORDER_DETAIL', id, order_id, sku_id, sku_price, NULL FROM order_detail
+UNION ALL SELECT 'TOPIC_USER_INFO', id, login_name, user_level, NULL, birthday FROM users
+UNION ALL SELECT 'TOPIC_USER_INFO', id, login_name, 'VIP', NULL, birthday FROM users WHERE c_custkey % 3 = 0"""
+
+
+def routed_records(spark: SparkSession, path: str) -> DataFrame:
+    """The routed topics read back, every record parsed: its topic and key, and of its
+    payload the row it refers to, a label, the amount and the time."""
+    back = spark.read.schema("key string, value string, topic string").json(path)
+    names = ("id", "user_id", "order_id", "login_name", "order_status", "sku_id", "user_level",
+             "total_amount", "order_price", "create_time", "birthday")
+    rows = back.select("topic", "key", F.from_json("value", wire_schema(names, extra=())).alias("v"))
+    first = lambda *fields: F.coalesce(*[F.col(f"v.{f}") for f in fields])
+    return rows.where(F.col("key").eqNullSafe(F.col("v.id"))).select(
+        "topic", "key", first("order_id", "user_id", "login_name").alias("ref"),
+        first("order_status", "sku_id", "user_level").alias("label"),
+        first("total_amount", "order_price").cast("double").alias("amount"), first("create_time", "birthday").alias("at"),
+    )
+
+
+@register("cdc_route", O.with_ctes(O.ORDER_INFO, O.ORDER_DETAIL, O.USERS) + _ROUTED_SQL)
 def cdc_route(t: Tables) -> DataFrame:
-    """F1 + P2 + S3: route changes to topic files, read the topics back, count."""
+    """F1 + P2 + S3: route changes to topic files; every record read back and parsed."""
     path = work_dir(t.spark, "topics", fresh=True)
     sinks.write_topics(cdc.route(A.changes(t)), path)
-    back = t.spark.read.text(path)
-    return back.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
+    return routed_records(t.spark, path)
 
 
 @register(
@@ -636,13 +723,13 @@ def cdc_order_amounts(t: Tables) -> DataFrame:
 )
 def upsert_table(t: Tables) -> DataFrame:
     """Batch 1 writes every order; batch 2 re-writes the open ones as
-    fulfilled; compaction folds both batches into one before the read."""
+    fulfilled."""
     path = work_dir(t.spark, "upsert_table", fresh=True)
     orders = A.order_info(t).select("id", "order_status", "total_amount", "create_date")
-    sinks.upsert(orders, path, batch_id=1)
-    sinks.upsert(orders.where(F.col("order_status") == "O").withColumn("order_status", F.lit("F")), path, batch_id=2)
-    sinks.compact(t.spark, path, "id")
-    return sinks.read_upserted(t.spark, path, "id")
+    sinks.upsert(orders, path, 1, "id", n_buckets=TWIN_BUCKETS)
+    fulfilled = orders.where(F.col("order_status") == "O").withColumn("order_status", F.lit("F"))
+    sinks.upsert(fulfilled, path, 2, "id", n_buckets=TWIN_BUCKETS)
+    return sinks.read_upserted(t.spark, path)
 
 
 @register(
@@ -650,24 +737,27 @@ def upsert_table(t: Tables) -> DataFrame:
     O.with_ctes(O.ORDER_INFO, O.ORDER_DETAIL, O.SALE_DETAIL)
     + """SELECT doc_id, order_id, order_status, sku_price FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY b DESC, sku_price DESC) AS rn FROM (
-    SELECT order_detail_id AS doc_id, order_id, order_status, sku_price, 1 AS b FROM sale_detail
+    SELECT order_detail_id AS doc_id, order_id, order_status, sku_price, 1 AS b FROM sale_detail WHERE order_status <> 'P'
     UNION ALL
     SELECT order_detail_id, order_id, 'F', sku_price, 2 FROM sale_detail WHERE order_status = 'O'))
-WHERE rn = 1""",
+WHERE rn = 1
+UNION ALL SELECT 'generated', order_id, order_status, sku_price FROM sale_detail WHERE order_status = 'P'""",
 )
 def upsert_documents(t: Tables) -> DataFrame:
     """Sale documents by id; the second bulk re-sends open orders' lines as fulfilled.
 
-    Two lines can share a document id (T8: one case at sf0.001); the keyed
-    sink keeps one of them, the higher price, exactly as the oracle does.
+    Lines of pending orders are sent without an id: each gets one of its own, shown
+    as ``generated``.  Two lines can share a document id (T8: one case at sf0.001); the
+    keyed sink keeps one of them, the higher price, exactly as the oracle does.
     """
     path = work_dir(t.spark, "upsert_documents", fresh=True)
     docs = join.sale_detail(A.order_info(t), A.order_detail(t, with_sku_name=False)).select(
-        F.col("order_detail_id").alias("doc_id"), "order_id", "order_status", "sku_price"
-    )
-    sinks.upsert_documents(docs, path, batch_id=1)
-    first = t.spark.read.parquet(f"{path}/{sinks.BATCH_COL}=1")        # the joins run once
-    sinks.upsert_documents(
-        first.where(F.col("order_status") == "O").withColumn("order_status", F.lit("F")), path, batch_id=2
+        F.when(F.col("order_status") != "P", F.col("order_detail_id")).alias("doc_id"), "order_id", "order_status", "sku_price"
     )
-    return sinks.read_upserted(t.spark, path, "doc_id", tiebreak="sku_price")
+    options = {"tiebreak": "sku_price", "n_buckets": TWIN_BUCKETS}
+    sinks.upsert_documents(docs, path, 1, **options)
+    fulfilled = docs.where(F.col("order_status") == "O").withColumn("order_status", F.lit("F"))
+    sinks.upsert_documents(fulfilled, path, 2, **options)
+    generated = F.col("order_status") == "P"
+    return sinks.read_upserted(t.spark, path).withColumn(
+        "doc_id", F.when(generated & F.col("doc_id").isNotNull(), F.lit("generated")).otherwise(F.col("doc_id")))

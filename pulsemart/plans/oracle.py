@@ -26,6 +26,20 @@ ORDER_INFO = """order_info AS (
          strftime(o_orderdate, '%Y-%m-%d') AS create_date, strftime(o_orderdate, '%H') AS create_hour
   FROM orders)"""
 
+ORDER_TABLE = """order_table AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS ID, CAST(c_nationkey AS VARCHAR) AS PROVINCE_ID, c_name AS CONSIGNEE,
+         o_orderpriority AS ORDER_COMMENT, lpad(CAST(o_custkey AS VARCHAR), 11, '0') AS CONSIGNEE_TEL,
+         o_orderstatus AS ORDER_STATUS, CAST(o_orderkey % 3 + 1 AS VARCHAR) AS PAYMENT_WAY,
+         CAST(o_custkey AS VARCHAR) AS USER_ID, CAST(NULL AS VARCHAR) AS IMG_URL, o_totalprice AS TOTAL_AMOUNT,
+         strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS EXPIRE_TIME,
+         concat_ws(' ', c_mktsegment, CAST(c_nationkey AS VARCHAR)) AS DELIVERY_ADDRESS,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS CREATE_TIME,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS OPERATE_TIME, CAST(NULL AS VARCHAR) AS TRACKING_NO,
+         CAST(NULL AS VARCHAR) AS PARENT_ORDER_ID, 'T' || CAST(o_orderkey AS VARCHAR) AS OUT_TRADE_NO,
+         CAST(NULL AS VARCHAR) AS TRADE_BODY, strftime(o_orderdate, '%Y-%m-%d') AS CREATE_DATE,
+         strftime(o_orderdate, '%H') AS CREATE_HOUR
+  FROM orders LEFT JOIN customer ON c_custkey = o_custkey)"""
+
 PURCHASES = """purchases AS (
   SELECT CAST(event_id AS VARCHAR) AS id, value AS total_amount,
          strftime(ts, '%Y-%m-%d') AS create_date, strftime(ts, '%H') AS create_hour

@@ -59,7 +59,7 @@ def _compare(hourly: DataFrame, day_col: str, hour_col: str, value_col: str, day
     aggregate, and one ``groupBy(day, hour)`` lines them up.
     """
     if day is not None:
-        hourly = hourly.where(F.col(day_col).isin(day, _prev_literal(day)))
+        hourly = hourly.where(F.col(day_col).isin(day, previous_day(day)))
     none = F.lit(None).cast(hourly.schema[value_col].dataType)
     value, hour = F.col(value_col), F.col(hour_col)
     as_today = F.struct(F.col(day_col).alias("logdate"), hour.alias("hour"), value.alias("today"), none.alias("yesterday"))
@@ -72,7 +72,8 @@ def _compare(hourly: DataFrame, day_col: str, hour_col: str, value_col: str, day
     )
 
 
-def _prev_literal(day: str) -> str:
+def previous_day(day: str) -> str:
+    """The day before a given one, as text."""
     import datetime as _dt
 
     return (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
@@ -150,6 +151,23 @@ def sale_search_page(found: DataFrame, page: int = 1, size: int = 20) -> DataFra
     return found.orderBy(*SEARCH_ORDER).offset((page - 1) * size).limit(size)
 
 
+def sale_search_after(found: DataFrame, after: tuple[str, str, str] | None, size: int = 20) -> DataFrame:
+    """L2 by key: the ``size`` rows that follow the row with the order key ``after``
+    (dt, order id, line id), the first ones for None.
+
+    A deep page costs what the first one does: rows before it are filtered out, not
+    sorted and skipped, and every task keeps ``size`` rows.  The key of a page's last
+    row asks for the next one.
+    """
+    if after is not None:
+        key, passed = F.lit(False), F.lit(True)
+        for name, value in zip(SEARCH_ORDER, after):
+            key = key | (passed & (F.col(name) > F.lit(value)))
+            passed = passed & (F.col(name) == F.lit(value))
+        found = found.where(F.col(SEARCH_ORDER[0]) >= F.lit(after[0])).where(key)
+    return found.orderBy(*SEARCH_ORDER).limit(size)
+
+
 def sale_search_report(sales: DataFrame, path: str, day=None, keyword="", page=1, size=20) -> DataFrame:
     """Total, facets and one page of one search as rows (section, key, n, share).
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pulsemart.functions.dates import DATETIME_FORMAT, epoch_ms, with_log_date_hour, with_order_date_hour
 from pulsemart.functions.ids import joined_key
+from pulsemart.schemas import ORDER_INFO_FIELDS
 from pulsemart.sources.tables import Tables
 
 # Fixed values of the synthetic columns (must equal the oracle SQL).
@@ -26,6 +27,8 @@ UPDATE_MODULUS = 3          # customers with custkey % 3 = 0 get an UPDATE
 UPDATED_LEVEL = "VIP"
 DELETE_MODULUS = 11         # customers with custkey % 11 = 0 get a DELETE
 TXN_MARKER_MODULUS = 10     # one TRANSACTIONEND entry per order with key % 10 = 0
+PAYMENT_WAYS = 3            # payment_way = orderkey % 3 + 1
+PHONE_DIGITS = 11           # consignee_tel = the customer key with leading zeros
 FOREIGN_SCHEMA_MODULUS = 5  # customer inserts with key % 5 = 0 repeated in schema 'ops'
 
 
@@ -101,6 +104,36 @@ def order_info(t: Tables, with_province: bool = False) -> DataFrame:
     return with_order_date_hour(df.drop("_custkey"))
 
 
+def _order_fields(t: Tables) -> DataFrame:
+    """Every order with the record's 18 fields as strings, in the record's order.  Four
+    of them the tables cannot fill."""
+    o, c = t.orders, t.customer
+    joined = o.join(
+        c.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey", "c_mktsegment"), "o_custkey", "left")
+    key, cust, at = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderdate")
+    time = F.date_format(at, DATETIME_FORMAT)
+    values = {
+        "id": key, "province_id": F.col("c_nationkey").cast("string"), "consignee": F.col("c_name"),
+        "order_comment": F.col("o_orderpriority"), "consignee_tel": F.lpad(cust, PHONE_DIGITS, "0"),
+        "order_status": F.col("o_orderstatus"), "payment_way": (F.col("o_orderkey") % PAYMENT_WAYS + 1).cast("string"),
+        "user_id": cust, "img_url": _null_str(), "total_amount": F.col("o_totalprice").cast("string"),
+        "expire_time": F.date_format(at + F.expr("INTERVAL 1 DAY"), DATETIME_FORMAT),
+        "delivery_address": F.concat_ws(" ", "c_mktsegment", F.col("c_nationkey").cast("string")),
+        "create_time": time, "operate_time": time, "tracking_no": _null_str(), "parent_order_id": _null_str(),
+        "out_trade_no": F.concat(F.lit("T"), key), "trade_body": _null_str(),
+    }
+    return joined.select("o_orderkey", *[values[f].alias(f) for f in ORDER_INFO_FIELDS])
+
+
+def order_changes(t: Tables) -> DataFrame:
+    """The change feed's order inserts with the whole record as after-image."""
+    rows = _order_fields(t)
+    after = F.create_map(*[x for f in ORDER_INFO_FIELDS for x in (F.lit(f), F.col(f))])
+    return rows.select(
+        F.lit("shop").alias("schema_name"), F.lit("order_info").alias("table_name"), F.lit("ROWDATA").alias("kind"),
+        F.lit("INSERT").alias("op"), after.alias("after"), (F.col("o_orderkey") * 10).alias("seq"))
+
+
 def user_provinces(t: Tables) -> DataFrame:
     """(user_id, province_id): each user's province (the customer's nation)."""
     c = t.customer

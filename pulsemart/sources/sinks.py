@@ -1,11 +1,6 @@
-"""Sinks: topic files (S3), keyed upsert tables (S4, S5), console.
-
-The keyed sink is log-structured: each write lands in its own ``_batch=<id>``
-partition and overwrites only that partition (dynamic partition overwrite),
-so replaying a batch after a failure is idempotent.  Readers resolve the
-latest row per key with ``max_by`` -- a partial aggregate -- ordered by the
-caller's order column and then the batch id.  Nothing is read and written in
-the same job, and no row goes through the driver.
+"""Sinks: topics (S3), keyed tables and documents (S4, S5), the day-partitioned
+tables (S4, S7-S9) and the console (S10).  Keyed tables lie in hash buckets
+(``sources.buckets``): a batch rewrites only the buckets it hits.
 """
 
 from __future__ import annotations
@@ -13,125 +8,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.operators.cdc import latest_by_key
-
-BATCH_COL = "_batch"
+from pulsemart.sources import buckets
 
 
 def write_topics(routed: DataFrame, path: str, mode: str = "append") -> None:
-    """S3: one JSON line per row under ``path/topic=<name>/``."""
-    routed.select("topic", "value").write.mode(mode).partitionBy("topic").text(path)
+    """S3 in file form: one JSON record (key, value) per row under ``path/topic=<name>/``."""
+    routed.select("topic", "key", "value").write.mode(mode).partitionBy("topic").json(path)
 
 
-def upsert(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch of keyed rows; replays of the same batch overwrite it."""
-    (
-        df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COL)
-        .parquet(path)
-    )
+def topic_options(bootstrap: str, topic: str | None = None) -> dict[str, str]:
+    """Options of Spark's topic connector for a sink: the cluster, acknowledged by all
+    replicas, and the topic unless rows carry a ``topic`` column."""
+    options = {"kafka.bootstrap.servers": bootstrap, "kafka.acks": "all"}
+    return {**options, "topic": topic} if topic else options
+
+
+def send_topics(routed: DataFrame, bootstrap: str) -> None:
+    """S3 to a named cluster: each record goes to its ``topic`` under its key, so
+    the records of a key stay in order.  Spark's error is raised where the connector
+    is missing."""
+    records = routed.select("topic", F.col("key").cast("string").alias("key"), "value")
+    records.write.format("kafka").options(**topic_options(bootstrap)).save()
 
 
-def upsert_documents(df: DataFrame, path: str, batch_id: int, id_col: str = "doc_id") -> None:
+def upsert(
+    df: DataFrame, path: str, batch_id: int, key: str, order: str | None = None, tiebreak: str | None = None,
+    n_buckets: int = buckets.BUCKETS,
+) -> list[int]:
+    """Upsert one batch of keyed rows; a replayed batch changes nothing.  Returns
+    the buckets rewritten."""
+    return buckets.merge(df, path, batch_id, key, order, tiebreak, n_buckets)
+
+
+def upsert_documents(df: DataFrame, path: str, batch_id: int, id_col: str = "doc_id", **options) -> list[int]:
     """Like ``upsert``; a document without id gets a generated one."""
-    upsert(df.withColumn(id_col, F.coalesce(F.col(id_col), F.expr("uuid()"))), path, batch_id)
+    return upsert(df.withColumn(id_col, F.coalesce(F.col(id_col), F.expr("uuid()"))), path, batch_id, id_col, **options)
 
 
-def read_upserted(
-    spark: SparkSession, path: str, key: str, order: str | None = None, tiebreak: str | None = None
-) -> DataFrame:
-    """The table as the upserts left it: the last writer per key.
+def read_upserted(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as the committed batches left it: one row per key."""
+    return buckets.read(spark, path)
 
-    ``order`` (e.g. a change sequence) outranks the batch id, so a replayed
-    old record in a later batch does not win; ``tiebreak`` settles two rows of
-    one key inside one batch deterministically.
-    """
-    return _resolve(spark.read.parquet(path), key, order, tiebreak)
 
+# --- rollups: partial sums of a stream's batches -----------------------------------
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+BATCH_COL = "_batch"
+COUNTS = "batch long, raw long, not_seen long, distinct long"
 
 
-def _batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """Batch partitions of a keyed sink (file listing only)."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    prefix = f"{BATCH_COL}="
-    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
-
-
-def compact(
-    spark: SparkSession, path: str, key: str, order: str | None = None, tiebreak: str | None = None,
-    upto: int | None = None,
-) -> int | None:
-    """Fold the batch partitions of a keyed sink, up to ``upto``, into the newest of them.
-
-    Readers resolve the last writer per key over all batch partitions, so
-    without compaction a read pays for the whole history.  With ``B`` the
-    newest batch at the start (no later than ``upto``):
-
-    1. the resolution of batches <= B is written to a staging table next to
-       the sink (a written table, so later steps do not recompute it);
-    2. partition ``B`` is overwritten from the staging table (dynamic
-       partition overwrite: only that partition is replaced);
-    3. the partitions older than ``B`` are deleted, then the staging table.
-
-    After every step the sink resolves to the same rows: ``B`` then holds
-    the winner of each key with its own ``order`` value, so it outranks the
-    older copies it duplicates.  A finished staging table (``_SUCCESS``)
-    found at start is applied first, so a run that died in step 2 or 3 is
-    completed by the next one.
-
-    Never fold a batch its writer may still replay: a replay overwrites its
-    partition, which after folding holds the older batches too.  From the
-    ``foreachBatch`` writer of batch N pass ``upto=N-1`` -- the engine commits
-    a batch before it starts the next.  Returns ``B``, or None when there was
-    nothing to fold.
-    """
-    staging_root = f"{path.rstrip('/')}.compacting"
-    fs, root = _fs(spark, staging_root)
-    if fs.exists(root):
-        for st in fs.listStatus(root):
-            done = st.getPath().toString()
-            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{done}/_SUCCESS")):
-                _apply_compaction(spark, path, done, int(st.getPath().getName()))
-        fs.delete(root, True)
-    batches = [b for b in _batch_ids(spark, path) if upto is None or b <= upto]
-    if len(batches) < 2:
-        return None
-    newest = batches[-1]
-    staging = f"{staging_root}/{newest}"
-    table = spark.read.parquet(path).where(F.col(BATCH_COL) <= newest)
-    resolved = _resolve(table, key, order, tiebreak)
-    resolved.write.mode("overwrite").parquet(staging)
-    _apply_compaction(spark, path, staging, newest)
-    fs.delete(root, True)
-    return newest
-
-
-def _apply_compaction(spark: SparkSession, path: str, staging: str, newest: int) -> None:
-    upsert(spark.read.parquet(staging), path, newest)
-    # only the folded batches go; later ones may have landed meanwhile
-    for b in _batch_ids(spark, path):
-        if b < newest:
-            fs, p = _fs(spark, f"{path.rstrip('/')}/{BATCH_COL}={b}")
-            fs.delete(p, True)
-
-
-def _resolve(df: DataFrame, key: str, order: str | None, tiebreak: str | None) -> DataFrame:
-    parts = [F.col(order)] if order else []
-    parts.append(F.col(BATCH_COL))
-    if tiebreak:
-        parts.append(F.col(tiebreak))
-    order_col = F.struct(*parts)
-    return latest_by_key(df.withColumn("_order", order_col), key, order="_order").drop("_order", BATCH_COL)
+def write_rollup(sums: DataFrame, path: str, batch_id: int) -> None:
+    """One batch's partial sums; a replayed batch replaces its own.  A few rows a batch
+    (a row per hour it touches), in one file."""
+    sums.coalesce(1).withColumn(BATCH_COL, F.lit(int(batch_id))).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(path)
+
+
+def has_rollup(spark: SparkSession, path: str, batch_id: int) -> bool:
+    """Whether a batch's partial sums are there (file listing only)."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}/*.parquet")
+    return len(fs.globStatus(p) or []) > 0
+
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """The partial sums of all batches, to be added up."""
+    return spark.read.parquet(path).drop(BATCH_COL)
 
 
 def upper_case_columns(df: DataFrame) -> DataFrame:
@@ -144,6 +84,11 @@ def console(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 # --- the DAU table: one row per (device, log day), partitioned by day ----------
 
 DAU_PARTITION = "LOGDATE"

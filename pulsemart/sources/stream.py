@@ -4,12 +4,10 @@
 record -- what a Kafka topic carries -- from the named Kafka cluster or from the
 named directory of text files (one JSON per line).
 
-``replay`` turns a table into such a topic directory for the stream twins.
-Files are written slice by slice in event-time order, one write job per
-slice, because a file source takes files in modification-time order (H1b).
-A slice is never longer than the watermark delay of the query reading it, so
-a micro-batch that holds only part of a slice never makes the rest of that
-slice late.
+``replay`` turns a table into such a topic directory for the stream twins: one
+range-partitioned write, then the files are dated in event-time order, because a
+file source takes files in modification-time order (H1b).  Whatever number of
+files a micro-batch takes, no later file holds an earlier row, so nothing is late.
 """
 
 from __future__ import annotations
@@ -17,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NO_TIME = "__HIVE_DEFAULT_PARTITION__"     # Spark's folder name for a null partition value
-
 
 def topic_stream(
     spark: SparkSession,
@@ -27,8 +23,10 @@ def topic_stream(
     bootstrap: str | None = None,
     max_per_trigger: int | None = None,
     max_bytes: int | None = None,
+    keyed: bool = False,
 ) -> DataFrame:
-    """A streaming DataFrame of (value) strings from ``topic``.
+    """A streaming DataFrame of (value) strings from ``topic``, with ``keyed`` of
+    (key, value); a keyed topic directory holds JSON records of the two.
 
     ``bootstrap`` names a Kafka cluster: the topic is subscribed through Spark's
     connector (offsets tracked by the query checkpoint, not auto-committed --
@@ -40,16 +38,13 @@ def topic_stream(
     if (bootstrap is None) == (path is None):
         raise ValueError("name either a Kafka cluster or a topic directory")
     if bootstrap is not None:
-        reader = (
-            spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", topic)
-            .option("startingOffsets", "latest")
-        )
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
-        return reader.load().select(F.col("value").cast("string").alias("value"))
-    reader = spark.readStream.format("text")
+        reader = spark.readStream.format("kafka").options(**source_options(topic, bootstrap, max_per_trigger))
+        columns = ["key", "value"] if keyed else ["value"]
+        return reader.load().select(*[F.col(c).cast("string").alias(c) for c in columns])
+    if keyed:
+        reader = spark.readStream.format("json").schema("key string, value string")
+    else:
+        reader = spark.readStream.format("text")
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
     if max_bytes:
@@ -57,14 +52,29 @@ def topic_stream(
     return reader.load(path)
 
 
-def replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: list[str] | None = None) -> int:
-    """Write ``df`` as JSON lines under ``path``, in event-time slices of ``slice_ms``.
+def source_options(topic: str, bootstrap: str, max_per_trigger: int | None = None) -> dict[str, str]:
+    """Options of Spark's topic connector for a source."""
+    options = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": "latest"}
+    return {**options, "maxOffsetsPerTrigger": str(max_per_trigger)} if max_per_trigger else options
+
+
+def replay(df: DataFrame, path: str, time_col: str, files: int, value_cols: list[str] | None = None) -> int:
+    """Write ``df`` as JSON lines under ``path``, in about ``files`` files that
+    follow each other in event time; returns how many were written.
 
-    ``time_col`` is epoch ms (long) or a timestamp.  Only the slice numbers
-    (span / ``slice_ms`` of them) come to the driver.  Rows without a time are
-    a slice of their own, written first.  Returns the number of slices written.
+    One job: rows are range-partitioned by time, so a file holds no row earlier
+    than any row of the file before it.  Files already there stay the earlier ones.
+    Rows without a time come first.
     """
-    return _replay(df, path, time_col, slice_ms, value_cols)
+    spark = df.sparkSession
+    cols = value_cols or list(df.columns)
+    payload = F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")
+    before = set(_list_names(spark, path))
+    ranged = df.select(payload, F.col(time_col).alias("_t")).repartitionByRange(files, "_t")
+    ranged.select("value").write.mode("append").text(path)
+    new = sorted(n for n in _list_names(spark, path) if n.startswith("part-") and n not in before)
+    _set_ages(spark, path, new)
+    return len(new)
 
 
 def publish(
@@ -86,43 +96,23 @@ def publish(
     out.write.mode("append").option("maxRecordsPerFile", str(records_per_file)).text(path)
 
 
-def _list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries directly under ``path`` (file listing only)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [st.getPath().getName() for st in fs.listStatus(p)]
-
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-
-def _replay(df: DataFrame, path: str, time_col: str, slice_ms: int, value_cols: list[str] | None) -> int:
-    """Stage once, then publish slice by slice.
-
-    One job reads the source and writes every row to a staging folder
-    partitioned by slice start; the slice list is the folder listing (no
-    data to the driver).  Each slice is then copied to the topic by its own
-    job that reads only that slice's files, so the data is read once from the
-    source and once from staging -- never once per slice.
-    """
-    spark = df.sparkSession
-    t = F.col(time_col)
-    ms = t if dict(df.dtypes)[time_col] in ("bigint", "int") else F.unix_millis(t)
-    cols = value_cols or list(df.columns)
-    payload = F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")
-    staging = f"{path.rstrip('/')}_staging"
-    (
-        df.select(payload, (ms - F.pmod(ms, F.lit(slice_ms))).alias("_slice"))
-        .write.mode("overwrite").partitionBy("_slice").text(staging)
-    )
-    names = _list_names(spark, staging)
-    found = [n.split("=", 1)[1] for n in names if n.startswith("_slice=")]
-    slices = [s for s in found if s == NO_TIME] + sorted((s for s in found if s != NO_TIME), key=int)
-    for start in slices:
-        spark.read.text(f"{staging}/_slice={start}").write.mode("append").text(path)
-    _delete(spark, staging)
-    return len(slices)
+def _list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (file listing only)."""
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _set_ages(spark: SparkSession, path: str, names: list[str]) -> None:
+    """Date the files a second apart in the order of their names (part numbers, so
+    range order) and after all other files: a file source takes older files first."""
+    fs, p = _fs(spark, path)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    others = [st.getModificationTime() for st in fs.listStatus(p) if st.getPath().getName() not in names]
+    first = max([spark._jvm.System.currentTimeMillis() - 1000 * len(names), *[t + 1000 for t in others]])
+    for i, name in enumerate(names):
+        fs.setTimes(path_of(f"{path.rstrip('/')}/{name}"), first + 1000 * i, -1)

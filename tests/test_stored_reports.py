@@ -38,10 +38,25 @@ def test_day_reports_prune_partitions(spark):
 def test_replay_keeps_rows_without_a_time(spark):
     path = work_dir(spark, "test_replay_null", fresh=True) + "/topic"
     rows = spark.createDataFrame([("a", T0), ("b", None), ("c", T0 + 86_400_000)], "id string, ts long")
-    assert replay(rows, path, "ts", 86_400_000) == 3
+    assert replay(rows, path, "ts", 3) == 3
     assert spark.read.text(path).count() == 3
 
 
+def test_replay_is_one_job_in_event_time_order(spark):
+    """Files follow each other in time, by their dates too, and a second replay's files
+    come after the first one's."""
+    path = work_dir(spark, "test_replay_order", fresh=True) + "/topic"
+    rows = spark.range(1000).select(F.pmod(F.col("id") * 7919, F.lit(500)).alias("ts"))
+    replay(rows, path, "ts", 5)
+    replay(rows.withColumn("ts", F.col("ts") + 500), path, "ts", 4)
+    files = spark.read.text(path).select(
+        F.get_json_object("value", "$.ts").cast("long").alias("ts"), F.col("_metadata.file_modification_time").alias("at"),
+        F.col("_metadata.file_name").alias("f"))
+    spans = files.groupBy("f").agg(F.min("ts").alias("a"), F.max("ts").alias("z"), F.min("at").alias("at")).orderBy("at").collect()
+    assert len(spans) == 9
+    assert all(x.z <= y.a and x.at < y.at for x, y in zip(spans, spans[1:]))
+
+
 def test_publish_scans_once_and_cuts_files(spark):
     path = work_dir(spark, "test_publish", fresh=True) + "/topic"
     publish(spark.range(100).repartition(1), path, records_per_file=10)
@@ -89,8 +104,8 @@ def test_a_hot_order_joins_all_its_lines(spark, salts):
         F.concat(F.lit("l"), "id").alias("id"), F.when(F.col("id") % 3 == 0, "0").otherwise((F.col("id") % 60).cast("string")).alias("order_id"),
         F.lit("s").alias("sku_id"), F.lit("2.5").alias("order_price"), F.lit("1").alias("sku_num"),
         F.lit("x").alias("sku_name"), F.timestamp_millis(F.lit(T0)).alias("event_ts"))
-    replay(orders, f"{base}/o", "event_ts", 86_400_000)
-    replay(lines, f"{base}/l", "event_ts", 86_400_000)
+    replay(orders, f"{base}/o", "event_ts", 2)
+    replay(lines, f"{base}/l", "event_ts", 2)
     stream = build_sale_detail_stream(topic_stream(spark, "o", f"{base}/o"), topic_stream(spark, "l", f"{base}/l"), "1 day", salts=salts)
     run_available_now(stream, f"{base}/ckpt", f"{base}/sink")
     out = spark.read.parquet(f"{base}/sink")

@@ -22,7 +22,7 @@ def test_dau_stream_restart_equals_batch(spark):
     topic, ckpt, sink = f"{base}/topic", f"{base}/ckpt", f"{base}/sink"
     cols = ["mid", "uid", "area", "os", "vs", "ts", "event_id"]
     split = st.agg(F.min("ts")).first()[0] + 15 * DAY_MS
-    replay(st.where(F.col("ts") < split), topic, "ts", DAY_MS, cols)
+    replay(st.where(F.col("ts") < split), topic, "ts", 6, cols)
 
     def run():
         stream = build_dau_stream(topic_stream(spark, "TOPIC_STARTUP", topic, max_per_trigger=2))
@@ -30,7 +30,7 @@ def test_dau_stream_restart_equals_batch(spark):
 
     run()
     first = spark.read.parquet(sink).count()
-    replay(st.where(F.col("ts") >= split), topic, "ts", DAY_MS, cols)
+    replay(st.where(F.col("ts") >= split), topic, "ts", 6, cols)
     run()  # restart from the checkpoint: only the new files are read
     got = {tuple(r) for r in spark.read.parquet(sink).collect()}
     want = {tuple(r) for r in dedup.dau_table(A.startup(t)).select("mid", "logdate").collect()}
