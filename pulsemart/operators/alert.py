@@ -30,6 +30,8 @@ COUPON = "coupon"
 CLICK = "clickItem"
 MIN_ACCOUNTS = 3
 
+SALTS = 16                         # tasks that a hot window's lists are built in
+
 
 def duration_ms(duration: str) -> int:
     """'12 hours' / '5 minutes' / '5 seconds' -> milliseconds."""
@@ -111,17 +113,20 @@ def coupon_alerts(
     hits = summary.where((F.col("n_accounts") >= min_accounts) & ~F.col("_click")).select(
         "mid", "_wstart", "n_accounts"
     )
-    # Lists only for the windows that alert; the semi join keeps the rest out.
-    # No filter on ``facts`` here (alerting windows hold no click facts), so the
-    # plan reuses the facts shuffle instead of scanning the events again.
-    lists = (
-        facts.join(hits.select("mid", "_wstart"), ["mid", "_wstart"], "left_semi")
-        .groupBy("mid", "_wstart")
-        .agg(
-            F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == "u", F.col("val")))), ",").alias("uids"),
-            F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == "i", F.col("val")))), ",").alias("item_ids"),
-        )
-    )
+    # Lists only for the windows that alert.  These are measured and broadcast when
+    # small, so the facts are usually not shuffled again; the lists are built by salt
+    # first, so a window with a third of the facts is spread over tasks.
+    salt = F.pmod(F.xxhash64("val"), F.lit(SALTS)).alias("_salt")
+    listed = join_checked_small(facts.where(F.col("kind") != "c"), hits.select("mid", "_wstart"), ["mid", "_wstart"])
+
+    def values(kind: str):
+        return F.collect_list(F.when(F.col("kind") == kind, F.col("val")))
+
+    def joined(name: str):
+        return F.array_join(F.sort_array(F.flatten(F.collect_list(name))), ",")
+
+    parts = listed.groupBy("mid", "_wstart", salt).agg(values("u").alias("_u"), values("i").alias("_i"))
+    lists = parts.groupBy("mid", "_wstart").agg(joined("_u").alias("uids"), joined("_i").alias("item_ids"))
     end = F.col("_wstart") + F.lit(w_ms)
     return hits.join(lists, ["mid", "_wstart"], "left").select(
         "mid",

@@ -11,16 +11,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.functions.dates import DAY_FORMAT, next_day
-from pulsemart.operators.aggregates import dau_hourly, dau_total, facet_age, facet_gender, gmv_hourly, gmv_total
+from pulsemart.operators.aggregates import dau_hourly, facet_age, facet_gender, gmv_hourly, gmv_total
 
 
 
-def new_devices(dau: DataFrame) -> DataFrame:
-    """Devices per day whose first-ever day it is (the reference shows a constant)."""
-    # min over a date, not the day string: a date is a fixed-width buffer, so
-    # this is a hash aggregate rather than a sort-based one.
-    first = dau.groupBy("mid").agg(F.min(F.to_date("logdate", DAY_FORMAT)).alias("_d"))
-    return first.groupBy(F.date_format("_d", DAY_FORMAT).alias("logdate")).agg(F.count(F.lit(1)).alias("ct"))
+def device_days(dau: DataFrame) -> DataFrame:
+    """(logdate, dau, new_mid): devices of a day, and those whose first-ever day it is
+    (the reference shows a constant).
+
+    One frame for both: a device's days are folded to one array (partial map-side, as
+    long as the table has days), then counted by day.
+    """
+    days = dau.groupBy("mid").agg(F.collect_set(F.to_date("logdate", DAY_FORMAT)).alias("_days"))
+    rows = days.select(F.explode("_days").alias("_d"), F.array_min("_days").alias("_first"))
+    return rows.groupBy(F.date_format("_d", DAY_FORMAT).alias("logdate")).agg(
+        F.count(F.lit(1)).alias("dau"), F.count_if(F.col("_d") == F.col("_first")).alias("new_mid"))
 
 
 def kpi_total(dau: DataFrame, orders: DataFrame, day: str | None = None) -> DataFrame:
@@ -29,26 +34,30 @@ def kpi_total(dau: DataFrame, orders: DataFrame, day: str | None = None) -> Data
     With a ``day`` the three rows always exist: a day without data gives
     dau 0, new_mid 0 and order_amount NULL, as count and sum do (SURVEY H6).
     """
+    devices = device_days(dau)
     if day is not None:
         d = F.lit(day)
-        parts = [
-            dau.where(F.col("logdate") == d).agg(F.count(F.lit(1)).cast("double").alias("value"))
-            .select(d.alias("day"), F.lit("dau").alias("id"), "value"),
-            new_devices(dau).where(F.col("logdate") == d).agg(F.coalesce(F.sum("ct"), F.lit(0)).cast("double").alias("value"))
-            .select(d.alias("day"), F.lit("new_mid").alias("id"), "value"),
-            orders.where(F.col("create_date") == d).agg(F.round(F.sum("total_amount"), 2).alias("value"))
-            .select(d.alias("day"), F.lit("order_amount").alias("id"), "value"),
-        ]
+        devices = devices.where(F.col("logdate") == d).agg(
+            d.alias("logdate"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("dau", "new_mid")])
+        amounts = orders.where(F.col("create_date") == d).agg(F.round(F.sum("total_amount"), 2).alias("value")).select(
+            d.alias("day"), F.lit("order_amount").alias("id"), "value")
     else:
-        parts = [
-            dau_total(dau).select(F.col("logdate").alias("day"), F.lit("dau").alias("id"), F.col("ct").cast("double").alias("value")),
-            new_devices(dau).select(F.col("logdate").alias("day"), F.lit("new_mid").alias("id"), F.col("ct").cast("double").alias("value")),
-            gmv_total(orders).select(F.col("create_date").alias("day"), F.lit("order_amount").alias("id"), F.col("sum_amount").alias("value")),
-        ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        amounts = gmv_total(orders).select(
+            F.col("create_date").alias("day"), F.lit("order_amount").alias("id"), F.col("sum_amount").alias("value"))
+    tiles = F.expr("stack(2, 'dau', CAST(dau AS DOUBLE), 'new_mid', CAST(new_mid AS DOUBLE)) AS (id, value)")
+    # a day without a new device has no such tile, unless the day was asked for
+    tiles = devices.select(F.col("logdate").alias("day"), tiles).where((F.col("value") > 0) | F.lit(day is not None))
+    return tiles.unionByName(amounts)
+
+
+def kpi_rolled_up(dau_hours: DataFrame, order_hours: DataFrame, day: str) -> DataFrame:
+    """R1 of one day from the rollups that the streaming jobs keep: dau and
+    order_amount, without a look at devices or orders."""
+    d = F.lit(day)
+    dau = dau_hours.where(F.col("logdate") == d).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("value"))
+    amount = order_hours.where(F.col("create_date") == d).agg(F.round(F.sum("amount").cast("double"), 2).alias("value"))
+    return dau.select(d.alias("day"), F.lit("dau").alias("id"), "value").unionByName(
+        amount.select(d.alias("day"), F.lit("order_amount").alias("id"), "value"))
 
 
 def _compare(hourly: DataFrame, day_col: str, hour_col: str, value_col: str, day: str | None) -> DataFrame:

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pulsemart.functions.dates import with_log_date_hour, with_order_date_hour
 from pulsemart.functions.json import parse_json
 from pulsemart.operators import aggregates as agg
-from pulsemart.operators import alert, cdc, dedup, join
-from pulsemart.plans import catalog
+from pulsemart.operators import alert, buffers, cdc, dedup, join
+from pulsemart.plans import catalog, reports
 from pulsemart.plans import oracle as O
 from pulsemart.schemas import (
     EVENT_WIRE, ORDER_DETAIL_WIRE, ORDER_INFO_FIELDS, ORDER_INFO_WIRE, STARTUP_WIRE, USER_INFO_FIELDS, wire_schema,
@@ -178,7 +178,7 @@ def gmv_batch_writer(path: str, rollup_path: str, n_buckets: int = buckets.BUCKE
         batch.persist()
         try:
             amounts = batch.groupBy("create_date", "create_hour").agg(
-                F.sum(F.col("total_amount").cast("decimal(20,2)")).alias("amount"), F.count(F.lit(1)).alias("n"))
+                F.sum(F.col("total_amount").cast("decimal(28,6)")).alias("amount"), F.count(F.lit(1)).alias("n"))
             sinks.write_rollup(amounts, rollup_path, batch_id)
             sinks.upsert(batch, path, batch_id, "id", n_buckets=n_buckets)
         finally:
@@ -238,22 +238,25 @@ def build_dau_stream(values: DataFrame, delay: str = "1 day") -> DataFrame:
     return dedup.dedup_stream(build_startup_stream(values), "event_time", delay)
 
 
-def _order_sides(order_values: DataFrame, line_values: DataFrame, delay: str, salts: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Orders and lines as the two watermarked sides of an interval join.  ``salts``
+def _order_sides(
+    order_values: DataFrame, line_values: DataFrame, delay: str | None, salts: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """Orders and lines as the two sides of an interval join, watermarked where a
+    ``delay`` is given.  ``salts``
     spreads a hot order: its lines over so many state partitions, a copy of the
     order in each."""
     o = with_order_date_hour(parse_json(order_values, "value", ORDER_INFO_WIRE, casts={"event_ts": "timestamp"}))
     o = o.select(
         F.col("id").alias("order_id"), "order_status", "create_time", "user_id", F.col("create_date").alias("dt"),
         F.col("event_ts").alias("order_ts"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("o_salt"),
-    ).withWatermark("order_ts", delay)
+    )
     li = parse_json(line_values, "value", ORDER_DETAIL_WIRE, casts={"event_ts": "timestamp"})
     li = li.select(
         F.col("id").alias("order_detail_id"), F.col("order_id").alias("l_order_id"), "sku_id", "sku_name",
         F.col("order_price").cast("double").alias("sku_price"), F.col("event_ts").alias("line_ts"),
         F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("l_salt"),
-    ).withWatermark("line_ts", delay)
-    return o, li
+    )
+    return (o, li) if delay is None else (o.withWatermark("order_ts", delay), li.withWatermark("line_ts", delay))
 
 
 def _same_order(before: str, after: str):
@@ -279,6 +282,12 @@ def build_sale_detail_stream(
     )
 
 
+def build_buffered_sale_stream(order_values: DataFrame, line_values: DataFrame, delay: str, salts: int = 1) -> DataFrame:
+    """J3 + O2 by buffers with a time-to-live of 10 and 20 seconds."""
+    o, li = _order_sides(order_values, line_values, None, salts)
+    return buffers.buffered_sales(o, li, delay)
+
+
 def build_unmatched_stream(
     order_values: DataFrame, line_values: DataFrame, delay: str,
     before: str = join.LINE_BEFORE, after: str = join.LINE_AFTER,
@@ -614,18 +623,36 @@ def cdc_route_stream(t: Tables) -> DataFrame:
     return catalog.routed_records(t.spark, sink)
 
 
-def _order_job(t: Tables, name: str) -> tuple[str, str]:
+def _order_job(t: Tables, name: str, records: DataFrame | None = None) -> tuple[str, str]:
     """E4, the reference's order job: the routed order topic -> all fields, quoted
     numbers parsed -> date and hour -> keyed upsert of the order table by id, and
     the amounts by day and hour: (table, rollup)."""
     topic, _, ckpt, table = _dirs(t, name)
-    routed = cdc.route(A.order_changes(t))
+    routed = cdc.route(A.order_changes(t)) if records is None else records
     publish(routed, topic, value=F.col("value"), records_per_file=TOPIC_FILE_RECORDS)
     stream = build_order_stream(topic_stream(t.spark, cdc.TOPIC_ORDER, topic, max_per_trigger=TOPIC_BATCH))
     run_available_now(stream, ckpt, foreach_batch=gmv_batch_writer(table, f"{table}_rollup", TWIN_BUCKETS))
     return table, f"{table}_rollup"
 
 
+@_register(
+    "kpi_rollup_day",
+    O.with_ctes(O.STARTUP, O.PURCHASES)
+    + f"""SELECT '{catalog.REPORT_DAY}' AS day, 'dau' AS id, CAST(count(DISTINCT mid) AS DOUBLE) AS value
+FROM startup WHERE logdate = '{catalog.REPORT_DAY}'
+UNION ALL SELECT '{catalog.REPORT_DAY}', 'order_amount', round(sum(total_amount), 2)
+FROM purchases WHERE create_date = '{catalog.REPORT_DAY}'""",
+)
+def kpi_rollup_day(t: Tables) -> DataFrame:
+    """R1 + A7 + A9 of one day from the partial sums that the DAU job and the order job
+    keep, the latter over the purchases."""
+    _, sums = _dau_job(t, "kpi_dau")
+    purchases = A.purchases(t).select("id", "user_id", F.col("total_amount").cast("string").alias("total_amount"), "create_time")
+    _, rollup = _order_job(t, "kpi_gmv", purchases.select(F.to_json(F.struct(*purchases.columns)).alias("value")))
+    return reports.kpi_rolled_up(
+        sinks.read_rollup(t.spark, f"{sums}/hours"), sinks.read_rollup(t.spark, rollup), catalog.REPORT_DAY)
+
+
 @_register("gmv_stream_upsert", catalog.ORACLE["cdc_order_amounts"])
 def gmv_stream_upsert(t: Tables) -> DataFrame:
     """E4 + A9: amount and orders per day from the amounts the order job keeps."""

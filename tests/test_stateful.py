@@ -14,7 +14,7 @@ from pulsemart.session import work_dir
 from pulsemart.sources import sinks
 from pulsemart.sources.stream import publish, topic_stream
 from pulsemart.streaming.jobs import (
-    alert_document_writer, build_alert_stream, build_fact_stream, build_unmatched_stream, run_available_now,
+    alert_document_writer, build_alert_stream, build_buffered_sale_stream, build_fact_stream, build_unmatched_stream, run_available_now,
 )
 
 T0 = 1_704_067_200_000
@@ -118,6 +118,34 @@ def test_unmatched_orders_appear_when_the_watermark_passes_them(spark):
     assert wave([("g", 1000)], [("g", 1000)]) == {"b", "d", "e"}
 
 
+@pytest.mark.parametrize("salts", [1, 3])
+def test_buffers_live_for_seconds(spark, salts):
+    """Lines 19, 20 and 21 s before the order and 9, 10 and 11 s after it, in separate
+    micro-batches; several lines wait for one order; nothing is left at the end."""
+    base = work_dir(spark, "test_buffers", fresh=True)
+
+    def wave(orders, lines):
+        if orders:
+            publish(_orders(spark, [(o, "u", "O", "2024-01-01 00:00:00", _at(t)) for o, t in orders]).coalesce(1), f"{base}/o")
+        if lines:
+            publish(_lines(spark, [(f"{o}-{t}", o, "s", "1.5", _at(t)) for o, t in lines]).coalesce(1), f"{base}/l")
+        stream = build_buffered_sale_stream(
+            topic_stream(spark, "o", f"{base}/o"), topic_stream(spark, "l", f"{base}/l"), "15 seconds", salts)
+        run_available_now(stream, f"{base}/ckpt", f"{base}/sink")
+        return sorted(r.order_detail_id for r in spark.read.schema("order_detail_id string").parquet(f"{base}/sink").collect())
+
+    assert wave([("x", 70)], [("a", 79), ("a", 80), ("a", 81), ("b", 90), ("b", 91), ("b", 92)]) == []
+    assert wave([("a", 100), ("b", 100), ("c", 100)], []) == ["a-80", "a-81", "b-90", "b-91", "b-92"]      # 79 waited 21 s
+    assert wave([], [("c", 109), ("c", 110), ("c", 111), (None, 109)])[-2:] == ["c-109", "c-110"]
+    wave([("y", 1000)], [("z", 1000)])
+    out = wave([("y", 5000)], [("z", 5000)])
+    assert out == ["a-80", "a-81", "b-90", "b-91", "b-92", "c-109", "c-110"]            # each pair once
+    left = spark.read.format("statestore").option("stateVarName", "order").load(f"{base}/ckpt")
+    assert {r.key["order_id"] for r in left.collect()} <= {"y"}
+    lines = spark.read.format("statestore").option("stateVarName", "lines").load(f"{base}/ckpt")
+    assert {r.key["order_id"] for r in lines.collect()} <= {"z"}
+
+
 @pytest.mark.parametrize("salts", [1, 16])
 def test_a_hot_device_day_is_spread_before_the_keyed_dedup(spark, salts):
     base = work_dir(spark, "test_two_level", fresh=True)
