@@ -44,6 +44,7 @@ CYCLE = 4                          # shards
 ABSORB_PERCENT = 100               # a longer phrase with this share of the count absorbs a candidate
 MARK_BITS = 23                     # bytes of the table of starts (8 MB at any size)
 NEVER = 255
+HELD = 1 << 20                     # counts a task holds before it sends them on
 SALTS = 64
 UNKNOWN_LANG = "und"
 
@@ -85,7 +86,7 @@ def _scan(batches: Iterator[pa.RecordBatch], step: int, cycle: int, max_words: i
         names = langs.dictionary.to_pylist()
         lang_of = langs.indices.to_numpy()
         seeds = np.array([_lang_seed(x) for x in names], np.uint64)
-        words, longer = [], [[] for _ in range(max_words + 1)]
+        words, longer, held = [], [[] for _ in range(max_words + 1)], 0
         for row, data, offsets in sketch.slices(batch.column("text")):
             starts, ends = sketch.word_bounds(data, offsets, SEPARATORS)
             if not len(starts):
@@ -98,7 +99,9 @@ def _scan(batches: Iterator[pa.RecordBatch], step: int, cycle: int, max_words: i
                 lower = sketch.LOWER[data]
                 text = [lower[s:e].tobytes() for s, e in zip(starts[first].tolist(), ends[first].tolist())]
                 words.append((name[first], lang[first], text, n))
-            cut = np.concatenate(([0], np.cumsum(CUTS[data])))
+                held += len(first)
+            cut = np.zeros(len(data) + 1, np.int32)
+            np.cumsum(CUTS[data], out=cut[1:])
             joined = (cut[starts[1:]] == cut[ends[:-1]]) & (doc[1:] == doc[:-1])
             mark = table[(name & low).astype(np.int64)]
             for k in range(2, max_words + 1):
@@ -112,21 +115,30 @@ def _scan(batches: Iterator[pa.RecordBatch], step: int, cycle: int, max_words: i
                 if now.any():
                     _, first, n = np.unique(full[now], return_index=True, return_counts=True)
                     longer[k].append((full[now][first], a[now][first], b[now][first], start[now][first], n))
+                    held += len(first)
                 name = np.zeros_like(name)
                 name[at] = full
                 mark = np.full(len(mark), NEVER, np.uint8)
                 mark[at] = table[(full & low).astype(np.int64)]
-        if words:
-            first, n = _tally(words)
-            text = [t for w in words for t in w[2]]
-            yield _state_batch(
-                1, np.concatenate([w[0] for w in words])[first], None, n,
-                [names[i] for i in np.concatenate([w[1] for w in words])[first]], [text[i] for i in first], None)
-        for k, parts in enumerate(longer):
-            if parts:
-                first, n = _tally(parts)
-                a, b, start = (np.concatenate([p[i] for p in parts])[first] for i in (1, 2, 3))
-                yield _state_batch(k, a, b, n, None, None, start)
+            if held > HELD:
+                yield from _rows(names, words, longer)
+                words, longer, held = [], [[] for _ in range(max_words + 1)], 0
+        yield from _rows(names, words, longer)
+
+
+def _rows(names: list[str], words: list[tuple], longer: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
+    """The counts of several slices, equal phrases added up."""
+    if words:
+        first, n = _tally(words)
+        text = [t for w in words for t in w[2]]
+        yield _state_batch(
+            1, np.concatenate([w[0] for w in words])[first], None, n,
+            [names[i] for i in np.concatenate([w[1] for w in words])[first]], [text[i] for i in first], None)
+    for k, parts in enumerate(longer):
+        if parts:
+            first, n = _tally(parts)
+            a, b, start = (np.concatenate([p[i] for p in parts])[first] for i in (1, 2, 3))
+            yield _state_batch(k, a, b, n, None, None, start)
 
 
 def _state_batch(k: int, a, b, n, lang, word, start) -> pa.RecordBatch:
