@@ -108,7 +108,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85).drop("text_hash")
+    return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85).drop("text_hash", "component")
 
 
 N_SHARDS = 24
@@ -182,19 +182,33 @@ WITH d AS (
   SELECT source, source_size, least(bound::DOUBLE, coalesce(weight * (
     SELECT first(level ORDER BY turn) FROM l WHERE bound > weight * level), bound::DOUBLE)) AS target
   FROM l
+), y AS (
+  SELECT *, length(bin(size)) AS k FROM d
+), v AS (
+  SELECT y.source, k, sum(size)::BIGINT AS words, any_value(t.target) AS target, any_value(t.source_size) AS source_size
+  FROM y JOIN t ON y.source IS NOT DISTINCT FROM t.source GROUP BY y.source, k
+), x AS (
+  SELECT *, CASE WHEN sum(k * words) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) > 0 THEN
+      (target - 2 * coalesce(sum(words) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(k * words) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) ELSE 0 END AS factor
+  FROM v WINDOW o AS (PARTITION BY source ORDER BY k DESC)
+), e AS (
+  SELECT *, least(2.0::DOUBLE, greatest(0.0::DOUBLE,
+    coalesce(arg_max(factor, k) FILTER (factor * k <= 2) OVER (PARTITION BY source), 2.0::DOUBLE) * k)) AS rate
+  FROM x
+), g AS (
+  SELECT *, floor(rate)::INT AS whole, rate - floor(rate) AS p,
+         target - sum(floor(rate)::BIGINT * words) OVER (PARTITION BY source) AS wanted
+  FROM e
 ), r AS (
-  SELECT d.doc_id, d.size, t.source, t.source_size, t.target,
-         CASE WHEN t.source_size = 0 THEN 0.0 ELSE t.target / t.source_size END AS rate,
-         (('0x' || substr(md5(d.doc_id::VARCHAR), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+  SELECT y.doc_id, y.size, g.source, g.source_size, g.target, whole, p, wanted,
+         (('0x' || substr(md5(y.doc_id::VARCHAR), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM y JOIN g ON y.source IS NOT DISTINCT FROM g.source AND y.k = g.k
 ), q AS (
-  SELECT *, floor(rate)::INT AS whole, rate - floor(rate) AS p,
-         target - floor(rate) * source_size AS wanted,
-         (u / (1 - u)) / ((rate - floor(rate)) / (1 - (rate - floor(rate)))) AS q
-  FROM r
+  SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM r
 ), c AS (
   SELECT *, p > 0 AND coalesce(sum(size) OVER (
-      PARTITION BY source ORDER BY q, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      PARTITION BY source, p > 0 ORDER BY q, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     + size / 2 <= wanted AS picked
   FROM q
 )

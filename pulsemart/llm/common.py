@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +30,46 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     files that outlive any executor instead of recomputing the lineage."""
     spark = df.sparkSession
     path = work_dir(spark, "llm", name, fresh=True) + "/t"
+    if _working:
+        _working[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_working: list[list[str]] = []           # paths written inside the open ``working_tables`` blocks
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what ``stored`` wrote inside: for callers that have written the
+    result by then.  Spark drops the shuffle files of the jobs that are over once the
+    driver's garbage collector finds them unused."""
+    _working.append([])
+    try:
+        yield
+    finally:
+        path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _working.pop():
+            path = path_of(name)
+            path.getFileSystem(conf).delete(path, True)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Each row as one struct ``row``: whatever its columns are called, none clashes."""
+    return docs.select(F.struct("*").alias("row"))
+
+
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_small(keys: DataFrame, row_bytes: int) -> DataFrame:
+    """``keys``, a stored table, marked for broadcast when its counted rows of
+    ``row_bytes`` fit the bound."""
+    return F.broadcast(keys) if keys.count() * row_bytes <= BROADCAST_BYTES else keys
+
+
 def text_hash(c: Column) -> Column:
     """Tells rows of one id apart by their texts (null as empty)."""
     return F.xxhash64(F.coalesce(c, F.lit(""))).alias("text_hash")

@@ -10,7 +10,7 @@ rest are compared word for word.
 
 The benchmark's windows are counted in bytes first and joined in blocks under
 ``BLOCK_BYTES``, each sent to the tasks as a dictionary; a larger benchmark
-means more blocks, all within one scan of the documents.  Which items a
+means more blocks, each counted and probed over the documents.  Which items a
 found window stands for is a shuffled join on the few windows found.
 
 Defined cases: null or wordless texts have no words and no hits; an item
@@ -148,11 +148,12 @@ def _probe(shared):
                 begins.append(b0 + [b for b, _ in ordered])
                 lengths.append(l0 + [block.sizes[i] for _, i in ordered])
                 found.append(f0 + list({block.windows[i] for _, i in ordered}))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc"), batch.column("text"), batch.column("text_hash"), pa.array(n_words, pa.int64()),
-                pa.array(begins, pa.list_(pa.int64())), pa.array(lengths, pa.list_(pa.int64())),
-                pa.array(found, pa.list_(pa.binary())),
-            ], ["doc", "text", "text_hash", "n_words", "begins", "lengths", "found"])
+            now = {
+                "n_words": pa.array(n_words, pa.int64()), "begins": pa.array(begins, pa.list_(pa.int64())),
+                "lengths": pa.array(lengths, pa.list_(pa.int64())), "found": pa.array(found, pa.list_(pa.binary())),
+            }
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([now.get(c, batch.column(c)) for c in names], names)
     return run
 
 
@@ -168,13 +169,12 @@ def _union_length(begins: Column, lengths: Column) -> Column:
     return F.aggregate(spans, zero, step, lambda acc: acc["total"])
 
 
-def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
-) -> DataFrame:
-    """One row per document: its id, ``text_hash``, ``n_words``, ``n_hit`` (words inside an
-    occurrence of a window), ``items`` (ids whose windows occur, sorted as
-    strings), ``spans`` (first word and length of each occurrence)."""
+def _probed(
+    docs: DataFrame, kept: list[Column], benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str,
+    window: int, block_bytes: int,
+) -> tuple[DataFrame, DataFrame]:
+    """(documents, owners): the ``kept`` columns of every document with ``n_words`` and its
+    window occurrences (``begins``, ``lengths``, ``found``), and each window's items."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
     item_type = items.schema["item"].dataType.simpleString()
@@ -183,19 +183,29 @@ def decontaminate(
     size = owners.agg(F.sum(F.octet_length("win"))).first()[0] or 0
     blocks = -(-size // block_bytes)
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
     nothing = [F.array().cast(f"array<{t}>").alias(c) for c, t in
                (("begins", "bigint"), ("lengths", "bigint"), ("found", "binary"))]
-    src = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"),
-                      F.lit(0).cast("long").alias("n_words"), *nothing)
-    probed = src
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    probed = docs.select(*kept, text, F.lit(0).cast("long").alias("n_words"), *nothing)
     for b in range(max(1, blocks)):
         own = windows if blocks < 2 else windows.filter(F.pmod(F.xxhash64("win"), F.lit(blocks)) == b)
         block = Block(sorted(bytes(r["win"]) for r in own.collect()))      # at most about block_bytes
         counted = docs.select(F.col(text_col).alias("text")).mapInArrow(
             _count_shingles(spark.sparkContext.broadcast(block)), "shingle long, n long")
         counts = {r["shingle"] % (1 << 64): r["n"] for r in counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect()}
-        probed = probed.mapInArrow(_probe(spark.sparkContext.broadcast((block, block.prefixes(counts)))), src.schema)
+        probed = probed.mapInArrow(_probe(spark.sparkContext.broadcast((block, block.prefixes(counts)))), probed.schema)
+    return probed, owners
+
+
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """One row per document: its id, ``text_hash``, ``n_words``, ``n_hit`` (words inside an
+    occurrence of a window), ``items`` (ids whose windows occur, sorted as
+    strings), ``spans`` (first word and length of each occurrence)."""
+    named = [F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")]
+    probed, owners = _probed(docs, named, benchmark, text_col, item_col, item_text_col, window, block_bytes)
     found = stored(probed.select(
         "doc", "text_hash", "n_words", _union_length(F.col("begins"), F.col("lengths")).alias("n_hit"),
         F.arrays_zip("begins", "lengths").alias("spans"), "found"), "bench_found")
@@ -208,3 +218,14 @@ def decontaminate(
         F.col("doc").alias(id_col), "text_hash", "n_words", "n_hit",
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans",
     )
+
+
+def without_benchmark_rows(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` without a window of any item, all their columns, in the
+    probing pass itself: a verdict on one row needs no join."""
+    probed, _ = _probed(
+        docs, [F.struct("*").alias("row")], benchmark, text_col, item_col, item_text_col, window, block_bytes)
+    return probed.filter(F.size("found") == 0).select("row.*")

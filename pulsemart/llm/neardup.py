@@ -153,7 +153,8 @@ def near_duplicates(
     permutations: int = PERMUTATIONS, rows: int = BAND_ROWS,
 ) -> DataFrame:
     """One row per document: its id, ``text_hash``, ``n_shingles``, ``component_id`` (the
-    smallest id reachable over links) and ``kept`` (the id is that one).
+    smallest id reachable over links), ``kept`` (the id is that one) and ``component``,
+    which tells components apart whatever their ids are (null without a word).
 
     Documents are linked when their sets of ``width``-word shingles have a
     Jaccard similarity of at least ``percent`` / 100.
@@ -176,10 +177,10 @@ def near_duplicates(
         "cls", "rep", F.coalesce("root", "cls").alias("root"))
     named = stored(named, "near_named")
     least = stored(named.groupBy("root").agg(F.min("rep").alias("component_id")), "near_roots")
-    by_class = stored(named.join(least, "root").select("cls", "component_id"), "near_components")
+    by_class = stored(named.join(least, "root").select("cls", "component_id", F.col("root").alias("component")), "near_components")
     out = sig.select("doc", "text_hash", "cls", "n").join(by_class, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc")).otherwise(F.col("component_id"))
     return out.select(
         F.col("doc").alias(id_col), "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("doc").eqNullSafe(component).alias("kept"),
+        F.col("doc").eqNullSafe(component).alias("kept"), "component",
     )

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm import gru, sketch
-from pulsemart.llm.common import text_hash
+from pulsemart.llm.common import text_hash, whole_rows
 from pulsemart.llm.decontaminate import SEPARATOR
 from pulsemart.llm.gru import F32
 
@@ -280,23 +280,36 @@ def train(texts: list[bytes], labels: list[int], prior: float, steps: int = STEP
     return model
 
 
+def _scores(texts: pa.Array, model: dict[str, np.ndarray]) -> np.ndarray:
+    scores = np.zeros(len(texts))
+    for row, data, offsets in sketch.slices(texts):
+        words = read_words(data, offsets)
+        rows, lengths, owner = windows(words.texts)
+        logits = window_logits(model, words, rows, lengths)
+        top = np.full(len(offsets) - 1, -np.inf)
+        np.maximum.at(top, owner, logits)
+        scores[row:row + len(top)] = 1 / (1 + np.exp(-np.clip(top, -30, 30)))
+    return scores
+
+
 def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            scores = np.zeros(batch.num_rows)
-            for row, data, offsets in sketch.slices(batch.column("text")):
-                words = read_words(data, offsets)
-                rows, lengths, owner = windows(words.texts)
-                logits = window_logits(model, words, rows, lengths)
-                top = np.full(len(offsets) - 1, -np.inf)
-                np.maximum.at(top, owner, logits)
-                scores[row:row + len(top)] = 1 / (1 + np.exp(-np.clip(top, -30, 30)))
+            scores = _scores(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("text_hash"), pa.array(scores)], ["doc", "text_hash", "score"])
     return run
 
 
+def _below(shared, text: int, threshold: float):
+    """Whole rows whose text, field number ``text``, scores under the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = _scores(batch.column("row").field(text), shared.value)
+            yield batch.filter(pa.array(scores < threshold))
+    return run
+
+
 def fold(id_col: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (a null id as empty text)."""
     return F.crc32(F.encode(F.coalesce(id_col.cast("string"), F.lit("")), "UTF-8")) % folds
@@ -322,15 +335,31 @@ def sample_labelled(
     return texts, ys, prior if counts else 0.5
 
 
+def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int, chars: int, steps: int):
+    """The model fitted to the bounded sample, as the tasks read it."""
+    texts, ys, prior = sample_labelled(docs, labels, id_col, text_col, label_col, per_class, chars)
+    return docs.sparkSession.sparkContext.broadcast(train(texts, ys, prior, steps))
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     per_class: int = SAMPLE_PER_CLASS, chars: int = SAMPLE_CHARS, steps: int = STEPS,
 ) -> DataFrame:
     """One row per document: its id, ``text_hash``, ``held_out`` and ``score`` (0 to 1)."""
-    texts, ys, prior = sample_labelled(docs, labels, id_col, text_col, label_col, per_class, chars)
-    model = docs.sparkSession.sparkContext.broadcast(train(texts, ys, prior, steps))
+    model = fitted(docs, labels, id_col, text_col, label_col, per_class, chars, steps)
     src = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), text_hash(F.col(text_col)))
     id_type = src.schema["doc"].dataType.simpleString()
     out = src.mapInArrow(_scored(model), f"doc {id_type}, text_hash long, score double")
     return out.select(
         F.col("doc").alias(id_col), "text_hash", (fold(F.col("doc"), FOLDS) == HELD_OUT).alias("held_out"), "score")
+
+
+def without_toxic_rows(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    threshold: float = THRESHOLD, per_class: int = SAMPLE_PER_CLASS, chars: int = SAMPLE_CHARS, steps: int = STEPS,
+) -> DataFrame:
+    """The rows of ``docs`` that score under ``threshold``, all their columns, in the
+    scoring pass itself: a verdict on one row needs no join."""
+    model = fitted(docs, labels, id_col, text_col, label_col, per_class, chars, steps)
+    rows = whole_rows(docs)
+    return rows.mapInArrow(_below(model, docs.columns.index(text_col), threshold), rows.schema).select("row.*")

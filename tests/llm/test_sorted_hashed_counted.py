@@ -258,3 +258,37 @@ def test_empty_tables(spark):
     assert suffixes.suffix_dedup(none).count() == 0
     assert merkle.merkle_manifest(none).count() == 0
     assert phrases.collocations(none).count() == 0
+
+
+def test_mixing_prefers_long_documents(spark):
+    """Inclusion odds differ inside a source: the shares taken follow the length classes,
+    which a plain random order of the documents would not."""
+    from pulsemart.llm import mixing
+
+    rng = random.Random(2)
+    sizes = [rng.choice([3, 20, 150]) for _ in range(6000)]
+    docs = _docs(spark, [(i, " ".join(["w"] * n), None, "one") for i, n in enumerate(sizes)])
+    out = mixing.mix_sources(docs, percent=60).collect()
+    share = defaultdict(list)
+    for r in out:
+        share[r["size"]].append(r["copies"])
+    rate = {n: sum(c) / len(c) for n, c in share.items()}
+    classes = {3: 2, 20: 5, 150: 8}
+    factor = 0.6 * sum(sizes) / sum(n * classes[n] for n in sizes)
+    assert all(abs(rate[n] - factor * classes[n]) < 0.05 for n in rate)
+    assert rate[3] < rate[20] < rate[150]
+    total = sum(r["taken"] for r in out)
+    assert abs(total - 0.6 * sum(sizes)) <= 150
+
+
+def test_mixed_rows_repeat_what_the_mix_takes(spark, odd, rows):
+    from pulsemart.llm import mixing
+
+    taken = Counter()
+    for r in mixing.mix_sources(odd).collect():
+        taken[r["doc_id"], r["text_hash"]] = max(taken[r["doc_id"], r["text_hash"]], r["copies"])
+    got = mixing.mixed_rows(odd)
+    assert got.columns == odd.columns
+    counted = Counter((r["doc_id"], r["h"]) for r in got.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect())
+    rows_of = Counter((r["doc_id"], r["h"]) for r in odd.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect())
+    assert counted == Counter({k: n * rows_of[k] for k, n in taken.items() if n})
