@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on everything its predecessor
 kept; its result is written as Parquet and read again as the next one's input.
-All stages but the last return the columns of documents.
+All stages but the last return the columns of documents, whatever these are
+called and however many there are.
+
+Defined cases of every stage: an empty table gives an empty one; a null text is
+an empty one, which stays (it has no toxic word, no near copy and no benchmark
+window, and fills no share of the mix); null and repeated ids are told apart by
+their texts; extra columns are carried along untouched.
 """
 
 from __future__ import annotations
@@ -11,43 +17,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemart.llm import decontaminate, mixing, neardup, sharding, toxicity
-from pulsemart.llm.common import documents, stored, table, text_hash
+from pulsemart.llm.common import broadcast_small, documents, stored, table, text_hash, whole_rows, working_tables
+from pulsemart.llm.scratch import Scratch
 
 N_SHARDS = 24
-KEY = ("doc_id", "text_hash")        # what tells rows apart
+KEY_BYTES = 48                       # an id and a text hash in memory
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under the threshold."""
-    scores = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
-    return _except(docs, scores.filter(F.col("score") >= toxicity.THRESHOLD), "toxic")
+    """Documents that score under the threshold.  A row is kept or dropped in the
+    scoring pass; of equal rows all or none stay."""
+    return toxicity.without_toxic_rows(docs, table(spark, sf_dir, "labels"))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; of equal
-    rows one."""
-    found = stored(neardup.near_duplicates(docs).select(*KEY, "kept"), "pipeline_near")
-    kept = _except(docs, found.filter(~F.col("kept")), "copies")
-    again = stored(found.filter("kept").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*KEY), "pipeline_again")
-    if not again.limit(1).count():
-        return kept
-    once = _matching(kept, again, "left_semi").dropDuplicates(["doc_id", "text"])
-    return _matching(kept, again, "left_anti").unionByName(once)
+    """One document of each group of near copies: the smallest (id, text hash); of
+    equal rows one.  Documents without a word are near copies of nothing: all stay.
+
+    What goes is listed by id and text hash.  A list within the bound is sent to the
+    tasks; a longer one is joined, which shuffles the texts once.
+    """
+    with working_tables(spark):
+        found = neardup.near_duplicates(docs).select("doc_id", "text_hash", "component", "kept")
+        found = stored(found.filter("component is not null"), "near_found")
+        kept = found.filter("kept").groupBy("component").agg(F.min("text_hash").alias("first"))
+        lost = found.join(kept, "component").filter(~F.col("kept") | (F.col("text_hash") != F.col("first")))
+        once = found.join(kept, "component").filter(F.col("kept") & (F.col("text_hash") == F.col("first")))
+        again = once.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        columns = [F.col("doc_id").alias("d"), F.col("text_hash").alias("h")]
+        listed = Scratch(spark, "pipeline_near").store(
+            lost.select(*columns, F.lit(True).alias("lost")).distinct().unionByName(
+                again.select(*columns, F.lit(False).alias("lost"))), "listed")
+    rows = whole_rows(docs).join(broadcast_small(listed, KEY_BYTES), _own_key(), "left")
+    single = rows.filter("lost is null").select("row.*")
+    equal = rows.filter("not lost").select("row.*")
+    if listed.filter("not lost").limit(1).count():
+        single = single.unionByName(equal.dropDuplicates(["doc_id", "text"]))
+    return single
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a word inside a benchmark window."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _except(docs, found.filter(F.col("n_hit") > 0), "hits")
+    """Documents without a window of a benchmark item, kept or dropped in the
+    probing pass."""
+    return decontaminate.without_benchmark_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; equal rows (there are none after
-    the removal of near copies) are taken equally often."""
-    drawn = mixing.mix_sources(docs).groupBy(*KEY).agg(F.max("copies").alias("copies")).filter("copies > 0")
-    copies = stored(drawn.toDF("id", "hash", "copies"), "pipeline_mix")
-    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("id")) & (text_hash(F.col("text")) == F.col("hash")))
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """Each document as often as the mix takes it; equal rows are taken equally often."""
+    return mixing.mixed_rows(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,14 +72,8 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(docs, N_SHARDS)
 
 
-def _matching(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    named = keys.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("id")) & (text_hash(F.col("text")) == F.col("hash")), how)
-
-
-def _except(docs: DataFrame, lost: DataFrame, name: str) -> DataFrame:
-    """Rows of ``docs`` that ``lost`` doesn't name by id and text."""
-    return _matching(docs, stored(lost.select(*KEY).distinct(), f"pipeline_{name}"), "left_anti")
+def _own_key():
+    return F.col("row.doc_id").eqNullSafe(F.col("d")) & (text_hash(F.col("row.text")) == F.col("h"))
 
 
 STAGES = [
