@@ -4,9 +4,9 @@ Each line's key (stripped, A-Z lower-cased) is hashed to 128 bits.  The
 hashes are range-partitioned by (hash, document) and sorted by document and
 position within a partition, so a line that fills a third of the table is
 spread over many partitions, and the first occurrence of a line in a document
-is the head of its run.  Only those heads are counted per key, after a partial
-count in each range.  What leaves the operator is a run-length keep bitmap per
-document; the text is never shuffled by the search.
+is the head of its run.  Only those first occurrences are counted per key, after a
+partial count in each range; the largest document among them keeps the line.  What leaves the operator is a run-length keep bitmap per
+document; the search never shuffles a text, attaching the bitmaps does.
 
 Defined cases: a null or empty text is one empty line; a null ``doc_id``
 counts as one document, smaller than every other; rows that repeat a
@@ -17,7 +17,7 @@ their names can't clash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.llm.common import SPACES, let, lower_az, stored
@@ -65,11 +65,13 @@ def keep_bitmaps(
     occurrences = stored(
         keyed.select(F.unhex(F.md5("k")).alias("h"), "doc", "text_hash", "pos"), "line_hashes"
     )
-    order = [F.col("h"), F.col("doc").desc_nulls_last()]
-    ranged = occurrences.repartitionByRange(*order).sortWithinPartitions(*order, "pos")
-    heads = ranged.groupBy("h", "doc").agg(F.first("pos").alias("first_pos"))     # no exchange: ranges hold whole (h, doc)
+    # Ranges hold whole (h, doc), sorted by position, so the window needs no exchange and
+    # no further sort: it streams, and the first row of each run is a first occurrence.
+    ranged = occurrences.select("h", "doc", "pos").repartitionByRange("h", "doc").sortWithinPartitions("h", "doc", "pos")
+    place = F.row_number().over(Window.partitionBy("h", "doc").orderBy("pos"))
+    firsts = ranged.withColumn("place", place).filter("place = 1")
     spread = stored(
-        heads.groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
+        firsts.groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs).select("h", "keeper"),
         "line_keys",
     )

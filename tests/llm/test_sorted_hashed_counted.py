@@ -292,3 +292,37 @@ def test_mixed_rows_repeat_what_the_mix_takes(spark, odd, rows):
     counted = Counter((r["doc_id"], r["h"]) for r in got.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect())
     rows_of = Counter((r["doc_id"], r["h"]) for r in odd.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect())
     assert counted == Counter({k: n * rows_of[k] for k, n in taken.items() if n})
+
+
+def test_line_firsts_stream_from_the_sorted_ranges(spark, odd, monkeypatch):
+    """The plan that finds the spread lines: one range exchange, its sort, a window over
+    it, and no other exchange before the count."""
+    from pulsemart.llm import lines
+
+    plans = []
+    store = lines.stored
+
+    def spy(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return store(df, name)
+    monkeypatch.setattr(lines, "stored", spy)
+    lines.keep_bitmaps(odd, min_chars=5, min_docs=2).collect()
+    plan = dict(plans)["line_keys"]
+    assert plan.count("rangepartitioning") == 1 and "Window [row_number()" in plan
+    assert plan.count("Sort [") == 1 and plan.count("hashpartitioning") == 1
+
+
+def test_rule_costs_are_the_rules_own(spark):
+    """A rule that walks the words costs several times one that compares two counts,
+    which job start-up would hide; of equal rejections the cheap one goes first."""
+    from pulsemart.llm import quality
+
+    docs = spark.range(400).select(F.concat_ws(" ", *[F.concat(F.lit("w"), F.col("id") * k) for k in range(150)]).alias("text"),
+                                   F.col("id").alias("n_words"))
+    cheap = quality.Rule("cheap", F.col("n_words") >= 200)
+    dear = quality.Rule("dear", (F.size(F.filter(F.split("text", " "), lambda x: x.rlike("q+z$"))) == 0) & (F.col("n_words") >= 200))
+    sample = docs.persist()
+    sample.count()
+    (r1, c1), (r2, c2) = quality.measured(sample, [cheap, dear])
+    assert r1 == r2 == 200 and c2 > 3 * c1
+    assert [r.name for r in quality.ordered_by_benefit(docs, [dear, cheap])] == ["cheap", "dear"]
