@@ -17,7 +17,10 @@ ones the passage is followed word by word to its ends.  Every such run of words
 that several documents share is kept at its first place and removed at the others.
 
 The bands are tuned: of all (bands, rows) that find a pair at the threshold with
-probability ``RECALL``, the one with the fewest hashes.
+probability ``RECALL``, the one that lets the fewest pairs below it through, in at most
+``MOST_BANDS`` bands: a band is a stored key of every paragraph.
+
+Tables are removed once their last reader has run.
 
 Defined cases: null texts and paragraphs of fewer than ``MIN_WORDS`` words have
 no part in it; repeated rows and ids are documents of one id, so a paragraph that
@@ -35,8 +38,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.llm import sketch
-from pulsemart.llm.common import stored
+from pulsemart.llm.common import stored, working_tables
 from pulsemart.llm.neardup import linked_classes, star_centers
+from pulsemart.llm.scratch import Scratch
 
 RADIUS = 7
 MIN_WORDS = RADIUS + 1
@@ -46,19 +50,25 @@ PERCENT = 80
 PASSAGE = 50                       # words of an equal passage that is found for certain
 SPAN = 26                          # words of a seed: more than the distance of two seeds (PASSAGE - SPAN + 1)
 RECALL = 0.99
+MOST_BANDS = 5
 SEED = 88
 LINE_SALT = 0x5851F42D4C957F2D
 FILTER_BITS = 24                   # a bit table of the wanted classes (2 MB at any size); a join settles the rest
 REMEMBERED = 1 << 18               # classes a task remembers not to send their set twice
 
 
-def tuned_bands(percent: int = PERCENT, recall: float = RECALL, most_rows: int = 8) -> tuple[int, int]:
-    """(bands, rows) with the fewest hashes that reach ``recall`` at the threshold."""
+def tuned_bands(percent: int = PERCENT, recall: float = RECALL, most_bands: int = MOST_BANDS) -> tuple[int, int]:
+    """(bands, rows): of all that find a pair at the threshold with probability ``recall``
+    in at most ``most_bands`` bands, those that let the fewest pairs through whose
+    similarity, even between 0 and the threshold, is lower."""
     options = []
-    for rows in range(1, most_rows + 1):
+    for rows in range(1, 9):
         miss = 1 - (percent / 100) ** rows
-        options.append((int(np.ceil(np.log(1 - recall) / np.log(miss))), rows))
-    return min(options, key=lambda o: (o[0] * o[1], o[1]))
+        bands = int(np.ceil(np.log(1 - recall) / np.log(miss)))
+        if bands <= most_bands:
+            low = np.linspace(0, percent / 100, 101)
+            options.append((float(np.mean(1 - (1 - low ** rows) ** bands)), bands, rows))
+    return min(options)[1:]
 
 
 def _boundaries(pairs: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
@@ -282,33 +292,35 @@ def repeated_paragraphs(
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     id_type = src.schema["doc"].dataType.simpleString()
-    found = stored(src.mapInArrow(
+    scratch = Scratch(spark, "paragraphs")
+    found = scratch.store(src.mapInArrow(
         _paragraphs(bands, rows), f"doc {id_type}, text_hash long, begin int, end int, word int, n_words int, cls long, keys array<long>"),
-        "paragraphs")
+        "found")
     place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_hash", "begin")
-    classes = found.groupBy("cls", *[F.col("keys")[j].alias(f"k{j}") for j in range(bands)]).agg(
-        F.min("doc").alias("low"), F.max("doc").alias("high"))
-    classes = stored(classes, "paragraph_classes")
-
-    keys = F.explode(F.array(*[F.col(f"k{j}") for j in range(bands)])).alias("k")
-    banded = classes.select("cls", keys)
-    shared = stored(banded.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k"), "paragraph_keys")
-    hits = stored(banded.join(shared, "k"), "paragraph_hits")
-    wanted = stored(hits.select("cls").distinct(), "paragraph_wanted")
-    sets = src.select("text").mapInArrow(
-        _sets(spark.sparkContext.broadcast(_bit_table(wanted))), "cls long, members array<long>")
-    sets = sets.join(wanted, "cls", "left_semi")
-    sets = stored(sets.dropDuplicates(["cls"]), "paragraph_sets")
-    sized = hits.join(sets.select("cls", F.size("members").cast("long").alias("n")), "cls")
-    roots = linked_classes(star_centers(sized.select("k", "cls", "n")), sets, percent)
-
-    rooted = stored(classes.select("cls", "low", "high").join(roots, F.col("cls") == F.col("node"), "left").select(
-        "cls", F.coalesce("root", "cls").alias("root"), "low", "high"), "paragraph_roots")
-    several = stored(rooted.groupBy("root").agg(F.min("low").alias("component"), F.max("high").alias("most"))
-                     .filter("component < most").select("root", "component"), "paragraph_components")
-    repeated = stored(rooted.select("cls", "root").join(several, "root"), "paragraph_repeated")
-    located = stored(found.drop("keys").join(repeated, "cls").drop("cls").distinct(), "paragraph_rows")
-    firsts = stored(located.groupBy("root").agg(F.min(place).alias("first")), "paragraph_firsts")
+    with working_tables(spark):
+        classes = found.groupBy("cls", *[F.col("keys")[j].alias(f"k{j}") for j in range(bands)]).agg(
+            F.min("doc").alias("low"), F.max("doc").alias("high"))
+        classes = stored(classes, "paragraph_classes")
+        keys = F.explode(F.array(*[F.col(f"k{j}") for j in range(bands)])).alias("k")
+        banded = classes.select("cls", keys)
+        shared = stored(banded.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k"), "paragraph_keys")
+        hits = stored(banded.join(shared, "k"), "paragraph_hits")
+        wanted = stored(hits.select("cls").distinct(), "paragraph_wanted")
+        sets = src.select("text").mapInArrow(
+            _sets(spark.sparkContext.broadcast(_bit_table(wanted))), "cls long, members array<long>")
+        sets = sets.join(wanted, "cls", "left_semi")
+        sets = stored(sets.dropDuplicates(["cls"]), "paragraph_sets")
+        with working_tables(spark):
+            sized = hits.join(sets.select("cls", F.size("members").cast("long").alias("n")), "cls")
+            roots = scratch.store(linked_classes(star_centers(sized.select("k", "cls", "n")), sets, percent), "roots")
+        rooted = stored(classes.select("cls", "low", "high").join(roots, F.col("cls") == F.col("node"), "left").select(
+            "cls", F.coalesce("root", "cls").alias("root"), "low", "high"), "paragraph_roots")
+        several = stored(rooted.groupBy("root").agg(F.min("low").alias("component"), F.max("high").alias("most"))
+                         .filter("component < most").select("root", "component"), "paragraph_components")
+        repeated = stored(rooted.select("cls", "root").join(several, "root"), "paragraph_repeated")
+        located = scratch.store(found.drop("keys").join(repeated, "cls").drop("cls").distinct(), "located")
+        firsts = scratch.store(located.groupBy("root").agg(F.min(place).alias("first")), "firsts")
+    scratch.drop("found", "roots")
     own = Window.partitionBy("doc", "text_hash").orderBy("word", "n_words")
     stop = F.col("word") + F.col("n_words")
     starts = F.coalesce(F.max(stop).over(own.rowsBetween(Window.unboundedPreceding, -1)) < F.col("word"), F.lit(True))
@@ -318,7 +330,9 @@ def repeated_paragraphs(
     out = out.withColumn("run_words", F.max(stop).over(of_run) - F.min("word").over(of_run))
     columns = (F.col("doc").alias(id_col), "text_hash", "begin", "end", "n_words", "component", "removed")
     out = out.filter(F.col("run_words") >= MIN_RUN).withColumn("removed", place != F.col("first")).select(*columns)
-    return out.unionByName(_passages(src).select(*columns))
+    with working_tables(spark):
+        passages = scratch.store(_passages(src), "passages")
+    return out.unionByName(passages.select(*columns))
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
