@@ -134,25 +134,29 @@ WITH t AS (
          coalesce(text, '') AS text
   FROM conversations
 ), n AS (
-  SELECT *, floor(turn / 256)::BIGINT AS block,
-         row_number() OVER (PARTITION BY conv_id, floor(turn / 256) ORDER BY turn, role, text) AS n
-  FROM t
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS n FROM t
+), h AS (
+  SELECT conv_id, (n - 1) // 256 AS part, n, role, text, false AS again FROM n
+  UNION ALL
+  SELECT n.conv_id, p.part, n.n, role, text, true
+  FROM n JOIN (SELECT DISTINCT conv_id, (n - 1) // 256 AS part FROM n WHERE n > 256) p ON n.conv_id IS NOT DISTINCT FROM p.conv_id
+  WHERE n.n <= 256 AND role = 'system'
 ), s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
 p AS (
-  SELECT n.conv_id, s.speaker, block, floor((n - 1) / 256)::BIGINT AS part, n, role = s.speaker AS own,
+  SELECT h.conv_id, s.speaker, part, n, again, role = s.speaker AS own,
          '<|im_start|>' || CASE WHEN role = s.speaker THEN 'assistant' WHEN role = 'system' THEN role
            ELSE 'user name=' || replace(role, '<|', '<' || chr(8203) || '|') END || chr(10) AS head,
          replace(text, '<|', '<' || chr(8203) || '|') || '<|im_end|>' AS body
-  FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id
+  FROM h JOIN s ON h.conv_id IS NOT DISTINCT FROM s.conv_id
 ), m AS (
-  SELECT *, (sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, block, part ORDER BY n)
+  SELECT *, (sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, part ORDER BY n)
              - length(body) - 1)::BIGINT AS start
   FROM p
 )
-SELECT conv_id, speaker, block, part, count(*) AS n_turns,
+SELECT conv_id, speaker, part, count(*) FILTER (NOT again) AS n_turns, count(*) FILTER (again) AS n_context,
        string_agg(head || body || chr(10), '' ORDER BY n) AS rendered,
        coalesce(string_agg(start || ':' || length(body), ',' ORDER BY n) FILTER (own), '') AS mask
-FROM m GROUP BY conv_id, speaker, block, part
+FROM m GROUP BY conv_id, speaker, part
 """
 
 

@@ -5,12 +5,13 @@ speaker as the assistant and the others as named users; the mask covers the
 speaker's own turns (text and end marker), on which a model would be trained.
 Context roles (``system``) are rendered as they are and never rotated to.
 
-A conversation is cut into parts of at most ``PART_TURNS`` turns, so no task holds
-a long conversation: its turns are numbered within blocks of turn numbers,
-and only a part's turns are gathered.  A usual conversation is one part.
+A conversation is cut into parts of at most ``PART_TURNS`` turns, by a turn's place in
+it, whatever the turn numbers are; each later part repeats the context turns of the
+first one, so it can stand alone.  Places come from a range partitioning, so no
+task holds a long conversation.  A usual conversation is one part.
 
 Defined cases: a null role or an empty one is the speaker ``unknown``; a null text is an
-empty turn; a null turn number comes in a part of its own, after the others; a
+empty turn; null turn numbers come after the others, ordered by role and text; a
 null conversation id is a conversation; a repeated row (same conversation,
 turn, role and text) is one turn, and different rows of one turn number are
 ordered by role and text; a conversation of context turns alone has no
@@ -22,10 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import stored
+from pulsemart.llm.places import placed
+from pulsemart.llm.scratch import Scratch
 
 PART_TURNS = 256
 CONTEXT_ROLES = ("system",)
@@ -68,22 +70,29 @@ def rotate_perspectives(
     turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
     text_col: str = "text", context: Sequence[str] = CONTEXT_ROLES, part_turns: int = PART_TURNS,
 ) -> DataFrame:
-    """A row per conversation, speaker and part: ``block`` and ``part`` (the order
-    of parts), ``n_turns``, ``rendered`` and ``mask``."""
+    """A row per conversation, speaker and ``part``: ``n_turns`` (of the part itself),
+    ``n_context`` (turns repeated at its head), ``rendered`` and ``mask``."""
+    scratch = Scratch(turns.sparkSession, "chat")
     role = F.when(F.coalesce(F.col(role_col), F.lit("")) == "", F.lit("unknown")).otherwise(F.col(role_col))
     rows = turns.select(
-        F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"),
+        F.col(conv_col).alias("conv"), F.coalesce(F.concat(F.lit("="), F.col(conv_col).cast("string")), F.lit("-")).alias("grp"),
+        F.col(turn_col).isNull().alias("late"), F.col(turn_col).alias("turn"), role.alias("role"),
         F.coalesce(text_col, F.lit("")).alias("text"),
     ).distinct()
-    in_block = Window.partitionBy("conv", "block").orderBy("turn", "role", "text")
-    numbered = rows.withColumn("block", F.floor(F.col("turn") / part_turns)).withColumn("n", F.row_number().over(in_block))
-    parts = stored(numbered.groupBy("conv", "block", F.floor((F.col("n") - 1) / part_turns).alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("n", "role", "text"))).alias("turns")), "chat_parts")
+    numbered = placed(rows, scratch, "turns", "late", "turn", "role", "text")
+    parts = scratch.store(numbered.groupBy("conv", F.floor(F.col("pos") / part_turns).alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "role", "text"))).alias("turns")), "parts")
+    scratch.drop("turns_ranged")
     each = parts.select("conv", F.explode("turns.role").alias("speaker")).filter(~F.col("speaker").isin(*context))
-    speakers = stored(each.distinct().withColumnRenamed("conv", "c"), "chat_speakers")
-    seen = parts.join(speakers, F.col("conv").eqNullSafe(F.col("c")))
+    speakers = scratch.store(each.distinct().withColumnRenamed("conv", "c"), "speakers")
+    nothing = F.array().cast(parts.schema["turns"].dataType)
+    first = parts.filter("part = 0").select(
+        F.col("conv").alias("c0"), F.filter("turns", lambda t: t["role"].isin(*context)).alias("context"))
+    later = parts.filter("part > 0").join(first, F.col("conv").eqNullSafe(F.col("c0"))).drop("c0")       # long conversations only
+    whole = parts.filter("part = 0").withColumn("context", nothing).unionByName(later)
+    seen = whole.join(speakers, F.col("conv").eqNullSafe(F.col("c"))).withColumn("all", F.concat("context", "turns"))
     return seen.select(
-        F.col("conv").alias(conv_col), "speaker", "block", "part", F.size("turns").alias("n_turns"),
-        _rendered(F.col("turns"), F.col("speaker"), context).alias("rendered"),
-        _mask(F.col("turns"), F.col("speaker"), context).alias("mask"),
+        F.col("conv").alias(conv_col), "speaker", "part", F.size("turns").alias("n_turns"), F.size("context").alias("n_context"),
+        _rendered(F.col("all"), F.col("speaker"), context).alias("rendered"),
+        _mask(F.col("all"), F.col("speaker"), context).alias("mask"),
     )

@@ -257,12 +257,34 @@ def test_chat(spark):
 
 def test_chat_parts_hold_a_long_conversation(spark):
     turns = spark.createDataFrame([(1, i, "ab"[i % 2], f"t{i}") for i in range(1000)], "conv_id long, turn long, role string, text string")
-    out = chat.rotate_perspectives(turns, part_turns=64).orderBy("block", "part").collect()
+    out = chat.rotate_perspectives(turns, part_turns=64).orderBy("part").collect()
     assert max(r["n_turns"] for r in out) <= 64
     whole = "".join(r["rendered"] for r in out if r["speaker"] == "a")
     assert re.findall(r"\nt(\d+)<", whole) == [str(i) for i in range(1000)]
 
 
+def test_chat_parts_follow_places_not_turn_numbers(spark):
+    """Turns 250 to 261, clock-like and null turn numbers: one part each.  A cut part
+    repeats the context turns, and its mask still marks the speaker's text."""
+    rows = [(1, t, "system" if t == 250 else "ab"[t % 2], f"t{t}") for t in range(250, 262)]
+    rows += [(2, 1_700_000_000 + 977 * i, "ab"[i % 2], f"c{i}") for i in range(6)]
+    rows += [(3, None, "ab"[i % 2], f"n{i}") for i in range(5)] + [(3, 9, "a", "first")]
+    rows += [(4, i, "system" if i in (0, 1) else "ab"[i % 2], f"p{i}") for i in range(25)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.rotate_perspectives(turns, part_turns=12).collect()
+    parts = {c: {r["part"]: r for r in out if r["conv_id"] == c and r["speaker"] == "a"} for c in (1, 2, 3, 4)}
+    assert [sorted(parts[c]) for c in (1, 2, 3, 4)] == [[0], [0], [0], [0, 1, 2]]
+    assert parts[1][0]["rendered"].startswith("<|im_start|>system\nt250<")
+    assert re.findall(r"\n(\w+)<", parts[3][0]["rendered"]) == ["first", "n0", "n2", "n4", "n1", "n3"]
+    for part, own in ((0, range(12)), (1, range(12, 24)), (2, range(24, 25))):
+        r = parts[4][part]
+        again = [] if part == 0 else ["p0", "p1"]
+        assert (r["n_turns"], r["n_context"]) == (len(own), len(again))
+        assert re.findall(r"\n(\w+)<", r["rendered"]) == again + [f"p{i}" for i in own]
+        masked = [r["rendered"][m["start"]:m["start"] + m["length"]] for m in r["mask"]]
+        assert masked == [f"p{i}<|im_end|>" for i in own if i > 1 and i % 2 == 0]
+
+
 def test_paragraphs(spark):
     import random
     rng = random.Random(9)
