@@ -198,3 +198,27 @@ def test_the_day_key_of_a_page_reaches_the_scan(spark):
     plan = reports.sale_search_after(spark.read.parquet(path), ("2024-01-01", "a", "b"))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(dt,2024-01-01)" in plan
 
+
+
+def test_join_state_holds_the_interval_only(spark):
+    """Orders and lines over 400 days in event-time order: what the join still holds at
+    the end lies within the interval of the last watermark."""
+    from pulsemart.sources.stream import replay
+    from pulsemart.streaming.jobs import build_sale_detail_stream
+
+    base = work_dir(spark, "test_join_state", fresh=True)
+    day = F.expr("timestamp'2024-01-01' + make_dt_interval(cast(id AS int) % 400)")
+    rows = spark.range(8000).withColumn("event_ts", day)
+    orders = rows.select(F.col("id").cast("string").alias("id"), F.lit("u").alias("user_id"), F.lit("O").alias("order_status"),
+                         F.lit("2024-01-01 00:00:00").alias("create_time"), "event_ts")
+    lines = rows.select(F.concat(F.lit("l"), "id").alias("id"), F.col("id").cast("string").alias("order_id"), F.lit("s").alias("sku_id"),
+                        F.lit("1.5").alias("order_price"), F.lit("n").alias("sku_name"), "event_ts")
+    replay(orders, f"{base}/o", "event_ts", 20)
+    replay(lines, f"{base}/l", "event_ts", 20)
+    stream = build_sale_detail_stream(
+        topic_stream(spark, "o", f"{base}/o", max_per_trigger=2), topic_stream(spark, "l", f"{base}/l", max_per_trigger=2),
+        "1 day", "20 days", "10 days")
+    run_available_now(stream, f"{base}/ckpt", f"{base}/sink")
+    assert spark.read.parquet(f"{base}/sink").count() == 8000
+    held = [spark.read.format("statestore").option("joinSide", side).load(f"{base}/ckpt").count() for side in ("left", "right")]
+    assert held[0] <= 20 * (10 + 2) and held[1] <= 20 * (20 + 2)        # 20 rows a day
