@@ -111,6 +111,35 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85).drop("text_hash", "component")
 
 
+OP4_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) END) AS g
+  FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id AS node, doc_id AS other FROM d
+  UNION
+  SELECT r.node, e.b FROM r JOIN e ON e.a = r.other
+), c AS (
+  SELECT node, min(other) AS component_id FROM r GROUP BY node
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM d JOIN c ON c.node = d.doc_id LEFT JOIN n USING (doc_id)
+"""
+
+
 N_SHARDS = 24
 
 
@@ -418,6 +447,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 LLM_ORACLE: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op2_quality_rules": OP2_SQL,
+    "op4_minhash_near_dedup": OP4_SQL,
     "op6_chat_formatting": OP6_SQL,
     "op7_mixing": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
