@@ -17,6 +17,14 @@ SPACES = " \t\n\x0b\x0c\r"              # the class [\x20\x09-\x0D]
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+def bounded_batches(spark: SparkSession, size: str) -> SparkSession:
+    """Bounds the bytes of the Arrow batches that go to Python tasks: texts of a few
+    kilobytes make Spark's batches of 10,000 rows tens of megabytes, several times
+    over in a task that computes on them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
@@ -56,9 +64,19 @@ def working_tables(spark: SparkSession) -> Iterator[None]:
         spark._jvm.System.gc()
 
 
-def whole_rows(docs: DataFrame) -> DataFrame:
-    """Each row as one struct ``row``: whatever its columns are called, none clashes."""
-    return docs.select(F.struct("*").alias("row"))
+def whole_rows(docs: DataFrame, *apart: str) -> DataFrame:
+    """Each row as one struct ``row``: whatever its columns are called, none clashes.
+    Columns named ``apart`` (a text that a task reads) are left out of it and follow
+    as ``apart0``, ``apart1``, ..., so they are sent once."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in apart]
+    return docs.select(F.struct(*rest, F.lit(0).alias("__end")).alias("row"), *[F.col(f"`{c}`").alias(f"apart{i}") for i, c in enumerate(apart)])
+
+
+def rows_again(rows: DataFrame, docs: DataFrame, *apart: str) -> DataFrame:
+    """The columns of ``docs``, in their order, from ``whole_rows(docs, *apart)``."""
+    return rows.select(*[
+        F.col(f"apart{apart.index(c)}" if c in apart else f"row.`{c}`").alias(c) for c in docs.columns
+    ])
 
 
 BROADCAST_BYTES = 32 << 20

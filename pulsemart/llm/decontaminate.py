@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm import sketch
-from pulsemart.llm.common import stored
+from pulsemart.llm.common import rows_again, stored, whole_rows
 
 WINDOW = 10
 WIDTH = 3
@@ -170,11 +170,11 @@ def _union_length(begins: Column, lengths: Column) -> Column:
 
 
 def _probed(
-    docs: DataFrame, kept: list[Column], benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str,
-    window: int, block_bytes: int,
+    docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int,
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, owners): the ``kept`` columns of every document with ``n_words`` and its
-    window occurrences (``begins``, ``lengths``, ``found``), and each window's items."""
+    """(documents, owners): the columns of ``docs``, one of them ``text``, with ``n_words`` and
+    every document's window occurrences (``begins``, ``lengths``, ``found``), and each
+    window's items."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
     item_type = items.schema["item"].dataType.simpleString()
@@ -185,12 +185,11 @@ def _probed(
 
     nothing = [F.array().cast(f"array<{t}>").alias(c) for c, t in
                (("begins", "bigint"), ("lengths", "bigint"), ("found", "binary"))]
-    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    probed = docs.select(*kept, text, F.lit(0).cast("long").alias("n_words"), *nothing)
+    probed = docs.select("*", F.lit(0).cast("long").alias("n_words"), *nothing)
     for b in range(max(1, blocks)):
         own = windows if blocks < 2 else windows.filter(F.pmod(F.xxhash64("win"), F.lit(blocks)) == b)
         block = Block(sorted(bytes(r["win"]) for r in own.collect()))      # at most about block_bytes
-        counted = docs.select(F.col(text_col).alias("text")).mapInArrow(
+        counted = docs.select("text").mapInArrow(
             _count_shingles(spark.sparkContext.broadcast(block)), "shingle long, n long")
         counts = {r["shingle"] % (1 << 64): r["n"] for r in counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect()}
         probed = probed.mapInArrow(_probe(spark.sparkContext.broadcast((block, block.prefixes(counts)))), probed.schema)
@@ -204,8 +203,9 @@ def decontaminate(
     """One row per document: its id, ``text_hash``, ``n_words``, ``n_hit`` (words inside an
     occurrence of a window), ``items`` (ids whose windows occur, sorted as
     strings), ``spans`` (first word and length of each occurrence)."""
-    named = [F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")]
-    probed, owners = _probed(docs, named, benchmark, text_col, item_col, item_text_col, window, block_bytes)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    src = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    probed, owners = _probed(src, benchmark, item_col, item_text_col, window, block_bytes)
     found = stored(probed.select(
         "doc", "text_hash", "n_words", _union_length(F.col("begins"), F.col("lengths")).alias("n_hit"),
         F.arrays_zip("begins", "lengths").alias("spans"), "found"), "bench_found")
@@ -226,6 +226,7 @@ def without_benchmark_rows(
 ) -> DataFrame:
     """The rows of ``docs`` without a window of any item, all their columns, in the
     probing pass itself: a verdict on one row needs no join."""
-    probed, _ = _probed(
-        docs, [F.struct("*").alias("row")], benchmark, text_col, item_col, item_text_col, window, block_bytes)
-    return probed.filter(F.size("found") == 0).select("row.*")
+    rows = whole_rows(docs, text_col).withColumnRenamed("apart0", "text")
+    probed, _ = _probed(rows, benchmark, item_col, item_text_col, window, block_bytes)
+    clean = probed.filter(F.size("found") == 0).withColumnRenamed("text", "apart0")
+    return rows_again(clean, docs, text_col)

@@ -195,4 +195,4 @@ def mixed_rows(
     inside = rows.filter(F.col("bucket") == F.col("cut")).join(broadcast_small(picks, RATE_BYTES), own).select(
         "row", (F.col("whole") + F.col("picked").cast("int")).alias("copies"))
     taken = outside.unionByName(inside).filter("copies > 0")
-    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm import gru, sketch
-from pulsemart.llm.common import text_hash, whole_rows
+from pulsemart.llm.common import rows_again, stored, text_hash, whole_rows
 from pulsemart.llm.decontaminate import SEPARATOR
 from pulsemart.llm.gru import F32
 
@@ -301,11 +301,11 @@ def _scored(shared):
     return run
 
 
-def _below(shared, text: int, threshold: float):
-    """Whole rows whose text, field number ``text``, scores under the threshold."""
+def _below(shared, threshold: float):
+    """Whole rows whose text scores under the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = _scores(batch.column("row").field(text), shared.value)
+            scores = _scores(batch.column("apart0"), shared.value)
             yield batch.filter(pa.array(scores < threshold))
     return run
 
@@ -319,14 +319,17 @@ def sample_labelled(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int, chars: int,
 ) -> tuple[list[bytes], list[int], float]:
     """Texts and labels of at most ``per_class`` training rows of each class, and
-    the toxic share of all labelled training rows."""
+    the toxic share of all such rows.  Documents without a text within the bound, and
+    labels without a document, don't count."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("doc")).agg(F.max(label_col).alias("y")).filter(fold(F.col("doc"), FOLDS) != HELD_OUT)
+    short = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).filter(F.char_length("text") <= chars)
+    # labels without a document or with a long one only are dropped before anything is drawn
+    known = stored(known.join(short.select("doc").distinct(), "doc", "left_semi"), "toxicity_labels")
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     texts: list[bytes] = []
     ys: list[int] = []
-    short = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).filter(F.char_length("text") <= chars)
     for y in (0, 1):
         chosen = known.filter(F.col("y") == y).orderBy(F.xxhash64("doc"), "doc").limit(per_class).select("doc")
         rows = short.join(F.broadcast(chosen), "doc").orderBy(F.xxhash64("doc"), "text").limit(per_class).collect()
@@ -361,5 +364,5 @@ def without_toxic_rows(
     """The rows of ``docs`` that score under ``threshold``, all their columns, in the
     scoring pass itself: a verdict on one row needs no join."""
     model = fitted(docs, labels, id_col, text_col, label_col, per_class, chars, steps)
-    rows = whole_rows(docs)
-    return rows.mapInArrow(_below(model, docs.columns.index(text_col), threshold), rows.schema).select("row.*")
+    rows = whole_rows(docs, text_col)
+    return rows_again(rows.mapInArrow(_below(model, threshold), rows.schema), docs, text_col)
