@@ -17,17 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemart.llm import decontaminate, mixing, neardup, sharding, toxicity
-from pulsemart.llm.common import broadcast_small, documents, stored, table, text_hash, whole_rows, working_tables
+from pulsemart.llm.common import (
+    bounded_batches, broadcast_small, documents, rows_again, stored, table, text_hash, whole_rows, working_tables,
+)
 from pulsemart.llm.scratch import Scratch
 
 N_SHARDS = 24
 KEY_BYTES = 48                       # an id and a text hash in memory
+BATCH_BYTES = "2m"                   # texts sent to a Python task at a time
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under the threshold.  A row is kept or dropped in the
     scoring pass; of equal rows all or none stay."""
-    return toxicity.without_toxic_rows(docs, table(spark, sf_dir, "labels"))
+    labels = table(bounded_batches(spark, BATCH_BYTES), sf_dir, "labels")
+    return toxicity.without_toxic_rows(docs, labels)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +41,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     What goes is listed by id and text hash.  A list within the bound is sent to the
     tasks; a longer one is joined, which shuffles the texts once.
     """
-    with working_tables(spark):
+    with working_tables(bounded_batches(spark, BATCH_BYTES)):
         found = neardup.near_duplicates(docs).select("doc_id", "text_hash", "component", "kept")
         found = stored(found.filter("component is not null"), "near_found")
         kept = found.filter("kept").groupBy("component").agg(F.min("text_hash").alias("first"))
@@ -49,8 +53,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
             lost.select(*columns, F.lit(True).alias("lost")).distinct().unionByName(
                 again.select(*columns, F.lit(False).alias("lost"))), "listed")
     rows = whole_rows(docs).join(broadcast_small(listed, KEY_BYTES), _own_key(), "left")
-    single = rows.filter("lost is null").select("row.*")
-    equal = rows.filter("not lost").select("row.*")
+    single = rows_again(rows.filter("lost is null"), docs)
+    equal = rows_again(rows.filter("not lost"), docs)
     if listed.filter("not lost").limit(1).count():
         single = single.unionByName(equal.dropDuplicates(["doc_id", "text"]))
     return single
@@ -59,7 +63,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item, kept or dropped in the
     probing pass."""
-    return decontaminate.without_benchmark_rows(docs, table(spark, sf_dir, "benchmark"))
+    benchmark = table(bounded_batches(spark, BATCH_BYTES), sf_dir, "benchmark")
+    return decontaminate.without_benchmark_rows(docs, benchmark)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
