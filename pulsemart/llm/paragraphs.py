@@ -59,16 +59,15 @@ REMEMBERED = 1 << 18               # classes a task remembers not to send their
 
 def tuned_bands(percent: int = PERCENT, recall: float = RECALL, most_bands: int = MOST_BANDS) -> tuple[int, int]:
     """(bands, rows): of all that find a pair at the threshold with probability ``recall``
-    in at most ``most_bands`` bands, those that let the fewest pairs through whose
-    similarity, even between 0 and the threshold, is lower."""
+    in at most ``most_bands`` bands (or as few as can), those that let the fewest pairs
+    through whose similarity, even between 0 and the threshold, is lower."""
+    low = np.linspace(0, percent / 100, 101)
     options = []
     for rows in range(1, 9):
-        miss = 1 - (percent / 100) ** rows
-        bands = int(np.ceil(np.log(1 - recall) / np.log(miss)))
-        if bands <= most_bands:
-            low = np.linspace(0, percent / 100, 101)
-            options.append((float(np.mean(1 - (1 - low ** rows) ** bands)), bands, rows))
-    return min(options)[1:]
+        bands = int(np.ceil(np.log(1 - recall) / np.log(1 - (percent / 100) ** rows)))
+        options.append((float(np.mean(1 - (1 - low ** rows) ** bands)), bands, rows))
+    most = max(most_bands, min(bands for _, bands, _ in options))
+    return min(o for o in options if o[1] <= most)[1:]
 
 
 def _boundaries(pairs: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:

@@ -361,6 +361,8 @@ def test_bands_reach_the_recall():
     for percent, recall in ((80, 0.99), (80, 0.9999), (60, 0.95)):
         bands, rows = paragraphs.tuned_bands(percent, recall)
         assert 1 - (1 - (percent / 100) ** rows) ** bands >= recall
+    assert paragraphs.tuned_bands() == (5, 2)              # three bands of one row reach the recall too, with more false pairs
+    assert paragraphs.tuned_bands(most_bands=9) == (9, 4)
 
 
 def test_lm_counts_and_base(odd):
