@@ -51,7 +51,7 @@ TRAIN_LANES, TRAIN_STEPS = 64, 24
 SCORE_LANES, SCORE_STEPS = 512, 32
 RATE = 0.01
 FAN_IN = 32
-PROBE_DOCS = 4000                  # documents (expected number) whose head words are grouped into classes
+SKETCH = 256                       # signed sums of a head word's documents, by which words are grouped into classes
 FOLDS, HELD_OUT = 7, 2
 
 
@@ -359,21 +359,15 @@ def _scored(shared):
     return run
 
 
-def grouped_head(head: np.ndarray, lists: list[np.ndarray], seed: int = 5) -> np.ndarray:
-    """Head words ordered so that neighbours occur in the same documents: k-means
-    over a few singular vectors of the word-by-document table of a probe."""
-    if len(head) <= CLASS_SIZE or not lists:
+def grouped_head(head: np.ndarray, table: np.ndarray, seed: int = 5) -> np.ndarray:
+    """Head words ordered so that neighbours occur in the same documents: k-means over
+    a few singular vectors of ``table``, a row of sums (``_sketched``) for each word."""
+    if len(head) <= CLASS_SIZE or not table.any():
         return head
-    at = np.argsort(head)
-    table = np.zeros((len(head), len(lists)), F32)
-    for j, words in enumerate(lists):
-        found = np.minimum(np.searchsorted(head[at], words), len(head) - 1)
-        own = at[found[head[at][found] == words]]
-        np.add.at(table[:, j], own, 1)
-    table = np.log1p(table)
+    table = table.astype(F32)
     table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-6)
     rng = np.random.default_rng(seed)
-    basis = rng.standard_normal((len(lists), 32)).astype(F32)
+    basis = rng.standard_normal((table.shape[1], 32)).astype(F32)
     for _ in range(3):
         basis, _ = np.linalg.qr(table.T @ (table @ basis))
     points = table @ basis[:, :GROUPS]
@@ -409,22 +403,41 @@ def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
 def vocabulary(train: DataFrame, counts: DataFrame, n_docs: int) -> Vocabulary:
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     common, n = most_frequent(counts, COMMON)
-    probe = train.filter(F.pmod(F.xxhash64("doc"), F.lit(1 << 40)) < F.lit((PROBE_DOCS << 40) // max(1, n_docs)))
-    probed = probe.select("text").mapInArrow(
-        _head_words(train.sparkSession.sparkContext.broadcast(common[:HEAD])), "words array<long>")
-    lists = [np.array(row["words"], dtype=np.int64).view(np.uint64) for row in probed.collect()]
-    head = grouped_head(common[:HEAD], lists)
+    head = grouped_head(common[:HEAD], word_sketch(train, common[:HEAD]))
     totals = (n_docs, int(sums["n"] or 0) + n_docs, sums["v"] + min(1, n_docs))
     return Vocabulary(head, common, n, totals)
 
 
-def _head_words(shared):
-    """The distinct head words of each text: at most HEAD numbers a document."""
+def word_sketch(train: DataFrame, head: np.ndarray) -> np.ndarray:
+    """A row of ``SKETCH`` sums for each head word over all training documents: a document
+    adds 1 or -1 to one sum of each head word it contains, sum and sign by its hash (a
+    count sketch).  Rows keep the words' products, so words of the same documents have
+    rows alike; the table has the same size however many documents there are."""
+    table = np.zeros((len(head), SKETCH), np.int64)
+    if len(head) > CLASS_SIZE:
+        shared = train.sparkSession.sparkContext.broadcast(head)
+        cells = train.select(F.xxhash64("doc", "text").alias("mark"), "text").mapInArrow(_sketched(shared), "cell int, n long")
+        sums = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()        # at most HEAD x SKETCH numbers
+        table.reshape(-1)[sums["cell"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
+    return table
+
+
+def _sketched(shared):
+    """The cells of ``word_sketch`` that are not nought in a task's documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = np.sort(shared.value)
+        head = shared.value
+        at = np.argsort(head)
+        ordered = head[at]
+        table = np.zeros(len(head) * SKETCH, np.int64)
         for batch in batches:
-            own = [np.intersect1d(words, head).view(np.int64) for words in word_lists(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int64()))], ["words"])
+            mark = sketch.mixed(batch.column("mark").to_numpy(zero_copy_only=False).view(np.uint64))
+            place, sign = (mark % np.uint64(SKETCH)).astype(np.int64), np.where(mark >> np.uint64(63), 1, -1)
+            for row, words in enumerate(word_lists(batch.column("text"))):
+                found = np.minimum(np.searchsorted(ordered, words), len(head) - 1)
+                own = np.unique(at[found[ordered[found] == words]])
+                table[own * SKETCH + place[row]] += sign[row]
+        cells = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(table[cells])], ["cell", "n"])
     return run
 
 

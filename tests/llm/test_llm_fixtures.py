@@ -476,3 +476,26 @@ def test_contract_columns(spark):
     assert got["op9_line_dedup"] >= {"doc_id", "n_lines", "n_dropped", "kept_sha256"}
     assert hashlib.sha256(b"").hexdigest() in {
         r["items_sha256"] for r in catalog.op1_decontamination(spark, "/root/testdata/sf0.001").collect()}
+
+
+def test_word_classes_come_from_every_document(spark):
+    """Each training document counts in the table that groups words into classes: rows of
+    words of the same documents are equal, those of others differ, whatever the ids."""
+    import numpy as np
+
+    from pulsemart.llm import sketch
+
+    def word_hash(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return sketch.word_hashes(data, np.array([0]), np.array([len(data)]))[0]
+
+    pairs = [(f"left{i}", f"right{i}") for i in range(40)]
+    texts = [f"{a} x{j} {b} {a}" for i, (a, b) in enumerate(pairs) for j in range(i + 1)]
+    train = spark.createDataFrame([(None, t) for t in texts], "doc long, text string").repartition(5)
+    head = np.array([word_hash(w) for pair in pairs for w in pair], np.uint64)
+    table = lm.word_sketch(train, head)
+    assert (table[0::2] == table[1::2]).all() and len({tuple(row) for row in table}) == 40
+    for i, row in enumerate(table[0::2]):
+        assert 1 <= abs(row).sum() <= i + 1 and row.sum() % 2 == (i + 1) % 2      # i + 1 documents, one sign each
+    placed = lm.grouped_head(head, table)
+    assert sorted(placed) == sorted(head)
