@@ -105,6 +105,37 @@ def test_readers_are_complete_at_every_crash_point(spark, monkeypatch, dies_at):
     assert _rows(spark, path) == [("1", "a"), ("2", "x"), ("3", "y"), ("4", "d")]
 
 
+def test_buckets_follow_the_rows(spark):
+    from pulsemart.sources.buckets import BUCKET_ROWS, buckets_for
+
+    assert buckets_for(0) == buckets_for(150_000) == 8
+    for rows in (54_000_000, 216_000_000):
+        assert BUCKET_ROWS / 2 < rows / buckets_for(rows) <= BUCKET_ROWS
+
+
+def test_micro_batches_grow_with_a_topic_not_in_number(spark, monkeypatch):
+    """Every micro-batch rewrites the keyed table: a topic of 300 files was 19 of them."""
+    from pulsemart.sources.tables import Tables
+    from pulsemart.streaming import jobs
+
+    monkeypatch.setattr(jobs, "TOPIC_FILE_RECORDS", 5)
+    table, rollup = jobs._order_job(Tables(spark, "/root/testdata/sf0.001"), "test_batches")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    assert sinks.read_upserted(spark, table).count() == orders
+    batches = spark.read.parquet(rollup)
+    assert batches.select("_batch").distinct().count() <= jobs.TOPIC_BATCHES + 1
+    assert batches.agg(F.sum("n")).first()[0] == orders
+
+
+def test_the_first_batch_of_a_table_keeps_the_newest_row_of_a_key(spark):
+    path = work_dir(spark, "test_first_batch", fresh=True)
+    rows = [(str(i % 50), i, f"v{i}") for i in range(200)] + [(None, 1, "a"), (None, None, "z")]
+    hit = sinks.upsert(spark.createDataFrame(rows, "id string, n long, v string"), path, 0, "id", tiebreak="n", n_buckets=4)
+    assert hit == [0, 1, 2, 3]
+    got = {(r.id, r.n, r.v) for r in sinks.read_upserted(spark, path).collect()}
+    assert got == {(str(i % 50), i, f"v{i}") for i in range(150, 200)} | {(None, 1, "a")}
+
+
 def test_a_batch_without_rows_and_an_empty_table(spark):
     path = work_dir(spark, "test_empty_batch", fresh=True)
     assert sinks.read_upserted(spark, path) is None
