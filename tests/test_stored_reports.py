@@ -111,3 +111,21 @@ def test_a_hot_order_joins_all_its_lines(spark, salts):
     out = spark.read.parquet(f"{base}/sink")
     assert out.count() == 300 and out.select("order_detail_id").distinct().count() == 300
     assert out.filter("order_id = '0'").count() >= 100
+
+
+def test_a_record_is_parsed_once_for_all_its_fields(spark):
+    from pulsemart.functions.json import parse_json
+    from pulsemart.schemas import ORDER_INFO_WIRE
+
+    values = [None, "", "{", "[]", "7", '{"id":1}', '{"id":"a"', '{"id":"a","user_id":{"x":[1]}}', '{"user_id":"u","id":null,"other":2}',
+              '{"id":"a"} {"id":"b"}', '{"id":"a","id":"b"}', '[{"id":"a"}]', '{"id":tru,"user_id":"u"}', '{"user_id":"u","id":tru}']
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    parsed = parse_json(df, "value", ORDER_INFO_WIRE, keep=("value",))
+    one_field = "from_json(StructField(id,StringType,true), value"         # a parse of its own for the field
+    plain = df.select("value", *[F.from_json("value", ORDER_INFO_WIRE).getField(f.name).alias(f.name) for f in ORDER_INFO_WIRE.fields])
+    assert one_field in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert one_field not in parsed._jdf.queryExecution().optimizedPlan().toString()
+    whole = df.select("value", F.from_json("value", ORDER_INFO_WIRE).alias("r")).collect()
+    assert [tuple(r) for r in parsed.collect()] == [(r.value, *(r.r or [None] * len(ORDER_INFO_WIRE.fields))) for r in whole]
+    differ = [v.value for v, w in zip(parsed.collect(), plain.collect()) if tuple(v) != tuple(w)]
+    assert differ == [], differ
