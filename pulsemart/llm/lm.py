@@ -14,7 +14,9 @@ training document was read once, and the tasks' models are averaged in a tree.
 window to window until the document's end.
 
 Words are known by 64-bit hashes.  The most frequent ``COMMON`` counts go to the
-tasks (about 4 MB); rarer words are looked up by a shuffled join.
+tasks (about 4 MB, sent once); rarer words are looked up by a shuffled join.  What
+the driver collects comes in Arrow batches, whatever the session's settings are:
+the same table as Python rows takes some hundred bytes a row.
 
 Defined cases: a null text is empty and has one token, its end; null ids
 belong to the fold of an empty id; equal rows are scored alike; without
@@ -282,9 +284,9 @@ def fit(model: dict, vocab: Vocabulary, lists: list[np.ndarray], adam: gru.Adam)
         adam.step(grads)
 
 
-def _trained(shared):
+def _trained(shared, begun):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, start = shared.value
+        vocab, start = shared.value, begun.value
         model = {k: v.copy() for k, v in start.items()}
         adam, seen = gru.Adam(model, RATE), 0
         for batch in batches:
@@ -312,14 +314,14 @@ def averaged(models: DataFrame, n_tasks: int) -> dict[str, np.ndarray] | None:
     while n_tasks > FAN_IN:
         models = models.groupBy(F.floor(F.col("slot") / FAN_IN).alias("g")).applyInPandas(_mean, schema)
         n_tasks = -(-n_tasks // FAN_IN)
-    rows = models.toPandas()                               # at most FAN_IN models
+    rows = models.toArrow().to_pandas()                    # at most FAN_IN models
     return unpacked(_mean(rows)["model"].iloc[0]) if len(rows) else None
 
 
-def _scored(shared):
+def _scored(shared, trained):
     """Scores from the network and the common counts, and each text's rarer words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, model = shared.value
+        vocab, model = shared.value, trained.value
         tail = len(vocab.head) + 1
         gates = model["embed"] @ model["x"] + model["b"]
         end = math.log10(vocab.n_docs + 1)
@@ -394,8 +396,8 @@ def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
         least = at
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    top = counts.filter(F.floor(16 * F.log2("c")) >= least).toPandas()
-    hashes, n = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
+    top = counts.filter(F.floor(16 * F.log2("c")) >= least).select("h", "c").toArrow()
+    hashes, n = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy()
     order = np.lexsort((hashes, -n))
     return hashes[order], n[order]
 
@@ -417,8 +419,9 @@ def word_sketch(train: DataFrame, head: np.ndarray) -> np.ndarray:
     if len(head) > CLASS_SIZE:
         shared = train.sparkSession.sparkContext.broadcast(head)
         cells = train.select(F.xxhash64("doc", "text").alias("mark"), "text").mapInArrow(_sketched(shared), "cell int, n long")
-        sums = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()        # at most HEAD x SKETCH numbers
-        table.reshape(-1)[sums["cell"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
+        sums = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()         # at most HEAD x SKETCH numbers
+        table.reshape(-1)[sums.column("cell").to_numpy()] = sums.column("n").to_numpy()
+        shared.unpersist()
     return table
 
 
@@ -453,16 +456,17 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     counts = stored(train.select("text").mapInArrow(_counted, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "lm_counts")
     vocab = vocabulary(train, counts, train.count())
 
-    model = new_model(vocab)
+    model, shared = new_model(vocab), spark.sparkContext.broadcast(vocab)
     for r in range(rounds):
         share = train.filter(F.pmod(F.xxhash64(as_text), F.lit(SHARES)) == r).select("text")
-        trained = share.mapInArrow(_trained(spark.sparkContext.broadcast((vocab, model))), "slot long, seen double, model binary")
-        trained = stored(trained, "lm_models")
+        begun = spark.sparkContext.broadcast(model)
+        trained = stored(share.mapInArrow(_trained(shared, begun), "slot long, seen double, model binary"), "lm_models")
+        begun.unpersist()
         tasks = (trained.agg(F.max("slot")).first()[0] or 0) + 1
         model = averaged(trained, tasks) or model
 
     scored = src.mapInArrow(
-        _scored(spark.sparkContext.broadcast((vocab, model))),
+        _scored(shared, spark.sparkContext.broadcast(model)),
         f"doc {id_type}, n_tokens long, n_known long, n_tail long, log_base double, log_tail double, network double, "
         "rare array<long>, times array<long>")
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "lm_scores")

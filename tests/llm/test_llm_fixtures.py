@@ -499,3 +499,34 @@ def test_word_classes_come_from_every_document(spark):
         assert 1 <= abs(row).sum() <= i + 1 and row.sum() % 2 == (i + 1) % 2      # i + 1 documents, one sign each
     placed = lm.grouped_head(head, table)
     assert sorted(placed) == sorted(head)
+
+
+def test_word_sketch_is_small_on_the_driver(spark):
+    """The sketch and the counts come to the driver in Arrow batches, not as Python rows,
+    whatever the session's setting: 256,000 cells and 20,000 counts take a few bytes each."""
+    import tracemalloc
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from pulsemart.llm import sketch
+
+    words = [f"w{i}" for i in range(1000)]
+    data, ends = np.frombuffer("".join(words).encode(), np.uint8), np.cumsum([len(w) for w in words])
+    head = sketch.word_hashes(data, ends - [len(w) for w in words], ends)
+    train = spark.range(0, 2000, 1, 4).select(F.col("id").alias("doc"), F.lit(" ".join(words)).alias("text"))
+    counts = spark.range(1, 20_001, 1, 4).select(F.col("id").alias("h"), F.lit(3).cast("long").alias("c"))
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    tracemalloc.start()
+    try:
+        table = lm.word_sketch(train, head)
+        hashes, n = lm.most_frequent(counts, 20_000)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(key, before)
+    assert (table == table[0]).all() and (table[0] != 0).sum() > 200
+    assert sorted(hashes.tolist()) == list(range(1, 20_001)) and (n == 3).all()
+    assert peak < 16 << 20
