@@ -20,7 +20,9 @@ The bands are tuned: of all (bands, rows) that find a pair at the threshold with
 probability ``RECALL``, the one that lets the fewest pairs below it through, in at most
 ``MOST_BANDS`` bands: a band is a stored key of every paragraph.
 
-Tables are removed once their last reader has run.
+No table holds the paragraphs themselves: the first pass over the texts gives classes
+and their bands, a later one the places of the classes that turned out to be repeated.
+Tables are removed once their last reader has run, shuffles of all paragraphs at once.
 
 Defined cases: null texts and paragraphs of fewer than ``MIN_WORDS`` words have
 no part in it; repeated rows and ids are documents of one id, so a paragraph that
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.llm import sketch
-from pulsemart.llm.common import stored, working_tables
+from pulsemart.llm.common import broadcast_small, drop_shuffles, stored, working_tables
 from pulsemart.llm.neardup import linked_classes, star_centers
 from pulsemart.llm.scratch import Scratch
 
@@ -55,6 +57,7 @@ SEED = 88
 LINE_SALT = 0x5851F42D4C957F2D
 FILTER_BITS = 24                   # a bit table of the wanted classes (2 MB at any size); a join settles the rest
 REMEMBERED = 1 << 18               # classes a task remembers not to send their set twice
+KEY_BYTES = 32                     # a key or class, and what is known of it, in memory
 
 
 def tuned_bands(percent: int = PERCENT, recall: float = RECALL, most_bands: int = MOST_BANDS) -> tuple[int, int]:
@@ -125,7 +128,7 @@ def _paragraphs(bands: int, rows: int):
                 cut = _cut(data, offsets)
                 if cut is None or not len(cut[0]):
                     continue
-                doc, begin, end, word, n_words, a, e, shingles, salt = cut
+                doc, *_, a, e, shingles, salt = cut
                 mins = np.empty((len(a), bands * rows), dtype=np.uint64)
                 for j in range(bands * rows):
                     y = shingles * a_hash[j]
@@ -133,16 +136,18 @@ def _paragraphs(bands: int, rows: int):
                     y *= b_hash[j]
                     mins[:, j] = _reduced(np.minimum, y, a, e)
                 keys = (sketch.band_keys(mins, rows) ^ salt[:, None]).view(np.int64)
-                cls = (sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)) ^ salt).view(np.int64)
-                at = pa.array(row + doc)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc").take(at), batch.column("text_hash").take(at), pa.array(begin.astype(np.int32)),
-                    pa.array(end.astype(np.int32)), pa.array(word.astype(np.int32)), pa.array(n_words.astype(np.int32)), pa.array(cls),
-                    pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), bands).cast(pa.list_(pa.int64())),
-                ], ["doc", "text_hash", "begin", "end", "word", "n_words", "cls", "keys"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc").take(pa.array(row + doc)), pa.array(_classes(a, e, shingles, salt)),
+                     *[pa.array(np.ascontiguousarray(keys[:, j])) for j in range(bands)]],
+                    ["doc", "cls", *[f"k{j}" for j in range(bands)]])
     return run
 
 
+def _classes(a: np.ndarray, e: np.ndarray, shingles: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """The class of each paragraph, by its shingles in any order."""
+    return (sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)) ^ salt).view(np.int64)
+
+
 def _bit_table(classes: DataFrame) -> np.ndarray:
     """A bit for every value of the low FILTER_BITS bits that some class has, as
     64-bit words: at most 2**(FILTER_BITS - 6) rows, whatever the number of classes."""
@@ -173,7 +178,7 @@ def _sets(shared):
                 if cut is None or not len(cut[0]):
                     continue
                 *_, a, e, shingles, salt = cut
-                cls = (sketch.mixed(_reduced(np.add, sketch.mixed(shingles), a, e)) ^ salt).view(np.int64)
+                cls = _classes(a, e, shingles, salt)
                 for i in _maybe(cls, words).tolist():
                     if int(cls[i]) not in done:
                         if len(done) < REMEMBERED:
@@ -185,6 +190,26 @@ def _sets(shared):
     return run
 
 
+def _places(shared):
+    """The paragraphs whose class may be wanted, and where they stand."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            for row, data, offsets in sketch.slices(batch.column("text")):
+                cut = _cut(data, offsets)
+                if cut is None or not len(cut[0]):
+                    continue
+                doc, begin, end, word, n_words, *of_class = cut
+                cls = _classes(*of_class)
+                found = _maybe(cls, words)
+                at = pa.array(row + doc[found])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc").take(at), batch.column("text_hash").take(at),
+                    *[pa.array(x[found].astype(np.int32)) for x in (begin, end, word, n_words)], pa.array(cls[found]),
+                ], ["doc", "text_hash", "begin", "end", "word", "n_words", "cls"])
+    return run
+
+
 def _sliding(how, values: np.ndarray, width: int) -> np.ndarray:
     """``how`` over values[i:i + width] of each i, by doubling."""
     out, have = values, 1
@@ -250,7 +275,9 @@ def _of_several(runs: DataFrame, name: str) -> DataFrame:
     id (``component``) and whether they stand at another place than the first."""
     place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_hash", "begin")
     ids = runs.groupBy("h").agg(F.min("doc").alias("component"), F.max("doc").alias("most"))
-    held = stored(runs.join(ids.filter("component < most").select("h", "component"), "h").distinct(), f"{name}_held")
+    several = stored(ids.filter("component < most").select("h", "component"), f"{name}_several")
+    held = stored(runs.join(broadcast_small(several, KEY_BYTES), "h").distinct(), f"{name}_held")
+    drop_shuffles(runs.sparkSession)
     firsts = stored(held.groupBy("h").agg(F.min(place).alias("first")), f"{name}_firsts")
     return stored(held.join(firsts, "h").withColumn("removed", place != F.col("first")).drop("first"), name)
 
@@ -292,18 +319,18 @@ def repeated_paragraphs(
     src = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     id_type = src.schema["doc"].dataType.simpleString()
     scratch = Scratch(spark, "paragraphs")
-    found = scratch.store(src.mapInArrow(
-        _paragraphs(bands, rows), f"doc {id_type}, text_hash long, begin int, end int, word int, n_words int, cls long, keys array<long>"),
-        "found")
     place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_hash", "begin")
     with working_tables(spark):
-        classes = found.groupBy("cls", *[F.col("keys")[j].alias(f"k{j}") for j in range(bands)]).agg(
-            F.min("doc").alias("low"), F.max("doc").alias("high"))
+        own_keys = [f"k{j}" for j in range(bands)]
+        found = src.select("doc", "text").mapInArrow(
+            _paragraphs(bands, rows), f"doc {id_type}, cls long, " + ", ".join(f"{k} long" for k in own_keys))
+        classes = found.groupBy("cls", *own_keys).agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
         classes = stored(classes, "paragraph_classes")
-        keys = F.explode(F.array(*[F.col(f"k{j}") for j in range(bands)])).alias("k")
-        banded = classes.select("cls", keys)
+        drop_shuffles(spark)
+        banded = classes.select("cls", F.explode(F.array(*own_keys)).alias("k"))
         shared = stored(banded.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k"), "paragraph_keys")
-        hits = stored(banded.join(shared, "k"), "paragraph_hits")
+        drop_shuffles(spark)
+        hits = stored(banded.join(broadcast_small(shared, KEY_BYTES), "k"), "paragraph_hits")
         wanted = stored(hits.select("cls").distinct(), "paragraph_wanted")
         sets = src.select("text").mapInArrow(
             _sets(spark.sparkContext.broadcast(_bit_table(wanted))), "cls long, members array<long>")
@@ -312,14 +339,18 @@ def repeated_paragraphs(
         with working_tables(spark):
             sized = hits.join(sets.select("cls", F.size("members").cast("long").alias("n")), "cls")
             roots = scratch.store(linked_classes(star_centers(sized.select("k", "cls", "n")), sets, percent), "roots")
-        rooted = stored(classes.select("cls", "low", "high").join(roots, F.col("cls") == F.col("node"), "left").select(
+        rooted = classes.select("cls", "low", "high").join(broadcast_small(roots, KEY_BYTES), F.col("cls") == F.col("node"), "left")
+        rooted = stored(rooted.filter("root is not null or low < high").select(       # a class alone in one document is no repeat
             "cls", F.coalesce("root", "cls").alias("root"), "low", "high"), "paragraph_roots")
+        drop_shuffles(spark)
         several = stored(rooted.groupBy("root").agg(F.min("low").alias("component"), F.max("high").alias("most"))
                          .filter("component < most").select("root", "component"), "paragraph_components")
         repeated = stored(rooted.select("cls", "root").join(several, "root"), "paragraph_repeated")
-        located = scratch.store(found.drop("keys").join(repeated, "cls").drop("cls").distinct(), "located")
+        places = src.mapInArrow(_places(spark.sparkContext.broadcast(_bit_table(repeated))),
+                                f"doc {id_type}, text_hash long, begin int, end int, word int, n_words int, cls long")
+        located = scratch.store(places.join(repeated, "cls").drop("cls").distinct(), "located")
         firsts = scratch.store(located.groupBy("root").agg(F.min(place).alias("first")), "firsts")
-    scratch.drop("found", "roots")
+    scratch.drop("roots")
     own = Window.partitionBy("doc", "text_hash").orderBy("word", "n_words")
     stop = F.col("word") + F.col("n_words")
     starts = F.coalesce(F.max(stop).over(own.rowsBetween(Window.unboundedPreceding, -1)) < F.col("word"), F.lit(True))

@@ -530,3 +530,27 @@ def test_word_sketch_is_small_on_the_driver(spark):
     assert (table == table[0]).all() and (table[0] != 0).sum() > 200
     assert sorted(hashes.tolist()) == list(range(1, 20_001)) and (n == 3).all()
     assert peak < 16 << 20
+
+
+def test_paragraph_tables_are_narrow(spark, monkeypatch):
+    """One table alone has a row for each paragraph's class; places, roots and keys are kept
+    of the repeated ones only, so the disk does not hold all paragraphs several times."""
+    written = {}
+
+    def noted(keep):
+        def store(*args):
+            out = keep(*args)
+            written[args[-1]] = (out.count(), len(out.columns))
+            return out
+        return store
+
+    monkeypatch.setattr(paragraphs, "stored", noted(paragraphs.stored))
+    monkeypatch.setattr(paragraphs.Scratch, "store", noted(paragraphs.Scratch.store))
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(20)]
+    copy = " ".join(f"copy{j}" for j in range(60))
+    docs = [_row(i, f"{t}\n{copy}" if i in (3, 7) else t) for i, t in enumerate(texts)]
+    out = paragraphs.repeated_paragraphs(_docs(spark, docs)).collect()
+    assert {(r["doc_id"], r["removed"]) for r in out} == {(3, False), (7, True)}
+    classes = written.pop("paragraph_classes")[0]
+    assert classes > 100
+    assert not {name: n for name, (n, _) in written.items() if not name.startswith("passage") and 4 * n > classes}
