@@ -211,7 +211,7 @@ def _classes(targets: np.ndarray, n_classes: int, tail: int) -> np.ndarray:
 
 
 def _by_class(classes: np.ndarray, n_classes: int) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(classes, kind="stable")
+    order = np.argsort(classes.astype(np.int16), kind="stable")
     cuts = np.searchsorted(classes[order], np.arange(n_classes + 1))
     for c in range(1, n_classes - 1):
         if cuts[c + 1] > cuts[c]:
@@ -222,7 +222,9 @@ def log_probabilities(model: dict, states: np.ndarray, targets: np.ndarray, tail
     """Natural log probability of each target (a tail word's: of the tail)."""
     k = model["class_w"].shape[1]
     classes = _classes(targets, k, tail)
-    out = _log_share(states @ model["class_w"] + model["class_b"], classes)
+    x = states @ model["class_w"]
+    x += model["class_b"]
+    out = _log_share(x, classes)
     for c, rows in _by_class(classes, k):
         out[rows] += _log_share(states[rows] @ model["word_w"][c] + model["word_b"][c], (targets[rows] - 1) % CLASS_SIZE)
     return out
@@ -237,29 +239,31 @@ def _window_gradients(model: dict, lanes: Lanes, steps: slice, n: int, h: np.nda
     k, total = model["class_w"].shape[1], max(TRAIN_STEPS * lanes.inputs.shape[1], int(real.sum()))
     classes = _classes(t, k, tail)
     weight = (real / F32(total)).astype(F32)
-    d = _softmax(flat @ model["class_w"] + model["class_b"])
+    d = flat @ model["class_w"]
+    d += model["class_b"]
+    _softmax(d)
     d[np.arange(len(t)), classes] -= 1
     d *= weight[:, None]
     grads = {"class_w": flat.T @ d, "class_b": d.sum(axis=0),
              "word_w": np.zeros_like(model["word_w"]), "word_b": np.zeros_like(model["word_b"])}
     d_flat = d @ model["class_w"].T
-    order = np.argsort(classes, kind="stable")             # head words side by side, class by class
+    order = np.argsort(classes.astype(np.int16), kind="stable")    # head words side by side, class by class
     cuts = np.searchsorted(classes[order], np.arange(1, k))
     rows = order[cuts[0]:cuts[-1]]
     cuts = (cuts - cuts[0]).tolist()
-    found = [(c, cuts[c], cuts[c + 1]) for c in range(k - 2) if cuts[c + 1] > cuts[c]]
-    own = flat[rows]
-    e, back = np.empty((len(rows), CLASS_SIZE), F32), np.empty_like(own)
-    for c, lo, hi in found:
-        np.matmul(own[lo:hi], model["word_w"][c], out=e[lo:hi])
+    found = [(c, lo, hi) for c, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
     if found:
-        e += model["word_b"][classes[rows] - 1]
+        own, own_t = flat[rows], t[rows] - 1
+        e, back = np.empty((len(rows), CLASS_SIZE), F32), np.empty_like(own)
+        for c, lo, hi in found:
+            np.dot(own[lo:hi], model["word_w"][c], out=e[lo:hi])
+        e += model["word_b"][own_t // CLASS_SIZE]
         _softmax(e)
-        e[np.arange(len(rows)), (t[rows] - 1) % CLASS_SIZE] -= 1
+        e[np.arange(len(rows)), own_t % CLASS_SIZE] -= 1
         e *= weight[rows, None]
         for c, lo, hi in found:
-            np.matmul(own[lo:hi].T, e[lo:hi], out=grads["word_w"][c])
-            np.matmul(e[lo:hi], model["word_w"][c].T, out=back[lo:hi])
+            np.dot(own[lo:hi].T, e[lo:hi], out=grads["word_w"][c])
+            np.dot(e[lo:hi], model["word_w"][c].T, out=back[lo:hi])
         at = [(c, lo) for c, lo, _ in found]
         grads["word_b"][[c for c, _ in at]] = np.add.reduceat(e, [lo for _, lo in at], axis=0)
         d_flat[rows] += back

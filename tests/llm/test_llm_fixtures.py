@@ -554,3 +554,44 @@ def test_paragraph_tables_are_narrow(spark, monkeypatch):
     classes = written.pop("paragraph_classes")[0]
     assert classes > 100
     assert not {name: n for name, (n, _) in written.items() if not name.startswith("passage") and 4 * n > classes}
+
+
+def test_network_works_in_small_arrays():
+    """The layer's states and gradients are those of a plain loop, and neither a window's
+    gradients nor a step of Adam makes copies of all they read: op3_lm_scoring's time goes there."""
+    import tracemalloc
+
+    import numpy as np
+
+    from pulsemart.llm import gru
+
+    rng = np.random.default_rng(4)
+    steps, lanes, width = 40, 64, 16
+    gates, u = rng.standard_normal((steps, lanes, 3 * width)).astype(gru.F32), rng.standard_normal((width, 3 * width)).astype(gru.F32) / 4
+    zero, fresh = np.zeros((lanes, width), gru.F32), rng.random((steps, lanes)) < 0.03
+    d_states = rng.standard_normal((steps, lanes, width)).astype(gru.F32)
+    states, kept = gru.forward(gates, u, zero, fresh, keep=True)
+    h = zero
+    for t in range(steps):
+        h = np.where(fresh[t][:, None], 0, h)
+        a = h @ u
+        z, r = (gru.sigmoid(gates[t, :, k * width:(k + 1) * width] + a[:, k * width:(k + 1) * width]) for k in (0, 1))
+        h = h + z * (np.tanh(gates[t, :, 2 * width:] + r * a[:, 2 * width:]) - h)
+        assert np.allclose(states[t], h, atol=1e-5)
+    assert np.array_equal(states, gru.forward(gates, u, zero, fresh))
+
+    params = {"w": rng.standard_normal((1 << 14, 64)).astype(gru.F32), "b": np.zeros(3, gru.F32)}
+    begun, grads = {k: v.copy() for k, v in params.items()}, {k: np.sign(v + 0.5).astype(gru.F32) for k, v in params.items()}
+    adam, peaks = gru.Adam(params, 0.01), []
+    tracemalloc.start()
+    try:
+        for run in (lambda: gru.backward(d_states, kept, u, fresh), lambda: adam.step(grads)):
+            tracemalloc.reset_peak()
+            have = tracemalloc.get_traced_memory()[0]
+            run()
+            peaks.append(tracemalloc.get_traced_memory()[1] - have)
+    finally:
+        tracemalloc.stop()
+    for k, v in params.items():                            # the first step has the rate's size, against the gradient
+        assert np.allclose(begun[k] - v, 0.01 * grads[k], atol=1e-4)
+    assert peaks[0] < 11 * states.nbytes and peaks[1] < params["w"].nbytes / 4, (peaks, states.nbytes)
